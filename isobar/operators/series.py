@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.functions.weather import missing, rain_flag
-from isobar.operators.ordered import BLOCK_ROWS, Series, arrange, attach, positions
+from isobar.operators.ordered import BLOCK_ROWS, SEQ, Series, arrange, attach, positions
 
 MOVING = (3, 6)
 
@@ -121,9 +121,10 @@ def interpolate(
 
     Leading gaps stay missing; trailing ones repeat the last known value.
     """
-    numbered = positions(df, keys, order, name="__at", block_rows=block_rows)
-    numbered = numbered.withColumns({c: missing(F.col(c).cast("double")) for c in columns})
-    series = arrange(numbered, keys, ["__at"], block_rows=block_rows)
+    df = df.withColumns({c: missing(F.col(c).cast("double")) for c in columns})
+    series = arrange(df, keys, order, block_rows=block_rows)
+    at = F.col(SEQ) if series.split else F.row_number().over(series.window)
+    series = series.with_frame(series.frame.withColumn("__at", at))
     facts = {c: _known(c, F.col("__at").alias("at"), F.col(c).alias("v")) for c in columns}
     frame = series.frame.withColumns(
         {f"__b_{c}": _nearest(series, c, facts[c], ahead=False) for c in columns}
@@ -191,7 +192,7 @@ def resample(
     means = ["temperature", "humidity", "pressure", "wind_speed"]
     out = df.groupBy(*(keys or []), F.window(time, width).alias("__w")).agg(
         *[F.avg(c).alias(c) for c in means if c in df.columns],
-        F.sum("precipitation").alias("precipitation"),
+        F.coalesce(F.sum("precipitation"), F.lit(0.0)).alias("precipitation"),
         F.max(flag).alias("rain_flag"),
     )
     return out.withColumn(time, F.col("__w.start")).drop("__w").na.drop("any")
