@@ -1 +1,9 @@
 """Weather-sensor analytics expressed as Spark DataFrame transformations."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The small numpy helpers used inside tasks travel with the job, so executors
+# need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

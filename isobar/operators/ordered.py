@@ -123,14 +123,16 @@ def arrange(
     *,
     look_back: int = 0,
     block_rows: int = BLOCK_ROWS,
+    longest: int | None = None,
 ) -> Series:
     """Prepare ``df`` for windows over ``keys`` ordered by ``order``.
 
     With ``look_back`` = L each block also sees the L rows before it, flagged as
     halo.  ``order`` should end in a unique column: rows tied on all of it
     cannot be separated by the range partitioning, nor ordered repeatably.
+    Pass ``longest``, the longest series' rows, where it is already known.
     """
-    if largest_group(df, keys) <= block_rows:
+    if (largest_group(df, keys) if longest is None else longest) <= block_rows:
         return Series(df, keys, order, False)
     size = max(block_rows, look_back, 1)
     numbered = number_rows(df, [*keys, *order])
