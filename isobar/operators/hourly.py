@@ -34,7 +34,9 @@ def flatten(df: DataFrame) -> DataFrame:
     )
 
 
-def coordinate_means(df: DataFrame, *, bucket: str | None = None, time: str = "observed_at") -> DataFrame:
+def coordinate_means(
+    df: DataFrame, *, bucket: str | None = None, time: str = "observed_at", digits: int = 2
+) -> DataFrame:
     """Rounded means per coordinate cell of 0.01 degrees.
 
     ``bucket=None`` takes the whole batch as one period; ``"1 hour"`` keeps the
@@ -47,7 +49,7 @@ def coordinate_means(df: DataFrame, *, bucket: str | None = None, time: str = "o
         moment = F.col(time) if time in df.columns else F.timestamp_seconds("dt")
         keys.append(F.window(moment, bucket).alias("period"))
     measures = ["temperature", "humidity", "precipitation", "wind_speed", "clouds", "pressure", "feels_like"]
-    means = [F.round(F.avg(m), 2).alias(f"avg_{m}") for m in measures if m in df.columns]
+    means = [F.round(F.avg(m), digits).alias(f"avg_{m}") for m in measures if m in df.columns]
     out = df.groupBy(*keys).agg(
         *means, F.count("*").alias("measurement_count"), F.max("dt").alias("latest_measurement")
     )

@@ -398,7 +398,7 @@ class Forecaster:
 
         def run(past: pd.DataFrame, ahead: pd.DataFrame) -> pd.DataFrame:
             if past.empty or ahead.empty:
-                return pd.DataFrame({f.name: [] for f in schema})
+                return pd.DataFrame()
             past, ahead = past.sort_values(time), ahead.sort_values("step")
             beta = np.asarray(past["coefficients"].iloc[0])
             ar, ma = beta[: len(o.ar)], beta[len(o.ar) : len(o.ar) + len(o.ma)]
@@ -518,7 +518,7 @@ def _follow(rows: DataFrame, start: DataFrame, spec: Forecaster, split: bool) ->
 
         def from_zero(pdf: pd.DataFrame, fit: pd.DataFrame) -> pd.DataFrame:
             if pdf.empty or fit.empty:
-                return pd.DataFrame({c: [] for c in [*blocks, "rows", "state"]})
+                return pd.DataFrame()
             drive = pdf.sort_values(time)["drive"].to_numpy(float)
             zero = np.zeros(k)
             end = _last(_recur(recurrence(fit["coefficients"].iloc[0]), zero, drive), k, zero)
@@ -528,7 +528,7 @@ def _follow(rows: DataFrame, start: DataFrame, spec: Forecaster, split: bool) ->
 
         def chain(ends: pd.DataFrame, begin: pd.DataFrame) -> pd.DataFrame:
             if ends.empty or begin.empty:
-                return pd.DataFrame({c: [] for c in [*blocks, "state"]})
+                return pd.DataFrame()
             a = recurrence(begin["coefficients"].iloc[0])
             companion = np.eye(k, k, 1)
             if k:
@@ -561,7 +561,7 @@ def _follow(rows: DataFrame, start: DataFrame, spec: Forecaster, split: bool) ->
 
     def run(pdf: pd.DataFrame, begin: pd.DataFrame) -> pd.DataFrame:
         if pdf.empty or begin.empty or len(begin["state"].iloc[0]) < k:
-            return pd.DataFrame({f.name: [] for f in schema})
+            return pd.DataFrame()
         pdf = pdf.sort_values(time)
         state = np.asarray(begin["state"].iloc[0], float)[len(begin["state"].iloc[0]) - k :]
         path = _recur(recurrence(begin["coefficients"].iloc[0]), state, pdf["drive"].to_numpy(float))

@@ -28,6 +28,7 @@ from isobar.operators.split import (
 )
 from isobar.schema import PREDICTION
 from isobar.sources.tables import typed
+from isobar.staging import stage
 
 # The features each model looks for, in order.
 RAIN_FEATURES = [
@@ -111,8 +112,9 @@ def rain_forest(label: str = "rain_flag", *, trees: int = 100, depth: int = 10,
 def temperature_forest(
     label: str = "temperature", *, trees: int = 100, depth: int = 15, seed: int = SEED
 ) -> Estimator:
+    # Deep trees: keep each row's node with the row instead of shipping the trees every level.
     return RandomForestRegressor(
-        labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed
+        labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed, cacheNodeIds=True
     )
 
 
@@ -178,9 +180,21 @@ def load(spark: SparkSession, path: str) -> tuple[Model, DataFrame]:
     return Model(PipelineModel.load(f"{path}/pipeline"), features, row["label"], row["version"]), meta
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A written copy for repeated passes, in at least as many partitions as there are cores.
+
+    Training reads its table many times.  Only a table too small to fill the
+    cluster is shuffled.
+    """
+    written = stage(df, "training")
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return written.repartition(cores) if written.rdd.getNumPartitions() < cores else written
+
+
 def fit(pipeline: Pipeline, features: Features, train: DataFrame, label: str, version: str = "1.0.0") -> Model:
-    wanted = [*features.columns, *features.mappings, label]
-    return Model(pipeline.fit(features.apply(train.select(*dict.fromkeys(wanted)))), features, label, version)
+    wanted = [*features.names, label]
+    table = spread(features.apply(train).select(*dict.fromkeys(wanted)))
+    return Model(pipeline.fit(table), features, label, version)
 
 
 def classifier_report(scored: DataFrame, label: str) -> DataFrame:
@@ -190,7 +204,7 @@ def classifier_report(scored: DataFrame, label: str) -> DataFrame:
 
 
 def cross_validate(
-    pipeline: Pipeline, df: DataFrame, evaluator: Evaluator, *, fold: str = "fold", folds: int = 5, parallelism: int = 1
+    pipeline: Pipeline, df: DataFrame, evaluator: Evaluator, *, fold: str = "fold", folds: int = 5
 ) -> DataFrame:
     """Mean and population std of a score over the folds marked in ``fold``.
 
@@ -203,7 +217,7 @@ def cross_validate(
         evaluator=evaluator,
         numFolds=folds,
         foldCol=fold,
-        parallelism=parallelism,
+        parallelism=folds,
     )
     fitted = validator.fit(df)
     return SparkSession.active().createDataFrame(
@@ -215,7 +229,7 @@ def rain_cross_validation(
     df: DataFrame, features: Features, key: str, *, label: str = "rain_flag", folds: int = 5, learner: Estimator | None = None
 ) -> DataFrame:
     """Stratified folds scored by AUC."""
-    marked = with_stratified_folds(features.apply(df), label, key, folds=folds)
+    marked = spread(with_stratified_folds(features.apply(df), label, key, folds=folds))
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     return cross_validate(scaled(features, learner or rain_forest(label)), marked, evaluator, folds=folds)
 
@@ -224,7 +238,7 @@ def temperature_cross_validation(
     df: DataFrame, features: Features, key: str, *, label: str = "temperature", folds: int = 5, learner: Estimator | None = None
 ) -> DataFrame:
     """Plain folds scored by mean absolute error."""
-    marked = with_folds(features.apply(df), key, folds=folds)
+    marked = spread(with_folds(features.apply(df), key, folds=folds))
     evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
     return cross_validate(scaled(features, learner or temperature_forest(label)), marked, evaluator, folds=folds)
 

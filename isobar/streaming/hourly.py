@@ -21,9 +21,16 @@ def document_stream(spark: SparkSession, path: str, *, files_per_trigger: int |
 
 
 def parquet_stream(
-    spark: SparkSession, path: str, schema: T.StructType, *, files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    pattern: str | None = None,
+    files_per_trigger: int | None = None,
 ) -> DataFrame:
     reader = spark.readStream.schema(schema)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)
