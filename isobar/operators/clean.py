@@ -7,13 +7,14 @@ a single narrow pass whose filters reach the scan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.functions.weather import clip, missing, to_number
 from isobar.operators.quantiles import EXACT_ROWS, exact_quantiles
 from isobar.schema import MEASURES
+from isobar.staging import stage
 
 UNKNOWN = "Unknown"
 
@@ -37,14 +38,30 @@ def text_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.DateType))]
 
 
+def incomplete(df: DataFrame, columns: list[str]) -> list[str]:
+    """The columns with at least one missing value; one counting pass."""
+    if not columns:
+        return []
+    counts = df.agg(*[F.count_if(_gap(df, c)) for c in columns]).first()
+    return [c for c, gaps in zip(columns, counts) if gaps]
+
+
+def _gap(df: DataFrame, column: str) -> Column:
+    floating = isinstance(df.schema[column].dataType, (T.FloatType, T.DoubleType))
+    return F.col(column).isNull() | F.isnan(column) if floating else F.col(column).isNull()
+
+
 def medians(df: DataFrame, columns: list[str], *, exact_rows: int = EXACT_ROWS) -> dict[str, float]:
     found = exact_quantiles(df, columns, [0.5], exact_rows=exact_rows)
     return {c: q[0] for c, q in found.items() if q[0] is not None}
 
 
 def fill_median(df: DataFrame, columns: list[str] | None = None, *, exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """Fill missing numbers with the column median (default: every numeric column)."""
-    columns = numeric_columns(df) if columns is None else columns
+    """Fill missing numbers with the column median (default: every numeric column).
+
+    Columns without a gap are neither ranked nor changed.
+    """
+    columns = incomplete(df, numeric_columns(df) if columns is None else columns)
     middle = medians(df, columns, exact_rows=exact_rows)
     types = {f.name: f.dataType for f in df.schema}
     filled = {}
@@ -79,7 +96,9 @@ def modes(df: DataFrame, columns: list[str]) -> dict[str, str]:
 
 def fill_mode(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Fill missing text with the column mode; a column without values gets 'Unknown'."""
-    columns = text_columns(df) if columns is None else columns
+    columns = incomplete(df, text_columns(df) if columns is None else columns)
+    if not columns:
+        return df
     common = modes(df, columns)
     types = {f.name: f.dataType for f in df.schema}
     return df.withColumns(
@@ -134,7 +153,11 @@ def coerce_types(df: DataFrame, columns: list[str] = MEASURES) -> DataFrame:
 
 
 def clean(df: DataFrame, *, outlier_columns: list[str] = MEASURES, exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """Duplicates, fills, outliers and types, in that order."""
-    df = drop_duplicates(nan_to_null(df))
+    """Duplicates, fills, outliers and types, in that order.
+
+    The distinct rows are written once: the later steps take several narrow
+    passes over single columns, which then skip the duplicate shuffle.
+    """
+    df = stage(drop_duplicates(nan_to_null(df)), "distinct")
     df = fill_mode(fill_median(df, exact_rows=exact_rows))
     return coerce_types(drop_outliers(df, outlier_columns, exact_rows=exact_rows))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.operators.ordered import positions
+
 # Columns of the raw export that repeat another unit, and the
 # canonical names of the ones kept.
 IMPERIAL = [
@@ -23,6 +25,8 @@ METRIC_NAMES = {
     "precip_mm": "precipitation",
     "last_updated": "recorded_at",
 }
+# Spark's default limit for filtering ranks ahead of the shuffle.
+PREFILTERED = 1000
 # The stored hourly table's names and the canonical ones.
 HOURLY_NAMES = {
     "idCity": "city_id",
@@ -83,9 +87,13 @@ def head(df: DataFrame, order: list, n: int = 5) -> DataFrame:
 def last_n(df: DataFrame, keys: list[str], time: list[str], n: int) -> DataFrame:
     """The latest ``n`` rows of each series.
 
-    Spark prefilters each map task to ``n`` rows per series before the shuffle.
+    For small ``n`` Spark keeps only ``n`` rows per series in each map task
+    before the shuffle; a large ``n`` is ranked through ``positions``.
     """
-    newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in time])
+    order = [F.col(c).desc() for c in time]
+    if n > PREFILTERED:
+        return positions(df, keys, order, name="__newest").filter(F.col("__newest") <= n).drop("__newest")
+    newest = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__newest", F.row_number().over(newest)).filter(F.col("__newest") <= n).drop("__newest")
 
 
