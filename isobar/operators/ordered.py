@@ -83,6 +83,15 @@ class Series:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.groups).orderBy(*self.order)
 
+    @property
+    def backward(self) -> WindowSpec:
+        """The window in reverse, for looking ahead.
+
+        A frame that runs to the end of the partition is evaluated anew for
+        every row; the same frame over the reversed order is a running one.
+        """
+        return Window.partitionBy(*self.groups).orderBy(*[F.col(c).desc() for c in self.order])
+
     def with_frame(self, frame: DataFrame) -> Series:
         return Series(frame, self.keys, self.order, self.split)
 
@@ -102,17 +111,9 @@ class Series:
         summary = self.frame.filter(~F.col(HALO)).groupBy(*self.groups).agg(
             *[c.alias(n) for n, c in facts.items()]
         )
-        spec = Window.partitionBy(*self.keys).orderBy(BLOCK)
-        if ahead:
-            picked = [
-                F.first(n, ignorenulls=True).over(spec.rowsBetween(1, Window.unboundedFollowing)).alias(n)
-                for n in facts
-            ]
-        else:
-            picked = [
-                F.last(n, ignorenulls=True).over(spec.rowsBetween(Window.unboundedPreceding, -1)).alias(n)
-                for n in facts
-            ]
+        near_first = F.col(BLOCK).desc() if ahead else F.col(BLOCK)
+        passed = Window.partitionBy(*self.keys).orderBy(near_first).rowsBetween(Window.unboundedPreceding, -1)
+        picked = [F.last(n, ignorenulls=True).over(passed).alias(n) for n in facts]
         return summary.select(*self.groups, *picked)
 
 

@@ -82,11 +82,9 @@ def _known(column: str, *what: str | Column) -> Column:
     return F.when(F.col(column).isNotNull(), F.struct(*what))
 
 
-def _nearest(series: Series, column: str, fact: Column, *, ahead: bool) -> Column:
-    whole = series.window
-    if ahead:
-        return F.first(fact, ignorenulls=True).over(whole.rowsBetween(0, Window.unboundedFollowing))
-    return F.last(fact, ignorenulls=True).over(whole.rowsBetween(Window.unboundedPreceding, 0))
+def _nearest(series: Series, fact: Column, *, ahead: bool) -> Column:
+    along = series.backward if ahead else series.window
+    return F.last(fact, ignorenulls=True).over(along.rowsBetween(Window.unboundedPreceding, 0))
 
 
 def fill_gaps(
@@ -94,8 +92,8 @@ def fill_gaps(
 ) -> DataFrame:
     """Last known value, and for leading gaps the first known one."""
     series = arrange(df, keys, order, block_rows=block_rows)
-    before = {f"__b_{c}": _nearest(series, c, F.col(c), ahead=False) for c in columns}
-    after = {f"__a_{c}": _nearest(series, c, F.col(c), ahead=True) for c in columns}
+    before = {f"__b_{c}": _nearest(series, F.col(c), ahead=False) for c in columns}
+    after = {f"__a_{c}": _nearest(series, F.col(c), ahead=True) for c in columns}
     frame = series.frame.withColumns(before | after)
     if series.split:
         at = series.order[0]
@@ -127,8 +125,8 @@ def interpolate(
     series = series.with_frame(series.frame.withColumn("__at", at))
     facts = {c: _known(c, F.col("__at").alias("at"), F.col(c).alias("v")) for c in columns}
     frame = series.frame.withColumns(
-        {f"__b_{c}": _nearest(series, c, facts[c], ahead=False) for c in columns}
-        | {f"__a_{c}": _nearest(series, c, facts[c], ahead=True) for c in columns}
+        {f"__b_{c}": _nearest(series, facts[c], ahead=False) for c in columns}
+        | {f"__a_{c}": _nearest(series, facts[c], ahead=True) for c in columns}
     )
     if series.split:
         frame = attach(
