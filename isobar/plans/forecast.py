@@ -94,13 +94,21 @@ class Orders:
 
 @dataclass(frozen=True)
 class Fitted:
-    """Models of one specification, with and without regressors, one row per series."""
+    """Models of one specification, one row per series.
+
+    The model without regressors is fitted on first use where there are
+    regressors, since most uses never need it.
+    """
 
     spec: Forecaster
     rows: DataFrame
     with_exog: DataFrame | None
-    no_exog: DataFrame
     longest: int
+    plain: DataFrame | None = None
+
+    @cached_property
+    def no_exog(self) -> DataFrame:
+        return self.spec.estimate(self.rows, [], self.longest) if self.plain is None else self.plain
 
 
 @dataclass(frozen=True)
@@ -189,7 +197,7 @@ class Forecaster:
         whole = F.concat("__ar", "__ma", "__x")
         return series.with_frame(frame.withColumn("__z", F.when(~F.exists(whole, lambda v: v.isNull()), whole)))
 
-    def _estimate(self, rows: DataFrame, regressors: list[str], longest: int) -> DataFrame:
+    def estimate(self, rows: DataFrame, regressors: list[str], longest: int) -> DataFrame:
         """Both stages; each result is one small row per series, written once."""
         o = self.orders
         series = self._inputs(rows, regressors, longest)
@@ -218,13 +226,14 @@ class Forecaster:
         return stage(model, "model")
 
     def fit(self, rows: DataFrame) -> Fitted:
-        """Fit every series, with its regressors and without.
+        """Fit every series, with its regressors and (when asked for) without.
 
         Only rows with ``is_train`` are used if ``rows`` has that column.
         """
         longest = largest_group(rows, self.keys)
-        with_exog = self._estimate(rows, self.regressors, longest) if self.regressors else None
-        return Fitted(self, rows, with_exog, self._estimate(rows, [], longest), longest)
+        if not self.regressors:
+            return Fitted(self, rows, None, longest, self.estimate(rows, [], longest))
+        return Fitted(self, rows, self.estimate(rows, self.regressors, longest), longest)
 
     def parameter_names(self, exog: bool = True) -> list[str]:
         o = self.orders
@@ -461,7 +470,7 @@ class Forecaster:
         )
         with_exog = spark.read.parquet(f"{path}/exog").drop("model_name") if spec.regressors else None
         no_exog = spark.read.parquet(f"{path}/no_exog").drop("model_name")
-        return Fitted(spec, rows, with_exog, no_exog, largest_group(rows, self.keys))
+        return Fitted(spec, rows, with_exog, largest_group(rows, self.keys), no_exog)
 
 
 # ---- the recurrence y_t = sum a_k y_{t-k} + drive_t ---------------------------

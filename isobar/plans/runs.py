@@ -92,7 +92,7 @@ def train_and_forecast(
     fitted = spec.fit(prepared)
     evaluation = stage(spec.evaluate(fitted), "evaluation")
     whole = prepared.drop("is_train")
-    final = spec.fit(whole) if refit else replace(fitted, rows=whole)
+    final = spec.fit(whole) if refit else replace(fitted, rows=whole, plain=fitted.no_exog)
     chosen = first_keys(whole, spec.keys[0], first)
     forecast = spec.forecast(replace(final, rows=chosen), steps)
     return {
