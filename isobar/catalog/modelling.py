@@ -7,7 +7,8 @@ from isobar.catalog import HOURLY, READINGS, Tables, query
 from isobar.operators import features, metrics, quality
 from isobar.operators.encode import encode_labels, label_mapping
 from isobar.operators.leastsquares import least_squares
-from isobar.operators.split import plain_split, with_folds, with_stratified_folds
+from isobar.operators.series import time_split
+from isobar.operators.split import plain_split, stratified_split, with_folds, with_stratified_folds
 from isobar.plans import models
 from isobar.plans.forecast import Forecaster, Orders, as_single_series, single_series
 from isobar.plans.runs import train_and_forecast
@@ -193,8 +194,6 @@ def rf_temp(t: Tables) -> DataFrame:
 @query("logit_rain")
 def logit_rain(t: Tables) -> DataFrame:
     """Trained on the first four fifths in time of each city, scored on the rest."""
-    from isobar.operators.series import time_split
-
     rows = time_split(_table(t), ["city"], ["ts", "event_id"])
     chosen = models.Features.fit(rows, ["humidity", "pressure", "wind_speed", "hour"])
     train = rows.filter("is_train")
@@ -232,8 +231,6 @@ def model_roundtrip(t: Tables) -> DataFrame:
 @query("cv_rain")
 def cv_rain(t: Tables) -> DataFrame:
     """Five stratified folds of the test part, scored by AUC."""
-    from isobar.operators.split import stratified_split
-
     rows = stage(_table(t), "features")
     part = stratified_split(rows, "rain_flag", "event_id").filter("is_test").drop("is_test")
     return models.rain_cross_validation(part, models.rain_features(rows), "event_id")

@@ -95,8 +95,13 @@ def write_table(
 
 
 def replace_periods(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Overwrite only the partitions present in ``df``, so a retry leaves no duplicates."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    """Overwrite only the partitions present in ``df``, so a retry leaves no duplicates.
+
+    Rows are gathered by partition first, or every task would open a file in
+    every partition; the rebalance splits a partition that is too large again.
+    """
+    gathered = df.hint("rebalance", *[F.col(c) for c in partition_by])
+    gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
 # The source names callers use and the table each one holds.
