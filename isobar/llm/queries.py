@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import mixing, simhash
+from isobar.llm import mixing, pieces, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -93,3 +94,9 @@ def op1_mix(documents: DataFrame, folder: str) -> DataFrame:
 def op2_simhash(documents: DataFrame, folder: str) -> DataFrame:
     found = simhash.near_duplicates(documents, shingle=3, distance=3)
     return found.select("doc_id", simhash.hexed(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+@query("documents")
+def op10_pieces(documents: DataFrame, folder: str) -> DataFrame:
+    made = pieces.digests(documents.sparkSession, F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
+    return documents.select("doc_id", made.alias("made")).select("doc_id", "made.*")
