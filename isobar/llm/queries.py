@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import mixing, pieces, simhash
+from isobar.llm import classifier, mixing, pieces, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -100,3 +100,15 @@ def op2_simhash(documents: DataFrame, folder: str) -> DataFrame:
 def op10_pieces(documents: DataFrame, folder: str) -> DataFrame:
     made = pieces.digests(documents.sparkSession, F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
     return documents.select("doc_id", made.alias("made")).select("doc_id", "made.*")
+
+
+#: A document counts as good from this score on.
+GOOD = 0.7
+
+
+@query("documents")
+def op4_quality(documents: DataFrame, folder: str) -> DataFrame:
+    labels = documents.sparkSession.read.parquet(f"{folder}/labels.parquet")
+    model = classifier.quality_model(documents, labels)
+    scored = documents.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), classifier.score(model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
