@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import classifier, mixing, pieces, simhash
+from isobar.llm import classifier, mixing, pieces, pii, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -112,3 +112,9 @@ def op4_quality(documents: DataFrame, folder: str) -> DataFrame:
     model = classifier.quality_model(documents, labels)
     scored = documents.select("doc_id", classifier.held_out(F.col("doc_id")).alias("held_out"), classifier.score(model, F.col("text")).alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= GOOD).cast("int"))
+
+
+@query("documents")
+def op5_pii(documents: DataFrame, folder: str) -> DataFrame:
+    weights = pii.fit(documents)
+    return documents.select("doc_id", pii.spans(F.col("text"), weights).alias("found")).select("doc_id", "found.*")
