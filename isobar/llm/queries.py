@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import classifier, mixing, pieces, pii, simhash
+from isobar.llm import classifier, mixing, pieces, pii, rules, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -118,3 +118,47 @@ def op4_quality(documents: DataFrame, folder: str) -> DataFrame:
 def op5_pii(documents: DataFrame, folder: str) -> DataFrame:
     weights = pii.fit(documents)
     return documents.select("doc_id", pii.spans(F.col("text"), weights).alias("found")).select("doc_id", "found.*")
+
+
+RULES_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         row_number() OVER () AS r
+  FROM documents),
+-- Places of three-word windows that occur twice or more in their text.
+g AS (
+  SELECT r, pos, count(*) OVER (PARTITION BY r, w[pos], w[pos + 1], w[pos + 2]) AS n
+  FROM d, unnest(range(1, len(w) - 1)) AS u(pos)),
+c AS (
+  SELECT r, count(DISTINCT pos + k) AS n_repeat_words
+  FROM g, unnest([0, 1, 2]) AS v(k) WHERE n > 1 GROUP BY r),
+l AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines
+  FROM d, unnest(string_split(t, chr(10))) AS u(line)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+         coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM d LEFT JOIN c USING (r) LEFT JOIN l USING (r))
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR word_chars < 2 * n_words
+            OR word_chars > 20 * n_words OR 5 * n_symbols > n_words OR 10 * n_dup_lines > n_words) AS kept
+FROM m"""
+
+
+@query("documents", RULES_SQL)
+def op6_rules(documents: DataFrame, folder: str) -> DataFrame:
+    rows = rules.ledger(documents.select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        rules.fails(rules.BASE).alias("base_failed"),
+        (~rules.fails(rules.STRICT)).alias("kept"),
+    )
