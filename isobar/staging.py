@@ -33,11 +33,22 @@ def new_path(spark: SparkSession, label: str) -> str:
     return f"{session_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` once and return a scan of the written files."""
+    """Write ``df`` once and return a scan of the written files.
+
+    Shuffle files of the write go at once: later reads take the written table.
+    """
     spark = df.sparkSession
     path = new_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
