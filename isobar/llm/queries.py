@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import classifier, mixing, pieces, pii, rules, simhash
+from isobar.llm import classifier, mixing, pieces, pii, rules, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -162,3 +162,8 @@ def op6_rules(documents: DataFrame, folder: str) -> DataFrame:
         rules.fails(rules.BASE).alias("base_failed"),
         (~rules.fails(rules.STRICT)).alias("kept"),
     )
+
+
+@query("documents")
+def op8_substrings(documents: DataFrame, folder: str) -> DataFrame:
+    return substrings.digests(documents)
