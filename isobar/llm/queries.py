@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import classifier, mixing, pieces, pii, rules, simhash, substrings
+from isobar.llm import classifier, mixing, pieces, pii, rules, simhash, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -167,3 +167,58 @@ def op6_rules(documents: DataFrame, folder: str) -> DataFrame:
 @query("documents")
 def op8_substrings(documents: DataFrame, folder: str) -> DataFrame:
     return substrings.digests(documents)
+
+
+TOPK_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id,
+         list_sum(list_transform(list_zip(q.x, c.x), lambda p: p[1] * p[2]))::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+  WHERE q.vec_id % 100 = 0),
+r AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank, vec_id, score FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10"""
+
+
+@query("embeddings", TOPK_SQL)
+def op7_topk(embeddings: DataFrame, folder: str) -> DataFrame:
+    return topk.nearest(embeddings, F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
+URLS_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url,
+         CASE WHEN instr(coalesce(url, ''), '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+h AS (
+  SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low
+  FROM p),
+r AS (
+  SELECT *, CASE
+    WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/en/') THEN 'example.net/en/'
+    WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/de/') THEN 'example.com/de/'
+    WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/fr/') THEN 'org/fr/'
+    WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/') THEN 'net/' END AS rule
+  FROM h)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+    WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(low, '^[a-z]+://([^/?#]*\.)?ads-track\.') THEN 'block'
+    WHEN regexp_matches(low, '^[a-z]+://[^/?#]*\bcasino\b') THEN 'block'
+    WHEN regexp_matches(low, '^[a-z]+://[^/?#]*/([^?#]*/)?login(\.html|/)?([?#]|$)') THEN 'block'
+    WHEN regexp_matches(low, '[?&;]jsessionid=') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM r"""
+
+
+@query("pages", URLS_SQL)
+def op9_urls(pages: DataFrame, folder: str) -> DataFrame:
+    rows = urls.judged(pages.select("page_id", "url"))
+    return rows.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
