@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import classifier, mixing, pieces, pii, rules, simhash, substrings, topk, urls
+from isobar.llm import chat, classifier, mixing, pieces, pii, rules, simhash, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -222,3 +222,42 @@ FROM r"""
 def op9_urls(pages: DataFrame, folder: str) -> DataFrame:
     rows = urls.judged(pages.select("page_id", "url"))
     return rows.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+#: Arguments of a request in a plain dialogue.
+REPLY: chat.Schemas = {"reply": {"text": ("string", True), "chars": ("integer", True)}}
+
+CHAT_SQL = """
+WITH m AS (
+  SELECT conv_id, turn, role, text,
+         CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
+         CASE role WHEN 'user' THEN turn WHEN 'assistant' THEN turn - 1 END AS id
+  FROM conversations),
+f AS (SELECT conv_id, id, min(turn) AS first FROM m WHERE kind = 'call' GROUP BY ALL),
+a AS (SELECT DISTINCT conv_id, id FROM m WHERE kind = 'result'),
+l AS (
+  SELECT m.*, CASE WHEN kind = 'call' THEN coalesce(a.id IS NOT NULL, false) END AS answered,
+         first, CASE WHEN kind = 'result' THEN greatest(turn, first) ELSE turn END AS position
+  FROM m LEFT JOIN f ON m.conv_id IS NOT DISTINCT FROM f.conv_id AND m.id = f.id
+         LEFT JOIN a ON m.conv_id IS NOT DISTINCT FROM a.conv_id AND m.id = a.id),
+j AS (
+  SELECT *, '{' || concat_ws(',',
+      CASE WHEN kind = 'call' THEN '"arguments":{' || concat_ws(',', '"chars":' || length(text), '"text":' || to_json(text)) || '}' END,
+      '"call_id":"' || id || '"',
+      '"kind":"' || kind || '"',
+      CASE WHEN kind = 'call' THEN '"name":"reply"' END,
+      '"role":' || to_json(role),
+      CASE WHEN kind <> 'call' THEN '"text":' || to_json(text) END,
+      '"turn":' || turn) || '}' AS json
+  FROM l)
+SELECT conv_id, turn, kind, id::VARCHAR AS call_id, json,
+       row_number() OVER (PARTITION BY conv_id ORDER BY position NULLS FIRST, list_position(['message', 'call', 'result'], kind), turn NULLS FIRST, json) - 1 AS seq,
+       CASE WHEN kind = 'call' AND answered THEN 'answered' WHEN kind = 'call' THEN 'unanswered'
+            WHEN kind = 'result' AND first IS NOT NULL THEN 'linked' WHEN kind = 'result' THEN 'orphan' END AS status,
+       CASE WHEN kind = 'call' THEN text IS NOT NULL END AS valid
+FROM j"""
+
+
+@query("conversations", CHAT_SQL)
+def op3_chat(conversations: DataFrame, folder: str) -> DataFrame:
+    return chat.formatted(chat.exchanges(conversations), REPLY).drop("problems")
