@@ -93,7 +93,8 @@ _CLEAN_STEPS = _STEPS.replace("FROM g s", "FROM f s").replace("FROM g)", "FROM f
     SELECT event_id, temperature, humidity, pressure, wind_speed, precipitation, label FROM s5""",
 )
 def clean_all(t: Tables) -> DataFrame:
-    return clean.clean(t.gappy.select("event_id", *MEASURES, "label"))
+    rows = t.gappy.select("event_id", *MEASURES, "label")
+    return clean.clean(rows, fill_columns=MEASURES, mode_columns=["label"])
 
 
 # ---- quality and summaries ---------------------------------------------------

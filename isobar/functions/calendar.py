@@ -37,10 +37,6 @@ def iso_format(moment: Column) -> Column:
     return F.date_format(moment, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
 
 
-def from_iso(text: Column) -> Column:
-    return text.try_cast("timestamp")
-
-
 def key_safe(name: Column) -> Column:
     """A name usable in a path: blanks and slashes become underscores."""
     return F.translate(name, " /", "__")

@@ -59,19 +59,21 @@ def medians(df: DataFrame, columns: list[str], *, exact_rows: int = EXACT_ROWS)
 def fill_median(df: DataFrame, columns: list[str] | None = None, *, exact_rows: int = EXACT_ROWS) -> DataFrame:
     """Fill missing numbers with the column median (default: every numeric column).
 
-    Columns without a gap are neither ranked nor changed.
+    Columns without a gap are not ranked.  A filled column keeps its type if it
+    is fractional; integers become double whether or not there is a gap, since
+    a median may lie between two of them.
     """
-    columns = incomplete(df, numeric_columns(df) if columns is None else columns)
-    middle = medians(df, columns, exact_rows=exact_rows)
+    columns = numeric_columns(df) if columns is None else columns
     types = {f.name: f.dataType for f in df.schema}
+    middle = medians(df, incomplete(df, columns), exact_rows=exact_rows)
     filled = {}
     for c in columns:
-        if c not in middle:
-            continue
-        value = F.lit(middle[c])
-        if isinstance(types[c], T.IntegralType) and float(middle[c]).is_integer():
-            value = value.cast(types[c])
-        filled[c] = F.coalesce(missing(F.col(c)) if isinstance(types[c], T.FractionalType) else F.col(c), value)
+        value = missing(F.col(c)) if isinstance(types[c], (T.FloatType, T.DoubleType)) else F.col(c)
+        kind = T.DoubleType() if isinstance(types[c], T.IntegralType) else types[c]
+        if c in middle:
+            filled[c] = F.coalesce(value.cast(kind), F.lit(middle[c]).cast(kind))
+        elif kind != types[c]:
+            filled[c] = value.cast(kind)
     return df.withColumns(filled) if filled else df
 
 
@@ -152,12 +154,21 @@ def coerce_types(df: DataFrame, columns: list[str] = MEASURES) -> DataFrame:
     return df
 
 
-def clean(df: DataFrame, *, outlier_columns: list[str] = MEASURES, exact_rows: int = EXACT_ROWS) -> DataFrame:
+def clean(
+    df: DataFrame,
+    *,
+    outlier_columns: list[str] = MEASURES,
+    fill_columns: list[str] | None = None,
+    mode_columns: list[str] | None = None,
+    exact_rows: int = EXACT_ROWS,
+) -> DataFrame:
     """Duplicates, fills, outliers and types, in that order.
 
+    ``fill_columns`` get their median, ``mode_columns`` their mode; by default
+    all numeric and all text columns, so a table with keys names its measures.
     The distinct rows are written once: the later steps take several narrow
     passes over single columns, which then skip the duplicate shuffle.
     """
     df = stage(drop_duplicates(nan_to_null(df)), "distinct")
-    df = fill_mode(fill_median(df, exact_rows=exact_rows))
+    df = fill_mode(fill_median(df, fill_columns, exact_rows=exact_rows), mode_columns)
     return coerce_types(drop_outliers(df, outlier_columns, exact_rows=exact_rows))

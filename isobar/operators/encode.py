@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from isobar.functions.weather import missing
 from isobar.operators.ordered import BLOCK_ROWS, positions
 
-MAX_LEVELS = 1000
-
-
 def label_mapping(df: DataFrame, column: str, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(column, <column>_encoded)``: sorted distinct values numbered from 0.
 
@@ -27,23 +24,38 @@ def encode_labels(df: DataFrame, column: str, mapping: DataFrame | None = None)
     return df.join(label_mapping(df, column) if mapping is None else mapping, column, "left")
 
 
-def levels(df: DataFrame, column: str, *, most: int = MAX_LEVELS) -> list:
-    """Distinct values in order; raises beyond ``most`` rather than building that many columns."""
-    rows = df.select(column).filter(F.col(column).isNotNull()).distinct().orderBy(column).limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"{column} has more than {most} levels")
-    return [r[0] for r in rows]
-
-
 def one_hot(df: DataFrame, columns: list[str], known: dict[str, list] | None = None) -> DataFrame:
-    """A 0/1 column ``<column>_<level>`` per level, all levels kept, the source dropped."""
+    """A 0/1 column ``<column>_<level>`` per level, all levels kept, the source dropped.
+
+    ``known`` names a column's levels.  Otherwise they are collected, since
+    each becomes a column of the result; a column with more levels than a
+    table should have columns belongs into ``one_hot_vector``.
+    """
     added = {}
     for c in columns:
-        for level in (known or {}).get(c) or levels(df, c):
+        found = (known or {}).get(c)
+        if found is None:
+            found = [r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct().orderBy(c).collect()]
+        for level in found:
             added[f"{c}_{level}"] = F.when(F.col(c) == level, 1).otherwise(0)
     return df.withColumns(added).drop(*columns)
 
 
+def one_hot_vector(df: DataFrame, columns: list[str], mappings: dict[str, DataFrame] | None = None) -> DataFrame:
+    """``<column>_at``: the place of the 1 among the column's sorted levels, and ``<column>_size``, the number of places.
+
+    The same information as ``one_hot`` in two numbers, for any number of
+    levels: the levels stay a table.  A value the mapping does not know has a
+    NULL place: all its places are 0.
+    """
+    for c in columns:
+        mapping = (mappings or {}).get(c)
+        mapping = label_mapping(df, c) if mapping is None else mapping
+        size = mapping.agg(F.count(F.lit(1))).scalar()
+        df = encode_labels(df, c, mapping).withColumnRenamed(f"{c}_encoded", f"{c}_at").withColumn(f"{c}_size", size)
+    return df
+
+
 def standardise(df: DataFrame, columns: list[str], *, suffix: str = "_scaled") -> DataFrame:
     """(x - mean) / population std from one aggregated pass; a constant column scales to 0."""
     value = {c: missing(F.col(c).cast("double")) for c in columns}

@@ -15,12 +15,12 @@ from functools import cached_property, reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.functions.calendar import key_safe
-from isobar.operators.columns import first_keys, last_n
+from isobar.operators.columns import last_n
 from isobar.operators.leastsquares import dot, least_squares
 from isobar.operators.metrics import regression_metrics, residual_stats
 from isobar.operators.ordered import BLOCK, BLOCK_ROWS, HALO, Series, arrange, attach, largest_group
@@ -198,7 +198,11 @@ class Forecaster:
         return series.with_frame(frame.withColumn("__z", F.when(~F.exists(whole, lambda v: v.isNull()), whole)))
 
     def estimate(self, rows: DataFrame, regressors: list[str], longest: int) -> DataFrame:
-        """Both stages; each result is one small row per series, written once."""
+        """Both stages; each result is one small row per series, written once.
+
+        A series with too few rows for the orders asked for keeps its row, with
+        NULL coefficients; it takes no part in predictions.
+        """
         o = self.orders
         series = self._inputs(rows, regressors, longest)
         first = None
@@ -212,7 +216,6 @@ class Forecaster:
                     "__w",
                     o.first_stage + len(regressors),
                     constant=o.constant,
-                    droppable=o.first_stage,
                 ),
                 "first-stage",
             )
@@ -244,17 +247,17 @@ class Forecaster:
 
     def _choice(self, fitted: Fitted) -> tuple[list[str], DataFrame, str]:
         if fitted.with_exog is not None:
-            return self.regressors, fitted.with_exog, "with_exog"
-        return [], fitted.no_exog, "no_exog"
+            return self.regressors, _solved(fitted.with_exog), "with_exog"
+        return [], _solved(fitted.no_exog), "no_exog"
 
-    def _design(self, fitted: Fitted, regressors: list[str], model: DataFrame) -> Series:
+    def _design(self, rows: DataFrame, regressors: list[str], model: DataFrame, longest: int) -> Series:
         first = model.select(*self.keys, F.col("first_stage").alias("coefficients"))
-        return self._with_innovations(self._inputs(fitted.rows, regressors, fitted.longest), first)
+        return self._with_innovations(self._inputs(rows, regressors, longest), first)
 
     def residuals(self, fitted: Fitted) -> DataFrame:
         """In-sample one-step errors of the chosen model."""
         regressors, model, _ = self._choice(fitted)
-        rows = self._training(self._design(fitted, regressors, model))
+        rows = self._training(self._design(fitted.rows, regressors, model, fitted.longest))
         row = F.concat("__z", F.array(F.lit(1.0))) if self.orders.constant else F.col("__z")
         rows = attach(rows, model.select(*self.keys, "coefficients"), self.keys)
         residual = F.col("__w") - dot(row, F.col("coefficients"))
@@ -285,7 +288,7 @@ class Forecaster:
         are 0 beyond the training part.
         """
         regressors, model, _ = self._choice(fitted)
-        series, o = self._design(fitted, regressors, model), self.orders
+        series, o = self._design(fitted.rows, regressors, model, fitted.longest), self.orders
         frame = series.frame if not series.split else series.frame.filter(~F.col(HALO))
         frame = attach(frame.filter(~F.col("is_train")), model.select(*self.keys, "coefficients"), self.keys)
         known = F.concat("__ma", "__x", F.array(F.lit(1.0))) if o.constant else F.concat("__ma", "__x")
@@ -354,39 +357,47 @@ class Forecaster:
         for c in exog:
             out |= {f"{c}_lag_{i}": value(c, i) for i in range(1, self.exog_lags + 1)}
             out |= {f"{c}_ma_{w}": mean(c, w) for w in (3, 6)}
-        return step.select(*self.keys, "step", *[v.alias(n) for n, v in out.items()])
+        made = step.select(*self.keys, "step", *[v.alias(n) for n, v in out.items()])
+        # What the buffer lacks is taken from the steps before, else after; at most ``steps`` rows per series.
+        steps_before = Window.partitionBy(*self.keys).orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+        steps_after = Window.partitionBy(*self.keys).orderBy(F.col("step").desc()).rowsBetween(Window.unboundedPreceding, 0)
+        filled = {n: F.coalesce(F.last(n, ignorenulls=True).over(steps_before), F.last(n, ignorenulls=True).over(steps_after)) for n in out}
+        return made.withColumns(filled)
 
     def forecast(
         self, fitted: Fitted, steps: int = 24, *, future: DataFrame | None = None, mode: str = "reference"
     ) -> DataFrame:
         """The next ``steps`` values with a 95 % interval.
 
-        A series whose regressor forecast is not finite falls back to the model
-        without regressors.
+        A series whose regressor forecast is not finite, or that has no model
+        with regressors, falls back to the model without; only such series are
+        fitted for it.
         """
-        plain = self._forecast(fitted, [], fitted.no_exog, None, steps)
         if fitted.with_exog is None:
+            plain = self._forecast(fitted.rows, [], _solved(fitted.no_exog), None, steps)
             return plain.withColumn("model_used", F.lit("no_exog"))
         if future is None:
             future = self.future_exog(fitted.rows, steps, mode=mode)
-        full = self._forecast(fitted, self.regressors, fitted.with_exog, future, steps)
-        names = ["prediction", "lower", "upper"]
-        full = full.withColumnsRenamed({c: f"__{c}" for c in names})
-        good = F.col("__prediction").isNotNull() & ~F.isnan("__prediction") & (F.abs("__prediction") < float("inf"))
-        both = plain.join(full, [*self.keys, "step"], "left")
-        return both.select(
-            *self.keys,
-            "step",
-            *[F.when(good, F.col(f"__{c}")).otherwise(F.col(c)).alias(c) for c in names],
-            F.when(good, "with_exog").otherwise("no_exog").alias("model_used"),
-        )
+        full = self._forecast(fitted.rows, self.regressors, _solved(fitted.with_exog), future, steps)
+        full = stage(full.withColumn("model_used", F.lit("with_exog")), "forecast")  # steps rows per series
+        good = F.col("prediction").isNotNull() & ~F.isnan("prediction") & (F.abs("prediction") < float("inf"))
+        usable = full.groupBy(*self.keys).agg(F.bool_and(good).alias("__good")).filter("__good").select(*self.keys)
+        others = fitted.rows.select(*self.keys).distinct().join(usable, self.keys, "left_anti")
+        if others.isEmpty():
+            return full
+        rows = fitted.rows.join(others, self.keys, "left_semi")
+        model = fitted.plain if fitted.plain is not None else self.estimate(rows, [], fitted.longest)
+        plain = self._forecast(rows, [], _solved(model), None, steps).withColumn("model_used", F.lit("no_exog"))
+        return full.join(usable, self.keys, "left_semi").unionByName(plain)
 
     def _forecast(
-        self, fitted: Fitted, regressors: list[str], model: DataFrame, future: DataFrame | None, steps: int
+        self, rows: DataFrame, regressors: list[str], model: DataFrame, future: DataFrame | None, steps: int
     ) -> DataFrame:
-        o = self.orders
-        series = self._design(fitted, regressors, model)
+        o, schema_of = self.orders, rows.schema
         keep = max(o.memory, len(o.difference), max(o.ma, default=0), 1)
+        # Only the end of each series matters: a fixed number of rows, whatever its length.
+        near = keep + o.depth
+        series = self._design(last_n(rows, self.keys, self.time, near), regressors, model, near)
         rows = series.rows().select(
             *self.keys, *self.time, F.col(self.target).alias("__y"), F.col("__e"), *regressors
         )
@@ -399,7 +410,7 @@ class Forecaster:
         keys, time = self.keys, self.time
         schema = T.StructType(
             [
-                *[fitted.rows.schema[k] for k in keys],
+                *[schema_of[k] for k in keys],
                 T.StructField("step", T.IntegerType()),
                 *[T.StructField(c, T.DoubleType()) for c in ("prediction", "lower", "upper")],
             ]
@@ -440,8 +451,11 @@ class Forecaster:
 
     # ---- persistence -------------------------------------------------------
 
-    def save(self, fitted: Fitted, path: str) -> None:
-        """Both model tables under path-safe model names, and one row of metadata."""
+    def save(self, fitted: Fitted, path: str, metrics: DataFrame | None = None, version: str = "1.0.0") -> None:
+        """Both model tables under path-safe model names, and one row of metadata.
+
+        ``metrics`` (such as ``evaluate``'s rows) is kept beside them.
+        """
         key = F.concat_ws("_", *[key_safe(F.col(k).cast("string")) for k in self.keys])
         for label, model in (("exog", fitted.with_exog), ("no_exog", fitted.no_exog)):
             if model is not None:
@@ -456,7 +470,15 @@ class Forecaster:
             F.array(*[F.lit(v) for v in o.seasonal]).alias("seasonal_order"),
             F.lit(o.constant).alias("constant"),
             F.lit(self.exog_lags).alias("exog_lags"),
+            F.lit(self.lag_exog).alias("lag_exog"),
+            F.lit(self.target).alias("target"),
+            F.array(*[F.lit(c) for c in self.keys]).cast("array<string>").alias("keys"),
+            F.array(*[F.lit(c) for c in self.time]).cast("array<string>").alias("time"),
+            F.lit(version).alias("version"),
+            F.current_timestamp().alias("saved_at"),
         )
+        if metrics is not None:
+            metrics.write.mode("overwrite").parquet(f"{path}/metrics")
         meta.write.mode("overwrite").parquet(f"{path}/metadata")
 
     def load(self, spark: SparkSession, path: str, rows: DataFrame) -> Fitted:
@@ -466,11 +488,20 @@ class Forecaster:
             self,
             exog=tuple(meta["exog_columns"]),
             exog_lags=meta["exog_lags"],
+            lag_exog=meta["lag_exog"],
+            target=meta["target"],
+            keys=list(meta["keys"]),
+            time=list(meta["time"]),
             orders=Orders(tuple(meta["order"]), tuple(meta["seasonal_order"]), meta["constant"]),
         )
         with_exog = spark.read.parquet(f"{path}/exog").drop("model_name") if spec.regressors else None
         no_exog = spark.read.parquet(f"{path}/no_exog").drop("model_name")
-        return Fitted(spec, rows, with_exog, largest_group(rows, self.keys), no_exog)
+        return Fitted(spec, rows, with_exog, largest_group(rows, spec.keys), no_exog)
+
+
+def _solved(model: DataFrame) -> DataFrame:
+    """The series that have a model."""
+    return model.filter(F.col("coefficients").isNotNull())
 
 
 # ---- the recurrence y_t = sum a_k y_{t-k} + drive_t ---------------------------
@@ -523,6 +554,7 @@ def _follow(rows: DataFrame, start: DataFrame, spec: Forecaster, split: bool) ->
         return o.recurrence(np.asarray(coefficients)[: len(o.ar)])
 
     if split:
+        rows = stage(rows, "drive")  # read three times below
         blocks = [*keys, "block"]
 
         def from_zero(pdf: pd.DataFrame, fit: pd.DataFrame) -> pd.DataFrame:
@@ -594,6 +626,3 @@ def single_series(
 def as_single_series(df: DataFrame) -> DataFrame:
     return df.withColumn("series", F.lit("all"))
 
-
-def first_series(df: DataFrame, spec: Forecaster, k: int = 3) -> DataFrame:
-    return first_keys(df, spec.keys[0], k)

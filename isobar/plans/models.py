@@ -58,7 +58,6 @@ TEMPERATURE_FEATURES = [
     "day_of_week",
     "month",
 ]
-SERIES_FEATURES = ["humidity", "pressure", "wind_speed"]
 RAIN_CATEGORIES = ["wind_direction"]
 TEMPERATURE_CATEGORIES = ["wind_direction", "season"]
 
@@ -112,9 +111,10 @@ def rain_forest(label: str = "rain_flag", *, trees: int = 100, depth: int = 10,
 def temperature_forest(
     label: str = "temperature", *, trees: int = 100, depth: int = 15, seed: int = SEED
 ) -> Estimator:
-    # Deep trees: keep each row's node with the row instead of shipping the trees every level.
+    # Deep trees: keep each row's node with the row instead of shipping the trees every level,
+    # and leave room for a whole level of all trees in one pass.
     return RandomForestRegressor(
-        labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed, cacheNodeIds=True
+        labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed, cacheNodeIds=True, maxMemoryInMB=1024
     )
 
 
@@ -180,20 +180,26 @@ def load(spark: SparkSession, path: str) -> tuple[Model, DataFrame]:
     return Model(PipelineModel.load(f"{path}/pipeline"), features, row["label"], row["version"]), meta
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A written copy for repeated passes, in at least as many partitions as there are cores.
+#: Partitions of a training table.  Forests draw their samples by partition, so this number, not the cluster's size, decides them.
+PARTITIONS = 16
 
-    Training reads its table many times.  Only a table too small to fill the
-    cluster is shuffled.
+
+def spread(df: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+    """A written copy for repeated passes, its rows placed and sorted by their own hash.
+
+    The same rows give the same partitions on any cluster, and so the same
+    forest.  Raise ``partitions`` with the table.
     """
     written = stage(df, "training")
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return written.repartition(cores) if written.rdd.getNumPartitions() < cores else written
+    place = F.xxhash64(*[F.col(f"`{c}`") for c in written.columns])
+    return written.withColumn("__place", place).repartition(partitions, "__place").sortWithinPartitions("__place", *[f"`{c}`" for c in written.columns]).drop("__place")
 
 
-def fit(pipeline: Pipeline, features: Features, train: DataFrame, label: str, version: str = "1.0.0") -> Model:
+def fit(
+    pipeline: Pipeline, features: Features, train: DataFrame, label: str, version: str = "1.0.0", *, partitions: int = PARTITIONS
+) -> Model:
     wanted = [*features.names, label]
-    table = spread(features.apply(train).select(*dict.fromkeys(wanted)))
+    table = spread(features.apply(train).select(*dict.fromkeys(wanted)), partitions)
     return Model(pipeline.fit(table), features, label, version)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +13,11 @@ from isobar.operators import hourly, quality
 from isobar.operators.clean import clean
 from isobar.operators.columns import canonical_hourly, first_keys, keep_keys, recent
 from isobar.operators.features import engineer, observed_at
-from isobar.operators.joins import unprocessed
+from isobar.operators.joins import mark_processed, unprocessed
 from isobar.operators.series import enough_rows
 from isobar.plans.forecast import Forecaster
 from isobar.schema import MEASURES
-from isobar.sources.tables import replace_periods
+from isobar.sources.tables import replace_rows
 from isobar.staging import stage
 
 
@@ -30,10 +31,22 @@ def hourly_rows(
     bucket: str | None = None,
     only_unprocessed: bool = False,
 ) -> DataFrame:
-    """Recent documents to stored hourly rows, one lazy plan."""
+    """Recent documents to stored hourly rows, one lazy plan.
+
+    Without ``bucket`` the recent documents are one period.  With it, every
+    hour that a recent (and, if asked, unprocessed) document falls into is
+    averaged from all of its documents up to ``now``, so a run at half past the
+    hour gives the first hour whole and the current one as far as it is known.
+    """
     due = hourly.recent_documents(documents, now, hours_back=hours_back)
     if only_unprocessed:
         due = due.filter(unprocessed(due, F.lit(0)))
+    if bucket:
+        hour = F.floor(F.col("dt") / 3600)
+        touched = due.select(hour.alias("__hour")).distinct()
+        first = F.date_trunc("hour", now - F.make_dt_interval(F.lit(0), F.lit(hours_back)))
+        known = documents.filter(F.col("dt") >= F.unix_seconds(first.cast("timestamp")))
+        due = known.withColumn("__hour", hour).join(touched, "__hour", "left_semi")
     means = hourly.coordinate_means(hourly.flatten(due), bucket=bucket)
     joined = hourly.with_city(means, city, country)
     return hourly.hourly_fact(joined, None if bucket else now)
@@ -48,23 +61,37 @@ def run_hourly(
     *,
     hours_back: int = 1,
     bucket: str | None = None,
+    only_unprocessed: bool = False,
+    marked: str | None = None,
 ) -> DataFrame:
-    """Aggregate and store; a retry replaces the same hour.  Returns the run's report.
+    """Aggregate and store; a retry replaces its own (city, date, hour) rows.  Returns the run's report.
 
     The rows are staged once, so counting and writing do not rescan documents.
+    ``marked`` names a folder for the snapshot of ``documents`` with the
+    recent ones marked as processed.
     """
     began = time.monotonic()
-    rows = stage(hourly_rows(documents, city, country, now, hours_back=hours_back, bucket=bucket), "hourly")
-    replace_periods(rows, target, ["Date", "Hour"])
+    made = hourly_rows(documents, city, country, now, hours_back=hours_back, bucket=bucket, only_unprocessed=only_unprocessed)
+    rows = stage(made, "hourly")
+    replace_rows(rows, target, ["Date", "Hour"], ["idCity"])
+    if marked:
+        since = F.unix_seconds(now.cast("timestamp")) - hours_back * 3600
+        mark_processed(documents, since, now).write.mode("overwrite").parquet(marked)
     return quality.stage_report({"aggregation": rows}, {"aggregation": time.monotonic() - began})
 
 
 def prepare_observations(
     stored: DataFrame, *, outlier_columns: list[str] = MEASURES
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(canonical, cleaned, with features): the modelling table and its two earlier stages."""
+    """(canonical, cleaned, with features): the modelling table and its two earlier stages.
+
+    Only measures are filled.  A row without its city, date or hour belongs to
+    no series and is left out of the cleaned table; ``raw`` still has it.
+    """
     raw = canonical_hourly(stored)
-    cleaned = stage(clean(raw, outlier_columns=outlier_columns), "clean")
+    keyed = raw.na.drop(subset=[c for c in ("city_id", "date", "hour") if c in raw.columns])
+    measures = [c for c in MEASURES + ["feelslike", "clouds"] if c in raw.columns]
+    cleaned = stage(clean(keyed, outlier_columns=outlier_columns, fill_columns=measures, mode_columns=[]), "clean")
     return raw, cleaned, observed_at(engineer(cleaned))
 
 
@@ -91,10 +118,9 @@ def train_and_forecast(
     prepared = stage(spec.split(spec.prepare(rows)), "prepared")
     fitted = spec.fit(prepared)
     evaluation = stage(spec.evaluate(fitted), "evaluation")
-    whole = prepared.drop("is_train")
-    final = spec.fit(whole) if refit else replace(fitted, rows=whole, plain=fitted.no_exog)
-    chosen = first_keys(whole, spec.keys[0], first)
-    forecast = spec.forecast(replace(final, rows=chosen), steps)
+    # Only the series that are forecast are fitted again.
+    chosen = first_keys(prepared.drop("is_train"), spec.keys[0], first)
+    forecast = spec.forecast(spec.fit(chosen) if refit else replace(fitted, rows=chosen), steps)
     return {
         "rows": rows,
         "evaluation": evaluation,
@@ -104,5 +130,37 @@ def train_and_forecast(
     }
 
 
-def final_report(stages: dict[str, DataFrame], seconds: dict[str, float] | None = None) -> DataFrame:
-    return quality.stage_report(stages, seconds)
+def final_report(
+    stages: dict[str, DataFrame],
+    seconds: dict[str, float] | None = None,
+    *,
+    score: DataFrame | None = None,
+    evaluation: DataFrame | None = None,
+    forecast: DataFrame | None = None,
+    keys: list[str] = ("city_id",),
+) -> DataFrame:
+    """The run in rows ``(section, name, item, value)``.
+
+    Record counts and durations per stage, the quality score (``completeness_score`` of a
+    one-row table), mean MAE, RMSE and R2 over the series, and each
+    series' forecast range.
+    """
+    report = quality.stage_report(stages, seconds)
+    parts = [
+        report.select(F.lit("stage").alias("section"), F.col("stage").alias("name"), F.inline(_items(report, ["records", "seconds"])))
+    ]
+    if score is not None:
+        parts.append(score.select(F.lit("quality").alias("section"), F.lit("all").alias("name"), F.inline(_items(score, score.columns))))
+    if evaluation is not None:
+        means = quality.mean_metrics(evaluation)
+        parts.append(means.select(F.lit("model").alias("section"), F.lit("all").alias("name"), F.inline(_items(means, means.columns))))
+    if forecast is not None:
+        ranges = quality.forecast_summary(forecast, list(keys))
+        name = F.concat_ws("|", *[F.col(k).cast("string") for k in keys])
+        wanted = ["next_avg", "min_predicted", "max_predicted"]
+        parts.append(ranges.select(F.lit("forecast").alias("section"), name.alias("name"), F.inline(_items(ranges, wanted))))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _items(df: DataFrame, columns: list[str]) -> Column:
+    return F.array(*[F.struct(F.lit(c).alias("item"), F.col(c).cast("double").alias("value")) for c in columns])

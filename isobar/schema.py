@@ -47,24 +47,6 @@ CITY = T.StructType(
     ]
 )
 
-# The cleaned hourly fact every later step reads.
-OBSERVATION = T.StructType(
-    [
-        T.StructField("city_id", T.LongType()),
-        T.StructField("date", T.DateType()),
-        T.StructField("hour", T.IntegerType()),
-        T.StructField("temperature", _D),
-        T.StructField("feelslike", _D),
-        T.StructField("clouds", _D),
-        T.StructField("precipitation", _D),
-        T.StructField("wind_speed", _D),
-        T.StructField("pressure", _D),
-        T.StructField("humidity", _D),
-        T.StructField("measurement_count", T.LongType()),
-        T.StructField("created_at", T.TimestampType()),
-    ]
-)
-
 # Columns and types of the reading table a sink accepts.
 READING = T.StructType(
     [

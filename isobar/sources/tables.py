@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from isobar.staging import stage
+
 
 @dataclass(frozen=True)
 class Database:
@@ -59,13 +61,6 @@ def read_query(
     return spark.sql(sql, args=params or {})
 
 
-def read_remote_query(
-    spark: SparkSession, query: str, db: Database, slices: Slices | None = None
-) -> DataFrame:
-    """A SELECT the database itself evaluates."""
-    return jdbc_reader(spark, db, f"({query}) AS q", slices).load()
-
-
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Only the schema's columns, in its order and types; bad times become NULL."""
     return df.select(
@@ -76,6 +71,10 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     )
 
 
+# What to do with a table that is already there, and Spark's name for it.
+WRITE_MODES = {"append": "append", "replace": "overwrite", "fail": "errorifexists", "ignore": "ignore"}
+
+
 def write_table(
     df: DataFrame,
     target: str,
@@ -85,8 +84,14 @@ def write_table(
     db: Database | None = None,
     partition_by: list[str] = (),
 ) -> None:
-    """Project to ``schema`` and write to a parquet path, or to a JDBC table."""
-    mode = "append" if if_exists == "append" else "overwrite"
+    """Project to ``schema`` and write to a parquet path, or to a JDBC table.
+
+    ``if_exists`` is one of ``WRITE_MODES``; anything else is an error, so that
+    a typing mistake never replaces a table.
+    """
+    if if_exists not in WRITE_MODES:
+        raise ValueError(f"if_exists is one of {', '.join(WRITE_MODES)}, not {if_exists!r}")
+    mode = WRITE_MODES[if_exists]
     out = typed(df, schema) if schema is not None else df
     if db is not None:
         out.write.mode(mode).jdbc(db.url, target, properties=db.properties)
@@ -104,6 +109,28 @@ def replace_periods(df: DataFrame, path: str, partition_by: list[str]) -> None:
     gathered.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)
+
+
+def replace_rows(df: DataFrame, path: str, partition_by: list[str], keys: list[str]) -> None:
+    """Replace the stored rows that agree with one of ``df`` in ``partition_by`` and ``keys``; all others stay.
+
+    Only the partitions that ``df`` touches are read and written again.  A task
+    that fails leaves the old files, and a retry gives the same rows.
+    """
+    spark = df.sparkSession
+    if exists(spark, path):
+        stored = spark.read.schema(df.schema).parquet(path)
+        touched = df.select(*partition_by).distinct()
+        mine = df.select(*partition_by, *keys).distinct()
+        others = stored.join(touched, partition_by, "left_semi").join(mine, [*partition_by, *keys], "left_anti")
+        # Written first: the files that are read are about to be replaced.
+        df = stage(df.unionByName(others), "merged")
+    replace_periods(df, path, partition_by)
+
+
 # The source names callers use and the table each one holds.
 SOURCE_TABLES = {"iot_weather_db": "weather_hour", "weather_db": "weather_data"}
 

@@ -57,8 +57,13 @@ def test_one_hot_and_scaling(spark):
     df = spark.createDataFrame([("a", 1.0, 5.0), ("b", 3.0, 5.0), (None, 5.0, 5.0)], "k string, v double, c double")
     rows = encode.one_hot(df, ["k"]).collect()
     assert [(r.k_a, r.k_b) for r in rows] == [(1, 0), (0, 1), (0, 0)]
-    with pytest.raises(ValueError):
-        encode.levels(df, "k", most=1)
+    assert encode.one_hot(df, ["k"], {"k": ["b"]}).columns == ["v", "c", "k_b"]
+    wide = spark.range(3000).selectExpr("concat('x', id) as k")
+    assert len(encode.one_hot(wide, ["k"]).columns) == 3000
+    sparse = encode.one_hot_vector(wide, ["k"])
+    assert sparse.select("k_at").distinct().count() == 3000 and sparse.first().k_size == 3000
+    known = {"k": encode.label_mapping(df, "k")}
+    assert [(r.k_at, r.k_size) for r in encode.one_hot_vector(df, ["k"], known).orderBy("v").collect()] == [(0, 2), (1, 2), (None, 2)]
     scaled = encode.standardise(df, ["v", "c"]).collect()
     assert [r.v_scaled for r in scaled] == pytest.approx(((np.array([1, 3, 5]) - 3) / np.std([1, 3, 5])).tolist())
     assert {r.c_scaled for r in scaled} == {0.0}

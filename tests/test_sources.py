@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from isobar import schema
 from isobar.operators import hourly, joins
 from isobar.operators.columns import METRIC_NAMES, IMPERIAL, canonical_hourly, metric_only
-from isobar.plans.runs import run_hourly
+from isobar.plans.runs import prepare_observations, run_hourly
 from isobar.sources import files, landing, tables
 
 NOW = 1_700_003_600  # 2023-11-14 23:13:20 UTC
@@ -87,6 +87,68 @@ def test_run_is_repeatable(spark, landed, clock, places, tmp_path):
     assert (str(row.date), row.hour) == ("2023-11-14", 22)
 
 
+def test_overlapping_runs_keep_every_reading(spark, places, tmp_path):
+    """A reading every five minutes, runs at half past: no hour loses its first half."""
+    start = 1_700_002_800  # 2023-11-14 23:00
+    lines = [document(start + 300 * i, 10.0, 20.0, float(i)) for i in range(40)]
+    (tmp_path / "five.json").write_text("\n".join(lines))
+    docs, target = files.read_documents(spark, str(tmp_path / "five.json")), str(tmp_path / "fact")
+    for minute in (30, 90, 150, 210):
+        known = docs.filter(F.col("dt") <= start + 60 * minute)
+        run_hourly(known, *places, F.timestamp_seconds(F.lit(start + 60 * minute)), target, bucket="1 hour")
+    stored = {(r.Date.isoformat(), r.Hour): r for r in spark.read.parquet(target).filter("idCity = 1").collect()}
+    counts = {k: r.measurement_count for k, r in stored.items()}
+    assert counts == {("2023-11-14", 23): 12, ("2023-11-15", 0): 12, ("2023-11-15", 1): 12, ("2023-11-15", 2): 4}
+    assert stored["2023-11-15", 0].Temp == 17.5
+
+
+def test_a_run_for_some_cities_leaves_the_others(spark, landed, clock, places, tmp_path):
+    docs, target = files.read_documents(spark, landed), str(tmp_path / "fact")
+    run_hourly(docs, *places, clock, target)
+    run_hourly(docs, places[0].filter("city_id = 3"), places[1], clock, target)
+    assert sorted(r.idCity for r in spark.read.parquet(target).collect()) == [1, 2, 3]
+
+
+def test_unprocessed_hours_are_made_whole_and_marked(spark, places, tmp_path):
+    start = 1_700_002_800
+    lines = [document(start + 600 * i, 10.0, 20.0, float(i), processed=i < 3) for i in range(9)]
+    (tmp_path / "d.json").write_text("\n".join(lines))
+    docs = files.read_documents(spark, str(tmp_path / "d.json"))
+    target, marked = str(tmp_path / "fact"), str(tmp_path / "marked")
+    now = F.timestamp_seconds(F.lit(start + 5400))
+    run_hourly(docs, *places, now, target, hours_back=2, bucket="1 hour", only_unprocessed=True, marked=marked)
+    counts = {r.Hour: r.measurement_count for r in spark.read.parquet(target).filter("idCity = 1").collect()}
+    assert counts == {23: 6, 0: 3}
+    snapshot = spark.read.parquet(marked)
+    assert snapshot.count() == 9 and snapshot.filter("processed").count() == 9 and snapshot.filter("processed_at is not null").count() == 6
+    again = str(tmp_path / "again")
+    run_hourly(snapshot, *places, now, again, hours_back=2, bucket="1 hour", only_unprocessed=True)
+    assert spark.read.schema(spark.read.parquet(target).schema).parquet(again).count() == 0
+
+
+def test_write_modes(spark, tmp_path):
+    df, path = spark.range(2), str(tmp_path / "w")
+    tables.write_table(df, path, if_exists="fail")
+    for mode in ("replce", "overwrite", ""):
+        with pytest.raises(ValueError):
+            tables.write_table(df.limit(0), path, if_exists=mode)
+    tables.write_table(df.limit(0), path, if_exists="ignore")
+    with pytest.raises(Exception, match="exists"):
+        tables.write_table(df, path, if_exists="fail")
+    assert spark.read.parquet(path).count() == 2
+
+
+def test_prepared_observations_invent_no_city(spark):
+    rows = [(1 if i % 2 else 3, "2024-01-01", i % 24, 20.0 + i % 5, 0.0, 1.0, 50.0, 1013.0, 60.0) for i in range(80)]
+    rows += [(None, "2024-01-01", 5, 20.0, 0.0, 1.0, 50.0, 1013.0, 60.0)] * 3 + [(1, "2024-01-02", 1, None, 0.0, 1.0, 50.0, 1013.0, 60.0)]
+    stored = spark.createDataFrame(rows, "idCity long, Date string, Hour int, Temp double, Rain double, Wind double, Clouds double, Pressure double, Humidity double")
+    stored = stored.withColumn("Date", F.to_date("Date"))
+    raw, cleaned, table = prepare_observations(stored)
+    assert raw.filter("city_id is null").count() == 3
+    assert {r.city_id for r in cleaned.select("city_id").distinct().collect()} == {1, 3}
+    assert dict(cleaned.dtypes)["city_id"] == "bigint" and table.count() == cleaned.count()
+
+
 def test_landing_counts_and_stamp(spark, landed, places, clock):
     docs = files.read_documents(spark, landed)
     saved = F.coalesce(F.col("dt") > NOW - 3600, F.lit(False))
