@@ -1,8 +1,8 @@
 """SentencePiece BPE by vectorised merge rounds, and its decoding.
 
-A batch of texts is cut into words: a piece holds the space mark only at its
-front, so no merge crosses from another character to a space mark.  Each
-distinct word is encoded once.  The symbols of all new words lie in one flat
+A batch of texts is cut into words where no merge can cross: a piece holds the
+space mark only at its front, and some marks never follow a letter inside a
+piece.  Each distinct word is encoded once.  The symbols of all new words lie in one flat
 array; a round looks up the rank of every neighbouring pair, takes the minimum
 per word, merges that pair at all its places from the left at once, and
 compacts, until no word has a pair left.
@@ -28,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from isobar.llm.text import text_udf
+
 MARK = "▁"
 NEVER = np.int64(1) << 40
 LONG_WORD = 2000
 CHARS_AT_ONCE = 1_000_000
-WORDS_KEPT = 200_000
+WORDS_KEPT = 300_000
 
 
 @dataclass
@@ -111,6 +113,12 @@ def vocabulary(path: str) -> Vocabulary:
             surface.append(b"" if model.is_control(i) else p.replace(MARK, " ").encode())
     alone = "".join(c for c in "\n\r\t" if not any(c in p and len(p) > 1 for p in normal))
     cut = all(MARK not in p.lstrip(MARK) for p in normal)
+    # Characters that follow none but each other inside pieces: a word may end before them.
+    pairs_in = {p[k : k + 2] for p in normal for k in range(len(p) - 1)}
+    heads = {chr(c) for c in range(33, 127) if not chr(c).isalnum()}
+    while any(q[1] in heads and q[0] not in heads and q[0] != MARK for q in pairs_in):
+        heads -= {q[1] for q in pairs_in if q[0] not in heads and q[0] != MARK}
+    head = re.escape("".join(sorted(heads)))
     return Vocabulary(
         keys=np.ascontiguousarray(table[:, 0]),
         rank=np.ascontiguousarray(table[:, 1]),
@@ -124,7 +132,10 @@ def vocabulary(path: str) -> Vocabulary:
         is_byte=np.array([model.is_byte(i) for i in range(size)]),
         bos=model.bos_id(),
         eos=model.eos_id(),
-        splitter=f"{MARK}+[^{MARK}{alone}]*|[^{MARK}{alone}]+" + (f"|[{alone}]" if alone else "") if cut else "(?s).+",
+        splitter="(?s).+" if not cut else "|".join(
+            ([f"{MARK}*[^{MARK}{alone}{head}]+", f"{MARK}*[{head}][^{MARK}{alone}]*", f"{MARK}+"] if heads else [f"{MARK}+[^{MARK}{alone}]*", f"[^{MARK}{alone}]+"])
+            + ([f"[{alone}]"] if alone else [])
+        ),
         dummy_prefix=norm.add_dummy_prefix,
         marked=np.array([p.startswith(MARK) and not special[i] for i, p in enumerate(pieces)]),
     )
@@ -187,26 +198,33 @@ class Encoder:
 
     def merged(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The symbols of words after all merges, flat, and how many each word has."""
-        done: dict[int, np.ndarray] = {}
+        out: list[tuple[np.ndarray, np.ndarray]] = []  # (word, symbol) of finished words
+
+        def alone(w: int, own: np.ndarray) -> None:
+            left = np.array(self.one_by_one(own.tolist()), np.int64)
+            out.append((np.full(len(left), w), left))
+
         word = np.repeat(np.arange(len(sizes)), sizes)
-        aside = sizes > LONG_WORD
         edges = np.concatenate(([0], np.cumsum(sizes)))
-        for w in np.flatnonzero(aside):
-            done[w] = np.array(self.one_by_one(symbols[edges[w] : edges[w + 1]].tolist()), np.int64)
-        keep = ~aside[word]
+        for w in np.flatnonzero(sizes > LONG_WORD):
+            alone(w, symbols[edges[w] : edges[w + 1]])
+        keep = sizes[word] <= LONG_WORD
         symbols, word = symbols[keep], word[keep]
+        rank, made = np.full(len(symbols), NEVER), np.full(len(symbols), -1, np.int64)
+        stale = np.arange(len(symbols))  # places whose pair with the next symbol is to be looked up
         while len(symbols):
-            rank, made = np.full(len(symbols), NEVER), np.full(len(symbols), -1, np.int64)
-            inner = np.flatnonzero(word[1:] == word[:-1])
-            rank[inner], made[inner] = self.looked_up(symbols[inner], symbols[inner + 1])
+            stale = stale[stale < len(symbols) - 1]
+            paired = word[stale] == word[stale + 1]
+            rank[stale] = NEVER
+            stale = stale[paired]
+            rank[stale], made[stale] = self.looked_up(symbols[stale], symbols[stale + 1])
+            rank[-1] = NEVER
             starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
             counts = np.diff(np.append(starts, len(symbols)))
             least = np.minimum.reduceat(rank, starts)
             ended = np.repeat(least == NEVER, counts)
             if ended.any():
-                for w, s, c in zip(word[starts], starts, counts):
-                    if ended[s]:
-                        done[w] = symbols[s : s + c]
+                out.append((word[ended], symbols[ended]))
                 symbols, word, rank, made = symbols[~ended], word[~ended], rank[~ended], made[~ended]
                 if not len(symbols):
                     break
@@ -222,16 +240,22 @@ class Encoder:
             places = np.flatnonzero(chosen)
             many = np.repeat(np.add.reduceat(chosen, starts, dtype=np.int64) > 1, counts)
             risky = self.early(symbols, word, made, chosen, places[many[places]], rank) if many.any() else places[:0]
-            new = np.where(chosen, made, symbols)
             gone = np.concatenate(([False], chosen[:-1]))
+            symbols = np.where(chosen, made, symbols) if not len(risky) else symbols
             if len(risky):
-                slow = np.isin(word, word[risky])
                 for w in np.unique(word[risky]):
-                    done[w] = np.array(self.one_by_one(symbols[word == w].tolist()), np.int64)
-                gone |= slow
-            symbols, word = new[~gone], word[~gone]
-        lengths = np.array([len(done[w]) for w in range(len(sizes))], np.int64)
-        return (np.concatenate([done[w] for w in range(len(sizes))]) if len(sizes) else np.empty(0, np.int64)), lengths
+                    alone(w, symbols[word == w])
+                gone |= np.isin(word, word[risky])
+                symbols = np.where(chosen, made, symbols)
+            kept = ~gone
+            place = np.cumsum(kept) - 1
+            changed = place[chosen & kept]
+            symbols, word, rank, made = symbols[kept], word[kept], rank[kept], made[kept]
+            stale = np.concatenate((changed, changed[changed > 0] - 1))
+        words = np.concatenate([w for w, _ in out]) if out else np.empty(0, np.int64)
+        order = np.argsort(words, kind="stable")
+        flat = np.concatenate([x for _, x in out])[order] if out else np.empty(0, np.int64)
+        return flat, np.bincount(words, minlength=len(sizes))
 
     def early(self, symbols, word, made, chosen, places, rank) -> np.ndarray:
         """Of ``places``, those where the new symbol would make a pair that comes no later than the merge itself."""
@@ -259,19 +283,16 @@ class Encoder:
         symbols, lengths = self.merged(self.symbol_of[points], np.array([len(w) for w in new], np.int64))
         known = symbols < v.symbols
         ids = np.where(known, v.piece_id[np.where(known, symbols, 0)], -1)
-        if (ids < 0).any():  # characters without a piece become bytes
-            word = np.repeat(np.arange(len(new)), lengths)
-            out, owner = [], []
-            for s, i, w in zip(symbols.tolist(), ids.tolist(), word.tolist()):
-                if i >= 0:
-                    out.append(i)
-                    owner.append(w)
-                else:
-                    point = int(v.codepoint[s]) if s < v.symbols else s - v.symbols
-                    coded = [int(v.byte_id[b]) for b in chr(point).encode("utf-8", "surrogatepass")]
-                    out += coded
-                    owner += [w] * len(coded)
-            ids, lengths = np.array(out, np.int64), np.bincount(owner, minlength=len(new))
+        odd = np.flatnonzero(ids < 0)  # characters without a piece become bytes
+        if len(odd):
+            points = [int(v.codepoint[x]) if x < v.symbols else x - v.symbols for x in symbols[odd].tolist()]
+            coded = [chr(x).encode("utf-8", "surrogatepass") for x in points]
+            repeats = np.ones(len(ids), np.int64)
+            repeats[odd] = [len(c) for c in coded]
+            word = np.repeat(np.repeat(np.arange(len(new)), lengths), repeats)
+            ids = np.repeat(ids, repeats)
+            ids[ids < 0] = v.byte_id[np.frombuffer(b"".join(coded), np.uint8)]
+            lengths = np.bincount(word, minlength=len(new))
         self.slots |= {w: len(self.edges) - 1 + n for n, w in enumerate(new)}
         self.flat = np.concatenate((self.flat, ids))
         self.edges = np.concatenate((self.edges, self.edges[-1] + np.cumsum(lengths)))
@@ -356,7 +377,7 @@ def encode(spark: SparkSession, text: Column, path: str, *, ends: bool = True) -
             flat = np.concatenate(ids) if ids else np.empty(0, np.int32)
             yield pa.ListArray.from_arrays(pa.array(edges), pa.array(flat))
 
-    return F.arrow_udf(_streamed(run), "array<int>")(text)
+    return text_udf(_streamed(run), "array<int>")(text)
 
 
 def decode(spark: SparkSession, ids: Column, path: str) -> Column:
@@ -367,7 +388,7 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
         for lists in batches:
             yield pa.array([decoded(shared.value, np.array(x or [], np.int64)) for x in lists.to_pylist()], pa.string())
 
-    return F.arrow_udf(_streamed(run), "string")(ids)
+    return text_udf(_streamed(run), "string")(ids)
 
 
 def digests(spark: SparkSession, text: Column, path: str) -> Column:
@@ -385,7 +406,7 @@ def digests(spark: SparkSession, text: Column, path: str) -> Column:
                 plain.append(hashlib.sha256(decoded(encoder.vocab, whole).encode("utf-8", "surrogatepass")).hexdigest())
             yield pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(coded, pa.string()), pa.array(plain, pa.string())], ["n_tokens", "ids_sha256", "decoded_sha256"])
 
-    return F.arrow_udf(_streamed(run), "n_tokens long, ids_sha256 string, decoded_sha256 string")(text)
+    return text_udf(_streamed(run), "n_tokens long, ids_sha256 string, decoded_sha256 string")(text)
 
 
 def _streamed(run):
