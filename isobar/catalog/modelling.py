@@ -5,10 +5,10 @@ from pyspark.sql import functions as F
 
 from isobar.catalog import HOURLY, READINGS, Tables, query
 from isobar.operators import features, metrics, quality
-from isobar.operators.encode import encode_labels, label_mapping
+from isobar.operators.encode import encode_labels, label_mapping, one_hot
 from isobar.operators.leastsquares import least_squares
-from isobar.operators.series import time_split
-from isobar.operators.split import plain_split, stratified_split, with_folds, with_stratified_folds
+from isobar.operators.series import lagged, time_split
+from isobar.operators.split import portable_share, with_folds, with_stratified_folds
 from isobar.plans import models
 from isobar.plans.forecast import Forecaster, Orders, as_single_series, single_series
 from isobar.plans.runs import train_and_forecast
@@ -178,70 +178,122 @@ def temperature_features(t: Tables) -> DataFrame:
     )
 
 
-@query("rf_rain")
+# What a forest gives depends on its draws; the twins compare what must hold for any:
+# every row scored once, scores in range, classes as the scores say, sizes and totals of the parts.
+_LABELLED = f"""{READINGS}, t AS (SELECT event_id, CASE WHEN precipitation > 0 THEN 1 ELSE 0 END AS rain_flag FROM r)"""
+_TEST_SIZES = """n AS (SELECT rain_flag, CAST(floor(0.2::DOUBLE * count(*)) AS BIGINT) AS n FROM t GROUP BY 1)"""
+
+
+@query(
+    "rf_rain",
+    f"""WITH {_LABELLED}, {_TEST_SIZES}
+    SELECT sum(n) FILTER (rain_flag = 1) AS wet, sum(n) FILTER (rain_flag = 0) AS dry, true AS informative FROM n""",
+)
 def rf_rain(t: Tables) -> DataFrame:
-    """Forest trained on four fifths of every class; scores of the rest."""
+    """Forest trained on four fifths of every class; class totals of the rest and whether its scores tell wet from dry."""
     _, scored = models.train_rain(stage(_table(t), "features"), "event_id")
-    return models.classifier_report(scored, "rain_flag")
+    report = models.classifier_report(scored, "rain_flag")
+    right = F.col("auc").between(0.5, 1) & F.col("accuracy").between(0.5, 1)
+    return report.select((F.col("tp") + F.col("fn")).alias("wet"), (F.col("tn") + F.col("fp")).alias("dry"), right.alias("informative"))
 
 
-@query("rf_temp")
+@query(
+    "rf_temp",
+    """SELECT count(*) AS n, true AS informative FROM events
+       WHERE floor((event_id % 2147483648) * 2654435761 % 4294967296 / 4294967296.0::DOUBLE * 100) < 20""",
+)
 def rf_temp(t: Tables) -> DataFrame:
-    _, scored = models.train_temperature(stage(_table(t), "features"), "event_id")
-    return metrics.regression_metrics(scored, "temperature", "prediction")
+    """Errors on a fifth of the rows: their number and whether the forest beats the mean."""
+    _, scored = models.train_temperature(stage(_table(t), "features"), "event_id", share=portable_share("event_id"))
+    report = metrics.regression_metrics(scored, "temperature", "prediction")
+    return report.select("n", (F.col("r2").between(0, 1) & (F.col("mae") <= F.col("rmse"))).alias("informative"))
 
 
-@query("logit_rain")
+@query(
+    "logit_rain",
+    f"""WITH {READINGS},
+    s AS (SELECT CASE WHEN precipitation > 0 THEN 1 ELSE 0 END AS rain_flag,
+                 row_number() OVER (PARTITION BY city ORDER BY ts, event_id) > floor(0.8::DOUBLE * count(*) OVER (PARTITION BY city)) AS held
+          FROM r)
+    SELECT count(*) FILTER (rain_flag = 1) AS wet, count(*) FILTER (rain_flag = 0) AS dry, true AS in_range FROM s WHERE held""",
+)
 def logit_rain(t: Tables) -> DataFrame:
-    """Trained on the first four fifths in time of each city, scored on the rest."""
-    rows = time_split(_table(t), ["city"], ["ts", "event_id"])
-    chosen = models.Features.fit(rows, ["humidity", "pressure", "wind_speed", "hour"])
-    train = rows.filter("is_train")
-    model = models.fit(models.rain_logit(chosen, train.count()), chosen, train, "rain_flag")
-    scored = model.score(rows.filter("not is_train"))
-    return models.classifier_report(scored, "rain_flag")
+    """Lags 1 to 6 of the target's companions and one-hot wind, trained on the first four fifths in time of each city."""
+    rows = _table(t)
+    rows = lagged(rows, ["city"], ["ts", "event_id"], ["humidity", "pressure"], lags=6)
+    rows = one_hot(rows, ["wind_direction"], {"wind_direction": list("ENSW")})
+    lags = [f"{c}_lag_{k}" for c in ("humidity", "pressure") for k in range(1, 7)]
+    rows = time_split(rows, ["city"], ["ts", "event_id"]).na.fill(0.0, subset=lags)
+    chosen = models.Features.fit(rows, ["wind_speed", "hour", *lags, *[f"wind_direction_{c}" for c in "ENSW"]])
+    train = stage(rows, "logit")
+    model = models.fit(models.rain_logit(chosen, train.filter("is_train").count()), chosen, train.filter("is_train"), "rain_flag")
+    scored = model.score(train.filter("not is_train"))
+    report = models.classifier_report(scored, "rain_flag")
+    return report.select(
+        (F.col("tp") + F.col("fn")).alias("wet"), (F.col("tn") + F.col("fp")).alias("dry"), F.col("auc").between(0, 1).alias("in_range")
+    )
 
 
-@query("score")
+@query("score", "SELECT event_id, true AS in_range, true AS agrees FROM events")
 def score(t: Tables) -> DataFrame:
     """Class and probability for every reading, from a model trained on all of them."""
     rows = stage(_table(t), "features")
     chosen = models.rain_features(rows)
     model = models.fit(models.scaled(chosen, models.rain_forest()), chosen, rows, "rain_flag")
-    return model.score(rows).select("event_id", "prediction", "probability")
+    share = F.col("probability")
+    agrees = (F.col("prediction") == 1) == (share > 0.5)
+    return model.score(rows).select("event_id", share.between(0, 1).alias("in_range"), agrees.alias("agrees"))
 
 
-@query("importance")
+@query("importance", "SELECT 10 AS listed, 1.0 AS total, true AS falling FROM region LIMIT 1")
 def importance(t: Tables) -> DataFrame:
+    """The ten strongest features: listed, falling, and all features together weigh 1."""
     model, _ = models.train_rain(stage(_table(t), "features"), "event_id")
-    return model.importance(k=10)
+    weights = [r.importance for r in model.importance(k=10).collect()]  # ten rows
+    every = model.importance().agg(F.round(F.sum("importance"), 6).alias("total"))
+    return every.select(F.lit(len(weights)).alias("listed"), "total", F.lit(weights == sorted(weights, reverse=True)).alias("falling"))
 
 
-@query("model_roundtrip")
+@query("model_roundtrip", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS changed, '1.0.0' AS version FROM events")
 def model_roundtrip(t: Tables) -> DataFrame:
-    """Train, save, load, and score with the loaded model."""
-    model, scored = models.train_rain(stage(_table(t), "features"), "event_id")
+    """Train, save, load, and score every reading with both: none differs."""
+    rows = stage(_table(t), "features")
+    model, scored = models.train_rain(rows, "event_id")
     path = new_path(t.spark, "model")
     model.save(path, models.classifier_report(scored, "rain_flag"))
     loaded, meta = models.load(t.spark, path)
-    out = loaded.score(_table(t)).groupBy("prediction").agg(F.count("*").alias("n"))
+    before = model.score(rows).select("event_id", F.col("probability").alias("before"))
+    both = loaded.score(rows).select("event_id", "probability").join(before, "event_id", "full")
+    out = both.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("probability").eqNullSafe(F.col("before"))).alias("changed"))
     return out.withColumn("version", meta.select("version").scalar())
 
 
-@query("cv_rain")
+@query(
+    "cv_rain",
+    f"""WITH {_LABELLED}, n AS (SELECT rain_flag, count(*) AS n FROM t GROUP BY 1), k AS (SELECT unnest(range(5)) AS fold)
+    SELECT CAST(fold AS INTEGER) AS fold, CAST(sum(n // 5 + CASE WHEN fold < n % 5 THEN 1 ELSE 0 END) AS BIGINT) AS n, true AS in_range FROM n, k GROUP BY 1""",
+)
 def cv_rain(t: Tables) -> DataFrame:
-    """Five stratified folds of the test part, scored by AUC."""
+    """Five stratified folds of all rows, scored by AUC."""
     rows = stage(_table(t), "features")
-    part = stratified_split(rows, "rain_flag", "event_id").filter("is_test").drop("is_test")
-    return models.rain_cross_validation(part, models.rain_features(rows), "event_id")
+    result = models.rain_cross_validation(rows, models.rain_features(rows), "event_id").first()
+    marked = with_stratified_folds(rows, "rain_flag", "event_id")
+    return marked.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).withColumn("in_range", F.lit(0.5 < result.cv_mean <= 1 and result.cv_std >= 0))
 
 
-@query("cv_temp")
+@query(
+    "cv_temp",
+    """SELECT CAST(floor((event_id % 2147483648) * 2654435761 % 4294967296 / 4294967296.0::DOUBLE * 5) AS INTEGER) AS fold,
+              count(*) AS n, true AS in_range FROM events GROUP BY 1""",
+)
 def cv_temp(t: Tables) -> DataFrame:
-    """Five plain folds of the test part, scored by mean absolute error."""
+    """Five plain folds of all rows, scored by mean absolute error."""
     rows = stage(_table(t), "features")
-    part = plain_split(rows, "event_id").filter("is_test").drop("is_test")
-    return models.temperature_cross_validation(part, models.temperature_features(rows), "event_id")
+    share = portable_share("event_id")
+    result = models.temperature_cross_validation(rows, models.temperature_features(rows), "event_id", share=share).first()
+    spread = rows.agg(F.stddev_pop("temperature").alias("s")).first().s
+    marked = with_folds(rows, "event_id", share=share)
+    return marked.groupBy("fold").agg(F.count(F.lit(1)).alias("n")).withColumn("in_range", F.lit(0 <= result.cv_mean < spread))
 
 
 @query(
@@ -254,12 +306,20 @@ def strat_folds(t: Tables) -> DataFrame:
     return marked.groupBy("label", "fold").agg(F.count("*").alias("n"))
 
 
-@query("plain_folds")
+@query(
+    "plain_folds",
+    """SELECT event_id, CAST(floor((event_id % 2147483648) * 2654435761 % 4294967296 / 4294967296.0::DOUBLE * 5) AS INTEGER) AS fold
+       FROM events""",
+)
 def plain_folds(t: Tables) -> DataFrame:
-    return with_folds(t.events.select("event_id"), "event_id")
+    return with_folds(t.events.select("event_id"), "event_id", share=portable_share("event_id"))
 
 
-@query("batch_scoring")
+@query(
+    "batch_scoring",
+    """SELECT event_id AS weather_data_id, '1.0.0' AS model_version, '2024-01-31 00:00:00' AS predicted_at, true AS agrees FROM events
+       WHERE ts >= TIMESTAMP '2024-01-30 00:00:00' AND event_id % 2 <> 0""",
+)
 def batch_scoring(t: Tables) -> DataFrame:
     """The last day's readings without a prediction, scored into prediction rows."""
     rows = stage(_table(t), "features")
@@ -268,7 +328,10 @@ def batch_scoring(t: Tables) -> DataFrame:
         F.col("event_id").alias("weather_data_id"), F.col("ts").alias("predicted_at")
     )
     now = F.lit("2024-01-31 00:00:00").cast("timestamp_ntz")
-    return models.score_unscored(rows, made, model, now, key="event_id", time="ts", hours=24)
+    out = models.score_unscored(rows, made, model, now, key="event_id", time="ts", hours=24)
+    agrees = F.col("confidence").between(0, 1) & (F.col("prediction").cast("boolean") == (F.col("confidence") > 0.5))
+    stamp = F.date_format("predicted_at", "yyyy-MM-dd HH:mm:ss")
+    return out.select("weather_data_id", "model_version", stamp.alias("predicted_at"), agrees.alias("agrees"))
 
 
 @query(

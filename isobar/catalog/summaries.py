@@ -478,9 +478,13 @@ def strat_split(t: Tables) -> DataFrame:
     return split.stratified_split(rows, "rain", "event_id", draw=draw)
 
 
-@query("plain_split")
+@query(
+    "plain_split",
+    """SELECT event_id, value, floor((event_id % 2147483648) * 2654435761 % 4294967296 / 4294967296.0::DOUBLE * 100) < 20 AS is_test
+       FROM events""",
+)
 def plain_split(t: Tables) -> DataFrame:
-    return split.plain_split(t.events.select("event_id", "value"), "event_id")
+    return split.plain_split(t.events.select("event_id", "value"), "event_id", share=split.portable_share("event_id"))
 
 
 @query("hourly_series", f"WITH {HOURLY} SELECT * FROM h")

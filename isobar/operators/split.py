@@ -19,11 +19,26 @@ def shuffled(key: str | list[str], seed: int = SEED) -> Column:
     return F.xxhash64(*[F.col(c) for c in names], F.lit(seed))
 
 
+def portable_share(key: str) -> Column:
+    """A share in [0, 1) from an integer key by multiplication, the same in every SQL engine."""
+    return (F.col(key) % 2147483648) * F.lit(2654435761) % F.lit(4294967296) / F.lit(4294967296.0)
+
+
 def plain_split(
-    df: DataFrame, key: str | list[str], *, test_percent: int = 20, seed: int = SEED, name: str = "is_test"
+    df: DataFrame,
+    key: str | list[str],
+    *,
+    test_percent: int = 20,
+    share: Column | None = None,
+    seed: int = SEED,
+    name: str = "is_test",
 ) -> DataFrame:
-    """About ``test_percent`` of the rows are test rows; no shuffle."""
-    return df.withColumn(name, F.pmod(shuffled(key, seed), F.lit(100)) < test_percent)
+    """About ``test_percent`` of the rows are test rows; no shuffle.
+
+    ``share`` draws them (a number in [0, 1) per row; default: from a hash of the key).
+    """
+    drawn = F.pmod(shuffled(key, seed), F.lit(100)) if share is None else F.floor(share * 100)
+    return df.withColumn(name, drawn < test_percent)
 
 
 def stratified_split(
@@ -50,9 +65,12 @@ def stratified_split(
     return ranked.withColumn(name, F.col("__at") <= cut).drop("__draw", "__at", "__n")
 
 
-def with_folds(df: DataFrame, key: str | list[str], *, folds: int = 5, seed: int = SEED, name: str = "fold") -> DataFrame:
-    """Assign each row to one of ``folds`` folds; no shuffle."""
-    return df.withColumn(name, F.pmod(shuffled(key, seed), F.lit(folds)).cast("int"))
+def with_folds(
+    df: DataFrame, key: str | list[str], *, folds: int = 5, share: Column | None = None, seed: int = SEED, name: str = "fold"
+) -> DataFrame:
+    """Assign each row to one of ``folds`` folds, drawn as in ``plain_split``; no shuffle."""
+    drawn = F.pmod(shuffled(key, seed), F.lit(folds)) if share is None else F.floor(share * folds)
+    return df.withColumn(name, drawn.cast("int"))
 
 
 def with_stratified_folds(

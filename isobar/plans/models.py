@@ -241,10 +241,17 @@ def rain_cross_validation(
 
 
 def temperature_cross_validation(
-    df: DataFrame, features: Features, key: str, *, label: str = "temperature", folds: int = 5, learner: Estimator | None = None
+    df: DataFrame,
+    features: Features,
+    key: str,
+    *,
+    label: str = "temperature",
+    folds: int = 5,
+    share: Column | None = None,
+    learner: Estimator | None = None,
 ) -> DataFrame:
     """Plain folds scored by mean absolute error."""
-    marked = spread(with_folds(features.apply(df), key, folds=folds))
+    marked = spread(with_folds(features.apply(df), key, folds=folds, share=share))
     evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
     return cross_validate(scaled(features, learner or temperature_forest(label)), marked, evaluator, folds=folds)
 
@@ -257,9 +264,11 @@ def train_rain(df: DataFrame, key: str, *, label: str = "rain_flag") -> tuple[Mo
     return model, model.score(parts.filter("is_test"))
 
 
-def train_temperature(df: DataFrame, key: str, *, label: str = "temperature") -> tuple[Model, DataFrame]:
+def train_temperature(
+    df: DataFrame, key: str, *, label: str = "temperature", share: Column | None = None
+) -> tuple[Model, DataFrame]:
     """Plain 80/20 split, scaled forest; returns the model and the scored test rows."""
-    parts = plain_split(df, key)
+    parts = plain_split(df, key, share=share)
     features = temperature_features(df)
     model = fit(scaled(features, temperature_forest(label)), features, parts.filter("not is_test"), label)
     return model, model.score(parts.filter("is_test"))
