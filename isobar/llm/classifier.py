@@ -15,6 +15,7 @@ smallest hash; all other work covers every row.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 from operator import eq
 
@@ -23,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.text import packed
+from isobar.llm.text import each, packed, text_udf
 from isobar.staging import stage
 
 # Byte classes: 0 other ASCII, 1 blank, 2 digit, 3 upper, 4 lower, 5 sentence marks, 6 loud marks, 7 symbols, 8 first byte of a longer character, 9 its other bytes.
@@ -78,7 +79,7 @@ def statistics(text: str | None) -> np.ndarray:
     )
 
 
-def table(texts: list[str | None]) -> np.ndarray:
+def table(texts: Iterable[str | None]) -> np.ndarray:
     return np.array([statistics(t) for t in texts]).reshape(-1, STATISTICS)
 
 
@@ -194,11 +195,11 @@ def fit(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel(), *, text:
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(kernel.fit_rows)
 
     def measure(texts: pa.Array) -> pa.Array:
-        return pa.array(list(table(texts.to_pylist())), pa.list_(pa.float64()))
+        return pa.array(list(table(each(texts))), pa.list_(pa.float64()))
 
     rows = packed(docs, id=F.col(f"`{key}`"), body=F.col(f"`{text}`")).drop("row")
     rows = rows.join(F.broadcast(chosen), F.col("id") == F.col("doc_id"))  # fit_rows rows of 16 bytes at most
-    rows = rows.select("id", "y", F.arrow_udf(measure, "array<double>")("body").alias("stats"))
+    rows = rows.select("id", "y", text_udf(measure, "array<double>")("body").alias("stats"))
     # One order of summing whatever the partitions were.
     rows = stage(rows.repartition(4, "id").sortWithinPartitions("id", "stats"), "fit")
     mean, scale, bias, n = _moments(rows)
@@ -220,9 +221,9 @@ def score(model: Model | None, text: Column) -> Column:
         return F.lit(1.0)
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(np.clip(model.score(table(texts.to_pylist())), 0, 1) if len(texts) else [], pa.float64())
+        return pa.array(np.clip(model.score(table(each(texts))), 0, 1) if len(texts) else [], pa.float64())
 
-    return F.arrow_udf(run, "double")(text)
+    return text_udf(run, "double")(text)
 
 
 def held_out(key: Column) -> Column:

@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from isobar.llm.text import each, text_udf
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
 
@@ -339,14 +341,14 @@ def spans(text: Column, weights: np.ndarray) -> Column:
 
     def run(texts: pa.Array) -> pa.Array:
         rows = []
-        for text in texts.to_pylist():
+        for text in each(texts):
             base, every = find(text, weights)
             counts = {f"n_{k}": sum(s[0] == k for s in base) for k in KINDS}
             rows.append(counts | {"base_sha256": hashlib.sha256(joined(base).encode()).hexdigest(), "spans": joined(every)})
         counted = [(f"n_{k}", pa.int64()) for k in KINDS]
         return pa.array(rows, pa.struct(counted + [("base_sha256", pa.string()), ("spans", pa.string())]))
 
-    return F.arrow_udf(run, ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")(text)
+    return text_udf(run, ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")(text)
 
 
 def masked(text: str | None, weights: np.ndarray) -> str | None:
@@ -368,6 +370,6 @@ def redacted(text: Column, weights: np.ndarray) -> Column:
     """``masked`` on a text column; NULL stays NULL."""
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([masked(t, weights) for t in texts.to_pylist()], pa.string())
+        return pa.array([masked(t, weights) for t in each(texts)], pa.string())
 
-    return F.arrow_udf(run, "string")(text)
+    return text_udf(run, "string")(text)

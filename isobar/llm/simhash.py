@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm.components import components
-from isobar.llm.text import packed, unpacked
+from isobar.llm.text import each, packed, text_udf, unpacked
 from isobar.staging import stage
 
 SEED = 42
@@ -53,9 +53,9 @@ def fingerprints(text: Column, shingle: int) -> Column:
     """The SimHash of a text column as a long."""
 
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([fingerprint_of(t, shingle) for t in texts.to_pylist()], pa.int64())
+        return pa.array([fingerprint_of(t, shingle) for t in each(texts)], pa.int64())
 
-    return F.arrow_udf(run, "long")(text)
+    return text_udf(run, "long")(text)
 
 
 def masks(distance: int, shared: int) -> list[int]:
@@ -143,12 +143,22 @@ def one_of_each(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **h
     Rows without key stay only if their group has no key at all, one per fingerprint.
     """
     found = near_duplicates(docs, text=text, key=key, **how)
-    stay = found.filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    keyless = found.filter(F.col("component_id").isNull()).select(hexed(F.col("fp")).alias("fp_hex")).distinct()
     rows = packed(docs, id=F.col(f"`{key}`"), hash=F.xxhash64(F.col(f"`{text}`")))
-    kept = rows.join(stay, F.col("id") == F.col("doc_id"), "left_semi")
-    kept = kept.withColumn("nth", F.row_number().over(Window.partitionBy("id").orderBy("hash"))).filter("nth = 1")
-    nameless = rows.filter(F.col("id").isNull()).withColumn("print", hexed(fingerprints(F.col("row").getField(text), how.get("shingle", 3))))
-    rest = nameless.join(keyless, F.col("print") == F.col("fp_hex"), "left_semi")
-    rest = rest.withColumn("nth", F.row_number().over(Window.partitionBy("print").orderBy("hash"))).filter("nth = 1")
-    return unpacked(kept.select("row").unionByName(rest.select("row")), docs)
+
+    def first_of(many: DataFrame, by: str) -> DataFrame:
+        nth = F.row_number().over(Window.partitionBy(by).orderBy("hash"))
+        return many.withColumn("nth", nth).filter("nth = 1").select("row")
+
+    def listed(ids: DataFrame) -> DataFrame:
+        return rows.join(ids, F.col("id") == F.col("doc_id"), "left_semi")
+
+    stay = stage(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "stay")
+    kept = listed(stay.filter("n = 1")).select("row")
+    # Keys that stand on several rows and rows without one are rare; they cost a pass only where they are.
+    if not (twice := stay.filter("n > 1")).isEmpty():
+        kept = kept.unionByName(first_of(listed(twice), "id"))
+    keyless = found.filter(F.col("component_id").isNull()).select(hexed(F.col("fp")).alias("fp_hex")).distinct()
+    if not keyless.isEmpty():
+        nameless = rows.filter(F.col("id").isNull()).withColumn("print", hexed(fingerprints(F.col("row").getField(text), how.get("shingle", 3))))
+        kept = kept.unionByName(first_of(nameless.join(keyless, F.col("print") == F.col("fp_hex"), "left_semi"), "print"))
+    return unpacked(kept, docs)

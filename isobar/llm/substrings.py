@@ -26,6 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from isobar.llm.text import each, small_batches, text_udf
 from isobar.staging import stage
 
 WORDS_AT_ONCE = 2_000_000
@@ -98,7 +99,7 @@ def _chunks(batches, columns: list[str]):
     """Rows of batches as lists of tuples, split so that no list has many more than ``WORDS_AT_ONCE`` words."""
     rows, size = [], 0
     for batch in batches:
-        for row in zip(*[batch.column(c).to_pylist() for c in columns]):
+        for row in zip(*[each(batch.column(c)) for c in columns]):
             rows.append(row)
             size += len(row[2] or "") // 5 + 1
             if size >= WORDS_AT_ONCE:
@@ -240,7 +241,7 @@ def later_windows(rows: DataFrame, cover: Cover) -> DataFrame:
 
 def _shut(texts: pa.Array) -> pa.Array:
     pack = zstandard.ZstdCompressor(level=3).compress
-    return pa.array([pack((t or "").encode("utf-8", "surrogatepass")) for t in texts.to_pylist()], pa.binary())
+    return pa.array([pack((t or "").encode("utf-8", "surrogatepass")) for t in each(texts)], pa.binary())
 
 
 def _opened(packed_text: bytes) -> str:
@@ -255,7 +256,7 @@ def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
 
 def _travelling(rows: DataFrame) -> DataFrame:
     """``rows`` with compressed texts, for a shuffle."""
-    return rows.select("th", "id", F.arrow_udf(_shut, "binary")("body").alias("body"))
+    return rows.select("th", "id", text_udf(_shut, "binary")("body").alias("body"))
 
 
 def later(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -267,6 +268,7 @@ def later(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: s
     of the text's hash (64 bits; texts are taken as equal if it is).  NULL,
     empty and short texts have no window.  An empty table gives no rows.
     """
+    small_batches()
     rows = _rows(docs, text, key)
     texts = stage(rows.groupBy("th").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "texts")
     texts = texts.withColumnRenamed("th", "t")
@@ -306,7 +308,7 @@ def _finished(docs: DataFrame, cover: Cover, text: str, key: str, name: str, sho
 
     def run(bodies: pa.Array, spans: pa.Array) -> pa.Array:
         counts, gone, out = [], [], []
-        for body, ranges in zip(bodies.to_pylist(), spans.to_pylist()):
+        for body, ranges in zip(each(bodies), each(spans)):
             words = zstandard.decompress(body).split()
             counts.append(len(words))
             if ranges:
@@ -315,7 +317,7 @@ def _finished(docs: DataFrame, cover: Cover, text: str, key: str, name: str, sho
             out.append(show(words))
         return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.string())], ["n_words", "n_removed", "out"])
 
-    made = joined.select("th", "id", "first", F.arrow_udf(run, "n_words long, n_removed long, out string")("body", "ranges").alias("made"))
+    made = joined.select("th", "id", "first", text_udf(run, "n_words long, n_removed long, out string")("body", "ranges").alias("made"))
     made = made.select("th", "id", "first", "made.*")
     # Rows that agree in key and text: one is the first.  Only digests or kept words travel here.
     nth = F.row_number().over(Window.partitionBy("id", "th").orderBy(F.lit(0)))
