@@ -150,32 +150,52 @@ def _table(t: Tables) -> DataFrame:
 _WIND = "['N', 'E', 'S', 'W'][user_id % 4 + 1]"
 
 
+# Readings moved by up to eleven months, so that all seasons occur.
+_SEASONED = f"""{READINGS},
+    b AS (SELECT *, ts + INTERVAL 1 MONTH * (event_id % 12) AS moment, {_WIND} AS wind FROM r),
+    v AS (SELECT *, 17.27::DOUBLE * temperature / (237.7::DOUBLE + temperature) + ln(nullif(humidity, 0) / 100) AS v FROM b),
+    f AS (SELECT event_id, temperature, humidity, pressure, wind_speed, precipitation,
+                 round(coalesce(237.7::DOUBLE * v / (17.27::DOUBLE - v), 0), 6) AS dew_point,
+                 coalesce(pressure - lag(pressure) OVER (PARTITION BY city ORDER BY moment, event_id), 0) AS pressure_tendency,
+                 round(temperature * humidity, 6) AS temp_humidity_interaction, wind_speed * pressure AS wind_pressure_interaction,
+                 CAST(hour(moment) AS INTEGER) AS hour, CAST(isodow(moment) - 1 AS INTEGER) AS day_of_week, CAST(month(moment) AS INTEGER) AS month,
+                 dense_rank() OVER (ORDER BY wind) - 1 AS wind_direction_encoded,
+                 dense_rank() OVER (ORDER BY CASE WHEN month(moment) IN (12, 1, 2) THEN 'Summer' WHEN month(moment) IN (3, 4, 5) THEN 'Autumn'
+                                                  WHEN month(moment) IN (6, 7, 8) THEN 'Winter' ELSE 'Spring' END) - 1 AS season_encoded
+          FROM v)"""
+
+
+def _seasoned(t: Tables) -> DataFrame:
+    rows = t.readings.withColumn("wind_direction", F.element_at(F.array(*map(F.lit, "NESW")), (F.col("user_id") % 4 + 1).cast("int")))
+    rows = rows.withColumn("at", F.col("ts") + F.make_ym_interval(F.lit(0), (F.col("event_id") % 12).cast("int")))
+    return features.engineer(rows, partition_by=["city"], time="at", order=["at", "event_id"]).na.fill({"dew_point": 0.0})
+
+
+def _shown(rows: DataFrame, chosen: models.Features) -> DataFrame:
+    out = chosen.apply(rows).select("event_id", *chosen.names)
+    return out.withColumns({c: F.round(c, 6) for c in ("dew_point", "temp_humidity_interaction")})
+
+
 @query(
     "rain_features",
-    f"""WITH {READINGS}
-    SELECT event_id, temperature, humidity, pressure, wind_speed, CAST(hour(ts) AS INTEGER) AS hour,
-           dense_rank() OVER (ORDER BY {_WIND}) - 1 AS wind_direction_encoded FROM r""",
+    f"""WITH {_SEASONED}
+    SELECT event_id, temperature, humidity, pressure, wind_speed, dew_point, pressure_tendency, temp_humidity_interaction,
+           wind_pressure_interaction, hour, day_of_week, month, wind_direction_encoded FROM f""",
 )
 def rain_features(t: Tables) -> DataFrame:
-    rows = _table(t)
-    chosen = models.rain_features(rows)
-    out = chosen.apply(rows).select("event_id", *chosen.names)
-    return out.select("event_id", "temperature", "humidity", "pressure", "wind_speed", "hour", "wind_direction_encoded")
+    rows = _seasoned(t)
+    return _shown(rows, models.rain_features(rows))
 
 
 @query(
     "temperature_features",
-    f"""WITH {READINGS}
-    SELECT event_id, humidity, pressure, wind_speed, precipitation, CAST(month(ts) AS INTEGER) AS month,
-           dense_rank() OVER (ORDER BY {_WIND}) - 1 AS wind_direction_encoded, CAST(0 AS BIGINT) AS season_encoded FROM r""",
+    f"""WITH {_SEASONED}
+    SELECT event_id, humidity, pressure, wind_speed, precipitation, dew_point, pressure_tendency, temp_humidity_interaction,
+           wind_pressure_interaction, hour, day_of_week, month, wind_direction_encoded, season_encoded FROM f""",
 )
 def temperature_features(t: Tables) -> DataFrame:
-    rows = _table(t)
-    chosen = models.temperature_features(rows)
-    out = chosen.apply(rows).select("event_id", *chosen.names)
-    return out.select(
-        "event_id", "humidity", "pressure", "wind_speed", "precipitation", "month", "wind_direction_encoded", "season_encoded"
-    )
+    rows = _seasoned(t)
+    return _shown(rows, models.temperature_features(rows))
 
 
 # What a forest gives depends on its draws; the twins compare what must hold for any:
@@ -368,32 +388,34 @@ def seasonal_ar1(t: Tables) -> DataFrame:
     return fit.select("city", F.round(beta[0], 6).alias("ar1"), F.round(beta[1], 6).alias("intercept"), "n_obs")
 
 
-@query(
-    "future_exog",
-    f"""WITH {HOURLY},
+def _ahead(mode: str) -> str:
+    """The lag column of a buffer list at a step, newest value first."""
+    back = "step + {k}" if mode == "reference" else "greatest({k} - step, 1)"
+    lag = lambda v, k: f"CASE WHEN {back.format(k=k)} <= 6 THEN {v}[{back.format(k=k)}] ELSE {v}[{1 if mode == 'reference' else 6}] END"
+    mean = lambda v, n: "round((" + " + ".join(f"{v}[{i}]" for i in range(1, n + 1)) + f") / {n}, 6)"
+    names = [("v", "humidity"), ("p", "pressure")]
+    listed = [f"{lag(v, k)} AS {c}_lag_{k}" for v, c in names for k in (1, 2)] + [f"{mean(v, n)} AS {c}_ma_{n}" for v, c in names for n in (3, 6)]
+    return f"""WITH {HOURLY},
     b AS (SELECT city, list(humidity ORDER BY observed_at DESC) AS v, list(pressure ORDER BY observed_at DESC) AS p
           FROM (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY city ORDER BY observed_at DESC) <= 6) GROUP BY 1),
     s AS (SELECT unnest(range(12)) AS step)
-    SELECT city, CAST(step AS INTEGER) AS step,
-           CASE WHEN step + 1 <= 6 THEN v[step + 1] ELSE v[1] END AS humidity_lag_1,
-           CASE WHEN step + 2 <= 6 THEN v[step + 2] ELSE v[1] END AS humidity_lag_2,
-           round((v[1] + v[2] + v[3]) / 3, 6) AS humidity_ma_3,
-           round((v[1] + v[2] + v[3] + v[4] + v[5] + v[6]) / 6, 6) AS humidity_ma_6,
-           CASE WHEN step + 1 <= 6 THEN p[step + 1] ELSE p[1] END AS pressure_lag_1
-    FROM b, s""",
-)
-def future_exog(t: Tables) -> DataFrame:
+    SELECT city, CAST(step AS INTEGER) AS step, {", ".join(listed)} FROM b, s"""
+
+
+def _future(t: Tables, mode: str) -> DataFrame:
     spec = Forecaster(["city"], ["observed_at"], exog=("humidity", "pressure"), exog_lags=2)
-    out = spec.future_exog(t.hourly, 12)
-    return out.select(
-        "city",
-        "step",
-        "humidity_lag_1",
-        "humidity_lag_2",
-        F.round("humidity_ma_3", 6).alias("humidity_ma_3"),
-        F.round("humidity_ma_6", 6).alias("humidity_ma_6"),
-        "pressure_lag_1",
-    )
+    out = spec.future_exog(t.hourly, 12, mode=mode)
+    return out.withColumns({f"{c}_ma_{w}": F.round(f"{c}_ma_{w}", 6) for c in ("humidity", "pressure") for w in (3, 6)})
+
+
+@query("future_exog", _ahead("reference"))
+def future_exog(t: Tables) -> DataFrame:
+    return _future(t, "reference")
+
+
+@query("future_exog_held", _ahead("hold_last"))
+def future_exog_held(t: Tables) -> DataFrame:
+    return _future(t, "hold_last")
 
 
 def _fitted(t: Tables):

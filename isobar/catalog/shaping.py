@@ -8,7 +8,6 @@ from isobar.catalog import CITIES, DOCUMENTS, HOURLY, READINGS, Tables, query
 from isobar.functions.calendar import to_time
 from isobar.operators import columns, hourly, joins, series
 from isobar.operators.clean import coerce_types
-from isobar.plans.runs import hourly_rows
 from isobar.schema import READING
 from isobar.sources import files, landing, tables
 from isobar.staging import new_path
@@ -160,11 +159,10 @@ def hourly_agg(t: Tables) -> DataFrame:
     f"""WITH {DOCUMENTS}
     SELECT lon, lat, round(avg(temperature), 6) AS avg_temperature, round(avg(precipitation), 6) AS avg_precipitation,
            count(*) AS measurement_count, max(dt) AS latest_measurement
-    FROM d WHERE dt >= 1706659200 - 720 * 3600 GROUP BY 1, 2""",
+    FROM d GROUP BY 1, 2""",
 )
 def coordinate_agg(t: Tables) -> DataFrame:
-    due = hourly.recent_documents(t.documents_nested, now(), hours_back=720)
-    means = hourly.coordinate_means(hourly.flatten(due), digits=6)
+    means = hourly.coordinate_means(hourly.flatten(t.documents_nested), digits=6)
     return means.select("lon", "lat", "avg_temperature", "avg_precipitation", "measurement_count", "latest_measurement")
 
 
@@ -218,16 +216,18 @@ def hourly_city_join(t: Tables) -> DataFrame:
 @query(
     "hourly_fact",
     f"""WITH {DOCUMENTS}, {CITIES},
-    a AS (SELECT lon, lat, count(*) AS measurement_count FROM d
-          WHERE dt >= 1706659200 - 720 * 3600 GROUP BY 1, 2)
-    SELECT c.city_id, '2024-01-30' AS date, 23 AS hour, a.measurement_count
+    a AS (SELECT lon, lat, count(*) AS measurement_count, round(avg(temperature), 6) AS temperature, round(avg(feels_like), 6) AS feelslike,
+                 round(avg(clouds), 6) AS clouds, round(avg(precipitation), 6) AS precipitation, round(avg(wind_speed), 6) AS wind_speed,
+                 round(avg(pressure), 6) AS pressure, round(avg(humidity), 6) AS humidity FROM d GROUP BY 1, 2)
+    SELECT c.city_id, '2024-01-30' AS date, 23 AS hour, a.measurement_count, temperature, feelslike, clouds, precipitation,
+           wind_speed, pressure, humidity
     FROM a JOIN cities c ON a.lon = round(c.lon, 2) AND a.lat = round(c.lat, 2)""",
 )
 def hourly_fact(t: Tables) -> DataFrame:
-    """The whole batch stamped with the hour before the clock, as the hourly job stores it."""
-    rows = hourly_rows(t.documents_nested, t.cities, t.countries, now(), hours_back=720)
-    kept = columns.canonical_hourly(rows)
-    return kept.select("city_id", F.col("date").cast("string").alias("date"), "hour", "measurement_count")
+    """The whole batch stamped with the hour before the clock, projected as the hourly job stores it, at six digits."""
+    means = hourly.coordinate_means(hourly.flatten(t.documents_nested), digits=6)
+    kept = columns.canonical_hourly(hourly.hourly_fact(hourly.with_city(means, t.cities, t.countries), now()))
+    return kept.withColumn("date", F.col("date").cast("string")).drop("created_at")
 
 
 # ---- projections and filters -------------------------------------------------
@@ -389,10 +389,12 @@ def anti_skip_nulls(t: Tables) -> DataFrame:
 
 @query(
     "existing_keys",
-    "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+    """SELECT c_custkey, c_name FROM customer
+       WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderdate >= DATE '1998-01-01')""",
 )
 def existing_keys(t: Tables) -> DataFrame:
-    stored = t.orders.select(F.col("o_custkey").alias("c_custkey"))
+    """Customers without a stored order of the last months."""
+    stored = t.orders.filter("o_orderdate >= date'1998-01-01'").select(F.col("o_custkey").alias("c_custkey"))
     return joins.not_existing(t.customer.select("c_custkey", "c_name"), stored, ["c_custkey"])
 
 

@@ -109,9 +109,9 @@ def fill_mode(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
 
 
 def iqr_bounds(
-    df: DataFrame, columns: list[str], *, factor: float = 1.5, exact_rows: int = EXACT_ROWS
+    df: DataFrame, columns: list[str], *, factor: float = 1.5, exact_rows: int = EXACT_ROWS, at_most: int | None = None
 ) -> dict[str, tuple[float, float]]:
-    found = exact_quantiles(df, columns, [0.25, 0.75], exact_rows=exact_rows)
+    found = exact_quantiles(df, columns, [0.25, 0.75], exact_rows=exact_rows, at_most=at_most)
     out = {}
     for c, (low, high) in found.items():
         if low is not None:
@@ -136,13 +136,17 @@ def drop_outliers(
     leave such columns out to keep their non-zero rows.
     """
     columns = [c for c in columns if c in df.columns]
+    if not columns:
+        return df
+    # The passes read a narrow copy; the table itself is filtered once, by literals.
+    narrow = stage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "measures")
+    most = narrow.count()
     for group in [columns] if simultaneous else [[c] for c in columns]:
-        bounds = iqr_bounds(df, group, factor=factor, exact_rows=exact_rows)
+        bounds = iqr_bounds(narrow, group, factor=factor, exact_rows=exact_rows, at_most=most)
         for c in group:
-            if c in bounds:
-                df = df.filter(missing(F.col(c).cast("double")).between(*bounds[c]))
-            else:
-                df = df.filter(F.lit(False))  # no value at all lies within no fence
+            # No value at all lies within no fence.
+            inside = missing(F.col(c).cast("double")).between(*bounds[c]) if c in bounds else F.lit(False)
+            df, narrow = df.filter(inside), narrow.filter(inside)
     return df
 
 

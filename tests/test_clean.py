@@ -88,7 +88,7 @@ def test_duplicates(spark):
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0]
 
 
-@pytest.mark.parametrize("limits", [{}, {"exact_rows": 40, "accuracy": 60}])
+@pytest.mark.parametrize("limits", [{}, {"exact_rows": 40, "accuracy": 60}, {"at_most": 4001}])
 @pytest.mark.parametrize("shape", ["spread", "tied", "wide", "constant"])
 def test_quantiles_equal_numpy(spark, shape, limits):
     """The narrowing rounds give the same exact answer as one pick, hot values included."""
@@ -103,6 +103,28 @@ def test_quantiles_equal_numpy(spark, shape, limits):
     assert exact_quantiles(df, ["v"], PROBS, **limits)["v"] == np.quantile(values, PROBS).tolist()
 
 
+def test_many_columns_share_one_bound(spark):
+    rng = np.random.default_rng(8)
+    values = rng.normal(size=(600, 6))
+    df = spark.createDataFrame([tuple(map(float, r)) for r in values], ", ".join(f"c{k} double" for k in range(6)))
+    found = exact_quantiles(df, df.columns, [0.25, 0.5, 0.75], exact_rows=50, accuracy=40)
+    for k in range(6):
+        assert found[f"c{k}"] == np.quantile(values[:, k], [0.25, 0.5, 0.75]).tolist()
+
+
+def test_integers_have_one_type_with_or_without_gaps(spark):
+    for rows in ([(1,), (2,), (4,)], [(1,), (None,), (2,)], [(1,), (None,), (3,)]):
+        filled = clean.fill_median(spark.createDataFrame(rows, "v long"))
+        assert filled.dtypes == [("v", "double")]
+
+
+def test_named_fills_leave_keys_alone(spark):
+    df = spark.createDataFrame([(1, None, None), (None, 2.0, "x"), (3, 4.0, "x")], "id long, temperature double, name string")
+    out = clean.clean(df, outlier_columns=[], fill_columns=["temperature"], mode_columns=[]).collect()
+    assert {r.id for r in out} == {1, None, 3} and {r.name for r in out} == {None, "x"}
+    assert {r.temperature for r in out} == {2.0, 3.0, 4.0}
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert exact_quantiles(df, ["v"], [0.5]) == {"v": [None]}

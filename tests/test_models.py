@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from isobar import schema
-from isobar.operators import hourly
+from isobar.operators import hourly, leastsquares
 from isobar.operators.leastsquares import least_squares
 from isobar.plans import models
 from isobar.plans.forecast import Forecaster, Orders, _psi, as_single_series, single_series
@@ -94,6 +94,42 @@ def test_logit_penalty(spark):
 # ---- least squares and forecasts ---------------------------------------------
 
 
+def test_unclustered_keys_give_one_row_per_key_and_task(spark):
+    rows = spark.range(0, 20_000, 1, 4).selectExpr("id % 5000 as k", "array(cast(id % 7 as double), cast(id % 11 as double)) as x", "cast(id % 13 as double) as y")
+    parts = leastsquares.moments(rows, ["k"], "x", "y", 2)
+    assert parts.count() <= 5000 * 4
+    assert leastsquares.least_squares(rows, ["k"], "x", "y", 2, constant=True).count() == 5000
+
+
+def test_merging_is_exact_and_does_not_cancel():
+    rng = np.random.default_rng(2)
+    z = np.column_stack([rng.normal(size=5000), rng.normal(size=5000)])
+    z[:, 1] = 1e9 + 2 * z[:, 0] + 1e-3 * z[:, 1]  # far from zero, tiny errors
+    whole = leastsquares.Moments.of(z[:7])
+    for at in range(7, 5000, 613):
+        whole = whole + leastsquares.Moments.of(z[at : at + 613])
+    read = leastsquares.Moments.read(whole.row(), 2)
+    fit = leastsquares.solve_from(read, True)
+    slope, intercept = np.polyfit(z[:, 0], z[:, 1] - 1e9, 1)
+    assert fit["coefficients"] == pytest.approx([slope, intercept + 1e9])
+    assert fit["sigma2"] == pytest.approx(1e-6, rel=0.1) and fit["aic"] is not None
+
+
+def test_too_few_rows_are_flagged_not_refitted(spark):
+    rows = spark.createDataFrame([("short", [1.0, 2.0], 3.0)] * 2 + [("long", [float(i), float(i * i)], float(i)) for i in range(9)], "k string, x array<double>, y double")
+    got = {r.k: r for r in least_squares(rows, ["k"], "x", "y", 2, constant=True).collect()}
+    assert got["short"].coefficients is None and got["short"].n_obs == 2 and len(got["long"].coefficients) == 3
+
+
+def test_forests_do_not_depend_on_the_partitions(weather):
+    features = models.rain_features(weather)
+    scores = []
+    for parts in (1, 2, 8):
+        model = models.fit(small(features), features, weather.repartition(parts), "rain_flag")
+        scores.append({r.id: r.probability for r in model.score(weather).select("id", "probability").collect()})
+    assert scores[0] == scores[1] == scores[2]
+
+
 def test_least_squares_equals_numpy(spark):
     rng = np.random.default_rng(5)
     x, key = rng.normal(size=(500, 3)), rng.choice(["a", "b"], 500)
@@ -202,6 +238,8 @@ def test_future_buffer(spark):
     assert [(r.v_lag_1, r.v_lag_2) for r in held] == [(6, 5), (6, 6), (6, 6)]
     short = spec.future_exog(df.filter("at > 2"), 1).first()
     assert short.v_ma_3 == 5.0 and short.v_ma_6 is None
+    gap = spec.future_exog(df.withColumn("v", F.when(F.col("at") != 5, F.col("v"))), 4).orderBy("step").collect()
+    assert [r.v_lag_2 for r in gap] == [4, 4, 3, 2]  # unknown at first: the next step's value
 
 
 def test_short_buffer_falls_back(spark, cities):
