@@ -109,14 +109,17 @@ def number(hexed: Column) -> Column:
     return F.conv(F.substring(hexed, 1, 8), 16, 10).cast("long")
 
 
-def shards_of(docs: DataFrame, spec: Mix, *, text: str, source: str, key: str) -> tuple[DataFrame, DataFrame]:
+def shards_of(docs: DataFrame, spec: Mix, *, text: str, source: str, key: str, kept: list[str] | None) -> tuple[DataFrame, DataFrame]:
     """The rows with their shard, and one row per shard: sizes, target, quota and first word."""
     rows = packed(
         docs,
+        kept,
         doc=F.col(f"`{key}`"),
         source=F.col(f"`{source}`"),
         size=word_count(F.col(f"`{text}`")),
     ).withColumn("hash", digest(F.lit(spec.seed), F.col("doc")))
+    if kept is not None and text not in kept:
+        rows = stage(rows, "sizes")  # small rows: read again instead of the texts
     sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
     total = F.sum("source_size").over(Window.partitionBy())
     planned = targets(sizes, spec)
@@ -144,8 +147,10 @@ def shards_of(docs: DataFrame, spec: Mix, *, text: str, source: str, key: str) -
     ), "shards")
 
 
-def mixed(docs: DataFrame, spec: Mix = Mix(), *, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
-    """Every row packed as ``row``, with ``size source_size target taken`` and ``runs``, the stretches of words taken.
+def mixed(
+    docs: DataFrame, spec: Mix = Mix(), *, text: str = "text", source: str = "source", key: str = "doc_id", kept: list[str] | None = None
+) -> DataFrame:
+    """Every row packed as ``row`` (its ``kept`` columns, by default all), with ``size source_size target taken`` and ``runs``, the stretches of words taken.
 
     ``runs`` is an array of (from, to) word positions, one per pass that takes
     something of the row.  Texts without words take no part (taken 0); NULL
@@ -153,7 +158,7 @@ def mixed(docs: DataFrame, spec: Mix = Mix(), *, text: str = "text", source: str
     their order does not matter; an empty table gives no rows.  Two rows with
     one key but different texts are ordered by size.
     """
-    placed, shards = shards_of(docs, spec, text=text, source=source, key=key)
+    placed, shards = shards_of(docs, spec, text=text, source=source, key=key, kept=kept)
     # At most ``spec.shards`` rows and one per source.
     rows = placed.join(
         F.broadcast(shards), F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")), "left"

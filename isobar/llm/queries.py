@@ -86,7 +86,7 @@ FROM a"""
 
 @query("documents", MIX_SQL)
 def op1_mix(documents: DataFrame, folder: str) -> DataFrame:
-    rows = mixing.mixed(documents.select("doc_id", "source", "text"))
+    rows = mixing.mixed(documents, kept=["doc_id"])
     return rows.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
