@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from isobar.llm.text import each, packed, text_udf
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
 # Byte classes: 0 other ASCII, 1 blank, 2 digit, 3 upper, 4 lower, 5 sentence marks, 6 loud marks, 7 symbols, 8 first byte of a longer character, 9 its other bytes.
 CLASSES = np.zeros(256, np.uint8)
@@ -204,12 +204,14 @@ def fit(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel(), *, text:
     rows = stage(rows.repartition(4, "id").sortWithinPartitions("id", "stats"), "fit")
     mean, scale, bias, n = _moments(rows)
     if not n:
+        discard(rows)
         return None
     gram, moment = _normal_equations(rows, mean, scale, bias, kernel)
     weights = np.linalg.solve(gram + kernel.ridge * n * np.eye(len(gram)), moment)
     trained = Model(mean, scale, weights, bias, np.zeros(1), np.zeros(1), kernel)
     # At most fit_rows pairs of numbers.
     pairs = rows.select("stats", "y").toArrow()
+    discard(rows)
     stats = pairs.column("stats").combine_chunks().flatten().to_numpy().reshape(-1, STATISTICS)
     knots, levels = isotonic(np.round(trained.raw(stats), 9), pairs.column("y").to_numpy())
     return Model(mean, scale, weights, bias, knots, levels, kernel)

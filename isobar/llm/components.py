@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -39,7 +39,8 @@ def components(edges: DataFrame) -> DataFrame:
     now = stage(edges.select("u", "v").filter("u <> v"), "links")
     before = None
     while (state := _sum(now)) != before:
-        before = state
-        now = stage(_small_star(_large_star(now)), "links")
+        before, last = state, now
+        now = stage(_small_star(_large_star(last)), "links")
+        discard(last)
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select("node", F.col("node").alias("root")))

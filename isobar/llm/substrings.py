@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm.text import each, small_batches, text_udf
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
 WORDS_AT_ONCE = 2_000_000
 WORDS_KEPT = 500_000
@@ -277,6 +277,7 @@ def later(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: s
     chosen = _travelling(rows).join(wanted, (F.col("th") == F.col("t")) & F.col("id").eqNullSafe(F.col("first_id")))
     found = later_windows(chosen.select("th", "id", "body", "spans"), cover)
     ranges = stage(found.groupBy("th").agg(F.collect_list(F.struct("begin", "end")).alias("ranges")), "ranges")
+    discard(anchors)
     joined = texts.join(ranges, F.col("th") == F.col("t"), "left")
     return joined.filter("ranges is not null or copies > 1").select("t", "first_id", "ranges")
 
