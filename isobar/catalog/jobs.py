@@ -202,7 +202,7 @@ def ar_evaluation(t: Tables) -> DataFrame:
     f"""WITH {_TRAIN},
     o AS (SELECT city, w - c - a * w1 AS r FROM l JOIN m USING (city) WHERE i <= floor(0.8::DOUBLE * total) AND w1 IS NOT NULL),
     x AS (SELECT city, stddev_pop(r) AS s, skewness(r) AS k3, kurtosis(r) AS k4 FROM o GROUP BY 1)
-    SELECT city, round(-0.5 * n * (ln(2 * pi() * s2) + 1), 4) AS llf, n AS n_obs, round(s, 5) AS resid_std, round(k3, 4) AS resid_skew,
+    SELECT city, round(-0.5 * n * (ln(2 * pi() * s2) + 1), 4) AS llf, CAST(n AS BIGINT) AS n_obs, round(s, 5) AS resid_std, round(k3, 4) AS resid_skew,
            round(k4, 4) AS resid_kurtosis FROM x JOIN m USING (city)""",
 )
 def ar_diagnostics(t: Tables) -> DataFrame:

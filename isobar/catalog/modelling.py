@@ -207,7 +207,7 @@ _TEST_SIZES = """n AS (SELECT rain_flag, CAST(floor(0.2::DOUBLE * count(*)) AS B
 @query(
     "rf_rain",
     f"""WITH {_LABELLED}, {_TEST_SIZES}
-    SELECT sum(n) FILTER (rain_flag = 1) AS wet, sum(n) FILTER (rain_flag = 0) AS dry, true AS informative FROM n""",
+    SELECT CAST(sum(n) FILTER (rain_flag = 1) AS BIGINT) AS wet, CAST(sum(n) FILTER (rain_flag = 0) AS BIGINT) AS dry, true AS informative FROM n""",
 )
 def rf_rain(t: Tables) -> DataFrame:
     """Forest trained on four fifths of every class; class totals of the rest and whether its scores tell wet from dry."""
@@ -265,7 +265,7 @@ def score(t: Tables) -> DataFrame:
     return model.score(rows).select("event_id", share.between(0, 1).alias("in_range"), agrees.alias("agrees"))
 
 
-@query("importance", "SELECT 10 AS listed, 1.0 AS total, true AS falling FROM region LIMIT 1")
+@query("importance", "SELECT 10 AS listed, 1.0::DOUBLE AS total, true AS falling FROM region LIMIT 1")
 def importance(t: Tables) -> DataFrame:
     """The ten strongest features: listed, falling, and all features together weigh 1."""
     model, _ = models.train_rain(stage(_table(t), "features"), "event_id")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from isobar.functions.weather import clip, missing, to_number
 from isobar.operators.quantiles import EXACT_ROWS, exact_quantiles
 from isobar.schema import MEASURES
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
 UNKNOWN = "Unknown"
 
@@ -139,7 +139,7 @@ def drop_outliers(
     if not columns:
         return df
     # The passes read a narrow copy; the table itself is filtered once, by literals.
-    narrow = stage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "measures")
+    written = narrow = stage(df.select(*[F.col(c).cast("double").alias(c) for c in columns]), "measures")
     most = narrow.count()
     for group in [columns] if simultaneous else [[c] for c in columns]:
         bounds = iqr_bounds(narrow, group, factor=factor, exact_rows=exact_rows, at_most=most)
@@ -147,6 +147,7 @@ def drop_outliers(
             # No value at all lies within no fence.
             inside = missing(F.col(c).cast("double")).between(*bounds[c]) if c in bounds else F.lit(False)
             df, narrow = df.filter(inside), narrow.filter(inside)
+    discard(written)
     return df
 
 

@@ -28,7 +28,7 @@ from isobar.operators.split import (
 )
 from isobar.schema import PREDICTION
 from isobar.sources.tables import typed
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
 # The features each model looks for, in order.
 RAIN_FEATURES = [
@@ -184,13 +184,12 @@ def load(spark: SparkSession, path: str) -> tuple[Model, DataFrame]:
 PARTITIONS = 16
 
 
-def spread(df: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
-    """A written copy for repeated passes, its rows placed and sorted by their own hash.
+def spread(written: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+    """Rows placed and sorted by their own hash, for repeated passes over a written table.
 
     The same rows give the same partitions on any cluster, and so the same
     forest.  Raise ``partitions`` with the table.
     """
-    written = stage(df, "training")
     place = F.xxhash64(*[F.col(f"`{c}`") for c in written.columns])
     return written.withColumn("__place", place).repartition(partitions, "__place").sortWithinPartitions("__place", *[f"`{c}`" for c in written.columns]).drop("__place")
 
@@ -199,8 +198,10 @@ def fit(
     pipeline: Pipeline, features: Features, train: DataFrame, label: str, version: str = "1.0.0", *, partitions: int = PARTITIONS
 ) -> Model:
     wanted = [*features.names, label]
-    table = spread(features.apply(train).select(*dict.fromkeys(wanted)), partitions)
-    return Model(pipeline.fit(table), features, label, version)
+    written = stage(features.apply(train).select(*dict.fromkeys(wanted)), "training")
+    fitted = pipeline.fit(spread(written, partitions))
+    discard(written)
+    return Model(fitted, features, label, version)
 
 
 def classifier_report(scored: DataFrame, label: str) -> DataFrame:
@@ -212,11 +213,7 @@ def classifier_report(scored: DataFrame, label: str) -> DataFrame:
 def cross_validate(
     pipeline: Pipeline, df: DataFrame, evaluator: Evaluator, *, fold: str = "fold", folds: int = 5
 ) -> DataFrame:
-    """Mean and population std of a score over the folds marked in ``fold``.
-
-    Folds are whichever rows the caller passes: the test part, as the source of
-    this rule has it, or all rows.
-    """
+    """Mean and population std of a score over the folds marked in ``fold``."""
     validator = CrossValidator(
         estimator=pipeline,
         estimatorParamMaps=[{}],
@@ -235,9 +232,11 @@ def rain_cross_validation(
     df: DataFrame, features: Features, key: str, *, label: str = "rain_flag", folds: int = 5, learner: Estimator | None = None
 ) -> DataFrame:
     """Stratified folds scored by AUC."""
-    marked = spread(with_stratified_folds(features.apply(df), label, key, folds=folds))
+    written = stage(with_stratified_folds(features.apply(df), label, key, folds=folds), "folds")
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-    return cross_validate(scaled(features, learner or rain_forest(label)), marked, evaluator, folds=folds)
+    result = cross_validate(scaled(features, learner or rain_forest(label)), spread(written), evaluator, folds=folds)
+    discard(written)
+    return result
 
 
 def temperature_cross_validation(
@@ -251,9 +250,11 @@ def temperature_cross_validation(
     learner: Estimator | None = None,
 ) -> DataFrame:
     """Plain folds scored by mean absolute error."""
-    marked = spread(with_folds(features.apply(df), key, folds=folds, share=share))
+    written = stage(with_folds(features.apply(df), key, folds=folds, share=share), "folds")
     evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
-    return cross_validate(scaled(features, learner or temperature_forest(label)), marked, evaluator, folds=folds)
+    result = cross_validate(scaled(features, learner or temperature_forest(label)), spread(written), evaluator, folds=folds)
+    discard(written)
+    return result
 
 
 def train_rain(df: DataFrame, key: str, *, label: str = "rain_flag") -> tuple[Model, DataFrame]:

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,10 +50,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    _PATHS[written] = path
+    return written
+
+
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def discard(staged: DataFrame) -> None:
+    """Delete the files of a frame that ``stage`` returned, once all that reads it has been written."""
+    if path := _PATHS.pop(staged, None):
+        _delete(staged.sparkSession, path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release(spark: SparkSession) -> None:
     """Delete everything this application staged."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(session_folder(spark))
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    _delete(spark, session_folder(spark))
