@@ -20,9 +20,10 @@ def not_in(df: DataFrame, column: str, other: DataFrame, other_column: str, *, s
     if skip_nulls:
         keys = keys.filter(F.col("__key").isNotNull())
     found = keys.agg(F.struct(F.count("*").alias("n"), F.count_if(F.col("__key").isNull()).alias("nulls"))).scalar()
-    kept = df.join(keys.distinct(), F.col(column) == F.col("__key"), "left_anti")
-    comparable = F.col(column).isNotNull() & (found["nulls"] == 0)
-    return kept.filter((found["n"] == 0) | comparable)
+    # A NULL compares with nothing: it stays only if there is no key at all, and never travels into one task.
+    known = df.filter(F.col(column).isNotNull()).join(keys.distinct(), F.col(column) == F.col("__key"), "left_anti")
+    unknown = df.filter(F.col(column).isNull() & (found["n"] == 0))
+    return known.filter(found["nulls"] == 0).unionByName(unknown)
 
 
 def not_existing(df: DataFrame, existing: DataFrame, keys: list[str]) -> DataFrame:

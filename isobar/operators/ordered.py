@@ -167,7 +167,7 @@ def positions(
     if not keys:
         out = series.frame.withColumn(name, F.col(SEQ) + 1)
         if total:
-            out = out.withColumn(total, df.agg(F.count("*")).scalar())
+            out = out.withColumn(total, series.frame.agg(F.max(SEQ) + 1).scalar())  # of the numbered copy
         return out.drop(BLOCK, HALO, SEQ)
     facts = [F.min(SEQ).alias("__first")]
     if total:

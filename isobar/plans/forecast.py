@@ -10,6 +10,7 @@ not equal those of an exact-likelihood fit.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, replace
 from functools import cached_property, reduce
 
@@ -507,14 +508,45 @@ def _solved(model: DataFrame) -> DataFrame:
 # ---- the recurrence y_t = sum a_k y_{t-k} + drive_t ---------------------------
 
 
-def _recur(a: np.ndarray, state: np.ndarray, drive: np.ndarray) -> np.ndarray:
-    k = len(a)
-    path = np.empty(k + len(drive))
-    path[:k] = state
+def _steps(a: np.ndarray, states: np.ndarray, drives: np.ndarray) -> np.ndarray:
+    """Paths of several runs side by side: one row per run, one numpy step per column."""
+    k, (runs, length) = len(a), drives.shape
+    path = np.empty((runs, k + length))
+    path[:, :k] = states
     back = a[::-1]
-    for t, u in enumerate(drive):
-        path[k + t] = back @ path[t : t + k] + u
-    return path[k:]
+    for t in range(length):
+        path[:, k + t] = path[:, t : k + t] @ back + drives[:, t]
+    return path[:, k:]
+
+
+def _companion(a: np.ndarray) -> np.ndarray:
+    step = np.eye(len(a), len(a), 1)
+    if len(a):
+        step[-1] = a[::-1]
+    return step
+
+
+def _recur(a: np.ndarray, state: np.ndarray, drive: np.ndarray, *, width: int | None = None) -> np.ndarray:
+    """The path from ``state``; a long one is cut into pieces that run side by side.
+
+    Each piece first runs from zero, the ends are chained through the power of
+    the companion matrix, and all run again from their true states: about twice
+    the square root of the rows in Python steps.
+    """
+    k, n = len(a), len(drive)
+    width = max(k, math.isqrt(n)) if width is None else max(k, width)
+    runs = n // width if n >= 400 and width else 0
+    if runs < 2:
+        return _steps(a, state[None, :], drive[None, :])[0]
+    pieces = drive[: runs * width].reshape(runs, width)
+    ends = _steps(a, np.zeros((runs, k)), pieces)[:, width - k :]
+    jump = np.linalg.matrix_power(_companion(a), width)
+    states = np.empty((runs + 1, k))
+    states[0] = state
+    for r in range(runs):
+        states[r + 1] = jump @ states[r] + ends[r]
+    done = _steps(a, states[:runs], pieces).ravel()
+    return np.concatenate((done, _steps(a, states[runs:], drive[None, runs * width :])[0]))
 
 
 def _psi(a: np.ndarray, ma: dict[int, float], steps: int) -> np.ndarray:
@@ -571,9 +603,7 @@ def _follow(rows: DataFrame, start: DataFrame, spec: Forecaster, split: bool) ->
             if ends.empty or begin.empty:
                 return pd.DataFrame()
             a = recurrence(begin["coefficients"].iloc[0])
-            companion = np.eye(k, k, 1)
-            if k:
-                companion[-1] = a[::-1]
+            companion = _companion(a)
             held = begin["state"].iloc[0]
             state, out = np.asarray(held, float)[len(held) - k :], []
             for _, row in ends.sort_values("block").iterrows():

@@ -66,7 +66,7 @@ def run_hourly(
 ) -> DataFrame:
     """Aggregate and store; a retry replaces its own (city, date, hour) rows.  Returns the run's report.
 
-    The rows are staged once, so counting and writing do not rescan documents.
+    The rows are staged once, so counting reads file footers and documents are scanned once.
     ``marked`` names a folder for the snapshot of ``documents`` with the
     recent ones marked as processed.
     """

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
 
 @dataclass(frozen=True)
@@ -120,15 +120,17 @@ def replace_rows(df: DataFrame, path: str, partition_by: list[str], keys: list[s
     Only the partitions that ``df`` touches are read and written again.  A task
     that fails leaves the old files, and a retry gives the same rows.
     """
-    spark = df.sparkSession
+    spark, merged = df.sparkSession, None
     if exists(spark, path):
         stored = spark.read.schema(df.schema).parquet(path)
         touched = df.select(*partition_by).distinct()
         mine = df.select(*partition_by, *keys).distinct()
         others = stored.join(touched, partition_by, "left_semi").join(mine, [*partition_by, *keys], "left_anti")
         # Written first: the files that are read are about to be replaced.
-        df = stage(df.unionByName(others), "merged")
+        df = merged = stage(df.unionByName(others), "merged")
     replace_periods(df, path, partition_by)
+    if merged is not None:
+        discard(merged)
 
 
 # The source names callers use and the table each one holds.

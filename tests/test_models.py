@@ -11,7 +11,7 @@ from isobar import schema
 from isobar.operators import hourly, leastsquares
 from isobar.operators.leastsquares import least_squares
 from isobar.plans import models
-from isobar.plans.forecast import Forecaster, Orders, _psi, as_single_series, single_series
+from isobar.plans.forecast import Forecaster, Orders, _psi, _recur, as_single_series, single_series
 from isobar.plans.runs import train_and_forecast
 from isobar.staging import stage
 from isobar.streaming import hourly as streaming
@@ -228,6 +228,17 @@ def test_psi_weights():
     assert Orders().ar == [1, 2, 24, 25, 26] and Orders().ma == [1, 24, 25]
 
 
+def test_long_paths_in_pieces_equal_one_run():
+    rng = np.random.default_rng(4)
+    for a in (np.array([0.5, 0.2, -0.1]), np.array([1.0]), np.zeros(0)):
+        state, drive = rng.normal(size=len(a)), rng.normal(size=1003)
+        plain = list(state)
+        for u in drive:
+            plain.append(sum(c * plain[-1 - i] for i, c in enumerate(a)) + u)
+        for width in (None, 7, 400, 2000):
+            assert _recur(a, state, drive, width=width) == pytest.approx(plain[len(a) :])
+
+
 def test_future_buffer(spark):
     df = spark.createDataFrame([("a", i, float(i)) for i in range(7)], "city string, at int, v double")
     spec = Forecaster(["city"], ["at"], exog=("v",), exog_lags=2)
