@@ -150,7 +150,8 @@ def one_of_each(docs: DataFrame, *, text: str = "text", key: str = "doc_id", **h
         return many.withColumn("nth", nth).filter("nth = 1").select("row")
 
     def listed(ids: DataFrame) -> DataFrame:
-        return rows.join(ids, F.col("id") == F.col("doc_id"), "left_semi")
+        # One plan at every size: the keys that stay grow with the table, so they are never broadcast.
+        return rows.join(ids.hint("merge"), F.col("id") == F.col("doc_id"), "left_semi")
 
     stay = stage(found.filter(F.col("doc_id") == F.col("component_id")).groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "stay")
     kept = listed(stay.filter("n = 1")).select("row")
