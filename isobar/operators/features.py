@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from isobar.functions.calendar import day_of_week, season, to_time
 from isobar.functions.weather import dew_point, rain_flag
@@ -40,17 +41,20 @@ def engineer(
     *,
     partition_by: list[str] = ("city_id",),
     time: str = "date",
-    order: list[str] | None = None,
+    order: list[str | Column] | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Every derived feature and the rain target.
 
     The pressure tendency stays within a city; ``partition_by=[]`` takes the
-    difference along the whole table instead.
+    difference along the whole table instead.  Without an ``order`` rows come
+    by time and hour; rows that agree in both (a batch appended twice) by a
+    hash of the whole row, so the result does not depend on where they lie.
     """
     keys = [c for c in partition_by if c in df.columns]
     if order is None:
-        order = [time] + [c for c in ("hour",) if c in df.columns]
+        hashable = [F.to_json(F.col(c)) if isinstance(df.schema[c].dataType, T.MapType) else F.col(c) for c in df.columns]
+        order = [time] + [c for c in ("hour",) if c in df.columns] + [F.xxhash64(*hashable)]
     out = tendency(df, "pressure", keys, order, name="pressure_tendency", block_rows=block_rows)
     out = interactions(calendar_features(out, time))
     return out.withColumns(

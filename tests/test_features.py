@@ -122,3 +122,10 @@ def test_splits(spark, block_rows):
     folds = split.with_stratified_folds(df, "label", "key", block_rows=block_rows).groupBy("label", "fold").count()
     assert {r["count"] for r in folds.collect()} == {180, 20}
     assert 150 < split.plain_split(df, "key").filter("is_test").count() < 250
+
+
+def test_tied_times_have_one_order(spark):
+    rows = [(1, "2024-01-01", h // 2, float(h * 7 % 11), 20.0, 50.0, 1.0, 0.0) for h in range(24)]
+    df = spark.createDataFrame(rows, "city_id long, date string, hour int, pressure double, temperature double, humidity double, wind_speed double, precipitation double")
+    made = [sorted(map(str, engineer(df.repartition(n, "pressure"), block_rows=b).collect())) for n, b in ((1, 1000), (5, 1000), (3, 4))]
+    assert made[0] == made[1] == made[2]
