@@ -1,5 +1,7 @@
 """Sources, projections, filters and joins."""
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -85,14 +87,20 @@ def parquet_roundtrip(t: Tables) -> DataFrame:
     return files.read_frame(t.spark, path, "parquet")
 
 
-@query(
-    "list_objects",
-    """SELECT unnest(['region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events',
-       'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations']) || '.parquet' AS name""",
+# The benchmark tables.
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 )
+
+
+@query("list_objects", " UNION ALL ".join(f"SELECT '{n}.parquet' AS name, count(*) AS n FROM {n}" for n in TABLES))
 def list_objects(t: Tables) -> DataFrame:
+    """The files below the folder, each with the rows its table reads from it."""
     listed = files.list_objects(t.spark, t.folder, pattern="*.parquet")
-    return listed.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    name = F.col("_metadata.file_name")
+    counts = [getattr(t, n).groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("n")) for n in TABLES]
+    found = listed.select(F.element_at(F.split("path", "/"), -1).alias("name"))
+    return found.join(reduce(DataFrame.unionByName, counts), "name").select("name", "n")
 
 
 @query(
