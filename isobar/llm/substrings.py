@@ -302,7 +302,8 @@ def digests(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key:
 
 
 def _finished(docs: DataFrame, cover: Cover, text: str, key: str, name: str, show) -> DataFrame:
-    marks = later(docs, cover, text=text, key=key)
+    # Written, so that the join below has a shuffle of its own on both sides and a text with many copies can be split.
+    marks = stage(later(docs, cover, text=text, key=key), "marks")
     joined = _travelling(_rows(docs, text, key)).join(marks, F.col("th") == F.col("t"), "left")
     joined = joined.withColumn("first", F.col("t").isNull() | F.col("id").eqNullSafe(F.col("first_id")))
     window = cover.window
