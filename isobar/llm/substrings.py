@@ -18,19 +18,20 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from isobar.llm.text import each, small_batches, text_udf
+from isobar.llm.text import BLANKS, each, small_batches, text_udf
 from isobar.staging import discard, stage
 
 WORDS_AT_ONCE = 2_000_000
-WORDS_KEPT = 500_000
+BYTES_AT_ONCE = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -61,59 +62,108 @@ class Cover:
         return at[np.isin(at % self.period, self.residues)]
 
 
-def _multipliers(count: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).integers(0, 1 << 63, count, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
     return x ^ (x >> np.uint64(29))
 
 
-def run_hashes(words: np.ndarray, places: np.ndarray, length: int, seed: int) -> np.ndarray:
-    """A 64-bit hash of ``length`` word hashes from each place."""
-    out = np.zeros(len(places), np.uint64)
-    for k, m in enumerate(_multipliers(length, seed)):
-        out += words[places + k] * m
-    return _mixed(out)
+class Powers:
+    """Powers of a random odd number modulo 2**64 and of its inverse, for hashes of stretches by running sums."""
+
+    def __init__(self, seed: int):
+        self.base = int(np.random.default_rng(seed).integers(1 << 62, 1 << 63)) * 2 + 1
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def hashes(self, values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """A 64-bit hash of ``values[begin:end]`` for each pair; equal stretches hash alike wherever they lie."""
+        if len(self.up) < len(values) + 1:
+            size = max(len(values) + 1, 1 << 16)
+            for name, factor in (("up", self.base), ("down", pow(self.base, -1, 1 << 64))):
+                setattr(self, name, np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, factor, np.uint64)))))
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(values * self.up[: len(values)])))
+        return _mixed((sums[end] - sums[begin]) * self.down[begin])
 
 
 class Hasher:
-    """64-bit hashes of words, remembered up to a bound."""
+    """64-bit hashes of words, and of stretches of them."""
 
     def __init__(self):
-        self.known: dict[bytes, int] = {}
-
-    def words(self, text: str | None) -> np.ndarray:
-        listed = (text or "").encode("utf-8", "surrogatepass").split()
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
-        for w in set(listed):
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(known.__getitem__, listed), np.uint64, len(listed))
-
-
-def _chunks(batches, columns: list[str]):
-    """Rows of batches as lists of tuples, split so that no list has many more than ``WORDS_AT_ONCE`` words."""
-    rows, size = [], 0
+        self.letters = np.random.default_rng(5).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.blank = np.isin(np.arange(256), list(BLANKS.encode()))
+        self.powers = {seed: Powers(seed) for seed in range(4)}
+
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        """Word hashes of each text; ``data`` holds the bytes of all, text k from ``offsets[k]`` to ``offsets[k + 1]``."""
+        out: list[np.ndarray] = []
+        k, count = 0, len(offsets) - 1
+        while k < count:
+            last = max(k + 1, int(np.searchsorted(offsets, offsets[k] + BYTES_AT_ONCE, "right")) - 1)
+            out += self._some(data[offsets[k] : offsets[last]], offsets[k : last + 1] - offsets[k])
+            k = last
+        return out
+
+    def _some(self, data: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
+        solid = ~self.blank[data]
+        edge = np.zeros(len(data) + 1, bool)  # a text begins or ends before this byte
+        edge[offsets] = True
+        before = np.concatenate(([False], solid[:-1])) & ~edge[:-1]
+        after = np.concatenate((solid[1:], [False])) & ~edge[1:]
+        begin, end = np.flatnonzero(solid & ~before), np.flatnonzero(solid & ~after) + 1
+        hashes = self.powers[0].hashes(self.letters[data], begin, end)
+        return np.split(hashes, np.searchsorted(begin, offsets[1:-1]))
+
+    def runs(self, words: np.ndarray, places: np.ndarray, length: int, seed: int) -> np.ndarray:
+        """A hash of ``length`` words from each place."""
+        return self.powers[seed].hashes(words, places, places + length)
+
+
+def _bytes_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a string column and where each value begins, without making Python strings."""
+    wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
+    _, edges, data = column.buffers()
+    offsets = np.frombuffer(edges, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8), offsets
+
+
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The same for compressed texts."""
+    texts = [zstandard.decompress(x) for x in each(column)]
+    return np.frombuffer(b"".join(texts), np.uint8), np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+
+
+def _spans_of(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+    """(begins, ends) of each value of an array<struct<begin, end>> column; NULL has none."""
+    flat, sizes = column.flatten(), pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    cuts = np.cumsum(sizes)[:-1]
+    begin, end = (flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
+    return list(zip(np.split(begin, cuts), np.split(end, cuts))) if len(sizes) else []
+
+
+def _documents(batches, hasher: Hasher, read):
+    """Lists of (th, id, word hashes, spans) in document order, one of each text, of about ``WORDS_AT_ONCE`` words."""
+    held, size = [], 0
     for batch in batches:
-        for row in zip(*[each(batch.column(c)) for c in columns]):
-            rows.append(row)
-            size += len(row[2] or "") // 5 + 1
+        words = hasher.words(*read(batch.column("body"))) if batch.num_rows else []
+        spans = _spans_of(batch.column("spans")) if "spans" in batch.schema.names else [None] * batch.num_rows
+        for row in zip(batch.column("th").to_pylist(), batch.column("id").to_pylist(), words, spans):
+            held.append(row)
+            size += len(row[2])
             if size >= WORDS_AT_ONCE:
-                yield rows
-                rows, size = [], 0
-    if rows:
-        yield rows
+                yield _distinct(held)
+                held, size = [], 0
+    if held:
+        yield _distinct(held)
 
 
-def _first_of_each(key: np.ndarray) -> np.ndarray:
-    """Whether a row is the first with its key, in the given order."""
-    first = np.zeros(len(key), bool)
-    first[np.unique(key, return_index=True)[1]] = True
-    return first
+def _firsts(low: np.ndarray, high: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Whether a row is the first with its key, and, of those, which have another row."""
+    _, index, inverse, counts = np.unique(low, return_index=True, return_inverse=True, return_counts=True)
+    if high is not None and len(low) and (high != high[index][inverse]).any():  # two windows with one half in common
+        whole = np.rec.fromarrays((low, high))
+        _, index, counts = np.unique(whole, return_index=True, return_counts=True)
+    first, again = np.zeros(len(low), bool), np.zeros(len(low), bool)
+    first[index], again[index] = True, counts > 1
+    return first, again[first]
 
 
 def _signed(x: np.ndarray) -> pa.Array:
@@ -121,7 +171,7 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _distinct(rows: list[tuple]) -> list[tuple]:
-    """Rows (th, id, text, ...) in document order, one of each text hash."""
+    """Rows (th, id, ...) in document order, one of each text hash."""
     return sorted({r[0]: r for r in rows}.values(), key=lambda r: (r[1] is None, r[1] or 0, r[0]))
 
 
@@ -147,18 +197,13 @@ def repeated_anchors(rows: DataFrame, cover: Cover) -> DataFrame:
 
     def run(batches):
         hasher = Hasher()
-        for chunk in _chunks(batches, ["th", "id", "body"]):
-            docs = _distinct(chunk)
-            hashes = []
-            for _, _, text in docs:
-                words = hasher.words(text)
-                hashes.append(run_hashes(words, cover.places(len(words)), cover.anchor, 1))
+        for docs in _documents(batches, hasher, _bytes_of):
+            hashes = [hasher.runs(words, cover.places(len(words)), cover.anchor, 1) for _, _, words, _ in docs]
             counts = [len(h) for h in hashes]
             key, doc = np.concatenate(hashes), np.repeat(np.arange(len(docs)), counts)
             number = np.concatenate([np.arange(c) for c in counts])
-            first = _first_of_each(key)
+            first, twice = _firsts(key)
             again = np.flatnonzero(~first)
-            twice = np.isin(key[first], key[again])
             low, high = _ranges(doc[again], number[again])
             owner = np.concatenate((doc[first], doc[again][low]))
             begin = np.concatenate((number[first], number[again][low]))
@@ -178,23 +223,17 @@ def repeated_anchors(rows: DataFrame, cover: Cover) -> DataFrame:
     return found.groupBy("th").agg(F.collect_list(F.struct(begin.alias("begin"), (begin + F.col("more")).alias("end"))).alias("spans"))
 
 
-def _covered(count: int, spans: list, reach: int, back: int = 0) -> np.ndarray:
-    """Which of ``count`` places lie in [begin - back, end + reach] of a span."""
-    edges = np.zeros(count + 1, np.int64)
-    if count and spans:
-        begin = np.array([s["begin"] for s in spans], np.int64)
-        end = np.array([s["end"] for s in spans], np.int64)
-        np.add.at(edges, np.clip(begin - back, 0, count), 1)
-        np.add.at(edges, np.clip(end + reach + 1, 0, count), -1)
+def _covered(count: int, begin: np.ndarray, end: np.ndarray, *, back: int = 0, reach: int = 0) -> np.ndarray:
+    """Which of ``count`` places lie in [begin - back, end + reach] of a pair."""
+    edges = np.bincount(np.clip(begin - back, 0, count), minlength=count + 1) - np.bincount(np.clip(end + reach + 1, 0, count), minlength=count + 1)
     return np.cumsum(edges[:-1]) > 0
 
 
-def _windows(words: np.ndarray, spans: list, cover: Cover) -> np.ndarray:
-    """Starts of windows that hold a whole anchor of the spans."""
-    places = cover.places(len(words))
-    chosen = places[_covered(len(places), spans, 0)]
-    near = [{"begin": p, "end": p} for p in chosen.tolist()]
-    return np.flatnonzero(_covered(max(0, len(words) - cover.window + 1), near, 0, cover.period - 1))
+def _windows(count: int, begin: np.ndarray, end: np.ndarray, cover: Cover) -> np.ndarray:
+    """Starts of windows of a text of ``count`` words that hold a whole anchor of the spans (anchors by number)."""
+    places = cover.places(count)
+    chosen = places[_covered(len(places), begin, end)]
+    return np.flatnonzero(_covered(max(0, count - cover.window + 1), chosen, chosen, back=cover.period - 1))
 
 
 def later_windows(rows: DataFrame, cover: Cover) -> DataFrame:
@@ -202,20 +241,13 @@ def later_windows(rows: DataFrame, cover: Cover) -> DataFrame:
 
     def run(batches):
         hasher = Hasher()
-        for chunk in _chunks(batches, ["th", "id", "body", "spans"]):
-            docs = _distinct(chunk)
-            low, high, begins = [], [], []
-            for _, _, text, spans in docs:
-                words = hasher.words(_opened(text))
-                at = _windows(words, spans, cover)
-                low.append(run_hashes(words, at, cover.window, 2))
-                high.append(run_hashes(words, at, cover.window, 3))
-                begins.append(at)
-            doc = np.repeat(np.arange(len(docs)), [len(b) for b in begins])
-            low, high, begin = np.concatenate(low), np.concatenate(high), np.concatenate(begins)
-            whole = np.empty(len(low), [("low", np.uint64), ("high", np.uint64)])
-            whole["low"], whole["high"] = low, high
-            first = _first_of_each(whole)
+        for docs in _documents(batches, hasher, _unpacked):
+            begins = [_windows(len(words), *spans, cover) for _, _, words, spans in docs]
+            low, high = (
+                np.concatenate([hasher.runs(d[2], at, cover.window, seed) for d, at in zip(docs, begins)]) for seed in (2, 3)
+            )
+            doc, begin = np.repeat(np.arange(len(docs)), [len(b) for b in begins]), np.concatenate(begins)
+            first, _ = _firsts(low, high)
             again = np.flatnonzero(~first)  # these start earlier in the chunk already
             a, b = _ranges(doc[again], begin[again])
             owner = np.concatenate((doc[first], doc[again][a]))
@@ -244,10 +276,6 @@ def _shut(texts: pa.Array) -> pa.Array:
     return pa.array([pack((t or "").encode("utf-8", "surrogatepass")) for t in each(texts)], pa.binary())
 
 
-def _opened(packed_text: bytes) -> str:
-    return zstandard.decompress(packed_text).decode("utf-8", "surrogatepass")
-
-
 def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
     """``th id body``: the text's hash, the key and the text of every row; NULL texts are empty."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
@@ -282,11 +310,6 @@ def later(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: s
     return joined.filter("ranges is not null or copies > 1").select("t", "first_id", "ranges")
 
 
-def removed(words: int, ranges: list | None, window: int) -> np.ndarray:
-    """Which of ``words`` words are covered by windows that start in the ranges."""
-    return _covered(words, ranges or [], window - 1)
-
-
 def kept(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: str = "doc_id") -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)``, one row per row of ``docs``: the words that stay, joined by a space.
 
@@ -310,11 +333,12 @@ def _finished(docs: DataFrame, cover: Cover, text: str, key: str, name: str, sho
 
     def run(bodies: pa.Array, spans: pa.Array) -> pa.Array:
         counts, gone, out = [], [], []
-        for body, ranges in zip(each(bodies), each(spans)):
+        for body, (begin, end) in zip(each(bodies), _spans_of(spans)):
             words = zstandard.decompress(body).split()
             counts.append(len(words))
-            if ranges:
-                words = [w for w, drop in zip(words, removed(len(words), ranges, window).tolist()) if not drop]
+            if len(begin):
+                stays = ~_covered(len(words), begin, end, reach=window - 1)
+                words = list(compress(words, stays.tolist()))
             gone.append(counts[-1] - len(words))
             out.append(show(words))
         return pa.StructArray.from_arrays([pa.array(counts, pa.int64()), pa.array(gone, pa.int64()), pa.array(out, pa.string())], ["n_words", "n_removed", "out"])

@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from isobar.llm import substrings
@@ -43,9 +44,29 @@ def test_query_equals_all_windows(spark):
     assert sum(m for _, _, m, _ in got) > 0
 
 
+def test_hashes_follow_the_words():
+    """Equal words and stretches hash alike wherever they lie, different ones apart; texts that touch stay apart."""
+    texts = ["ab cd ab", "", "  ab\tcd\x0bab\n", "abcd", "x" * 3000 + " ab", "é ab", "cd ab cd ab cd"]
+    raw = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)])
+    hasher = substrings.Hasher()
+    listed = hasher.words(data, offsets)
+    assert [len(h) for h in listed] == [len(b.split()) for b in raw]
+    by_word = {}
+    for words, hashes in zip((b.split() for b in raw), listed):
+        for w, h in zip(words, hashes.tolist()):
+            assert by_word.setdefault(w, h) == h
+    assert len(set(by_word.values())) == len(by_word)
+    last = listed[-1]
+    runs = hasher.runs(last, np.arange(3), 3, 2).tolist()
+    assert runs[0] == runs[2] != runs[1]
+    assert hasher.runs(listed[0], np.arange(1), 3, 2).tolist()[0] == runs[1]
+
+
 @pytest.mark.parametrize("at_once", [1, 60, 2_000_000])
 def test_planted_passages(spark, at_once, monkeypatch):
     monkeypatch.setattr(substrings, "WORDS_AT_ONCE", at_once)
+    monkeypatch.setattr(substrings, "BYTES_AT_ONCE", at_once)
     rng = random.Random(at_once)
     fresh = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
     passages = [fresh(n) for n in (19, 20, 21, 33, 60)]
