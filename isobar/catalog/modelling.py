@@ -7,6 +7,7 @@ from isobar.catalog import HOURLY, READINGS, Tables, query
 from isobar.operators import features, metrics, quality
 from isobar.operators.encode import encode_labels, label_mapping, one_hot
 from isobar.operators.leastsquares import least_squares
+from isobar.operators.ordered import largest_group
 from isobar.operators.series import lagged, time_split
 from isobar.operators.split import portable_share, with_folds, with_stratified_folds
 from isobar.plans import models
@@ -420,8 +421,10 @@ def future_exog_held(t: Tables) -> DataFrame:
 
 def _fitted(t: Tables):
     spec = Forecaster(["city"], ["observed_at"], exog=EXOG, exog_lags=2)
-    rows = stage(spec.split(spec.prepare(_series(t))), "prepared")
-    return spec, spec.fit(rows)
+    series = _series(t)
+    longest = largest_group(series, spec.keys)
+    rows = stage(spec.split(spec.prepare(series, longest=longest), longest=longest), "prepared")
+    return spec, spec.fit(rows, longest=longest)
 
 
 @query("series_eval")

@@ -131,7 +131,8 @@ def arrange(
     With ``look_back`` = L each block also sees the L rows before it, flagged as
     halo.  ``order`` should end in a unique column: rows tied on all of it
     cannot be separated by the range partitioning, nor ordered repeatably.
-    Pass ``longest``, the longest series' rows, where it is already known.
+    Pass ``longest``, a bound of the longest series' rows, where one is known:
+    operators in a chain then count once, not once each.
     """
     if (largest_group(df, keys) if longest is None else longest) <= block_rows:
         return Series(df, keys, order, False)
@@ -156,9 +157,10 @@ def positions(
     name: str = "position",
     total: str | None = None,
     block_rows: int = BLOCK_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Add the 1-based position in each series and, if asked, the series length."""
-    series = arrange(df, keys, order, block_rows=block_rows)
+    series = arrange(df, keys, order, block_rows=block_rows, longest=longest)
     if not series.split:
         out = df.withColumn(name, F.row_number().over(series.window).cast("long"))
         if total:

@@ -47,11 +47,12 @@ def lagged(
     lags: int = 1,
     moving: bool = True,
     block_rows: int = BLOCK_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Lags 1..``lags`` and, if asked, the lagged moving means of ``columns``."""
     columns = [c for c in columns if c in df.columns]
     depth = max(lags, max(MOVING) if moving else 0)
-    series = arrange(df, keys, order, look_back=depth, block_rows=block_rows)
+    series = arrange(df, keys, order, look_back=depth, block_rows=block_rows, longest=longest)
     added = lag_expressions(series, columns, lags)
     if moving:
         added |= moving_expressions(series, columns)
@@ -158,9 +159,10 @@ def time_split(
     test_size: float = 0.2,
     name: str = "is_train",
     block_rows: int = BLOCK_ROWS,
+    longest: int | None = None,
 ) -> DataFrame:
     """Mark the first ``floor((1 - test_size) * n)`` rows of each series as training rows."""
-    numbered = positions(df, keys, order, name="__at", total="__n", block_rows=block_rows)
+    numbered = positions(df, keys, order, name="__at", total="__n", block_rows=block_rows, longest=longest)
     cut = F.floor(F.lit(1 - test_size) * F.col("__n"))
     return numbered.withColumn(name, F.col("__at") <= cut).drop("__at", "__n")
 

@@ -129,17 +129,23 @@ class Forecaster:
 
     # ---- preparation -------------------------------------------------------
 
-    def prepare(self, df: DataFrame, *, minimum: int = 200, minimum_complete: int = 100) -> DataFrame:
+    # ``longest`` bounds the rows of a series: a caller that knows it saves a count in every step.
+
+    def prepare(
+        self, df: DataFrame, *, minimum: int = 200, minimum_complete: int = 100, longest: int | None = None
+    ) -> DataFrame:
         """Series long enough, with lagged regressors and complete rows only."""
         out = enough_rows(df, self.keys, minimum)
         if self.exog and self.lag_exog:
             out = lagged(
-                out, self.keys, self.time, list(self.exog), lags=self.exog_lags, block_rows=self.block_rows
+                out, self.keys, self.time, list(self.exog), lags=self.exog_lags, block_rows=self.block_rows, longest=longest
             )
         return enough_rows(complete_rows(out), self.keys, minimum_complete)
 
-    def split(self, prepared: DataFrame, test_size: float = 0.2) -> DataFrame:
-        return time_split(prepared, self.keys, self.time, test_size=test_size, block_rows=self.block_rows)
+    def split(self, prepared: DataFrame, test_size: float = 0.2, *, longest: int | None = None) -> DataFrame:
+        return time_split(
+            prepared, self.keys, self.time, test_size=test_size, block_rows=self.block_rows, longest=longest
+        )
 
     # ---- estimation --------------------------------------------------------
 
@@ -229,12 +235,12 @@ class Forecaster:
             model = model.withColumn("first_stage", F.lit(None).cast("array<double>"))
         return stage(model, "model")
 
-    def fit(self, rows: DataFrame) -> Fitted:
+    def fit(self, rows: DataFrame, *, longest: int | None = None) -> Fitted:
         """Fit every series, with its regressors and (when asked for) without.
 
         Only rows with ``is_train`` are used if ``rows`` has that column.
         """
-        longest = largest_group(rows, self.keys)
+        longest = largest_group(rows, self.keys) if longest is None else longest
         if not self.regressors:
             return Fitted(self, rows, None, longest, self.estimate(rows, [], longest))
         return Fitted(self, rows, self.estimate(rows, self.regressors, longest), longest)

@@ -14,6 +14,7 @@ from isobar.operators.clean import clean
 from isobar.operators.columns import canonical_hourly, first_keys, keep_keys, recent
 from isobar.operators.features import engineer, observed_at
 from isobar.operators.joins import mark_processed, unprocessed
+from isobar.operators.ordered import largest_group
 from isobar.operators.series import enough_rows
 from isobar.plans.forecast import Forecaster
 from isobar.schema import MEASURES
@@ -115,12 +116,13 @@ def train_and_forecast(
     if keys:
         rows = keep_keys(rows, spec.keys[0], keys)
     rows = enough_rows(rows, [], minimum_rows)
-    prepared = stage(spec.split(spec.prepare(rows)), "prepared")
-    fitted = spec.fit(prepared)
+    longest = largest_group(rows, spec.keys)  # counted once for all steps
+    prepared = stage(spec.split(spec.prepare(rows, longest=longest), longest=longest), "prepared")
+    fitted = spec.fit(prepared, longest=longest)
     evaluation = stage(spec.evaluate(fitted), "evaluation")
     # Only the series that are forecast are fitted again.
     chosen = first_keys(prepared.drop("is_train"), spec.keys[0], first)
-    forecast = spec.forecast(spec.fit(chosen) if refit else replace(fitted, rows=chosen), steps)
+    forecast = spec.forecast(spec.fit(chosen, longest=longest) if refit else replace(fitted, rows=chosen), steps)
     return {
         "rows": rows,
         "evaluation": evaluation,
