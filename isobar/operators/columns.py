@@ -40,6 +40,7 @@ HOURLY_NAMES = {
     "Pressure": "pressure",
     "Humidity": "humidity",
 }
+# Columns that are or reveal a target.
 TARGET_COLUMNS = ["precipitation", "rain_flag", "air_quality", "is_weekend", "will_rain"]
 
 

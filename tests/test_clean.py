@@ -14,46 +14,47 @@ MEASURES = "temperature double, humidity double, pressure double, wind_speed dou
 def messy(spark):
     return spark.createDataFrame(
         [
-            (0, 25.0, 60.0, 1013.0, 10.0, 0.0),
-            (1, None, 70.0, 1015.0, 15.0, 2.0),
-            (2, 30.0, None, 1010.0, 5.0, 0.0),
-            (3, 1000.0, 50.0, 1012.0, 8.0, 1.0),
-            (4, 20.0, 80.0, None, 12.0, 0.0),
+            (0, 12.0, 40.0, 998.0, 3.0, 0.0),
+            (1, 14.0, None, 1002.0, 4.0, 0.5),
+            (2, None, 44.0, 1000.0, 5.0, 0.0),
+            (3, 16.0, 48.0, None, 6.0, 1.0),
+            (4, 18.0, 52.0, 1004.0, 90.0, 0.0),
+            (5, 20.0, 56.0, 1006.0, 7.0, 0.5),
         ],
         "row int, " + MEASURES,
     )
 
 
 def test_clean_keeps_filled_inliers(messy):
-    rows = {r.row: r for r in clean.clean(messy).collect()}
-    assert sorted(rows) == [0, 2, 4]
-    assert rows[2].humidity == 65.0 and rows[4].pressure == 1012.5
-    assert rows[0].temperature == 25.0
+    rows = {r.row: r for r in clean.clean(messy, fill_columns=["temperature", "humidity", "pressure"]).collect()}
+    assert sorted(rows) == [0, 1, 2, 3, 5]
+    assert (rows[2].temperature, rows[1].humidity, rows[3].pressure) == (16.0, 48.0, 1002.0)
+    assert rows[0].temperature == 12.0
 
 
 def test_sequential_fences(messy):
+    """Each column's fences come from the rows the columns before it have left."""
     filled = clean.fill_median(messy)
-    assert clean.iqr_bounds(filled, ["temperature"])["temperature"] == (17.5, 37.5)
-    warm = filled.filter(F.col("temperature").between(17.5, 37.5))
-    assert clean.iqr_bounds(warm, ["humidity"])["humidity"] == (50.625, 85.625)
+    assert clean.iqr_bounds(filled, ["temperature", "wind_speed"]) == {"temperature": (10.0, 22.0), "wind_speed": (0.5, 10.5)}
+    assert clean.iqr_bounds(filled, ["humidity"])["humidity"] == (36.0, 60.0)
+    calm = filled.filter(F.col("wind_speed").between(0.5, 10.5))
+    assert clean.iqr_bounds(calm, ["humidity"])["humidity"] == (38.0, 54.0)
 
 
 def test_outlier_rows_dropped(spark):
-    df = spark.createDataFrame(
-        list(zip(range(5), [25.0, 30.0, 20.0, 1000.0, 22.0], [60.0, 70.0, 50.0, 65.0, 55.0], [1013.0, 1015.0, 1010.0, 1012.0, 1014.0])),
-        "row int, temperature double, humidity double, pressure double",
-    )
-    assert sorted(r.row for r in clean.drop_outliers(df).collect()) == [0, 1, 2, 4]
+    rows = [(k, 5.0 + k if k < 4 else 300.0, 30.0 + 5 * k, 990.0 + k) for k in range(5)]
+    df = spark.createDataFrame(rows, "row int, temperature double, humidity double, pressure double")
+    assert sorted(r.row for r in clean.drop_outliers(df).collect()) == [0, 1, 2, 3]
 
 
 def test_missing_values(spark):
     df = spark.createDataFrame(
-        [(25.0, 60.0, "SP", None), (None, 70.0, None, None), (30.0, None, "RJ", None)],
+        [(8.0, 30.0, "north", None), (None, 34.0, None, None), (11.0, None, "east", None)],
         "temperature double, humidity double, location string, note string",
     )
     rows = clean.fill_mode(clean.fill_median(df)).collect()
-    assert rows[1].temperature == 27.5 and rows[2].humidity == 65.0
-    assert rows[1].location == "RJ" and {r.note for r in rows} == {"Unknown"}
+    assert rows[1].temperature == 9.5 and rows[2].humidity == 32.0
+    assert rows[1].location == "east" and {r.note for r in rows} == {"Unknown"}
 
 
 def test_nan_counts_as_missing(spark):
