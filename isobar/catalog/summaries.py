@@ -30,7 +30,8 @@ def dedupe(t: Tables) -> DataFrame:
            coalesce(pressure, p) AS pressure FROM g, m""",
 )
 def median_fill(t: Tables) -> DataFrame:
-    return clean.fill_median(t.gappy.select("event_id", "temperature", "humidity", "pressure"))
+    measures = ["temperature", "humidity", "pressure"]
+    return clean.fill_median(t.gappy.select("event_id", *measures), measures)
 
 
 @query(
