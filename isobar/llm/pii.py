@@ -9,23 +9,31 @@ wins over one that runs them together.  The best segmentation comes from
 dynamic programming over end positions, linear in the stretch.
 
 Weights are trained by maximum likelihood (forward-backward over segments) on
-a bounded sample of stretches of the table itself, with the fixed patterns'
-spans as truth; the field then reads spans those patterns must drop.  Spans of
-the fixed patterns stay, the field adds only spans that touch none of them.
+windows of the table itself, with the fixed patterns' spans as truth; the field
+then reads spans those patterns must drop.  Windows come from every stretch of
+every text, a bounded number for each kind and as many without a span, so rare
+kinds are seen however many other numbers there are.  A kind without any
+example is never added.  Spans of the fixed patterns stay, the field adds only
+spans that touch none of them.
 """
 
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
+from bisect import bisect_left
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from isobar.llm.text import each, text_udf
+from isobar.llm.text import each, small_batches, text_udf
+from isobar.staging import discard, stage
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
@@ -42,6 +50,7 @@ _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 
 MOST_TOKENS = 20
 REACH = 64
+WINDOW = 3 * REACH
 
 
 def luhn(digits: str) -> bool:
@@ -257,7 +266,7 @@ def marginals(lat: Lattice, scores: np.ndarray) -> tuple[np.ndarray, float]:
 
 @dataclass(frozen=True)
 class Field:
-    """samples: stretches to train on at most.  rounds: passes over them.  penalty: of squared weights."""
+    """samples: windows to train on at most for each kind, and as many without a span.  rounds: passes over them.  penalty: of squared weights."""
 
     samples: int = 300
     rounds: int = 40
@@ -265,33 +274,36 @@ class Field:
     penalty: float = 1e-3
 
 
+def examples(part: str) -> Iterator[tuple[Lattice, np.ndarray]]:
+    """Every stretch of a part with segments, and which segment is which kind by the fixed patterns."""
+    base = base_spans(part)
+    for begin, end in stretches(part):
+        lat = lattice(part[begin:end], part[begin - 1 : begin], part[end : end + 1])
+        if not len(lat.begin):
+            continue
+        at = {o + begin: n for n, o in enumerate(lat.offsets)}
+        wanted = np.zeros((len(lat.begin), len(KINDS)))
+        places = {(int(i), int(j)): s for s, (i, j) in enumerate(zip(lat.begin, lat.end))}
+        taken: list[tuple[int, int]] = []
+        for kind, a, b in base:
+            s = places.get((at.get(a, -1), at.get(b, -1)))
+            if s is not None and all(b <= x or a >= y for x, y in taken):
+                wanted[s, KINDS.index(kind)] = 1
+                taken.append((a, b))
+        yield lat, wanted
+
+
 def train(parts: list[str], how: Field = Field()) -> np.ndarray:
     """Weights (kind x feature) by maximum likelihood of the fixed patterns' spans; no part: all zero, nothing is added."""
-    lattices, truth = [], []
-    for part in parts:
-        for begin, end in stretches(part):
-            lat = lattice(part[begin:end], part[begin - 1 : begin], part[end : end + 1])
-            if not len(lat.begin):
-                continue
-            at = {o + begin: n for n, o in enumerate(lat.offsets)}
-            wanted = np.zeros((len(lat.begin), len(KINDS)))
-            places = {(int(i), int(j)): s for s, (i, j) in enumerate(zip(lat.begin, lat.end))}
-            taken: list[tuple[int, int]] = []
-            for kind, a, b in base_spans(part):
-                s = places.get((at.get(a, -1), at.get(b, -1)))
-                if s is not None and all(b <= x or a >= y for x, y in taken):
-                    wanted[s, KINDS.index(kind)] = 1
-                    taken.append((a, b))
-            lattices.append(lat)
-            truth.append(wanted)
+    every = [example for part in parts for example in examples(part)]
     weights = np.zeros((len(KINDS), FEATURES))
-    if not lattices:
+    if not every:
         return weights
     weights[:, 0] = -4.0  # entities are rare until seen
     squares = np.full_like(weights, 1e-8)
     for _ in range(how.rounds):
-        slope = -how.penalty * len(lattices) * weights
-        for lat, wanted in zip(lattices, truth):
+        slope = -how.penalty * len(every) * weights
+        for lat, wanted in every:
             expected, _ = marginals(lat, lat.phi @ weights.T)
             slope += (wanted - expected).T @ lat.phi
         squares += slope * slope
@@ -299,14 +311,76 @@ def train(parts: list[str], how: Field = Field()) -> np.ndarray:
     return weights
 
 
+def _cut(text: str, begin: int, tied: bytearray) -> int:
+    """Where a window from ``begin`` ends: the last blank beside something other than digits, else a token's end, never inside a span if that can be."""
+    free = [p for p in range(begin + WINDOW, begin, -1) if not tied[p]]
+    for p in free:
+        if text[p - 1].isspace() and not (text[p - 2 : p - 1].isdigit() and text[p].isdigit()):
+            return p
+    return next((p for p in free if not (text[p - 1].isalnum() and text[p].isalnum())), begin + WINDOW)
+
+
+def windows(text: str) -> Iterator[tuple[str, set[str]]]:
+    """All stretches in windows of at most ``WINDOW`` characters, with the kinds of their spans.
+
+    A window that cuts a span, or looks by itself as if it had other spans than in its text, would teach the wrong thing and is left out.
+    """
+    parts = stretches(text)
+    if not parts:
+        return
+    base = sorted(base_spans(text), key=lambda s: s[1])
+    starts, tied = [a for _, a, _ in base], bytearray(len(text) + 1)
+    for _, a, b in base:
+        tied[a + 1 : b] = b"\1" * (b - a - 1)
+    for begin, stop in parts:
+        while begin < stop:
+            end = stop if stop - begin <= WINDOW else _cut(text, begin, tied)
+            if not tied[begin] and not tied[end]:
+                spans = {(k, a - begin, b - begin) for k, a, b in base[bisect_left(starts, begin) : bisect_left(starts, end)]}
+                if spans == set(base_spans(text[begin:end])):
+                    yield text[begin:end], {k for k, _, _ in spans}
+            begin = end
+
+
+NO_KIND = "none"
+
+
+def smallest(texts: Iterable[str | None], most: int) -> dict[str, dict[bytes, str]]:
+    """By kind, and ``NO_KIND``, the ``most`` different windows of smallest hash that teach it."""
+    kept: dict[str, dict[bytes, str]] = {k: {} for k in (*KINDS, NO_KIND)}
+    tops: dict[str, list[tuple[int, bytes]]] = {k: [] for k in kept}
+    for text in texts:
+        for near, kinds in windows(text or ""):
+            key = hashlib.blake2b(near.encode(), digest_size=16).digest()
+            order = -int.from_bytes(key)
+            wants = {k for k in (*kinds, NO_KIND) if key not in kept[k] and (len(tops[k]) < most or order > tops[k][0][0])}
+            if not wants or not (taught := [wanted for _, wanted in examples(near)]):
+                continue
+            marked = sum(w.sum(0) for w in taught)
+            for k in wants & ({k for k, n in zip(KINDS, marked) if n} or {NO_KIND}):
+                kept[k][key] = near
+                heapq.heappush(tops[k], (order, key))
+                if len(tops[k]) > most:
+                    del kept[k][heapq.heappop(tops[k])[1]]
+    return kept
+
+
 def fit(docs: DataFrame, how: Field = Field(), *, text: str = "text") -> np.ndarray:
-    """Train on the first stretch of the ``how.samples`` documents whose stretch has the smallest hash."""
-    body = F.col(f"`{text}`")
-    place = F.regexp_instr(body, F.lit("[0-9@+]"))
-    near = F.substring(body, F.greatest(place - REACH, F.lit(1)), F.lit(3 * REACH))
-    found = docs.select(near.alias("near")).filter("near rlike '[0-9@+]'").distinct()
-    rows = found.orderBy(F.xxhash64("near"), "near").limit(how.samples).collect()  # samples x 192 characters
-    return train([r.near for r in rows], how)
+    """Train on windows of every stretch of every text: by kind, and of those without a span, the ``how.samples`` of smallest hash."""
+    most = how.samples
+
+    def run(batches):
+        kept = smallest((t for batch in batches for t in each(batch.column(0))), most)
+        rows = [{"kind": k, "hash": h, "near": near} for k, found in kept.items() for h, near in found.items()]
+        yield pa.RecordBatch.from_pylist(rows, pa.schema([("kind", pa.string()), ("hash", pa.binary()), ("near", pa.string())]))
+
+    small_batches()
+    # At most 5 x samples rows a partition.
+    found = stage(docs.select(F.col(f"`{text}`").alias("body")).mapInArrow(run, "kind string, hash binary, near string"), "windows")
+    tops = [found.filter(F.col("kind") == k).distinct().orderBy("hash").limit(most) for k in (*KINDS, NO_KIND)]
+    rows = reduce(DataFrame.unionAll, tops).collect()  # 5 x samples x 192 characters
+    discard(found)
+    return train([near for _, near in sorted({(bytes(r.hash), r.near) for r in rows})], how)
 
 
 def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:

@@ -124,3 +124,46 @@ def test_odd_rows_empty_table_and_columns(spark, weights):
     empty = documents(spark, [])
     untrained = pii.fit(empty)
     assert not untrained.any() and empty.select(pii.spans(F.col("text"), untrained)).count() == 0
+
+
+def test_rare_kinds_behind_other_numbers_are_learned(spark):
+    filler = "plain words without any numbers in them stand here " * 5
+    years = [f"in {1000 + i % 1000} the price was {i}.50 {filler}" for i in range(3000)]
+    rng = random.Random(9)
+    rare = [f"write to a{i}.lee@mail{i}.example.com now" for i in range(30)] + [f"host 10.{i}.0.255 is up" for i in range(30)]
+    rare += [f"call +1 ({200 + i}) 555-{7000 + 13 * i} now" for i in range(30)]
+    for i in range(60):
+        digits = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        digits += next(c for c in "0123456789" if pii.luhn(digits + c))
+        rare.append("pay " + (digits if i % 2 else " ".join(digits[k : k + 4] for k in range(0, 16, 4))) + " today")
+    texts = [*years, *[f"{y} {r}" for y, r in zip(years, rare)], None, ""]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string")
+    found = pii.fit(frame.repartition(3))
+    for text in ("call +1 (487) 555-7209 4111111111111111", "call +1 (487) 555-7209 4111111111111111 now"):
+        assert pii.find(text, found)[1] == [("card", 23, 39), ("phone", 5, 22)]
+    for clean in ("the year 2024 had 365 days", "v1.2.3 of 12 parts", "in 1999 the price was 7.50"):
+        assert pii.find(clean, found)[1] == []
+    assert (pii.fit(frame.unionByName(frame).repartition(7)) == found).all()
+
+
+def test_windows_take_every_stretch():
+    spans = ["ann.lee@mail.example.com", "10.0.0.255", "4111 1111 1111 1111", "+1 (487) 555-7209"]
+    text = " ".join(f"{w}, {n}," for n in range(200) for w in spans)
+    assert len(pii.stretches(text)) == 1
+    found = list(pii.windows(text))
+    assert max(len(w) for w, _ in found) <= pii.WINDOW
+    assert all({k for k, _, _ in pii.base_spans(w)} == kinds for w, kinds in found)
+    assert sum(len(pii.base_spans(w)) for w, _ in found) == len(pii.base_spans(text)) == 800
+    for text in ("9" * 5_000, "1 " * 5_000, "a" * 5_000 + "@b.c", "1." * 5_000, "@" * 5_000, "+1" * 5_000):
+        assert all(len(w) <= pii.WINDOW for w, _ in pii.windows(text))
+
+
+def test_smallest_keeps_a_bound_for_each_kind():
+    rng = random.Random(5)
+    texts = [f"{rng.randrange(10**6)} parts of {rng.randrange(10**6)}" for _ in range(500)] + [f"host 10.0.{i}.7" for i in range(40)] + ["pay 4111111111111111"]
+    kept = pii.smallest(texts, 25)
+    assert {k: len(v) for k, v in kept.items()} == {"email": 0, "ip": 25, "card": 1, "phone": 0, "none": 25}
+    rng.shuffle(texts)
+    assert pii.smallest(texts, 25) == kept
+    halves = [pii.smallest(texts[::2], 25), pii.smallest(texts[1::2], 25)]
+    assert all(dict(sorted({**halves[0][k], **halves[1][k]}.items())[:25]) == kept[k] for k in kept)
