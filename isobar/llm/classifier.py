@@ -10,7 +10,8 @@
   share of label 1, linear between blocks.
 
 Fitting takes at most ``fit_rows`` labelled documents, those whose key has the
-smallest hash; all other work covers every row.
+smallest hash; rows that share a key share one weight; all other work covers
+every row.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from isobar.llm.text import each, packed, text_udf
@@ -122,11 +123,16 @@ def lifted(stats: np.ndarray, mean: np.ndarray, scale: np.ndarray, kernel: Kerne
     return np.sqrt(2 / kernel.features) * np.cos((stats - mean) / scale @ w + b)
 
 
-def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Non-decreasing least-squares levels of y along x, as knots for interpolation; equal x are one point."""
+#: Different texts of one key that are fitted on at most.
+TEXTS_PER_KEY = 16
+
+
+def isotonic(x: np.ndarray, y: np.ndarray, share: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Non-decreasing least-squares levels of y (weighted by ``share``) along x, as knots for interpolation; equal x are one point."""
     points, inverse = np.unique(x, return_inverse=True)
-    weight = np.bincount(inverse).astype(float)
-    mean = np.bincount(inverse, y) / weight
+    share = np.ones(len(y)) if share is None else share
+    weight = np.bincount(inverse, share)
+    mean = np.bincount(inverse, share * y) / weight
     blocks: list[list[float]] = []  # mean, weight, first x, last x
     for p, m, w in zip(points, mean, weight):
         blocks.append([m, w, p, p])
@@ -140,19 +146,21 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _moments(rows: DataFrame) -> tuple[np.ndarray, np.ndarray, float, int]:
-    """Mean and spread of the statistics, mean label and count, summed per partition."""
+    """Mean and spread of the statistics, mean label and count of keys, summed per partition."""
 
     def run(batches):
         total = np.zeros(2 * STATISTICS + 2)
         for batch in batches:
             x = batch.column("stats").flatten().to_numpy(zero_copy_only=False).reshape(-1, STATISTICS)
             y = batch.column("y").to_numpy(zero_copy_only=False)
-            total += np.concatenate((x.sum(0), (x * x).sum(0), [y.sum(), len(y)]))
+            share = batch.column("share").to_numpy(zero_copy_only=False)
+            weighted = x * share[:, None]
+            total += np.concatenate((weighted.sum(0), (weighted * x).sum(0), [(share * y).sum(), share.sum()]))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["at", "part"])
 
     sums = rows.mapInArrow(run, "at long, part double").groupBy("at").agg(F.sum("part").alias("part")).orderBy("at").collect()
     values = np.array([r.part for r in sums]) if sums else np.zeros(2 * STATISTICS + 2)
-    n = int(values[-1])
+    n = round(values[-1])
     if not n:
         return np.zeros(STATISTICS), np.ones(STATISTICS), 0.0, 0
     mean = values[:STATISTICS] / n
@@ -170,7 +178,8 @@ def _normal_equations(rows: DataFrame, mean: np.ndarray, scale: np.ndarray, bias
             x = batch.column("stats").flatten().to_numpy(zero_copy_only=False).reshape(-1, STATISTICS)
             y = batch.column("y").to_numpy(zero_copy_only=False)
             z = lifted(x, mean, scale, kernel)
-            total += np.column_stack((z.T @ z, z.T @ (y - bias)))
+            weighted = (z * batch.column("share").to_numpy(zero_copy_only=False)[:, None]).T
+            total += np.column_stack((weighted @ z, weighted @ (y - bias)))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(size)), pa.array(list(total), pa.list_(pa.float64()))], ["at", "part"])
 
     def add(batches):
@@ -189,7 +198,9 @@ def fit(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel(), *, text:
     """Fit on the rows of ``docs`` that ``labels`` (``doc_id``, ``y`` in 0..1) marks; None without any such row.
 
     A document labelled more than once counts with its mean label; NULL labels
-    and keys are left out.
+    and keys are left out.  A key weighs the same however many rows carry it:
+    equal texts count once, different ones share its weight, ``TEXTS_PER_KEY``
+    of them at most.
     """
     chosen = labels.filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.avg("y").cast("double").alias("y"))
     chosen = chosen.orderBy(F.xxhash64("doc_id"), "doc_id").limit(kernel.fit_rows)
@@ -199,7 +210,12 @@ def fit(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel(), *, text:
 
     rows = packed(docs, id=F.col(f"`{key}`"), body=F.col(f"`{text}`")).drop("row")
     rows = rows.join(F.broadcast(chosen), F.col("id") == F.col("doc_id"))  # fit_rows rows of 16 bytes at most
-    rows = rows.select("id", "y", text_udf(measure, "array<double>")("body").alias("stats"))
+    # Repeated rows are dropped before the shuffle; a slot of a key keeps the text of smallest hash.
+    body = F.coalesce("body", F.lit(""))
+    placed = rows.select("id", "y", body.alias("body"), F.xxhash64(body).alias("hash"))
+    rows = placed.groupBy("id", "y", F.pmod("hash", F.lit(TEXTS_PER_KEY)).alias("slot")).agg(F.min(F.struct("hash", "body"))["body"].alias("body"))
+    share = 1 / F.count(F.lit(1)).over(Window.partitionBy("id"))  # TEXTS_PER_KEY rows at most
+    rows = rows.select("id", "y", share.alias("share"), text_udf(measure, "array<double>")("body").alias("stats"))
     # One order of summing whatever the partitions were.
     rows = stage(rows.repartition(4, "id").sortWithinPartitions("id", "stats"), "fit")
     mean, scale, bias, n = _moments(rows)
@@ -209,11 +225,11 @@ def fit(docs: DataFrame, labels: DataFrame, kernel: Kernel = Kernel(), *, text:
     gram, moment = _normal_equations(rows, mean, scale, bias, kernel)
     weights = np.linalg.solve(gram + kernel.ridge * n * np.eye(len(gram)), moment)
     trained = Model(mean, scale, weights, bias, np.zeros(1), np.zeros(1), kernel)
-    # At most fit_rows pairs of numbers.
-    pairs = rows.select("stats", "y").toArrow()
+    # At most fit_rows x TEXTS_PER_KEY rows of numbers.
+    pairs = rows.select("stats", "y", "share").toArrow()
     discard(rows)
     stats = pairs.column("stats").combine_chunks().flatten().to_numpy().reshape(-1, STATISTICS)
-    knots, levels = isotonic(np.round(trained.raw(stats), 9), pairs.column("y").to_numpy())
+    knots, levels = isotonic(np.round(trained.raw(stats), 9), pairs.column("y").to_numpy(), pairs.column("share").to_numpy())
     return Model(mean, scale, weights, bias, knots, levels, kernel)
 
 

@@ -72,3 +72,17 @@ def test_odd_rows_and_missing_labels(spark):
     constant = spark.createDataFrame([(5, 1)], "doc_id long, quality int")
     one = classifier.quality_model(frame, constant)
     assert all(r.s == 1 for r in frame.select(classifier.score(one, F.col("text")).alias("s")).collect())
+
+
+def test_repeated_rows_of_a_labelled_key_weigh_as_one(spark):
+    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").limit(60).select("doc_id", "text").localCheckpoint()
+    labels = spark.read.parquet(f"{MEDIUM}/labels.parquet").select("doc_id", F.col("quality").alias("y"))
+    kernel = classifier.Kernel(features=32)
+    hot = docs.join(labels, "doc_id").orderBy("doc_id").limit(1).select("doc_id", "text").localCheckpoint()
+    copies = hot.crossJoin(spark.range(200)).drop("id")
+    a, b = classifier.fit(docs, labels, kernel), classifier.fit(docs.unionByName(copies), labels, kernel)
+    assert np.allclose(a.weights, b.weights, atol=1e-9) and np.allclose(a.mean, b.mean) and np.array_equal(a.levels, b.levels)
+    # Different texts of one key share its weight.
+    other = copies.select("doc_id", F.concat(F.lit("word "), F.uuid()).alias("text"))
+    mixed = classifier.fit(docs.unionByName(other), labels, kernel)
+    assert np.isclose(mixed.bias, a.bias) and len(mixed.knots) <= 60 + classifier.TEXTS_PER_KEY
