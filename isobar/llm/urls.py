@@ -4,7 +4,8 @@ A rule is an action for a host with its subdomains and a path prefix, or a
 regular expression with the literal tokens that every match contains.  Each
 rule is listed under the one of its tokens that the fewest URLs hold (counted
 over the whole table).  A URL's own tokens fetch the rules listed under them;
-only those are tested.
+only those are tested, and the rules without any token, which every URL is
+tested against.
 
 Rules are a table with a row per rule; URLs are looked at once each, however
 many pages carry them.
@@ -93,7 +94,7 @@ def small(df: DataFrame) -> DataFrame:
 
 
 def index(urls: DataFrame, rules: DataFrame) -> DataFrame:
-    """``rules`` with ``token``: the rule's token that the fewest rows of ``urls`` (``url``, ``n``) hold, then the smallest."""
+    """``rules`` that have tokens with ``token``: the rule's token that the fewest rows of ``urls`` (``url``, ``n``) hold, then the smallest."""
     named = small(rules.select("rule", F.explode("tokens").alias("token")))
     held = urls.select(F.explode(tokens(F.col("url"))).alias("token"), "n")
     held = held.join(named.withColumnRenamed("token", "t"), F.col("token") == F.col("t"), "left_semi").groupBy("token").agg(F.sum("n").alias("n"))
@@ -114,9 +115,14 @@ def judged(pages: DataFrame, rules: DataFrame | None = None, *, url: str = "url"
     rules = rule_table(spark) if rules is None else rules
     rows = packed(pages, url=F.coalesce(F.col(f"`{url}`"), F.lit("")))
     urls = stage(rows.groupBy("url").agg(F.count(F.lit(1)).alias("n")), "urls")
-    listed = stage(index(urls, rules), "rules").select("token", "rule", F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "pattern", "action", "strength")
+    told = ["rule", F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "pattern", "action", "strength"]
+    listed = stage(index(urls, rules), "rules").select("token", *told)
     host, path = host_and_path(F.col("url"))
-    fetched = urls.select("url", host.alias("host"), path.alias("path"), F.explode(tokens(F.col("url"))).alias("token")).join(small(listed), "token")
+    parts = urls.select("url", host.alias("host"), path.alias("path"))
+    fetched = parts.withColumn("token", F.explode(tokens(F.col("url")))).join(small(listed), "token").drop("token")
+    loose = rules.filter("tokens is null or size(filter(tokens, t -> t is not null)) = 0").select(*told)
+    if not loose.isEmpty():
+        fetched = fetched.unionByName(parts.crossJoin(small(loose)))
     fits_host = (F.col("host") == F.col("rule_host")) | F.endswith(F.col("host"), F.concat(F.lit("."), F.col("rule_host")))
     fits = F.when(F.col("pattern").isNotNull(), F.expr("regexp_like(translate(url, '%s', '%s'), pattern)" % (UPPER, LOWER))).otherwise(fits_host & F.startswith(F.col("path"), F.col("rule_path")))
     best = fetched.filter(fits).groupBy("url").agg(

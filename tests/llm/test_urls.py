@@ -58,3 +58,20 @@ def test_rules_are_listed_under_their_rarest_token(spark):
     listed = {r.rule: r.token for r in urls.index(seen, urls.rule_table(spark)).collect()}
     assert listed["net/"] == "net" and listed["org/fr/"] == "fr" and listed["example.net/en/"] == "en"
     assert listed["example.com/de/"] == "com" and listed["ad-track host"] == "ads"
+
+
+def test_rules_without_tokens_are_tested_on_every_url(spark, monkeypatch):
+    hosts = (("é.ü", "/", "block"), ("net", "/en/", "allow"))
+    patterns = (("percent", r"%[^/]*%", (), "block"), ("login page", r"/login$", ("login",), "block"))
+    monkeypatch.setattr(urls, "HOST_RULES", hosts)
+    monkeypatch.setattr(urls, "PATTERN_RULES", patterns)
+    made = [None, "", "http://é.ü/", "http://x.é.ü/%%", "http://net/en/%%", "http://a.com/%41%42", "http://a.com/login", "http://a.com/%%/login", "--%%", "http://a.com/"] * 2
+    frame = spark.createDataFrame([(i, u) for i, u in enumerate(made)], "page_id long, url string")
+    for limit in (urls.BROADCAST_RULES, 0):
+        monkeypatch.setattr(urls, "BROADCAST_RULES", limit)
+        got = urls.judged(frame, urls.rule_table(spark, hosts, patterns)).collect()
+        assert len(got) == len(made)
+        for r in got:
+            assert (r.host, r.path, r.rule, r.pattern_rule, r.verdict) == plain(r.row.url), r.row.url
+    only = urls.judged(frame, urls.rule_table(spark, (), patterns[:1])).collect()
+    assert sum(r.verdict == "block" for r in only) == sum("%" in (u or "") for u in made)
