@@ -4,7 +4,7 @@
 2. ``near_dedup``: of every group of near copies one document stays.
 3. ``pii``: personal data in the texts is replaced by its kind.
 4. ``mix``: sources are cut or repeated to their target weights.
-5. ``pieces``: texts become token ids.
+5. ``pieces``: texts become token ids, which are read back.
 
 All stages but the last return the columns of ``documents``.
 """
@@ -45,9 +45,10 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """``doc_id lang source n_tokens ids`` with begin and end ids."""
-    ids = pieces.encode(spark, F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
-    return docs.select("doc_id", "lang", "source", ids.alias("ids")).withColumn("n_tokens", F.size("ids").cast("long"))
+    """``doc_id lang source ids n_tokens decoded_sha256`` with begin and end ids; the digest is of the text the ids decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    coded = docs.select("doc_id", "lang", "source", pieces.encode(spark, F.col("text"), path).alias("ids"))
+    return coded.select("*", F.size("ids").cast("long").alias("n_tokens"), F.sha2(pieces.decode(spark, F.col("ids"), path), 256).alias("decoded_sha256"))
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("pii", personal_data), ("mix", mix), ("pieces", to_pieces)]

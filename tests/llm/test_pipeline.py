@@ -63,3 +63,14 @@ def test_stages_take_odd_rows_and_empty_tables(spark, name, step):
         assert rows or not frame.count() or name == "quality"
         if name != "pieces":
             assert made.columns == frame.columns and made.dtypes == frame.dtypes
+
+
+def test_ids_of_the_last_stage_read_back_as_the_text(spark):
+    library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    for frame in (documents(spark), spark.read.parquet(f"{SMALL}/documents.parquet").limit(50)):
+        frame = frame.localCheckpoint()
+        texts = {r.doc_id: r.text for r in frame.collect()}
+        rows = corpus_pipeline.to_pieces(spark, frame, SMALL).collect()
+        assert len(rows) == len(texts)
+        for r in rows:
+            assert r.decoded_sha256 == hashlib.sha256(library.decode(library.encode(texts[r.doc_id] or "")).encode()).hexdigest()
