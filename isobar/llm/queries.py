@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from isobar.llm import chat, classifier, mixing, pieces, pii, rules, simhash, substrings, topk, urls
+from isobar.llm import centroids, chat, classifier, lines, mixing, pieces, pii, resample, rules, simhash, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -261,3 +261,102 @@ FROM j"""
 @query("conversations", CHAT_SQL)
 def op3_chat(conversations: DataFrame, folder: str) -> DataFrame:
     return chat.formatted(chat.exchanges(conversations), REPLY).drop("problems")
+
+
+def _round(n: int) -> str:
+    """One assignment to the centroids ``c{n}``, and the centroids after it."""
+    return f"""
+a{n} AS MATERIALIZED (
+  SELECT r, min([distance, cluster]) AS won FROM (
+    SELECT r, cluster, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS distance
+    FROM v, c{n} c) GROUP BY r),
+m{n} AS (
+  SELECT cluster, place, sum(y) AS total, count(*) AS n
+  FROM (SELECT won[2] AS cluster, unnest(x) AS y, generate_subscripts(x, 1) AS place FROM a{n} JOIN v USING (r)) GROUP BY ALL),
+c{n + 1} AS MATERIALIZED (
+  SELECT cluster, coalesce(y, x) AS x FROM c{n} LEFT JOIN (
+    SELECT cluster, list(((total - ((total % n) + n) % n) // n)::BIGINT ORDER BY place) AS y FROM m{n} GROUP BY cluster) USING (cluster)),"""
+
+
+CENTROIDS_SQL = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('1:' || vec_id::VARCHAR) NULLS LAST, x) - 1 AS cluster, x
+  FROM v QUALIFY cluster < 16),{"".join(map(_round, range(3)))}
+{_round(3).strip().partition("m3 AS")[0].rstrip().rstrip(",")}
+SELECT vec_id, won[2]::INT AS cluster, won[1] AS distance,
+       sum(won[1]) OVER (PARTITION BY won[2])::BIGINT AS cluster_inertia, sum(won[1]) OVER ()::BIGINT AS inertia,
+       sha256(array_to_string(c3.x, ',')) AS centroid_sha256
+FROM a3 JOIN v USING (r) JOIN c3 ON c3.cluster = won[2]"""
+
+
+@query("embeddings", CENTROIDS_SQL)
+def op11_centroids(embeddings: DataFrame, folder: str) -> DataFrame:
+    return centroids.clusters(embeddings, centroids.Clustering(count=16, rounds=3, size=64, scale=64, seed=1))
+
+
+RESAMPLE_SQL = r"""
+WITH crc AS (
+  -- The table of CRC-32: eight steps of its polynomial for each byte.
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+df AS (SELECT r, array_to_string(w[p:p + n - 1], ' ') AS f, count(*) AS k FROM d, unnest([1, 2, 3]) AS u(n), unnest(range(1, len(w) - n + 2)) AS v(p) GROUP BY ALL),
+bf AS (SELECT array_to_string(w[p:p + n - 1], ' ') AS f, count(*) AS k FROM b, unnest([1, 2, 3]) AS u(n), unnest(range(1, len(w) - n + 2)) AS v(p) GROUP BY ALL),
+x AS (SELECT DISTINCT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM bf)),
+g AS MATERIALIZED (
+  SELECT f, xor(list_reduce(range(length(h) // 2),
+      lambda c, k: xor(c >> 8, t[(xor(c, ('0x' || substr(h, 2 * k + 1, 2))::BIGINT) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+  FROM x, crc),
+s AS (SELECT bucket, sum(k) AS n FROM df JOIN g USING (f) GROUP BY 1),
+t AS (SELECT bucket, sum(k) AS n FROM bf JOIN g USING (f) GROUP BY 1),
+z AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM s), 0) + 10000)::DOUBLE
+                  / ((coalesce(s.n, 0) + 1)::DOUBLE * (coalesce((SELECT sum(n) FROM t), 0) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)),
+y AS (SELECT r, sum(k) AS n_features, sum(k * gain) AS weight FROM df JOIN g USING (f) JOIN z USING (bucket) GROUP BY r),
+o AS (
+  SELECT doc_id, len(w) AS n_words, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('42:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE))))::BIGINT AS score
+  FROM d LEFT JOIN y USING (r)),
+q AS (SELECT *, row_number() OVER (ORDER BY (n_words >= 20) DESC, score DESC, doc_id NULLS LAST, n_features) AS place FROM o)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= 20 AND place <= 5 * (SELECT count(*) FROM o WHERE n_words >= 20) // 100 THEN place END AS rank
+FROM q"""
+
+
+@query("documents", RESAMPLE_SQL)
+def op12_resample(documents: DataFrame, folder: str) -> DataFrame:
+    benchmark = documents.sparkSession.read.parquet(f"{folder}/benchmark.parquet")
+    rows = resample.resampled(documents, benchmark, resample.Resampling(longest=3, buckets=10_000, least=20, percent=5, seed=42))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+LINES_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+l AS (
+  SELECT r, doc_id, md5(t) AS h, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos
+  FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM l),
+f AS (
+  SELECT key, true AS goes FROM (SELECT DISTINCT doc_id, h, key FROM k WHERE key <> '') GROUP BY key HAVING count(*) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(goes) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE goes IS NULL), '')) AS kept_sha256
+FROM k LEFT JOIN f USING (key) GROUP BY r, doc_id"""
+
+
+@query("documents", LINES_SQL)
+def op13_lines(documents: DataFrame, folder: str) -> DataFrame:
+    rows = lines.deduplicated(documents, least=10, shortest=1)
+    return rows.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
