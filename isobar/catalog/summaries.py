@@ -34,6 +34,23 @@ def median_fill(t: Tables) -> DataFrame:
     return clean.fill_median(t.gappy.select("event_id", *measures), measures)
 
 
+@query(
+    "median_fill_by_city",
+    f"""WITH {GAPPY},
+    k AS (SELECT * REPLACE (CASE WHEN user_id % 10 <> 3 THEN humidity END AS humidity) FROM g),
+    m AS (SELECT median(humidity) AS h FROM k),
+    c AS (SELECT user_id % 20 AS station, median(temperature) AS t, median(humidity) AS h, median(pressure) AS p FROM k GROUP BY 1)
+    SELECT event_id, coalesce(k.temperature, c.t) AS temperature, coalesce(k.humidity, c.h, m.h) AS humidity,
+           coalesce(k.pressure, c.p) AS pressure FROM k JOIN c ON k.user_id % 20 = c.station, m""",
+)
+def median_fill_by_city(t: Tables) -> DataFrame:
+    """Gaps take the median of their own station; two stations in twenty have no humidity at all and take everybody's."""
+    measures = ["temperature", "humidity", "pressure"]
+    rows = t.gappy.select("event_id", (F.col("user_id") % 20).alias("station"), *measures)
+    rows = rows.withColumn("humidity", F.when(F.col("station") % 10 != 3, F.col("humidity")))
+    return clean.fill_median(rows, measures, keys=["station"]).drop("station")
+
+
 @query(
     "mode_fill",
     f"""WITH {GAPPY},

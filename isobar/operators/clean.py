@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from isobar.functions.weather import clip, missing, to_number
+from isobar.operators.groupquantiles import GROUP_ROWS, group_quantiles, group_sizes
+from isobar.operators.ordered import attach
 from isobar.operators.quantiles import EXACT_ROWS, exact_quantiles
 from isobar.schema import MEASURES
 from isobar.staging import discard, stage
@@ -56,16 +58,40 @@ def medians(df: DataFrame, columns: list[str], *, exact_rows: int = EXACT_ROWS)
     return {c: q[0] for c, q in found.items() if q[0] is not None}
 
 
-def fill_median(df: DataFrame, columns: list[str] | None = None, *, exact_rows: int = EXACT_ROWS) -> DataFrame:
-    """Fill missing numbers with the column median (default: every numeric column).
+def medians_by_key(df: DataFrame, keys: list[str], columns: list[str], *, group_rows: int = GROUP_ROWS, exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """A row per key with the exact median of every column; a key without a value of a column has the whole table's."""
+    sizes = stage(group_sizes(df, keys, columns), "sizes")
+    fewest = sizes.agg(*[F.min(c) for c in columns]).first()
+    whole = medians(df, [c for c, n in zip(columns, fewest) if n == 0], exact_rows=exact_rows)
+    found = group_quantiles(df, keys, columns, [0.5], group_rows=group_rows, sizes=sizes)
+    return found.select(*keys, *[F.coalesce(F.get(c, F.lit(0)), F.lit(whole.get(c)).cast("double")).alias(c) for c in columns])
 
-    Columns without a gap are not ranked.  A filled column keeps its type if it
-    is fractional; integers become double whether or not there is a gap, since
-    a median may lie between two of them.
+
+def fill_median(
+    df: DataFrame, columns: list[str] | None = None, *, keys: list[str] | None = None, exact_rows: int = EXACT_ROWS, group_rows: int = GROUP_ROWS
+) -> DataFrame:
+    """Fill missing numbers with the column median (default: every numeric column but the keys).
+
+    With ``keys`` a row takes the median of its own key (of the whole table
+    where the key has no value at all; NULL is a key like any other).  Columns
+    without a gap are not ranked.  A filled column keeps its type if it is
+    fractional; integers become double whether or not there is a gap, since a
+    median may lie between two of them.
     """
-    columns = numeric_columns(df) if columns is None else columns
+    columns = [c for c in numeric_columns(df) if c not in (keys or [])] if columns is None else columns
     types = {f.name: f.dataType for f in df.schema}
-    middle = medians(df, incomplete(df, columns), exact_rows=exact_rows)
+    gaps = incomplete(df, columns)
+    if keys and gaps:
+        own = medians_by_key(df, keys, gaps, group_rows=group_rows, exact_rows=exact_rows)
+        order = df.columns
+        df = attach(df, own.withColumnsRenamed({c: f"__m_{c}" for c in gaps}), keys)
+        filled = {}
+        for c in columns:
+            value = missing(F.col(c)) if isinstance(types[c], (T.FloatType, T.DoubleType)) else F.col(c)
+            kind = T.DoubleType() if isinstance(types[c], T.IntegralType) else types[c]
+            filled[c] = F.coalesce(value.cast(kind), F.col(f"__m_{c}").cast(kind)) if c in gaps else value.cast(kind)
+        return df.withColumns(filled).select(*order)
+    middle = medians(df, gaps, exact_rows=exact_rows)
     filled = {}
     for c in columns:
         value = missing(F.col(c)) if isinstance(types[c], (T.FloatType, T.DoubleType)) else F.col(c)
@@ -164,16 +190,18 @@ def clean(
     *,
     outlier_columns: list[str] = MEASURES,
     fill_columns: list[str] | None = None,
+    fill_keys: list[str] | None = None,
     mode_columns: list[str] | None = None,
     exact_rows: int = EXACT_ROWS,
 ) -> DataFrame:
     """Duplicates, fills, outliers and types, in that order.
 
-    ``fill_columns`` get their median, ``mode_columns`` their mode; by default
-    all numeric and all text columns, so a table with keys names its measures.
+    ``fill_columns`` get their median (with ``fill_keys`` that of their key),
+    ``mode_columns`` their mode; by default all numeric and all text columns,
+    so a table with keys names its measures.
     The distinct rows are written once: the later steps take several narrow
     passes over single columns, which then skip the duplicate shuffle.
     """
     df = stage(drop_duplicates(nan_to_null(df)), "distinct")
-    df = fill_mode(fill_median(df, fill_columns, exact_rows=exact_rows), mode_columns)
+    df = fill_mode(fill_median(df, fill_columns, keys=fill_keys, exact_rows=exact_rows), mode_columns)
     return coerce_types(drop_outliers(df, outlier_columns, exact_rows=exact_rows))
