@@ -14,13 +14,14 @@ def recent_documents(df: DataFrame, now: Column, *, hours_back: int = 1) -> Data
     return df.filter(F.col("dt") >= limit)
 
 
-def flatten(df: DataFrame) -> DataFrame:
-    """The readings inside a document as flat columns.
+def flatten(df: DataFrame, *kept: str) -> DataFrame:
+    """The readings inside a document as flat columns, after the ``kept`` ones.
 
     A dry document has no rain object; its rain is 0, while any other missing
     field stays missing.
     """
     return df.select(
+        *kept,
         F.col("coord.lon").alias("lon"),
         F.col("coord.lat").alias("lat"),
         "dt",

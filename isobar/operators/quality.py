@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import time
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -101,8 +102,51 @@ def mean_metrics(evaluation: DataFrame) -> DataFrame:
     )
 
 
+class StageCounts:
+    """Counts the rows of stages while they pass through a write that is made anyway.
+
+    ``watch`` a frame that the next write reads, then ``note`` when it is done.
+    Reading the counts starts no job.  A stage whose frame was read by no job yet
+    must not be asked for.
+    """
+
+    def __init__(self):
+        self._seen: dict[str, Observation | int] = {}
+        self._seconds: dict[str, float] = {}
+        self._began = time.monotonic()
+
+    def watch(self, df: DataFrame, name: str) -> DataFrame:
+        observed = Observation(f"{name}-{len(self._seen)}")
+        self._seen[name] = observed
+        return df.observe(observed, F.count(F.lit(1)).alias("records"))
+
+    def same_as(self, name: str, other: str) -> None:
+        """A stage that neither adds nor drops rows of another one."""
+        self._seen[name] = self._seen[other]
+
+    def done(self, name: str) -> None:
+        """The stage ends here: its seconds count from the start or the last stage's end."""
+        now = time.monotonic()
+        self._seconds[name], self._began = now - self._began, now
+
+    def records(self, name: str) -> int:
+        seen = self._seen[name]
+        if isinstance(seen, Observation):
+            seen = self._seen[name] = int(seen.get["records"])
+        return seen
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        """``(step, stage, records, seconds)`` as ``stage_report`` has it, in the order stages were watched."""
+        rows = [(i, n, self.records(n), self._seconds.get(n)) for i, n in enumerate(self._seen, 1)]
+        return spark.createDataFrame(rows, "step int, stage string, records long, seconds double")
+
+
 def stage_report(stages: dict[str, DataFrame], seconds: dict[str, float] | None = None) -> DataFrame:
-    """One row per stage, in order: record count and, where known, duration."""
+    """One row per stage, in order: record count and, where known, duration.
+
+    Every stage is counted by a pass of its own; ``StageCounts`` counts while
+    a job writes.
+    """
     rows = [
         df.agg(F.count("*").alias("records")).select(
             F.lit(i).alias("step"),

@@ -2,24 +2,26 @@
 
 from __future__ import annotations
 
-import time
-from dataclasses import replace
+from dataclasses import dataclass, replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from isobar.operators import hourly, quality
 from isobar.operators.clean import clean
 from isobar.operators.columns import canonical_hourly, first_keys, keep_keys, recent
 from isobar.operators.features import engineer, observed_at
-from isobar.operators.joins import mark_processed, unprocessed
+from isobar.operators.joins import unprocessed
 from isobar.operators.ordered import largest_group
+from isobar.operators.quality import StageCounts
 from isobar.operators.series import enough_rows
+from isobar.operators.sums import CELL, SUMS_SCHEMA, cell_sums, means_of, merged_sums
 from isobar.plans.forecast import Forecaster
 from isobar.schema import MEASURES
+from isobar.sources.ledger import DAY, K1, K2, READING_KEY, RUN, Ledger, read_days, write_run
 from isobar.sources.tables import replace_rows
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
 
 def hourly_rows(
@@ -46,7 +48,7 @@ def hourly_rows(
         hour = F.floor(F.col("dt") / 3600)
         touched = due.select(hour.alias("__hour")).distinct()
         first = F.date_trunc("hour", now - F.make_dt_interval(F.lit(0), F.lit(hours_back)))
-        known = documents.filter(F.col("dt") >= F.unix_seconds(first.cast("timestamp")))
+        known = documents.filter(F.col("dt").between(F.unix_seconds(first.cast("timestamp")), F.unix_seconds(now.cast("timestamp"))))
         due = known.withColumn("__hour", hour).join(touched, "__hour", "left_semi")
     means = hourly.coordinate_means(hourly.flatten(due), bucket=bucket)
     joined = hourly.with_city(means, city, country)
@@ -63,36 +65,113 @@ def run_hourly(
     hours_back: int = 1,
     bucket: str | None = None,
     only_unprocessed: bool = False,
-    marked: str | None = None,
 ) -> DataFrame:
     """Aggregate and store; a retry replaces its own (city, date, hour) rows.  Returns the run's report.
 
-    The rows are staged once, so counting reads file footers and documents are scanned once.
-    ``marked`` names a folder for the snapshot of ``documents`` with the
-    recent ones marked as processed.
+    Rows are counted while they are staged.  This job averages every document
+    of an hour again; ``run_new_documents`` reads only what no run has read.
     """
-    began = time.monotonic()
+    counts = StageCounts()
     made = hourly_rows(documents, city, country, now, hours_back=hours_back, bucket=bucket, only_unprocessed=only_unprocessed)
-    rows = stage(made, "hourly")
+    rows = stage(counts.watch(made, "aggregation"), "hourly")
     replace_rows(rows, target, ["Date", "Hour"], ["idCity"])
-    if marked:
-        since = F.unix_seconds(now.cast("timestamp")) - hours_back * 3600
-        mark_processed(documents, since, now).write.mode("overwrite").parquet(marked)
-    return quality.stage_report({"aggregation": rows}, {"aggregation": time.monotonic() - began})
+    counts.done("aggregation")
+    return counts.report(documents.sparkSession)
+
+
+@dataclass(frozen=True)
+class HourlyStore:
+    """Where ``run_new_documents`` keeps sums by cell and hour, hourly rows, and keys of processed documents named by ``keys``."""
+
+    folder: str
+    keys: tuple[str, ...] = READING_KEY
+
+    @property
+    def ledger(self) -> Ledger:
+        return Ledger(f"{self.folder}/ledger", self.keys)
+
+    @property
+    def sums_path(self) -> str:
+        return f"{self.folder}/sums"
+
+    @property
+    def facts_path(self) -> str:
+        return f"{self.folder}/hourly"
+
+
+def run_new_documents(
+    documents: DataFrame,
+    city: DataFrame,
+    country: DataFrame | None,
+    now: Column,
+    store: HourlyStore,
+    run: str,
+    *,
+    hours_back: int | None = None,
+) -> DataFrame:
+    """Average the documents up to ``now`` that no earlier run has; returns the run's report.
+
+    The documents are staged once as flat readings; sums, hourly rows and ledger all come
+    from that copy.  A run adds its sums by cell and hour to the store, merges
+    them with those of finished runs for the hours it touches, rounds, and replaces
+    the stored (city, date, hour) rows.  Any split of the documents into
+    runs leaves the rows of a single run, late documents included.
+
+    ``run`` names the run.  Its name is listed as finished last: until then
+    nothing it wrote counts for others, and a retry under the same name
+    replaces it.  Only folders of touched days are read or written.  Runs of
+    one store follow each other, they don't overlap.  ``hours_back`` limits how
+    old a document may be.
+    """
+    spark, ledger, counts = documents.sparkSession, store.ledger, StageCounts()
+    clock = F.unix_seconds(now.cast("timestamp"))
+    due = documents.filter(F.col("dt") <= clock)
+    if hours_back is not None:
+        due = due.filter(F.col("dt") >= clock - hours_back * 3600)
+    batch = stage(counts.watch(hourly.flatten(ledger.unseen(due, run), K1, K2, DAY), "new documents"), "readings")
+    counts.done("new documents")
+    if counts.records("new documents"):
+        write_run(cell_sums(batch, F.col(DAY)), store.sums_path, run)
+        ledger.record(batch, run, now)
+        days = [r[0] for r in batch.select(DAY).distinct().collect()]  # a value for each calendar day
+        stored = ledger.counting(read_days(spark, store.sums_path, SUMS_SCHEMA, days), run)
+        touched = stored.filter(F.col(RUN) == run).select(*CELL).distinct()
+        merged = merged_sums(stored.join(touched, CELL, "left_semi"))
+        facts = hourly.hourly_fact(hourly.with_city(means_of(merged), city, country))
+        rows = stage(counts.watch(facts, "aggregation"), "hourly")
+        if counts.records("aggregation"):
+            replace_rows(rows, store.facts_path, ["Date"], ["Hour", "idCity"])
+        counts.done("aggregation")
+        discard(rows)
+    ledger.finish(spark, run, now)
+    discard(batch)
+    return counts.report(spark)
+
+
+def stored_sums(spark: SparkSession, store: HourlyStore, days: list) -> DataFrame:
+    """The merged sums of finished runs for the listed days: ``lon lat hour`` and what ``SUMS_SCHEMA`` names."""
+    return merged_sums(store.ledger.counting(read_days(spark, store.sums_path, SUMS_SCHEMA, days)))
 
 
 def prepare_observations(
-    stored: DataFrame, *, outlier_columns: list[str] = MEASURES
+    stored: DataFrame, *, outlier_columns: list[str] = MEASURES, fill_keys: list[str] | None = None, counts: StageCounts | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(canonical, cleaned, with features): the modelling table and its two earlier stages.
 
-    Only measures are filled.  A row without its city, date or hour belongs to
+    Only measures are filled, with ``fill_keys`` by the median of their key.  A row without its city, date or hour belongs to
     no series and is left out of the cleaned table; ``raw`` still has it.
+    ``counts`` takes the rows of the three stages (``raw``, ``clean``,
+    ``features``) from the two writes made here.
     """
     raw = canonical_hourly(stored)
-    keyed = raw.na.drop(subset=[c for c in ("city_id", "date", "hour") if c in raw.columns])
+    read = counts.watch(raw, "raw") if counts else raw
+    keyed = read.na.drop(subset=[c for c in ("city_id", "date", "hour") if c in raw.columns])
     measures = [c for c in MEASURES + ["feelslike", "clouds"] if c in raw.columns]
-    cleaned = stage(clean(keyed, outlier_columns=outlier_columns, fill_columns=measures, mode_columns=[]), "clean")
+    cleaned = clean(keyed, outlier_columns=outlier_columns, fill_columns=measures, fill_keys=fill_keys, mode_columns=[])
+    cleaned = stage(counts.watch(cleaned, "clean") if counts else cleaned, "clean")
+    if counts:
+        counts.done("clean")
+        counts.same_as("features", "clean")  # a row each
     return raw, cleaned, observed_at(engineer(cleaned))
 
 
@@ -133,7 +212,7 @@ def train_and_forecast(
 
 
 def final_report(
-    stages: dict[str, DataFrame],
+    stages: dict[str, DataFrame] | DataFrame,
     seconds: dict[str, float] | None = None,
     *,
     score: DataFrame | None = None,
@@ -143,11 +222,11 @@ def final_report(
 ) -> DataFrame:
     """The run in rows ``(section, name, item, value)``.
 
-    Record counts and durations per stage, the quality score (``completeness_score`` of a
+    Record counts and durations per stage (counted here, or a report made by ``StageCounts``), the quality score (``completeness_score`` of a
     one-row table), mean MAE, RMSE and R2 over the series, and each
     series' forecast range.
     """
-    report = quality.stage_report(stages, seconds)
+    report = quality.stage_report(stages, seconds) if isinstance(stages, dict) else stages
     parts = [
         report.select(F.lit("stage").alias("section"), F.col("stage").alias("name"), F.inline(_items(report, ["records", "seconds"])))
     ]

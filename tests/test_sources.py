@@ -109,23 +109,30 @@ def test_a_run_for_some_cities_leaves_the_others(spark, landed, clock, places, t
     assert sorted(r.idCity for r in spark.read.parquet(target).collect()) == [1, 2, 3]
 
 
-def test_unprocessed_hours_are_made_whole_and_marked(spark, places, tmp_path):
+def test_unprocessed_hours_are_made_whole(spark, places, tmp_path):
     start = 1_700_002_800
     lines = [document(start + 600 * i, 10.0, 20.0, float(i), processed=i < 3) for i in range(9)]
     (tmp_path / "d.json").write_text("\n".join(lines))
     docs = files.read_documents(spark, str(tmp_path / "d.json"))
-    target, marked = str(tmp_path / "fact"), str(tmp_path / "marked")
+    target = str(tmp_path / "fact")
     now = F.timestamp_seconds(F.lit(start + 5400))
-    run_hourly(docs, *places, now, target, hours_back=2, bucket="1 hour", only_unprocessed=True, marked=marked)
+    run_hourly(docs, *places, now, target, hours_back=2, bucket="1 hour", only_unprocessed=True)
     counts = {r.Hour: r.measurement_count for r in spark.read.parquet(target).filter("idCity = 1").collect()}
     assert counts == {23: 6, 0: 3}
-    snapshot = spark.read.parquet(marked)
-    assert snapshot.count() == 9 and snapshot.filter("processed").count() == 9 and snapshot.filter("processed_at is not null").count() == 6
     again = str(tmp_path / "again")
-    run_hourly(snapshot, *places, now, again, hours_back=2, bucket="1 hour", only_unprocessed=True)
+    marked = joins.mark_processed(docs, F.lit(start), now)
+    run_hourly(marked, *places, now, again, hours_back=2, bucket="1 hour", only_unprocessed=True)
     assert spark.read.schema(spark.read.parquet(target).schema).parquet(again).count() == 0
 
 
+def test_a_document_from_the_future_waits(spark, places, tmp_path):
+    start = 1_700_002_800
+    (tmp_path / "d.json").write_text("\n".join(document(start + 600 * i, 10.0, 20.0, float(i)) for i in range(9)))
+    docs, target = files.read_documents(spark, str(tmp_path / "d.json")), str(tmp_path / "fact")
+    run_hourly(docs, *places, F.timestamp_seconds(F.lit(start + 1800)), target, bucket="1 hour")
+    assert {r.measurement_count for r in spark.read.parquet(target).collect()} == {4}
+
+
 def test_write_modes(spark, tmp_path):
     df, path = spark.range(2), str(tmp_path / "w")
     tables.write_table(df, path, if_exists="fail")
