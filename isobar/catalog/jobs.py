@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from isobar.catalog import CITIES, DOCUMENTS, HOURLY, Tables, query
 from isobar.operators import quality
 from isobar.operators.columns import canonical_hourly
+from isobar.operators.quality import StageCounts
 from isobar.plans.forecast import Forecaster, Orders
-from isobar.plans.runs import final_report, prepare_observations, run_hourly
+from isobar.plans.runs import HourlyStore, final_report, prepare_observations, run_hourly, run_new_documents, stored_sums
 from isobar.sources import files
 from isobar.staging import new_path, stage
 from isobar.streaming import hourly as streaming
@@ -54,50 +55,122 @@ def hourly_job(t: Tables) -> DataFrame:
     return joined.select(F.col("idCity").alias("city_id"), "date", "hour", "measurement_count", near.alias("means_near"))
 
 
+# ---- hourly job by new documents ---------------------------------------------
+
+# Sums are exact, so both sides divide the same numbers; the mean is rounded as a decimal.
+_SUMMED = {"temperature": "Temp", "feels_like": "FeelsLike", "clouds": "Clouds", "precipitation": "Rain", "wind_speed": "Wind", "pressure": "Pressure", "humidity": "Humidity"}
 _FACT = f"""{DOCUMENTS}, {CITIES},
-    a AS (SELECT lon, lat, date_trunc('hour', ts) AS period, avg(temperature) AS temperature, avg(humidity) AS humidity, count(*) AS n
+    a AS (SELECT lon, lat, date_trunc('hour', ts) AS period, count(*) AS n, max(dt) AS latest, {", ".join(f"sum(CAST({m} AS DECIMAL(28,10))) AS sum_{m}" for m in _SUMMED)}
           FROM d GROUP BY 1, 2, 3),
-    f AS (SELECT c.city_id, a.period, a.temperature, a.humidity, a.n FROM a
-          JOIN cities c ON a.lon = round(c.lon, 2) AND a.lat = round(c.lat, 2))"""
+    f AS (SELECT c.city_id, a.period, a.n, {", ".join(f"CAST(round(CAST(CAST(sum_{m} AS DOUBLE) / n AS DECIMAL(38,12)), 2) AS DOUBLE) AS {m}" for m in _SUMMED)}
+          FROM a JOIN cities c ON a.lon = round(c.lon, 2) AND a.lat = round(c.lat, 2))"""
 
 
-def _fact(t: Tables) -> DataFrame:
-    """The stored hourly table, every seventh city without its id."""
-    target = new_path(t.spark, "fact")
-    run_hourly(t.documents_nested, t.cities, t.countries, F.lit("2024-01-31 00:00:00").cast("timestamp"), target, hours_back=1_000_000, bucket="1 hour")
-    rows = t.spark.read.parquet(target)
-    return rows.withColumn("idCity", F.when(F.col("idCity") % 7 != 0, F.col("idCity")))
+def _month_end():
+    return F.lit("2024-01-31 00:00:00").cast("timestamp")
+
+
+def _store(t: Tables) -> HourlyStore:
+    return HourlyStore(new_path(t.spark, "store"), keys=("event_id",))
+
+
+def _in_four_runs(t: Tables) -> HourlyStore:
+    """Four runs over documents that come in any order; each run is offered all that came before once more."""
+    store, docs = _store(t), t.documents_nested.drop("processed")
+    for k in range(4):
+        known = docs.filter(F.pmod(F.xxhash64("event_id"), F.lit(4)) <= k)
+        run_new_documents(known, t.cities, t.countries, _month_end(), store, f"run {k}")
+    return store
 
 
 @query(
-    "prepared",
+    "hourly_increments",
     f"""WITH {_FACT}
-    SELECT city_id, CAST(CAST(period AS DATE) AS VARCHAR) AS date, CAST(hour(period) AS INTEGER) AS hour,
-           CAST(isodow(period) - 1 AS INTEGER) AS day_of_week FROM f WHERE city_id % 7 <> 0""",
+    SELECT city_id, CAST(CAST(period AS DATE) AS VARCHAR) AS date, CAST(hour(period) AS INTEGER) AS hour, n AS measurement_count,
+           {", ".join(f"{m} AS {c}" for m, c in _SUMMED.items())} FROM f""",
 )
-def prepared(t: Tables) -> DataFrame:
-    """The preparation job: fills touch no key, rows without a city belong to no series."""
-    _, _, table = prepare_observations(_fact(t), outlier_columns=[])
-    return table.select("city_id", F.col("date").cast("string").alias("date"), "hour", "day_of_week")
+def hourly_increments(t: Tables) -> DataFrame:
+    """Hourly rows merged from four runs are those of all documents at once, to the last digit."""
+    rows = t.spark.read.parquet(_in_four_runs(t).facts_path)
+    return rows.select(F.col("idCity").alias("city_id"), F.col("Date").cast("string").alias("date"), F.col("Hour").alias("hour"), "measurement_count", *MEANS)
 
 
 @query(
-    "job_report",
-    f"""WITH {_FACT}, k AS (SELECT * FROM f WHERE city_id % 7 <> 0)
-    SELECT 'stage' AS section, 'raw' AS name, 'records' AS item, CAST(count(*) AS DOUBLE) AS value FROM f
-    UNION ALL SELECT 'stage', 'clean', 'records', count(*) FROM k
-    UNION ALL SELECT 'stage', 'features', 'records', count(*) FROM k
-    UNION ALL SELECT 'quality', 'all', 'data_quality_score', 1.0
-    UNION ALL SELECT 'forecast', CAST(city_id AS VARCHAR), 'min_predicted', min(n) FROM k GROUP BY city_id
-    UNION ALL SELECT 'forecast', CAST(city_id AS VARCHAR), 'max_predicted', max(n) FROM k GROUP BY city_id""",
+    "hourly_sums",
+    f"""WITH {_FACT}
+    SELECT lon, lat, CAST(epoch(period) AS BIGINT) // 3600 AS hour, n AS readings, latest, CAST(sum_temperature AS VARCHAR) AS sum_temperature,
+           CAST(sum_precipitation AS VARCHAR) AS sum_precipitation FROM a""",
 )
-def job_report(t: Tables) -> DataFrame:
-    """The run report over the preparation stages, the quality score and per-city ranges (of counts in place of forecasts)."""
-    raw, cleaned, table = prepare_observations(_fact(t), outlier_columns=[])
-    score = quality.completeness(cleaned.select("temperature", "humidity", "pressure"))
-    ranges = cleaned.withColumn("prediction", F.col("measurement_count").cast("double"))
-    report = final_report({"raw": raw, "clean": cleaned, "features": table}, score=score, forecast=ranges)
-    return report.filter("value is not null and item <> 'next_avg'")
+def hourly_sums(t: Tables) -> DataFrame:
+    """The stored sums of all days, merged over the runs."""
+    store = _in_four_runs(t)
+    days = [r[0] for r in t.spark.read.parquet(store.sums_path).select("day").distinct().collect()]
+    sums = stored_sums(t.spark, store, days)
+    exact = [F.col(c).cast("string").alias(c) for c in ("sum_temperature", "sum_precipitation")]
+    return sums.select("lon", "lat", "hour", "readings", "latest", *exact)
+
+
+@query(
+    "processed_ledger",
+    "SELECT event_id, epoch(ts) <= 1705314600 AS processed FROM events",
+)
+def processed_ledger(t: Tables) -> DataFrame:
+    """What the ledger says of every document after a run whose clock stood at 2024-01-15 10:30."""
+    store, docs = _store(t), t.documents_nested.drop("processed")
+    now = F.timestamp_seconds(F.lit(1705314600))
+    run_new_documents(docs, t.cities, t.countries, now, store, "half")
+    return store.ledger.processed(docs).select("event_id", "processed")
+
+
+# ---- preparation and report --------------------------------------------------
+
+
+def _fact(t: Tables) -> DataFrame:
+    """The stored hourly table with gaps, every seventh city without its id."""
+    store = _store(t)
+    run_new_documents(t.documents_nested.drop("processed"), t.cities, t.countries, _month_end(), store, "all")
+    hour = F.col("Hour")
+    return t.spark.read.parquet(store.facts_path).withColumns(
+        {"idCity": F.when(F.col("idCity") % 7 != 0, F.col("idCity")), "Temp": F.when(hour % 5 != 2, F.col("Temp")), "Humidity": F.when(hour % 7 != 3, F.col("Humidity"))}
+    )
+
+
+def _fences() -> str:
+    """The five measures' quartile fences, each from the rows the ones before have left."""
+    steps, before = [], "k"
+    for n, c in enumerate(["temperature", "humidity", "pressure", "wind_speed", "precipitation"]):
+        steps.append(
+            f"b{n} AS (SELECT quantile_cont({c}, 0.25) AS low, quantile_cont({c}, 0.75) AS high FROM {before}), "
+            f"k{n} AS (SELECT {before}.* FROM {before}, b{n} WHERE {c} BETWEEN low - 1.5 * (high - low) AND high + 1.5 * (high - low))"
+        )
+        before = f"k{n}"
+    return ", ".join(steps)
+
+
+_PREPARED = f"""{_FACT},
+    g AS (SELECT * REPLACE (CASE WHEN hour(period) % 5 <> 2 THEN temperature END AS temperature, CASE WHEN hour(period) % 7 <> 3 THEN humidity END AS humidity)
+          FROM f WHERE city_id % 7 <> 0),
+    k AS (SELECT * REPLACE (coalesce(temperature, (SELECT median(temperature) FROM g)) AS temperature, coalesce(humidity, (SELECT median(humidity) FROM g)) AS humidity)
+          FROM g), {_fences()},
+    p AS (SELECT * REPLACE (least(greatest(humidity, 0), 100) AS humidity) FROM k4)"""
+
+
+@query(
+    "prepared",
+    f"""WITH {_PREPARED}
+    SELECT city_id, CAST(CAST(period AS DATE) AS VARCHAR) AS date, CAST(hour(period) AS INTEGER) AS hour,
+           CAST(isodow(period) - 1 AS INTEGER) AS day_of_week, temperature, humidity, pressure, wind_speed, precipitation,
+           round(temperature * humidity, 6) AS temp_humidity_interaction, round(wind_speed * pressure, 6) AS wind_pressure_interaction,
+           round(coalesce(pressure - lag(pressure) OVER (PARTITION BY city_id ORDER BY period), 0), 6) AS pressure_tendency,
+           CAST(precipitation > 0 AS INTEGER) AS rain_flag
+    FROM p""",
+)
+def prepared(t: Tables) -> DataFrame:
+    """The preparation job as it runs: gaps filled, outliers of all measures dropped, features made; rows without a city belong to no series."""
+    _, _, table = prepare_observations(_fact(t))
+    exact = ["city_id", "hour", "day_of_week", "temperature", "humidity", "pressure", "wind_speed", "precipitation"]
+    made = ["temp_humidity_interaction", "wind_pressure_interaction", "pressure_tendency"]
+    return table.select(*exact, F.col("date").cast("string").alias("date"), *[F.round(c, 6).alias(c) for c in made], F.col("rain_flag").cast("int").alias("rain_flag"))
 
 
 # ---- files -------------------------------------------------------------------
@@ -240,3 +313,37 @@ def ar_forecast_summary(t: Tables) -> DataFrame:
     spec = _ar_spec()
     out = quality.forecast_summary(spec.forecast(spec.fit(stage(t.hourly, "hourly")), 24), ["city"])
     return out.withColumns({c: F.round(c, 5) for c in ("next_avg", "min_predicted", "max_predicted", "std_deviation")})
+
+
+@query(
+    "job_report",
+    f"""WITH {_PREPARED}, t AS (
+      WITH {_TRAIN},{_PATH},
+      x AS (SELECT city, avg(abs(actual - prediction)) AS mae, sqrt(avg((actual - prediction) ** 2)) AS rmse,
+                   1 - sum((actual - prediction) ** 2) / (var_pop(actual) * count(*)) AS r2 FROM p GROUP BY 1)
+      SELECT avg(mae) AS mae, avg(rmse) AS rmse, avg(r2) AS r2 FROM x),
+    w AS (
+      WITH {_WHOLE},{_AHEAD}
+      SELECT city, avg(prediction) AS middle, min(prediction) AS low, max(prediction) AS high FROM g GROUP BY 1),
+    rows AS (
+      SELECT 'stage' AS section, 'raw' AS name, 'records' AS item, CAST(count(*) AS DOUBLE) AS value FROM f
+      UNION ALL SELECT 'stage', 'clean', 'records', count(*) FROM p
+      UNION ALL SELECT 'stage', 'features', 'records', count(*) FROM p
+      UNION ALL SELECT 'quality', 'all', 'data_quality_score', 1.0
+      UNION ALL SELECT 'model', 'all', 'avg_mae', mae FROM t
+      UNION ALL SELECT 'model', 'all', 'avg_rmse', rmse FROM t
+      UNION ALL SELECT 'model', 'all', 'avg_r2', r2 FROM t
+      UNION ALL SELECT 'forecast', city, 'next_avg', middle FROM w
+      UNION ALL SELECT 'forecast', city, 'min_predicted', low FROM w
+      UNION ALL SELECT 'forecast', city, 'max_predicted', high FROM w)
+    SELECT section, name, item, round(value, 5) AS value FROM rows""",
+)
+def job_report(t: Tables) -> DataFrame:
+    """The run report: stages counted while they are written, the quality score, the models' mean errors, and each city's forecast."""
+    counts = StageCounts()
+    _, cleaned, _ = prepare_observations(_fact(t), counts=counts)
+    score = quality.completeness(cleaned.select("temperature", "humidity", "pressure"))
+    spec, fitted = _ar_trained(t)
+    forecast = spec.forecast(spec.fit(stage(t.hourly, "hourly")), 24)
+    report = final_report(counts.report(t.spark), score=score, evaluation=spec.evaluate(fitted), forecast=forecast, keys=["city"])
+    return report.filter("item <> 'seconds'").withColumn("value", F.round("value", 5))
