@@ -1,11 +1,14 @@
 """The jobs end to end, and the forecaster where SQL can follow it."""
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from isobar.catalog import CITIES, DOCUMENTS, HOURLY, Tables, query
 from isobar.operators import quality
 from isobar.operators.columns import canonical_hourly
+from isobar.operators.grid import without_holes
 from isobar.operators.quality import StageCounts
 from isobar.plans.forecast import Forecaster, Orders
 from isobar.plans.runs import HourlyStore, final_report, prepare_observations, run_hourly, run_new_documents, stored_sums
@@ -216,10 +219,11 @@ def stream_documents(t: Tables) -> DataFrame:
 # ---- a forecaster that SQL can follow ----------------------------------------
 
 # Seasonal difference and one autoregressive term, with a constant.
-_AR = f"""{HOURLY},
-    i AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY observed_at) AS i, count(*) OVER (PARTITION BY city) AS total FROM h),
+_STEPS = """
+    i AS (SELECT *, row_number() OVER (PARTITION BY city ORDER BY observed_at) AS i, count(*) OVER (PARTITION BY city) AS total FROM {source}),
     w AS (SELECT *, temperature - lag(temperature, 24) OVER (PARTITION BY city ORDER BY observed_at) AS w FROM i),
     l AS (SELECT *, lag(w) OVER (PARTITION BY city ORDER BY observed_at) AS w1 FROM w)"""
+_AR = HOURLY + "," + _STEPS.format(source="h")
 _FIT = """
     m AS (SELECT city, regr_slope(w, w1) AS a, regr_intercept(w, w1) AS c, regr_count(w, w1) AS n,
                  (regr_syy(w, w1) - regr_slope(w, w1) * regr_sxy(w, w1)) / regr_count(w, w1) AS s2
@@ -347,3 +351,48 @@ def job_report(t: Tables) -> DataFrame:
     forecast = spec.forecast(spec.fit(stage(t.hourly, "hourly")), 24)
     report = final_report(counts.report(t.spark), score=score, evaluation=spec.evaluate(fitted), forecast=forecast, keys=["city"])
     return report.filter("item <> 'seconds'").withColumn("value", F.round("value", 5))
+
+
+# ---- the regular grid --------------------------------------------------------
+
+_HOLES = f"""{HOURLY},
+    q AS (SELECT city, observed_at, temperature, row_number() OVER (PARTITION BY city ORDER BY observed_at) AS at FROM h
+          QUALIFY (CAST(epoch(observed_at) AS BIGINT) // 3600 * 7 + length(city)) % 11 NOT IN (3, 4)),
+    e AS (SELECT city, min(observed_at) AS low, max(observed_at) AS high FROM q GROUP BY 1),
+    z AS (SELECT city, unnest(generate_series(low, high, INTERVAL 1 HOUR)) AS observed_at FROM e),
+    n AS (SELECT z.city, z.observed_at, q.temperature AS v, row_number() OVER (PARTITION BY z.city ORDER BY z.observed_at) AS i
+          FROM z LEFT JOIN q ON q.city = z.city AND q.observed_at = z.observed_at),
+    b AS (SELECT *, max(CASE WHEN v IS NOT NULL THEN i END) OVER (PARTITION BY city ORDER BY i) AS bi,
+                 min(CASE WHEN v IS NOT NULL THEN i END) OVER (PARTITION BY city ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ai FROM n),
+    g AS (SELECT b.city, b.observed_at, b.v IS NULL AS was_missing,
+                 CASE WHEN b.v IS NOT NULL THEN b.v ELSE p.v + (a.v - p.v) * (b.i - b.bi) / (b.ai - b.bi) END AS temperature
+          FROM b LEFT JOIN n p ON p.city = b.city AND p.i = b.bi LEFT JOIN n a ON a.city = b.city AND a.i = b.ai)"""
+
+
+def _with_holes(t: Tables) -> DataFrame:
+    """The hourly series without two hours in eleven."""
+    hour = F.floor(F.unix_seconds(F.col("observed_at").cast("timestamp")) / 3600)
+    return t.hourly.filter(~((hour * 7 + F.length("city")) % 11).isin(3, 4))
+
+
+@query("hour_grid", f"WITH {_HOLES} SELECT city, observed_at, temperature, was_missing FROM g")
+def hour_grid(t: Tables) -> DataFrame:
+    """Every hour of every series, with lines through the holes."""
+    rows = _with_holes(t).select("city", "observed_at", "temperature", F.lit(True).alias("given"))
+    out = without_holes(rows, ["city"], "observed_at", ["temperature"])
+    return out.select("city", "observed_at", "temperature", F.col("given").isNull().alias("was_missing"))
+
+
+_GRID_TRAIN = _HOLES.replace(" e AS (", " ends AS (").replace("FROM e)", "FROM ends)") + "," + _STEPS.format(source="g") + "," + _FIT.format(rows="i <= floor(0.8::DOUBLE * total)")
+
+
+@query(
+    "grid_predictions",
+    f"WITH {_GRID_TRAIN},{_PATH} SELECT city, observed_at, round(actual, 6) AS actual, round(prediction, 5) AS prediction FROM p",
+)
+def grid_predictions(t: Tables) -> DataFrame:
+    """A forecaster that puts series with holes on the grid first."""
+    spec = replace(_ar_spec(), unit="hour")
+    ready = spec.prepare(_with_holes(t), minimum=1, minimum_complete=1)
+    out = spec.test_predictions(spec.fit(stage(spec.split(ready), "split")))
+    return out.withColumns({"actual": F.round("actual", 6), "prediction": F.round("prediction", 5)})

@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from isobar.functions.calendar import key_safe
 from isobar.operators.columns import last_n
+from isobar.operators.grid import without_holes
 from isobar.operators.leastsquares import dot, least_squares
 from isobar.operators.metrics import regression_metrics, residual_stats
 from isobar.operators.ordered import BLOCK, BLOCK_ROWS, HALO, Series, arrange, attach, largest_group
@@ -114,6 +115,13 @@ class Fitted:
 
 @dataclass(frozen=True)
 class Forecaster:
+    """One model specification for every series of ``keys`` along ``time``.
+
+    ``unit`` ("hour", say) puts series on a regular grid of ``time`` before lags are
+    taken, with lines through holes of the target and the regressors; without
+    it rows are taken to follow each other regularly.
+    """
+
     keys: list[str]
     time: list[str]
     target: str = "temperature"
@@ -122,6 +130,7 @@ class Forecaster:
     orders: Orders = Orders()
     lag_exog: bool = True
     block_rows: int = BLOCK_ROWS
+    unit: str | None = None
 
     @property
     def regressors(self) -> list[str]:
@@ -136,6 +145,12 @@ class Forecaster:
     ) -> DataFrame:
         """Series long enough, with lagged regressors and complete rows only."""
         out = enough_rows(df, self.keys, minimum)
+        if self.unit:
+            if len(self.time) != 1:
+                raise ValueError("a regular grid needs one time column")
+            used = [c for c in dict.fromkeys([self.target, *self.exog]) if c in out.columns]
+            filled = without_holes(out.select(*self.keys, *self.time, *used), self.keys, self.time[0], used, unit=self.unit, block_rows=self.block_rows)
+            out, longest = stage(filled, "grid"), None  # longer than the rows that were counted
         if self.exog and self.lag_exog:
             out = lagged(
                 out, self.keys, self.time, list(self.exog), lags=self.exog_lags, block_rows=self.block_rows, longest=longest

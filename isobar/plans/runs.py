@@ -196,7 +196,10 @@ def train_and_forecast(
         rows = keep_keys(rows, spec.keys[0], keys)
     rows = enough_rows(rows, [], minimum_rows)
     longest = largest_group(rows, spec.keys)  # counted once for all steps
-    prepared = stage(spec.split(spec.prepare(rows, longest=longest), longest=longest), "prepared")
+    ready = spec.prepare(rows, longest=longest)
+    if spec.unit:  # a grid has more rows
+        longest = largest_group(ready, spec.keys)
+    prepared = stage(spec.split(ready, longest=longest), "prepared")
     fitted = spec.fit(prepared, longest=longest)
     evaluation = stage(spec.evaluate(fitted), "evaluation")
     # Only the series that are forecast are fitted again.
