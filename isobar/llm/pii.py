@@ -26,6 +26,7 @@ from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import reduce
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -38,19 +39,24 @@ from isobar.staging import discard, stage
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[str, int, int]
 
-# Possessive parts: a run that fails once is not tried again from inside, so every pattern is linear.
+# A chain of numbers begins where no digit stands before, and its parts are possessive: a run that fails
+# is tried neither again from inside nor from its later digits, so every pattern is linear.
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)++")
+_DOTTED = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)++")
 _NUMBER = re.compile(r"[0-9]")
 _CHAIN = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HOT = re.compile(r"[0-9@+]+")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 
+#: Tokens of an entity at most; the field adds no longer one (the fixed patterns know no such bound).
 MOST_TOKENS = 20
+#: Characters that a stretch reaches beyond its hot ones: of a longer word the field sees so much, and an entity of it no more.
 REACH = 64
 WINDOW = 3 * REACH
+#: Tokens whose segments are described together, so that a stretch of any length needs little memory.
+TOKENS_AT_ONCE = 2000
 
 
 def luhn(digits: str) -> bool:
@@ -187,19 +193,23 @@ class Lattice:
     phi: np.ndarray
 
 
-def lattice(part: str, before: str = "", after: str = "") -> Lattice:
-    """Segments of ``part``; ``before`` and ``after`` are the characters that touch it."""
-    tokens = [m.start() for m in _TOKEN.finditer(part)] + [len(part)]
+def _tokens(part: str) -> list[int]:
+    """Where each token of ``part`` begins, and its end."""
+    return [m.start() for m in _TOKEN.finditer(part)] + [len(part)]
+
+
+def _described(part: str, tokens: list[int], first: int, last: int, before: str, after: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(begin, end, features) of the segments that begin at tokens ``first`` up to ``last``."""
     size = len(tokens) - 1
     begins, ends, rows = [], [], []
-    opens = [part[tokens[i]] in "+" or part[tokens[i]].isalnum() for i in range(size)]
-    for i in range(size):
-        if not opens[i]:
+    for i in range(first, min(last, size)):
+        opening = part[tokens[i]]
+        if opening != "+" and not opening.isalnum():
             continue
         for j in range(i + 1, min(i + MOST_TOKENS, size) + 1):
-            last = part[tokens[j] - 1]
-            if not last.isalnum():
-                if last == "\n":
+            closing = part[tokens[j] - 1]
+            if not closing.isalnum():
+                if closing == "\n":
                     break
                 continue
             left = part[tokens[i] - 1] if i else before
@@ -209,34 +219,44 @@ def lattice(part: str, before: str = "", after: str = "") -> Lattice:
                 begins.append(i)
                 ends.append(j)
                 rows.append(row)
-    return Lattice(size, tokens, np.array(begins, int), np.array(ends, int), np.array(rows).reshape(-1, FEATURES))
+    return np.array(begins, int), np.array(ends, int), np.array(rows).reshape(-1, FEATURES)
 
 
-def best(lat: Lattice, weights: np.ndarray) -> list[tuple[int, int, int]]:
-    """(kind, first token, end token) of the best segmentation; ties: the fewest entities, then the first listed."""
-    if not len(lat.begin):
-        return []
-    scores = lat.phi @ weights.T
-    kind = scores.argmax(1)
-    value = scores[np.arange(len(kind)), kind]
-    useful = np.flatnonzero(value > 0)
+def lattice(part: str, before: str = "", after: str = "") -> Lattice:
+    """Segments of ``part``; ``before`` and ``after`` are the characters that touch it."""
+    tokens = _tokens(part)
+    return Lattice(len(tokens) - 1, tokens, *_described(part, tokens, 0, len(tokens), before, after))
+
+
+def best(part: str, weights: np.ndarray, before: str = "", after: str = "") -> list[tuple[int, int, int]]:
+    """(kind, first character, end) of the best segmentation; ties: the fewest entities, then the first listed."""
+    tokens, useful = _tokens(part), []
+    for first in range(0, len(tokens) - 1, TOKENS_AT_ONCE):
+        begin, end, phi = _described(part, tokens, first, first + TOKENS_AT_ONCE, before, after)
+        if len(begin):
+            scores = phi @ weights.T
+            kind = scores.argmax(1)
+            value = scores[np.arange(len(kind)), kind]
+            some = value > 0
+            useful += zip(begin[some].tolist(), end[some].tolist(), kind[some].tolist(), value[some].tolist())
+    size = len(tokens) - 1
     arriving: dict[int, list[int]] = {}
-    for s in useful:
-        arriving.setdefault(int(lat.end[s]), []).append(int(s))
-    total, back = [0.0] * (lat.size + 1), [-1] * (lat.size + 1)
-    for j in range(1, lat.size + 1):
+    for s, (_, j, _, _) in enumerate(useful):
+        arriving.setdefault(j, []).append(s)
+    total, back = [0.0] * (size + 1), [-1] * (size + 1)
+    for j in range(1, size + 1):
         total[j] = total[j - 1]
         for s in arriving.get(j, ()):
-            if (t := total[lat.begin[s]] + value[s]) > total[j]:
+            if (t := total[useful[s][0]] + useful[s][3]) > total[j]:
                 total[j], back[j] = t, s
-    out, j = [], lat.size
+    out, j = [], size
     while j:
         if back[j] < 0:
             j -= 1
         else:
-            s = back[j]
-            out.append((int(kind[s]), int(lat.begin[s]), int(lat.end[s])))
-            j = int(lat.begin[s])
+            i, end, kind, _ = useful[back[j]]
+            out.append((kind, tokens[i], tokens[end]))
+            j = i
     return out[::-1]
 
 
@@ -385,12 +405,15 @@ def fit(docs: DataFrame, how: Field = Field(), *, text: str = "text") -> np.ndar
 
 def added_spans(text: str, base: list[Span], weights: np.ndarray) -> list[Span]:
     """Spans of the field that touch no base span, by kind and start."""
+    ordered = sorted((x, y) for _, x, y in base)
+    starts = [x for x, _ in ordered]
+    furthest = list(accumulate((y for _, y in ordered), max))  # end of the base spans that start up to here
     out = []
     for begin, end in stretches(text):
-        lat = lattice(text[begin:end], text[begin - 1 : begin], text[end : end + 1])
-        for kind, i, j in best(lat, weights):
-            a, b = begin + lat.offsets[i], begin + lat.offsets[j]
-            if all(b <= x or a >= y for _, x, y in base if y > begin and x < end):
+        for kind, i, j in best(text[begin:end], weights, text[begin - 1 : begin], text[end : end + 1]):
+            a, b = begin + i, begin + j
+            before = bisect_left(starts, b)
+            if not before or furthest[before - 1] <= a:
                 out.append((KINDS[kind], a, b))
     return sorted(out, key=lambda s: (KINDS.index(s[0]), s[1]))
 
