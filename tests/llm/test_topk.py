@@ -59,3 +59,33 @@ def test_repeated_rows(spark):
     frame = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (5, [2.0]), (5, [2.0])], "vec_id long, embedding array<double>")
     got = sorted(tuple(r) for r in topk.nearest(frame, F.col("vec_id") == 0, k=3, scale=1).collect())
     assert got == [(0, 1, 5, 2), (0, 2, 5, 2)]
+
+
+def test_pairs_of_blocks_are_tasks_of_their_own(spark):
+    frame = spark.createDataFrame([(i, [float(i % 13), float(i % 7)]) for i in range(400)], "vec_id long, embedding array<double>")
+    got = topk.nearest(frame, F.col("vec_id") % 4 == 0, k=3, scale=1, block=50, query_block=50)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_NUM" in plan and plan.count("hashpartitioning(size") == plan.count("hashpartitioning(size#") and ", 32)" in plan
+
+
+def test_copies_beyond_k_change_nothing(spark):
+    data = [(5, [2.0, 1.0])] * 300 + [(5, [3.0, 1.0])] + [(6, [1.0, 1.0])] * 50 + [(0, [1.0, 0.0]), (0, [0.0, 1.0])]
+    frame = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    got = sorted(tuple(r) for r in topk.nearest(frame, F.col("vec_id") == 0, k=4, scale=1, block=20, query_block=1).collect())
+    # The query's smaller vector is (0, 1): every candidate scores 1, ties go to the smaller key.
+    assert got == [(0, 1, 5, 1), (0, 2, 5, 1), (0, 3, 5, 1), (0, 4, 5, 1)]
+
+
+def test_candidates_no_query_wants_are_read_no_further(monkeypatch):
+    rng = np.random.default_rng(4)
+    x = np.concatenate((rng.integers(0, 1000, (400, 6)), rng.integers(0, 30, (4000, 6))))
+    lists, read = topk.Lists(np.arange(len(x)), x), []
+    bounds = topk.Lists.bounds
+    monkeypatch.setattr(topk.Lists, "bounds", lambda self, w, depth, kind, live: read.append(len(live)) or bounds(self, w, depth, kind, live))
+    weights = rng.integers(1, 50, (20, 6))
+    found = lists.best(np.full(20, -1), weights, 5, 5)
+    assert len(read) > 1 and read[0] == len(x) and read[-1] < 400
+    for ids, w in zip([f[1] for f in found], [weights[i] for i in range(20)]):
+        assert len(ids) == 5
+    wanted = {tuple(sorted((x @ w).tolist())[-5:]) for w in weights}
+    assert {tuple(sorted(f[2].tolist())) for f in found} == wanted
