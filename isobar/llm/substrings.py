@@ -188,8 +188,8 @@ def _spread(doc: np.ndarray, at: np.ndarray) -> np.ndarray:
     return _mixed(at.astype(np.uint64) + (doc.astype(np.uint64) << np.uint64(32)))
 
 
-def _taken(values: list, at: np.ndarray) -> pa.Array:
-    return pa.array(values, pa.int64()).take(pa.array(at))
+def _taken(values: list, at: np.ndarray, kind: pa.DataType = pa.int64()) -> pa.Array:
+    return pa.array(values, kind).take(pa.array(at))
 
 
 def repeated_anchors(rows: DataFrame, cover: Cover) -> DataFrame:
@@ -211,16 +211,17 @@ def repeated_anchors(rows: DataFrame, cover: Cover) -> DataFrame:
             sure = np.concatenate((twice, np.ones(len(low), bool)))
             keys = np.concatenate((key[first], _spread(doc[again][low], number[again][low])))
             yield pa.RecordBatch.from_arrays(
-                [_signed(keys), _taken([d[0] for d in docs], owner), pa.array(begin * 2 + sure, pa.int64()), pa.array(end - begin, pa.int32())],
+                [_signed(keys), _taken([d[0] for d in docs], owner, pa.binary()), pa.array(begin * 2 + sure, pa.int64()), pa.array(end - begin, pa.int32())],
                 ["key", "th", "begin", "more"],
             )
 
-    found = rows.mapInArrow(run, "key long, th long, begin long, more int")
+    found = rows.mapInArrow(run, "key long, th binary, begin long, more int")
     same = Window.partitionBy("key")
     met = F.min("th").over(same) != F.max("th").over(same)
     found = found.withColumn("met", met).filter((F.col("begin") % 2 == 1) | F.col("met"))
     begin = F.shiftright("begin", 1).cast("int")
-    return found.groupBy("th").agg(F.collect_list(F.struct(begin.alias("begin"), (begin + F.col("more")).alias("end"))).alias("spans"))
+    # A set: a text that many chunks hold names its anchors once, not once for each of them.
+    return found.groupBy("th").agg(F.collect_set(F.struct(begin.alias("begin"), (begin + F.col("more")).alias("end"))).alias("spans"))
 
 
 def _covered(count: int, begin: np.ndarray, end: np.ndarray, *, back: int = 0, reach: int = 0) -> np.ndarray:
@@ -257,7 +258,7 @@ def later_windows(rows: DataFrame, cover: Cover) -> DataFrame:
                     _signed(np.concatenate((low[first], _spread(doc[again][a], begin[again][a])))),
                     _signed(np.concatenate((high[first], none)) >> np.uint64(1)),
                     pa.array(np.arange(len(owner)) >= first.sum()),
-                    _taken([d[0] for d in docs], owner),
+                    _taken([d[0] for d in docs], owner, pa.binary()),
                     _taken([d[1] for d in docs], owner),
                     pa.array(np.concatenate((begin[first], begin[again][a])), pa.int32()),
                     pa.array(np.concatenate((begin[first], begin[again][b])), pa.int32()),
@@ -265,7 +266,7 @@ def later_windows(rows: DataFrame, cover: Cover) -> DataFrame:
                 ["key", "more", "sure", "th", "id", "begin", "end"],
             )
 
-    found = rows.mapInArrow(run, "key long, more long, sure boolean, th long, id long, begin int, end int")
+    found = rows.mapInArrow(run, "key long, more long, sure boolean, th binary, id long, begin int, end int")
     # A row that stands twice in the table ties with itself and does not count as later.
     order = Window.partitionBy("key", "more", "sure").orderBy(F.col("id").asc_nulls_last(), "th", "begin")
     return found.withColumn("at", F.rank().over(order)).filter("sure or at > 1").select("th", "begin", "end")
@@ -277,9 +278,9 @@ def _shut(texts: pa.Array) -> pa.Array:
 
 
 def _rows(docs: DataFrame, text: str, key: str) -> DataFrame:
-    """``th id body``: the text's hash, the key and the text of every row; NULL texts are empty."""
+    """``th id body``: the text's hash (128 bits), the key and the text of every row; NULL texts are empty."""
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    return docs.select(F.xxhash64(body).alias("th"), F.col(f"`{key}`").cast("long").alias("id"), body.alias("body"))
+    return docs.select(F.unhex(F.md5(body)).alias("th"), F.col(f"`{key}`").cast("long").alias("id"), body.alias("body"))
 
 
 def _travelling(rows: DataFrame) -> DataFrame:
@@ -293,7 +294,7 @@ def later(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: s
     ``first_id`` is the smallest key of the text; other rows with this text
     are copies.  ``ranges`` are starts of windows of the first row that start
     earlier elsewhere.  Documents come in the order of the key, NULL last, then
-    of the text's hash (64 bits; texts are taken as equal if it is).  NULL,
+    of the text's hash (128 bits; texts are taken as equal if it is).  NULL,
     empty and short texts have no window.  An empty table gives no rows.
     """
     small_batches()

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from isobar.llm import substrings
 from isobar.llm.queries import QUERIES
@@ -99,3 +100,21 @@ def test_odd_rows(spark):
     assert substrings.kept(documents(spark, [])).count() == 0
     odd = documents(spark)
     assert found(substrings.kept(odd)) == expected([(r.doc_id, r.text) for r in odd.collect()])
+
+
+def test_a_text_in_many_chunks_names_its_anchors_once(spark, monkeypatch):
+    """Chunks of one text each: the longest list does not grow with the copies."""
+    monkeypatch.setattr(substrings, "WORDS_AT_ONCE", 1)
+    passage = " ".join(f"p{i}" for i in range(60))
+    longest = []
+    for copies in (5, 60):
+        rows = [(i, "own start " + passage, "en", "s") for i in range(copies)] + [(1000, passage + " other end", "en", "s")]
+        frame = substrings._rows(documents(spark, rows), "text", "doc_id").repartition(6)
+        lists = substrings.repeated_anchors(frame, substrings.Cover()).select(F.size("spans").alias("n")).collect()
+        longest.append(max(r.n for r in lists))
+    assert longest[0] == longest[1] > 0
+
+
+def test_texts_are_told_apart_by_128_bits(spark):
+    rows = substrings._rows(documents(spark, [(1, "a", "en", "s"), (2, None, "en", "s"), (3, "", "en", "s")]), "text", "doc_id").collect()
+    assert [len(r.th) for r in rows] == [16, 16, 16] and rows[1].th == rows[2].th != rows[0].th
