@@ -179,22 +179,37 @@ def load(spark: SparkSession, path: str) -> tuple[Model, DataFrame]:
     return Model(PipelineModel.load(f"{path}/pipeline"), features, row["label"], row["version"]), meta
 
 
-#: Partitions of a training table.  Forests draw their samples by partition, so this number, not the cluster's size, decides them.
+#: Partitions of a training table at least, and rows of one at most.  Forests draw their samples by partition, so these numbers, not the cluster's size, decide them.
 PARTITIONS = 4
+PARTITION_ROWS = 100_000
+#: Equal rows that stay together.
+TOGETHER = 1000
 
 
-def spread(written: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
+def partitions_of(rows: int) -> int:
+    return max(PARTITIONS, -(-rows // PARTITION_ROWS))
+
+
+def spread(written: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows placed and sorted by their own hash, for repeated passes over a written table.
 
     The same rows give the same partitions on any cluster, and so the same
-    forest.  Raise ``partitions`` with the table.
+    forest.  Their number grows with the table unless it is given.  Equal rows
+    are counted first and come back in lots of ``TOGETHER``, each with a place of
+    its own, so that no value fills a partition.
     """
-    place = F.xxhash64(*[F.col(f"`{c}`") for c in written.columns])
-    return written.withColumn("__place", place).repartition(partitions, "__place").sortWithinPartitions("__place", *[f"`{c}`" for c in written.columns]).drop("__place")
+    columns = [F.col(f"`{c}`") for c in written.columns]
+    partitions = partitions_of(written.count()) if partitions is None else partitions
+    counted = written.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    lots = counted.withColumn("__lot", F.explode(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(TOGETHER).cast("long"))))
+    placed = lots.withColumn("__place", F.xxhash64(*columns, "__lot")).repartition(partitions, "__place")
+    ordered = placed.sortWithinPartitions("__place", *columns, "__lot")
+    copies = F.sequence(F.lit(1).cast("long"), F.least(F.col("__n") - F.col("__lot"), F.lit(TOGETHER)))
+    return ordered.withColumn("__copy", F.explode(copies)).drop("__n", "__lot", "__place", "__copy")
 
 
 def fit(
-    pipeline: Pipeline, features: Features, train: DataFrame, label: str, version: str = "1.0.0", *, partitions: int = PARTITIONS
+    pipeline: Pipeline, features: Features, train: DataFrame, label: str, version: str = "1.0.0", *, partitions: int | None = None
 ) -> Model:
     wanted = [*features.names, label]
     written = stage(features.apply(train).select(*dict.fromkeys(wanted)), "training")
@@ -228,12 +243,19 @@ def cross_validate(
 
 
 def rain_cross_validation(
-    df: DataFrame, features: Features, key: str, *, label: str = "rain_flag", folds: int = 5, learner: Estimator | None = None
+    df: DataFrame,
+    features: Features,
+    key: str,
+    *,
+    label: str = "rain_flag",
+    folds: int = 5,
+    learner: Estimator | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Stratified folds scored by AUC."""
     written = stage(with_stratified_folds(features.apply(df), label, key, folds=folds), "folds")
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-    result = cross_validate(scaled(features, learner or rain_forest(label)), spread(written), evaluator, folds=folds)
+    result = cross_validate(scaled(features, learner or rain_forest(label)), spread(written, partitions), evaluator, folds=folds)
     discard(written)
     return result
 
@@ -247,30 +269,31 @@ def temperature_cross_validation(
     folds: int = 5,
     share: Column | None = None,
     learner: Estimator | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Plain folds scored by mean absolute error."""
     written = stage(with_folds(features.apply(df), key, folds=folds, share=share), "folds")
     evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
-    result = cross_validate(scaled(features, learner or temperature_forest(label)), spread(written), evaluator, folds=folds)
+    result = cross_validate(scaled(features, learner or temperature_forest(label)), spread(written, partitions), evaluator, folds=folds)
     discard(written)
     return result
 
 
-def train_rain(df: DataFrame, key: str, *, label: str = "rain_flag") -> tuple[Model, DataFrame]:
+def train_rain(df: DataFrame, key: str, *, label: str = "rain_flag", partitions: int | None = None) -> tuple[Model, DataFrame]:
     """Stratified 80/20 split, scaled forest; returns the model and the scored test rows."""
     parts = stratified_split(df, label, key)
     features = rain_features(df)
-    model = fit(scaled(features, rain_forest(label)), features, parts.filter("not is_test"), label)
+    model = fit(scaled(features, rain_forest(label)), features, parts.filter("not is_test"), label, partitions=partitions)
     return model, model.score(parts.filter("is_test"))
 
 
 def train_temperature(
-    df: DataFrame, key: str, *, label: str = "temperature", share: Column | None = None
+    df: DataFrame, key: str, *, label: str = "temperature", share: Column | None = None, partitions: int | None = None
 ) -> tuple[Model, DataFrame]:
     """Plain 80/20 split, scaled forest; returns the model and the scored test rows."""
     parts = plain_split(df, key, share=share)
     features = temperature_features(df)
-    model = fit(scaled(features, temperature_forest(label)), features, parts.filter("not is_test"), label)
+    model = fit(scaled(features, temperature_forest(label)), features, parts.filter("not is_test"), label, partitions=partitions)
     return model, model.score(parts.filter("is_test"))
 
 

@@ -130,6 +130,17 @@ def test_forests_do_not_depend_on_the_partitions(weather):
     assert scores[0] == scores[1] == scores[2]
 
 
+def test_training_tables_spread_with_their_rows(spark, weather, monkeypatch):
+    assert [models.partitions_of(n) for n in (0, 400_000, 400_001, 10_000_000)] == [4, 4, 5, 100]
+    same = spark.range(5000).select(F.lit(1.0).alias("x"), F.lit(None).cast("int").alias("y"))
+    placed = models.spread(same.unionByName(spark.createDataFrame([(2.0, 3)], same.schema)), 8)
+    assert placed.count() == 5001 and placed.filter("x = 2.0 and y = 3").count() == 1
+    sizes = [r["count"] for r in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) > 1 and max(sizes) <= 4001  # lots of a thousand, wherever they fall
+    monkeypatch.setattr(models, "PARTITION_ROWS", 100)
+    assert models.spread(same).rdd.getNumPartitions() == 50
+
+
 def test_least_squares_equals_numpy(spark):
     rng = np.random.default_rng(5)
     x, key = rng.normal(size=(500, 3)), rng.choice(["a", "b"], 500)
