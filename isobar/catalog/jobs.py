@@ -216,6 +216,25 @@ def stream_documents(t: Tables) -> DataFrame:
     return stored.select("city_id", F.col("date").cast("string").alias("date"), "hour", "measurement_count")
 
 
+@query(
+    "stream_late",
+    """WITH d AS (SELECT CAST(floor(epoch(ts)) AS BIGINT) AS dt, event_id FROM events),
+    p AS (SELECT *, event_id % 5 = 1 OR dt >= 1705314600 AS second FROM d)
+    SELECT count(*) AS rows_read,
+           count(*) FILTER (second AND dt <= (SELECT max(dt) FROM p WHERE NOT second) - 3600) AS rows_late FROM p""",
+)
+def stream_late(t: Tables) -> DataFrame:
+    """Two drains, the second one with documents older than the watermark: what was read and what came too late, from the stored counters."""
+    docs = t.documents_nested
+    folder, target, offsets, counters = (new_path(t.spark, n) for n in ("landed", "stream", "offsets", "counters"))
+    second = (F.col("event_id") % 5 == 1) | (F.col("dt") >= 1705314600)
+    for part in (~second, second):
+        docs.filter(part).drop("event_id", "processed").coalesce(1).write.mode("append").json(folder)
+        rows = streaming.hourly_stream(streaming.document_stream(t.spark, folder), t.cities, t.countries)
+        streaming.drain(rows, target, offsets, counters)
+    return t.spark.read.parquet(counters).agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_late").alias("rows_late"))
+
+
 # ---- a forecaster that SQL can follow ----------------------------------------
 
 # Seasonal difference and one autoregressive term, with a constant.

@@ -526,7 +526,7 @@ def single_series_seasonal(t: Tables) -> DataFrame:
     WHERE period + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""",
 )
 def stream_hourly(t: Tables) -> DataFrame:
-    """Hours the watermark has closed, each reading counted once, written by (date, hour)."""
+    """Hours the watermark has closed, each reading counted once, written by date."""
     flat = streaming.parquet_stream(t.spark, t.folder, t.events.schema, pattern="events.parquet").select(
         F.col("user_id").cast("double").alias("lon"),
         F.lit(0.0).alias("lat"),
@@ -539,7 +539,7 @@ def stream_hourly(t: Tables) -> DataFrame:
         {"Date": F.to_date("period"), "Hour": F.hour("period")}
     )
     target = new_path(t.spark, "stream")
-    streaming.write_periods(means, target, new_path(t.spark, "offsets")).awaitTermination()
+    streaming.write_periods(means, target, new_path(t.spark, "offsets"), keys=["Hour", "lon", "lat"]).awaitTermination()
     return t.spark.read.parquet(target).select(
         F.col("lon").cast("long").alias("user_id"),
         F.col("period").cast("timestamp_ntz").alias("period"),

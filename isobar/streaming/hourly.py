@@ -9,7 +9,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from isobar.operators import hourly
 from isobar.schema import DOCUMENT
-from isobar.sources.tables import replace_periods
+from isobar.sources.tables import replace_rows
+from isobar.staging import discard, stage
 
 
 def document_stream(spark: SparkSession, path: str, *, files_per_trigger: int | None = None) -> DataFrame:
@@ -62,17 +63,27 @@ def hourly_stream(
     return hourly.hourly_fact(joined)
 
 
+#: Progress reports kept by a drain, one for each batch, so that none is lost before they are read.
+REPORTS = "spark.sql.streaming.numRecentProgressUpdates"
+MOST_BATCHES = 100_000
+
+
 def write_periods(
-    stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] = ("Date", "Hour")
+    stream: DataFrame, target: str, checkpoint: str, partition_by: list[str] = ("Date",), keys: list[str] = ("Hour", "idCity")
 ) -> StreamingQuery:
     """Process everything available, then stop.
 
-    An hour is emitted once, when the watermark passes it, so replacing whole
-    (date, hour) partitions makes a replayed batch harmless.
+    An hour is emitted once, when the watermark passes it.  Its rows replace
+    the stored ones of the same ``partition_by`` and ``keys`` and no others,
+    so a replayed batch or a stream started afresh is harmless to other cities' rows.
     """
+    stream.sparkSession.conf.set(REPORTS, str(MOST_BATCHES))
 
     def replace(batch: DataFrame, _: int) -> None:
-        replace_periods(batch, target, list(partition_by))
+        rows = stage(batch, "batch")  # read more than once
+        if not rows.isEmpty():
+            replace_rows(rows, target, list(partition_by), list(keys))
+        discard(rows)
 
     return (
         stream.writeStream.outputMode("append")
@@ -81,3 +92,28 @@ def write_periods(
         .trigger(availableNow=True)
         .start()
     )
+
+
+COUNTERS = "run string, batch long, watermark string, rows_read long, rows_late long"
+
+
+def batch_counters(query: StreamingQuery) -> list[tuple[str, int, str | None, int, int]]:
+    """(run, batch, watermark, rows read, rows too late) of every batch of this run; a late row is dropped by the first operator that keeps state."""
+    out = []
+    for report in query.recentProgress:
+        late = sum(s.numRowsDroppedByWatermark for s in report.stateOperators)
+        out.append((str(report.runId), int(report.batchId), report.eventTime.get("watermark"), int(report.numInputRows), int(late)))
+    return out
+
+
+def drain(stream: DataFrame, target: str, checkpoint: str, counters: str, **how) -> DataFrame:
+    """``write_periods`` to its end; this run's counters are appended below ``counters`` and returned.
+
+    What the watermark drops is never stored, so its number is: a run with
+    late rows asks for the batch job over their hours.
+    """
+    query = write_periods(stream, target, checkpoint, **how)
+    query.awaitTermination()
+    rows = stream.sparkSession.createDataFrame(batch_counters(query), COUNTERS)  # a row for each batch
+    rows.coalesce(1).write.mode("append").parquet(counters)
+    return rows

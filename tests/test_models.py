@@ -332,3 +332,32 @@ def test_stream_equals_batch_on_closed_hours(spark, tmp_path):
     expected = sorted((str(r.Date), r.Hour, r.idCity, r.measurement_count, r.Temp) for r in closed.collect())
     assert sorted((str(r.Date), r.Hour, r.idCity, r.n, r.temp) for r in got.collect()) == expected
     assert {r.rows for r in got.collect()} == {1}
+
+
+def test_late_rows_are_counted_and_other_rows_stay(spark, tmp_path):
+    def doc(dt, lon, temp=1.0):
+        return json.dumps({"dt": dt, "coord": {"lon": lon, "lat": 0.0}, "main": {"temp": temp}})
+
+    base, source = 1_700_006_400, tmp_path / "in"
+    source.mkdir()
+    city = spark.createDataFrame([(1, "Alpha", 1, 1.0, 0.0), (2, "Beta", 1, 2.0, 0.0)], schema.CITY)
+    target, counters = str(tmp_path / "out"), str(tmp_path / "counters")
+
+    def drain(offsets):
+        rows = streaming.hourly_stream(streaming.document_stream(spark, str(source)), city)
+        return streaming.drain(rows, target, str(tmp_path / offsets), counters)
+
+    (source / "0.json").write_text("\n".join([doc(base, 1.0), doc(base + 60, 2.0), doc(base + 5 * 3600, 1.0)]))
+    assert drain("a").agg(F.sum("rows_read"), F.sum("rows_late")).first()[:] == (3, 0)
+    (source / "1.json").write_text("\n".join([doc(base + 120, 1.0), doc(base + 4 * 3600, 1.0), doc(base + 4 * 3600 + 1, 1.0)]))
+    assert drain("a").agg(F.sum("rows_read"), F.sum("rows_late")).first()[:] == (3, 2)
+    stored = spark.read.parquet(counters)
+    assert stored.select("run").distinct().count() == 2 and stored.agg(F.sum("rows_late")).first()[0] == 2
+    # A stream from scratch over one city's documents replaces that city's rows and leaves the other's.
+    before = {(r.idCity, r.Hour) for r in spark.read.parquet(target).collect()}
+    assert {(1, 0), (2, 0)} <= before
+    (source / "0.json").write_text("\n".join([doc(base, 1.0, 9.0), doc(base + 5 * 3600, 1.0)]))
+    (source / "1.json").unlink()
+    drain("b")
+    after = {(r.idCity, r.Hour): r.Temp for r in spark.read.parquet(target).collect()}
+    assert before <= after.keys() and after[1, 0] == 9.0 and after[2, 0] == 1.0
