@@ -415,3 +415,63 @@ def grid_predictions(t: Tables) -> DataFrame:
     ready = spec.prepare(_with_holes(t), minimum=1, minimum_complete=1)
     out = spec.test_predictions(spec.fit(stage(spec.split(ready), "split")))
     return out.withColumns({"actual": F.round("actual", 6), "prediction": F.round("prediction", 5)})
+
+
+# ---- a moving average --------------------------------------------------------
+
+# Three regressions: one long lag for innovations, their lag, and the lag of the model's own errors.
+_MA = f"""{HOURLY},
+    i AS (SELECT city, observed_at, temperature AS w, row_number() OVER (PARTITION BY city ORDER BY observed_at) AS i,
+                 count(*) OVER (PARTITION BY city) AS total FROM h),
+    t AS (SELECT *, lag(w) OVER (PARTITION BY city ORDER BY i) AS w1 FROM i WHERE {{rows}}),
+    s1 AS (SELECT city, regr_slope(w, w1) AS a, regr_intercept(w, w1) AS c FROM t GROUP BY 1),
+    e1 AS (SELECT t.city, i, w, coalesce(w - c - a * w1, 0) AS e FROM t JOIN s1 USING (city)),
+    z1 AS (SELECT city, w, coalesce(lag(e) OVER (PARTITION BY city ORDER BY i), 0) AS x FROM e1),
+    s2 AS (SELECT city, least(greatest(regr_slope(w, x), -1 / 1.02::DOUBLE), 1 / 1.02::DOUBLE) AS b, regr_intercept(w, x) AS c FROM z1 GROUP BY 1),
+    e2 AS (SELECT t.city, t.i, t.w, t.w - s2.c AS e FROM t JOIN s2 USING (city) WHERE t.i = 1
+           UNION ALL
+           SELECT t.city, t.i, t.w, t.w - s2.c - s2.b * e2.e FROM e2 JOIN t ON t.city = e2.city AND t.i = e2.i + 1 JOIN s2 ON s2.city = t.city),
+    z2 AS (SELECT city, i, w, e, coalesce(lag(e) OVER (PARTITION BY city ORDER BY i), 0) AS x FROM e2),
+    m AS (SELECT city, regr_slope(w, x) AS b, regr_intercept(w, x) AS c, regr_count(w, x) AS n,
+                 (regr_syy(w, x) - regr_slope(w, x) * regr_sxy(w, x)) / regr_count(w, x) AS s2, arg_max(e, i) AS e, max(i) AS last FROM z2 GROUP BY 1)"""
+_MA_TRAIN, _MA_WHOLE = _MA.format(rows="i <= floor(0.8::DOUBLE * total)"), _MA.format(rows="true")
+
+
+def _ma_spec() -> Forecaster:
+    return Forecaster(["city"], ["observed_at"], orders=Orders((0, 0, 1), (0, 0, 0, 0), constant=True, long=1), refine=1)
+
+
+@query("ma_fit", f"WITH RECURSIVE {_MA_WHOLE} SELECT city, round(b, 5) AS ma1, round(c, 5) AS intercept, round(s2, 4) AS sigma2, CAST(n AS BIGINT) AS n_obs FROM m")
+def ma_fit(t: Tables) -> DataFrame:
+    model = _ma_spec().fit(stage(t.hourly, "hourly")).no_exog
+    beta = F.col("coefficients")
+    return model.select("city", F.round(beta[0], 5).alias("ma1"), F.round(beta[1], 5).alias("intercept"), F.round("sigma2", 4).alias("sigma2"), F.col("n_obs").cast("long"))
+
+
+@query(
+    "ma_evaluation",
+    f"""WITH RECURSIVE {_MA_TRAIN},
+    p AS (SELECT i.city, i.w AS actual, m.c + CASE WHEN i.i = m.last + 1 THEN m.b * m.e ELSE 0 END AS prediction FROM i JOIN m USING (city) WHERE i.i > m.last)
+    SELECT city, round(avg(abs(actual - prediction)), 4) AS mae, round(sqrt(avg((actual - prediction) ** 2)), 4) AS rmse,
+           round(1 - sum((actual - prediction) ** 2) / (var_pop(actual) * count(*)), 4) AS r2, count(*) AS test_size FROM p GROUP BY 1""",
+)
+def ma_evaluation(t: Tables) -> DataFrame:
+    """Errors on the last fifth of a model with an MA term."""
+    spec = _ma_spec()
+    out = spec.evaluate(spec.fit(stage(spec.split(t.hourly), "split")))
+    return out.select("city", *[F.round(c, 4).alias(c) for c in ("mae", "rmse", "r2")], "test_size")
+
+
+@query(
+    "ma_forecast",
+    f"""WITH RECURSIVE {_MA_WHOLE}, u AS (SELECT unnest(range(1, 7)) AS step),
+    g AS (SELECT city, step, c + CASE WHEN step = 1 THEN b * e ELSE 0 END AS prediction,
+                 1.959963984540054::DOUBLE * sqrt(s2 * CASE WHEN step = 1 THEN 1 ELSE 1 + b * b END) AS half FROM m, u)
+    SELECT city, CAST(step AS INTEGER) AS step, round(prediction, 4) AS prediction, round(prediction - half, 4) AS lower, round(prediction + half, 4) AS upper,
+           'no_exog' AS model_used FROM g""",
+)
+def ma_forecast(t: Tables) -> DataFrame:
+    """Six steps ahead of a model with an MA term."""
+    spec = _ma_spec()
+    out = spec.forecast(spec.fit(stage(t.hourly, "hourly")), 6)
+    return out.withColumns({c: F.round(c, 4) for c in ("prediction", "lower", "upper")})

@@ -1,11 +1,13 @@
 """Seasonal forecasts for many series at once.
 
 The model of each series is an ARIMA with lagged regressors, estimated by the
-two-stage least squares of Hannan and Rissanen (Biometrika, 1982): a long
-autoregression gives innovations, a second regression uses their lags.
-Differences, lags and innovations are windows over blocks; only summed cross
-products reach a solver.  Estimates are conditional, so information criteria do
-not equal those of an exact-likelihood fit.
+least squares of Hannan and Rissanen (Biometrika, 1982): a long autoregression
+gives innovations, a second regression uses their lags.  If asked for, the
+errors of that model's own recursion, its MA part kept invertible, take the
+place of the innovations for one more regression.  Differences, lags and
+innovations are windows over blocks, the recursion is chained from block to
+block; only summed cross products reach a solver.  Estimates are conditional,
+so information criteria do not equal those of an exact-likelihood fit.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from isobar.operators.leastsquares import dot, least_squares
 from isobar.operators.metrics import regression_metrics, residual_stats
 from isobar.operators.ordered import BLOCK, BLOCK_ROWS, HALO, Series, arrange, attach, largest_group
 from isobar.operators.series import complete_rows, enough_rows, lag_columns, lagged, time_split
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
+#: Roots of an MA part stay this far out, or its recursion would not forget where it began.
+NEAREST_ROOT = 1.02
 Z95 = 1.959963984540054  # standard normal quantile of a two-sided 95 % interval
 
 
@@ -39,11 +43,12 @@ def _lag_set(short: int, seasonal: int, period: int) -> list[int]:
 
 @dataclass(frozen=True)
 class Orders:
-    """(p, d, q) x (P, D, Q, s), optionally with a constant."""
+    """(p, d, q) x (P, D, Q, s), optionally with a constant; ``long`` sets the lags of the first-stage autoregression."""
 
     order: tuple[int, int, int] = (2, 1, 1)
     seasonal: tuple[int, int, int, int] = (1, 1, 1, 24)
     constant: bool = False
+    long: int | None = None
 
     @cached_property
     def ar(self) -> list[int]:
@@ -73,6 +78,8 @@ class Orders:
         Two more seasons than the model itself spans: over-differenced series
         have MA roots near 1, which a shorter autoregression misses.
         """
+        if self.ma and self.long is not None:
+            return self.long
         return max([*self.ar, *self.ma, 4]) + 2 * self.seasonal[3] if self.ma else 0
 
     @property
@@ -85,6 +92,21 @@ class Orders:
         """Rows before a row that its regression inputs depend on."""
         return len(self.difference) - 1 + max([*self.ar, self.first_stage]) + max(self.ma, default=0)
 
+    def error_recurrence(self, coefficients) -> np.ndarray:
+        """b with e_t = sum b_k e_{t-k} + (what the AR part, regressors and constant leave of w_t); no root of the MA part within 1.02.
+
+        An MA part that is not invertible is shrunk, lag k by the k-th power of
+        one factor, which moves its roots out and keeps its lags.
+        """
+        poly = np.zeros(max(self.ma, default=0) + 1)
+        poly[0] = 1.0
+        poly[self.ma] = np.asarray(coefficients, float)[len(self.ar) : len(self.ar) + len(self.ma)]
+        roots = np.roots(np.trim_zeros(poly, "b")[::-1])
+        nearest = float(np.abs(roots).min(initial=np.inf))
+        if nearest < NEAREST_ROOT:
+            poly *= (nearest / NEAREST_ROOT) ** np.arange(len(poly))
+        return -poly[1:]
+
     def recurrence(self, ar: np.ndarray) -> np.ndarray:
         """a with y_t = sum a_k y_{t-k} + input, the AR and difference polynomials combined."""
         poly = np.zeros(max(self.ar, default=0) + 1)
@@ -119,7 +141,10 @@ class Forecaster:
 
     ``unit`` ("hour", say) puts series on a regular grid of ``time`` before lags are
     taken, with lines through holes of the target and the regressors; without
-    it rows are taken to follow each other regularly.
+    it rows are taken to follow each other regularly.  ``refine`` is how often
+    MA terms are estimated again from the model's own errors: once for models
+    whose MA part is all that shapes them; on over-differenced series, whose
+    MA roots lie near 1, the two-stage fit forecasts better.
     """
 
     keys: list[str]
@@ -131,6 +156,11 @@ class Forecaster:
     lag_exog: bool = True
     block_rows: int = BLOCK_ROWS
     unit: str | None = None
+    refine: int = 0
+
+    @property
+    def refined(self) -> bool:
+        return bool(self.orders.ma and self.refine)
 
     @property
     def regressors(self) -> list[str]:
@@ -195,16 +225,38 @@ class Forecaster:
         design = F.concat(F.reverse(F.slice("__past", -lags, lags)), F.col("__x"))
         return series.with_frame(series.frame.withColumn("__long", F.when(ready, design)))
 
-    def _with_innovations(self, series: Series, first_stage: DataFrame | None) -> Series:
+    def _lags_of(self) -> Column:
+        return F.array(*[F.get("__past", F.size("__past") - k) for k in self.orders.ar]).cast("array<double>")
+
+    def _own_errors(self, series: Series, model: DataFrame, regressors: list[str]) -> DataFrame:
+        """``(keys, time, __e)``: errors of a model's own recursion along the training rows, from zero at their beginning."""
+        o, width = self.orders, len(regressors)
+        rows = attach(self._training(series), model.select(*self.keys, F.col("coefficients").alias("__beta")), self.keys)
+        parts = [F.slice("__beta", 1, len(o.ar)), F.slice("__beta", len(o.ar) + len(o.ma) + 1, width + (1 if o.constant else 0))]
+        known = F.concat(self._lags_of(), F.col("__x"), *([F.array(F.lit(1.0))] if o.constant else []))
+        left = F.col("__w") - (dot(known, F.concat(*parts)) if len(o.ar) + width + o.constant else F.lit(0.0))
+        drive = F.when(~F.exists(known, lambda v: v.isNull()), left)
+        block = F.col(BLOCK) if series.split else F.lit(0).cast("long")
+        rows = rows.filter("__beta is not null")
+        rows = rows.select(*self.keys, *self.time, F.lit(0.0).alias("actual"), block.alias("block"), F.coalesce(drive, F.lit(0.0)).alias("drive"))
+        reach = max(o.ma)
+        start = model.filter("coefficients is not null").select(*self.keys, F.array_repeat(F.lit(0.0), reach).alias("state"), "coefficients")
+        errors = _follow(rows, start, self, series.split, o.error_recurrence, reach)
+        return errors.select(*self.keys, *self.time, F.col("prediction").alias("__e"))
+
+    def _with_innovations(self, series: Series, first_stage: DataFrame | None, errors: DataFrame | None = None) -> Series:
         """Add the second-stage design ``__z``: AR lags, lagged innovations, regressors.
 
         Innovations before the first full autoregression, and those of rows not
-        trained on, are 0.
+        trained on, are 0.  ``errors`` of the model's own recursion take their place.
         """
         o = self.orders
         frame, along = series.frame, series.window
         innovations = F.array().cast("array<double>")
-        if o.ma:
+        if errors is not None:
+            frame = attach(frame, errors, [*self.keys, *self.time]).withColumn("__e", F.coalesce("__e", F.lit(0.0)))
+            innovations = F.array(*[F.coalesce(F.lag("__e", k).over(along), F.lit(0.0)) for k in o.ma])
+        elif o.ma:
             beta = first_stage.select(*self.keys, F.col("coefficients").alias("__beta"))
             frame = attach(self._long_design(series).frame, beta, self.keys)
             row = F.concat("__long", F.array(F.lit(1.0))) if o.constant else F.col("__long")
@@ -214,13 +266,12 @@ class Forecaster:
             innovations = F.array(*[F.coalesce(F.lag("__e", k).over(along), F.lit(0.0)) for k in o.ma])
         else:
             frame = frame.withColumn("__e", F.lit(0.0))
-        ar = F.array(*[F.get("__past", F.size("__past") - k) for k in o.ar]).cast("array<double>")
-        frame = frame.withColumns({"__ar": ar, "__ma": innovations})
+        frame = frame.withColumns({"__ar": self._lags_of(), "__ma": innovations})
         whole = F.concat("__ar", "__ma", "__x")
         return series.with_frame(frame.withColumn("__z", F.when(~F.exists(whole, lambda v: v.isNull()), whole)))
 
     def estimate(self, rows: DataFrame, regressors: list[str], longest: int) -> DataFrame:
-        """Both stages; each result is one small row per series, written once.
+        """All stages; each result is one small row per series, written once.
 
         A series with too few rows for the orders asked for keeps its row, with
         NULL coefficients; it takes no part in predictions.
@@ -244,6 +295,15 @@ class Forecaster:
         second = self._training(self._with_innovations(series, first))
         width = len(o.ar) + len(o.ma) + len(regressors)
         model = least_squares(second, self.keys, "__z", "__w", width, constant=o.constant)
+        before = None
+        for _ in range(self.refine if o.ma else 0):
+            before = stage(model.select(*self.keys, "coefficients"), "model")
+            errors = stage(self._own_errors(series, before, regressors), "errors")
+            third = self._training(self._with_innovations(series, None, errors))
+            model = stage(least_squares(third, self.keys, "__z", "__w", width, constant=o.constant), "model")
+            discard(errors)
+        if before is not None:
+            model = model.join(before.select(*self.keys, F.col("coefficients").alias("error_model")), self.keys)
         if first is not None:
             model = model.join(first.select(*self.keys, F.col("coefficients").alias("first_stage")), self.keys)
         else:
@@ -273,8 +333,11 @@ class Forecaster:
         return [], _solved(fitted.no_exog), "no_exog"
 
     def _design(self, rows: DataFrame, regressors: list[str], model: DataFrame, longest: int) -> Series:
-        first = model.select(*self.keys, F.col("first_stage").alias("coefficients"))
-        return self._with_innovations(self._inputs(rows, regressors, longest), first)
+        inputs = self._inputs(rows, regressors, longest)
+        if self.refined:
+            errors = self._own_errors(inputs, model.select(*self.keys, F.col("error_model").alias("coefficients")), regressors)
+            return self._with_innovations(inputs, None, stage(errors, "errors"))
+        return self._with_innovations(inputs, model.select(*self.keys, F.col("first_stage").alias("coefficients")))
 
     def residuals(self, fitted: Fitted) -> DataFrame:
         """In-sample one-step errors of the chosen model."""
@@ -418,7 +481,7 @@ class Forecaster:
         o, schema_of = self.orders, rows.schema
         keep = max(o.memory, len(o.difference), max(o.ma, default=0), 1)
         # Only the end of each series matters: a fixed number of rows, whatever its length.
-        near = keep + o.depth
+        near = keep + o.depth + (20 * max(o.ma) + 200 if self.refined else 0)  # the recursion has forgotten its beginning
         series = self._design(last_n(rows, self.keys, self.time, near), regressors, model, near)
         rows = series.rows().select(
             *self.keys, *self.time, F.col(self.target).alias("__y"), F.col("__e"), *regressors
@@ -494,6 +557,7 @@ class Forecaster:
             F.lit(self.exog_lags).alias("exog_lags"),
             F.lit(self.lag_exog).alias("lag_exog"),
             F.lit(self.target).alias("target"),
+            F.lit(self.refine).alias("refine"),
             F.array(*[F.lit(c) for c in self.keys]).cast("array<string>").alias("keys"),
             F.array(*[F.lit(c) for c in self.time]).cast("array<string>").alias("time"),
             F.lit(version).alias("version"),
@@ -512,6 +576,7 @@ class Forecaster:
             exog_lags=meta["exog_lags"],
             lag_exog=meta["lag_exog"],
             target=meta["target"],
+            refine=meta["refine"],
             keys=list(meta["keys"]),
             time=list(meta["time"]),
             orders=Orders(tuple(meta["order"]), tuple(meta["seasonal_order"]), meta["constant"]),
@@ -589,8 +654,8 @@ def _cogroup(left: DataFrame, right: DataFrame, keys: list[str]):
     return left.groupBy(*keys).cogroup(right.toDF(*right.columns).groupBy(*keys))
 
 
-def _follow(rows: DataFrame, start: DataFrame, spec: Forecaster, split: bool) -> DataFrame:
-    """Run the recurrence along each series' rows, block by block.
+def _follow(rows: DataFrame, start: DataFrame, spec: Forecaster, split: bool, recurrence=None, memory: int | None = None) -> DataFrame:
+    """Run the recurrence (that of the series, or the given one of ``memory`` rows) along each series' rows, block by block.
 
     The recurrence is linear: a block's last state is a fixed matrix times its
     first state plus what the block's own drive adds.  So every block first runs
@@ -598,13 +663,15 @@ def _follow(rows: DataFrame, start: DataFrame, spec: Forecaster, split: bool) ->
     every block then runs again from its true state.
     """
     keys, time, o = spec.keys, spec.time, spec.orders
-    k = o.memory
+    k = o.memory if memory is None else memory
     key_fields = [rows.schema[c] for c in keys]
     state_type = T.StructField("state", T.ArrayType(T.DoubleType()))
     model = start.select(*keys, "coefficients")
 
-    def recurrence(coefficients) -> np.ndarray:
-        return o.recurrence(np.asarray(coefficients)[: len(o.ar)])
+    if recurrence is None:
+
+        def recurrence(coefficients) -> np.ndarray:
+            return o.recurrence(np.asarray(coefficients)[: len(o.ar)])
 
     if split:
         rows = stage(rows, "drive")  # read three times below

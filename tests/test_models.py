@@ -231,6 +231,52 @@ def test_one_step_equals_numpy(spark, cities):
     assert spec.parameter_names(False) == ["ar.L1", "ar.L2"]
 
 
+@pytest.fixture(scope="module")
+def moving(spark):
+    """Forty series w_t = 3 + e_t + 0.8 e_{t-1}."""
+    rng = np.random.default_rng(12)
+    rows = []
+    for c in range(40):
+        e = rng.normal(size=401)
+        rows += [(c, t, float(3 + e[t + 1] + 0.8 * e[t])) for t in range(400)]
+    return stage(spark.createDataFrame(rows, "city int, at int, temperature double"), "moving")
+
+
+def moving_spec(refine, block_rows=1_000_000):
+    return Forecaster(["city"], ["at"], orders=Orders((0, 0, 1), (0, 0, 0, 0), constant=True, long=1), refine=refine, block_rows=block_rows)
+
+
+def test_another_regression_brings_the_ma_term_nearer(moving):
+    errors = {}
+    for refine in (0, 1, 2):
+        beta = [r.coefficients[0] for r in moving_spec(refine).fit(moving).no_exog.collect()]
+        errors[refine] = abs(np.mean(beta) - 0.8), np.sqrt(np.mean((np.array(beta) - 0.8) ** 2))
+    assert errors[1][0] < errors[0][0] and errors[1][1] < errors[0][1]
+    assert errors[2][1] < errors[0][1]
+
+
+def test_own_errors_in_blocks(moving):
+    few = moving.filter("city < 3")
+    fits = [{r.city: r for r in moving_spec(1, rows).fit(few).no_exog.collect()} for rows in (1_000_000, 60)]
+    for city, row in fits[0].items():
+        assert row.coefficients == pytest.approx(fits[1][city].coefficients, rel=1e-9)
+    scores = []
+    for rows in (1_000_000, 60):
+        spec = moving_spec(1, rows)
+        fitted = spec.fit(stage(spec.split(few), "split"))
+        scores.append(sorted((r.city, round(r.rmse, 9)) for r in spec.evaluate(fitted).collect()))
+        assert spec.residuals(fitted).count() == 3 * 320
+    assert scores[0] == scores[1]
+
+
+def test_ma_parts_are_kept_invertible():
+    o = Orders((1, 0, 1), (0, 0, 1, 4))
+    assert o.error_recurrence([0.5, 0.4, 0.2, 0.1]).tolist() == [-0.4, 0.0, 0.0, -0.2, -0.1]
+    shrunk = o.error_recurrence([0.5, 3.0, 2.0, -4.0])
+    assert np.abs(np.roots(np.concatenate(([1.0], -shrunk))[::-1])).min() >= 1.02 - 1e-9
+    assert np.flatnonzero(shrunk).tolist() == [0, 3, 4]
+
+
 def test_psi_weights():
     walk = Orders((0, 1, 0), (0, 0, 0, 0))
     assert _psi(walk.recurrence(np.array([])), {}, 4).tolist() == [1, 1, 1, 1]
