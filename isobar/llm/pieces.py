@@ -391,6 +391,25 @@ def decode(spark: SparkSession, ids: Column, path: str) -> Column:
     return text_udf(_streamed(run), "string")(ids)
 
 
+def coded(spark: SparkSession, text: Column, path: str) -> Column:
+    """``ids decoded_sha256`` of a text: its ids with begin and end, and the digest of the text they decode to, in one pass."""
+    shared = spark.sparkContext.broadcast(vocabulary(path))
+
+    def run(batches):
+        encoder = Encoder(shared.value)
+        for texts in batches:
+            ids, plain = [], []
+            for some in encoder.encode(texts.to_pylist()):
+                whole = _with_ends(encoder.vocab, some, True)
+                ids.append(whole.astype(np.int32))
+                plain.append(hashlib.sha256(decoded(encoder.vocab, whole).encode("utf-8", "surrogatepass")).hexdigest())
+            edges = np.concatenate(([0], np.cumsum([len(x) for x in ids]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(ids) if ids else np.empty(0, np.int32)))
+            yield pa.StructArray.from_arrays([lists, pa.array(plain, pa.string())], ["ids", "decoded_sha256"])
+
+    return text_udf(_streamed(run), "ids array<int>, decoded_sha256 string")(text)
+
+
 def digests(spark: SparkSession, text: Column, path: str) -> Column:
     """``n_tokens ids_sha256 decoded_sha256`` of a text: encoded with begin and end, then decoded again."""
     shared = spark.sparkContext.broadcast(vocabulary(path))

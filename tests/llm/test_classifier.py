@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from isobar.llm import classifier
+from isobar.staging import stage
 from isobar.llm.queries import QUERIES
 
 from .helpers import documents
@@ -75,10 +76,10 @@ def test_odd_rows_and_missing_labels(spark):
 
 
 def test_repeated_rows_of_a_labelled_key_weigh_as_one(spark):
-    docs = spark.read.parquet(f"{MEDIUM}/documents.parquet").limit(60).select("doc_id", "text").localCheckpoint()
+    docs = stage(spark.read.parquet(f"{MEDIUM}/documents.parquet").limit(60).select("doc_id", "text"), "some")
     labels = spark.read.parquet(f"{MEDIUM}/labels.parquet").select("doc_id", F.col("quality").alias("y"))
     kernel = classifier.Kernel(features=32)
-    hot = docs.join(labels, "doc_id").orderBy("doc_id").limit(1).select("doc_id", "text").localCheckpoint()
+    hot = stage(docs.join(labels, "doc_id").orderBy("doc_id").limit(1).select("doc_id", "text"), "hot")
     copies = hot.crossJoin(spark.range(200)).drop("id")
     a, b = classifier.fit(docs, labels, kernel), classifier.fit(docs.unionByName(copies), labels, kernel)
     assert np.allclose(a.weights, b.weights, atol=1e-9) and np.allclose(a.mean, b.mean) and np.array_equal(a.levels, b.levels)

@@ -83,3 +83,10 @@ def test_columns_and_empty_table(spark, library):
         assert r.back == (r.text or "") and r.ids == "ids"
     empty = documents(spark, [])
     assert empty.select(pieces.digests(spark, F.col("text"), PATH)).count() == 0
+
+
+def test_coded_is_encoding_and_decoding_at_once(spark):
+    frame = documents(spark)
+    both = frame.select("doc_id", pieces.coded(spark, F.col("text"), PATH).alias("c"), pieces.encode(spark, F.col("text"), PATH).alias("ids"))
+    rows = both.select("c.*", "ids", F.sha2(pieces.decode(spark, F.col("ids"), PATH), 256).alias("digest")).toDF("coded", "decoded_sha256", "ids", "digest").collect()
+    assert rows and all(r.coded == r.ids and r.decoded_sha256 == r.digest for r in rows)

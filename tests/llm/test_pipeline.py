@@ -6,6 +6,7 @@ import public_tokenizers
 from sentencepiece import SentencePieceProcessor
 
 import corpus_pipeline
+from isobar.staging import stage
 from isobar.llm import classifier, pii
 
 from .helpers import SMALL, documents
@@ -68,7 +69,7 @@ def test_stages_take_odd_rows_and_empty_tables(spark, name, step):
 def test_ids_of_the_last_stage_read_back_as_the_text(spark):
     library = SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     for frame in (documents(spark), spark.read.parquet(f"{SMALL}/documents.parquet").limit(50)):
-        frame = frame.localCheckpoint()
+        frame = stage(frame, "some")
         texts = {r.doc_id: r.text for r in frame.collect()}
         rows = corpus_pipeline.to_pieces(spark, frame, SMALL).collect()
         assert len(rows) == len(texts)
