@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from isobar.llm import classifier, mixing, pieces, pii, simhash
 from isobar.llm.queries import GOOD
 from isobar.llm.text import with_columns
-from isobar.staging import stage
+from isobar.staging import discard, stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,9 +46,9 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``doc_id lang source ids n_tokens decoded_sha256`` with begin and end ids; the digest is of the text the ids decode to."""
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    coded = docs.select("doc_id", "lang", "source", pieces.encode(spark, F.col("text"), path).alias("ids"))
-    return coded.select("*", F.size("ids").cast("long").alias("n_tokens"), F.sha2(pieces.decode(spark, F.col("ids"), path), 256).alias("decoded_sha256"))
+    made = pieces.coded(spark, F.col("text"), public_tokenizers.path("piece_bpe_32k.model"))
+    coded = docs.select("doc_id", "lang", "source", made.alias("made")).select("doc_id", "lang", "source", "made.*")
+    return coded.select("doc_id", "lang", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), "decoded_sha256")
 
 
 STAGES = [("quality", quality), ("near_dedup", near_dedup), ("pii", personal_data), ("mix", mix), ("pieces", to_pieces)]
@@ -59,7 +59,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on the table ``documents`` below ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)  # its last reader is written
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
