@@ -210,12 +210,11 @@ r AS (
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
     WHEN rule IS NOT NULL THEN 'block'
-    WHEN regexp_matches(low, '^[a-z]+://([^/?#]*\.)?ads-track\.') THEN 'block'
-    WHEN regexp_matches(low, '^[a-z]+://[^/?#]*\bcasino\b') THEN 'block'
-    WHEN regexp_matches(low, '^[a-z]+://[^/?#]*/([^?#]*/)?login(\.html|/)?([?#]|$)') THEN 'block'
-    WHEN regexp_matches(low, '[?&;]jsessionid=') THEN 'block'
+    PATTERNS
     ELSE 'allow' END AS verdict
 FROM r"""
+# Every pattern on every URL, in order.
+URLS_SQL = URLS_SQL.replace("PATTERNS", "\n    ".join(f"WHEN regexp_matches(low, '{p}') THEN '{a}'" for _, p, _, a in urls.PATTERN_RULES))
 
 
 @query("pages", URLS_SQL)

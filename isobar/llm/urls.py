@@ -24,13 +24,35 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host, path, action)
 HOST_RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
 
+#: Words that mark a host as junk if they stand alone in one of its names, by family.
+JUNK_HOSTS = {
+    "advertising": "ads adserver adtrack affiliate banner banners clickbank clicktrack popunder popup promo sponsor tracker tracking",
+    "gambling": "baccarat bet bets betting bingo blackjack casino casinos gamble gambling jackpot lottery lotto poker roulette slots sportsbook wager",
+    "spam": "autoblog doorway linkfarm linkfarms scraper spam spammer splog",
+    "pharmacy": "cialis diazepam meds painkillers pills steroids tramadol valium viagra xanax",
+    "adult": "adult camgirls erotic erotica escort escorts hentai nude nudes porn porno webcams xxx",
+    "piracy": "cracked cracks keygen keygens nulled serials torrent torrents warez",
+    "money": "forex getrich moneymaker payday pyramid quickcash quickloans",
+}
+#: Path segments of pages that hold no text of their own.
+EMPTY_PAGES = "login logout signin signout signup register cart checkout basket wishlist account password unsubscribe wp-admin wp-login cgi-bin captcha error404 notfound popup redirect sitemap thankyou printview"
+#: Query parameters that only name a session or a reply.
+SESSION_KEYS = "jsessionid phpsessid aspsessionid sessionid sid cfid cftoken zenid oscsid replytocom"
+
+
+def _patterns() -> tuple[tuple[str, str, tuple[str, ...], str], ...]:
+    import re
+
+    made = [("ad-track host", r"^[a-z]+://([^/?#]*\.)?ads-track\.", "ads-track")]
+    for family, words in JUNK_HOSTS.items():
+        made += [(f"{family} host: {w}", rf"^[a-z]+://([^/?#]*[^a-z0-9/?#])?{w}([^a-z0-9/?#][^/?#]*)?([/?#]|$)", w) for w in words.split()]
+    made += [(f"empty page: {w}", rf"^[a-z]+://[^/?#]*/([^?#]*/)?{w}(\.[a-z]+|/)?([?#]|$)", w) for w in EMPTY_PAGES.split()]
+    made += [(f"session: {w}", rf"[?&;]{w}=", w) for w in SESSION_KEYS.split()]
+    return tuple((name, pattern, tuple(re.split("[^a-z0-9]+", w)), "block") for name, pattern, w in made)
+
+
 #: (name, pattern on the lower-cased URL, tokens in every match, action); the first one listed wins.
-PATTERN_RULES = (
-    ("ad-track host", r"^[a-z]+://([^/?#]*\.)?ads-track\.", ("ads", "track"), "block"),
-    ("casino host", r"^[a-z]+://[^/?#]*\bcasino\b", ("casino",), "block"),
-    ("login page", r"^[a-z]+://[^/?#]*/([^?#]*/)?login(\.html|/)?([?#]|$)", ("login",), "block"),
-    ("session id", r"[?&;]jsessionid=", ("jsessionid",), "block"),
-)
+PATTERN_RULES = _patterns()
 
 
 def lowered(text: Column) -> Column:
@@ -93,6 +115,21 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES else df
 
 
+#: Rules without a token that every URL may be tested against.
+MOST_LOOSE = 1000
+
+
+def candidates(parts: DataFrame, rules: DataFrame, listed: DataFrame) -> DataFrame:
+    """``parts`` (``url host path``) beside the rules that could fit: those listed under a token of the URL, and those without a token."""
+    told = ["rule", F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "pattern", "action", "strength"]
+    fetched = parts.withColumn("token", F.explode(tokens(F.col("url")))).join(small(listed.select("token", *told)), "token").drop("token")
+    loose = rules.filter("tokens is null or size(filter(tokens, t -> t is not null)) = 0").select(*told)
+    count = loose.limit(MOST_LOOSE + 1).count()
+    if count > MOST_LOOSE:
+        raise ValueError(f"more than {MOST_LOOSE} rules have no token; each of them would be tested on every URL")
+    return fetched.unionByName(parts.crossJoin(F.broadcast(loose))) if count else fetched
+
+
 def index(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """``rules`` that have tokens with ``token``: the rule's token that the fewest rows of ``urls`` (``url``, ``n``) hold, then the smallest."""
     named = small(rules.select("rule", F.explode("tokens").alias("token")))
@@ -115,14 +152,9 @@ def judged(pages: DataFrame, rules: DataFrame | None = None, *, url: str = "url"
     rules = rule_table(spark) if rules is None else rules
     rows = packed(pages, url=F.coalesce(F.col(f"`{url}`"), F.lit("")))
     urls = stage(rows.groupBy("url").agg(F.count(F.lit(1)).alias("n")), "urls")
-    told = ["rule", F.col("host").alias("rule_host"), F.col("path").alias("rule_path"), "pattern", "action", "strength"]
-    listed = stage(index(urls, rules), "rules").select("token", *told)
+    listed = stage(index(urls, rules), "rules")
     host, path = host_and_path(F.col("url"))
-    parts = urls.select("url", host.alias("host"), path.alias("path"))
-    fetched = parts.withColumn("token", F.explode(tokens(F.col("url")))).join(small(listed), "token").drop("token")
-    loose = rules.filter("tokens is null or size(filter(tokens, t -> t is not null)) = 0").select(*told)
-    if not loose.isEmpty():
-        fetched = fetched.unionByName(parts.crossJoin(small(loose)))
+    fetched = candidates(urls.select("url", host.alias("host"), path.alias("path")), rules, listed)
     fits_host = (F.col("host") == F.col("rule_host")) | F.endswith(F.col("host"), F.concat(F.lit("."), F.col("rule_host")))
     fits = F.when(F.col("pattern").isNotNull(), F.expr("regexp_like(translate(url, '%s', '%s'), pattern)" % (UPPER, LOWER))).otherwise(fits_host & F.startswith(F.col("path"), F.col("rule_path")))
     best = fetched.filter(fits).groupBy("url").agg(

@@ -1,6 +1,10 @@
+import itertools
 import random
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 from isobar.llm import urls
 from isobar.llm.queries import QUERIES, SQL
 
@@ -75,3 +79,29 @@ def test_rules_without_tokens_are_tested_on_every_url(spark, monkeypatch):
             assert (r.host, r.path, r.rule, r.pattern_rule, r.verdict) == plain(r.row.url), r.row.url
     only = urls.judged(frame, urls.rule_table(spark, (), patterns[:1])).collect()
     assert sum(r.verdict == "block" for r in only) == sum("%" in (u or "") for u in made)
+
+
+def test_planted_families_are_judged_and_few_pairs_are_tested(spark):
+    pages = spark.read.parquet(f"{SMALL}/pages.parquet").select("page_id", "url")
+    made = [f"http://{sub}{name}.example.{end}/es/{n}" for n, (name, sub, end) in enumerate(itertools.product(["casino-win", "free-bets", "ads-track", "spam-farm", "cheap-pills", "adult-x"], ["", "www.", "m."], ["com", "net", "org"]))]
+    clean = [f"https://www.th{n}.example.com/en/{n}.html" for n in range(200)] + ["http://betting-odds-less.example.com/", "http://slotscar.example.org/x"]
+    frame = pages.unionByName(spark.createDataFrame([(10_000 + i, u) for i, u in enumerate(made + clean)], pages.schema))
+    got = {r.row.url: r for r in urls.judged(frame).collect()}
+    for url in made:
+        assert got[url].verdict == "block" and (got[url].rule or got[url].pattern_rule), url
+    for url in clean[:200] + clean[-1:]:
+        assert got[url].verdict == "allow", url
+    rules = urls.rule_table(spark)
+    distinct = frame.groupBy("url").agg(F.count(F.lit(1)).alias("n"))
+    host, path = urls.host_and_path(F.col("url"))
+    tested = urls.candidates(distinct.select("url", host.alias("host"), path.alias("path")), rules, urls.index(distinct, rules)).count()
+    every = distinct.count() * rules.count()
+    assert rules.count() > 100 and len(made) <= tested < every / 50
+
+
+def test_too_many_rules_without_a_token_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MOST_LOOSE", 1)
+    frame = spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string")
+    rules = urls.rule_table(spark, (), (("a", "%a", (), "block"), ("b", "%b", (), "block")))
+    with pytest.raises(ValueError, match="no token"):
+        urls.judged(frame, rules)
