@@ -18,7 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+
+from isobar.operators.ordered import BLOCK_ROWS, positions
+from isobar.staging import stage
 
 #: What a schema may ask for, and the VARIANT types that fit.
 TYPES = {
@@ -134,26 +136,26 @@ def linked(events: DataFrame, schemas: Schemas) -> DataFrame:
     return plain.unionByName(acts)
 
 
-def formatted(events: DataFrame, schemas: Schemas) -> DataFrame:
+def formatted(events: DataFrame, schemas: Schemas, *, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``(conv_id, seq, turn, kind, call_id, status, valid, problems, json)``: every event in order, as canonical JSON.
 
     ``seq`` counts from 0 within a conversation; NULL turns come first and a
     NULL conversation is one of its own.  ``valid`` is NULL but for calls.
     Repeated events all stay; equal ones tie.  Arguments that are no JSON stand
-    as text.  An empty table gives no rows.
+    as text.  An empty table gives no rows.  Events are numbered on a written copy; a
+    conversation of more than ``block_rows`` events is range-partitioned for it.
     """
     rows = linked(events, schemas)
     parsed = F.try_parse_json("arguments")
     raw = F.when(parsed.isNull(), F.col("arguments"))
     json = F.to_json(F.struct(parsed.alias("arguments"), raw.alias("arguments_text"), "call_id", "kind", "name", "role", "text", "turn"))
-    order = Window.partitionBy("conv_id").orderBy(
-        F.col("position").asc_nulls_first(), F.array_position(F.array(*map(F.lit, KIND_ORDER)), F.col("kind")), F.col("turn").asc_nulls_first(), "at", "json"
-    )
-    rows = rows.withColumn("json", json)
+    kind = F.array_position(F.array(*map(F.lit, KIND_ORDER)), F.col("kind"))
+    rows = stage(rows.withColumns({"json": json, "kind_order": kind}), "events")
+    numbered = positions(rows, ["conv_id"], ["position", "kind_order", "turn", "at", "json"], name="seq", block_rows=block_rows)
     valid = F.when(F.col("kind") == "call", F.size("problems") == 0)
-    return rows.select(
+    return numbered.select(
         "conv_id",
-        (F.row_number().over(order) - 1).cast("long").alias("seq"),
+        (F.col("seq") - 1).alias("seq"),
         "turn",
         "kind",
         "call_id",

@@ -223,43 +223,81 @@ def op9_urls(pages: DataFrame, folder: str) -> DataFrame:
     return rows.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
-#: Arguments of a request in a plain dialogue.
-REPLY: chat.Schemas = {"reply": {"text": ("string", True), "chars": ("integer", True)}}
+#: What a call in the dialogues may hold.
+NOTE: chat.Schemas = {"note": {"turn": ("integer", True), "text": ("string", True), "tags": ("array", False)}}
+
+
+def with_calls(conversations: DataFrame) -> DataFrame:
+    """The dialogues as a log of JSON: every assistant turn calls a tool, every other call is wrong in one of several ways or has no answer at its place.
+
+    By ``(3 * conv_id + turn) % 8``: 0 right, 1 a mistyped field, 2 a missing one and no
+    answer, 3 an unknown one and an answer to nobody, 4 an unknown tool, 5 no
+    object, 6 answered a turn too early, 7 an identifier that the conversation uses again.
+    """
+    rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    way = F.pmod(F.col("conv_id") * 3 + F.col("turn"), F.lit(8))
+    name = F.when(F.col("way") == 7, F.lit("same")).otherwise(F.concat(F.lit("c"), F.col("turn").cast("string")))
+    spoken = rows.filter("role = 'assistant'").withColumn("way", way).withColumn("id", name)
+    turn, text = F.col("turn"), F.col("text")
+    arguments = F.to_json(
+        F.struct(
+            F.when(F.col("way") != 1, turn).alias("turn"),
+            F.when(F.col("way") == 1, turn.cast("string")).alias("TURN"),
+            F.when(F.col("way") != 2, text).alias("text"),
+            F.when(F.col("way") == 3, F.lit(True)).alias("extra"),
+            F.when(F.col("way") == 6, F.array("conv_id")).alias("tags"),
+        )
+    )
+    arguments = F.when(F.col("way") == 5, F.to_json(F.array("turn"))).otherwise(F.replace(arguments, F.lit('"TURN":'), F.lit('"turn":')))
+    shown = F.to_json(F.struct("text"))
+    tool = F.when(F.col("way") == 4, F.lit("other")).otherwise(F.lit("note"))
+    call = F.concat(F.lit('{"arguments":'), arguments, F.lit(',"id":"'), F.col("id"), F.lit('","name":"'), tool, F.lit('"}'))
+    body = F.concat(F.lit('{"tool_calls":['), call, F.lit("],"), F.substr(shown, F.lit(2)))
+    body = F.when(text.isNull(), F.concat(F.lit('{"tool_calls":['), call, F.lit("]}"))).otherwise(body)
+    to = F.when(F.col("way") == 3, F.concat(F.lit("nobody"), turn.cast("string"))).otherwise(F.col("id"))
+    content = F.to_json(F.struct(F.concat(F.lit("chars "), F.char_length("text").cast("string")).alias("content"), to.alias("tool_call_id")))
+    answers = spoken.filter("way <> 2").select("conv_id", F.when(F.col("way") == 6, turn - 1).otherwise(turn + 1).alias("turn"), F.lit("tool").alias("role"), content.alias("text"))
+    others = rows.filter("role is null or role <> 'assistant'")
+    return others.unionByName(spoken.select("conv_id", "turn", "role", body.alias("text"))).unionByName(answers)
+
 
 CHAT_SQL = """
-WITH m AS (
-  SELECT conv_id, turn, role, text,
-         CASE role WHEN 'user' THEN 'call' WHEN 'assistant' THEN 'result' ELSE 'message' END AS kind,
-         CASE role WHEN 'user' THEN turn WHEN 'assistant' THEN turn - 1 END AS id
-  FROM conversations),
-f AS (SELECT conv_id, id, min(turn) AS first FROM m WHERE kind = 'call' GROUP BY ALL),
-a AS (SELECT DISTINCT conv_id, id FROM m WHERE kind = 'result'),
-l AS (
-  SELECT m.*, CASE WHEN kind = 'call' THEN coalesce(a.id IS NOT NULL, false) END AS answered,
-         first, CASE WHEN kind = 'result' THEN greatest(turn, first) ELSE turn END AS position
-  FROM m LEFT JOIN f ON m.conv_id IS NOT DISTINCT FROM f.conv_id AND m.id = f.id
-         LEFT JOIN a ON m.conv_id IS NOT DISTINCT FROM a.conv_id AND m.id = a.id),
+WITH m AS (SELECT conv_id, turn, role, text, ((3 * conv_id + turn) % 8 + 8) % 8 AS way FROM conversations),
+a AS (SELECT *, CASE way WHEN 7 THEN 'same' ELSE 'c' || turn END AS id FROM m WHERE role = 'assistant'),
+calls AS (
+  SELECT conv_id, turn, 'call' AS kind, id, role, CASE way WHEN 4 THEN 'other' ELSE 'note' END AS name, CAST(NULL AS VARCHAR) AS text,
+         CASE way WHEN 5 THEN '[' || turn || ']' ELSE '{' || concat_ws(',', CASE WHEN way = 3 THEN '"extra":true' END, CASE WHEN way = 6 THEN '"tags":[' || conv_id || ']' END,
+              CASE WHEN way <> 2 AND text IS NOT NULL THEN '"text":' || to_json(text) END, '"turn":' || CASE WHEN way = 1 THEN '"' || turn || '"' ELSE turn::VARCHAR END) || '}' END AS arguments,
+         CASE WHEN way = 4 THEN ['unknown tool'] WHEN way = 5 THEN ['no object'] ELSE list_sort(list_filter(
+              [CASE WHEN way = 2 OR text IS NULL THEN 'missing text' END, CASE WHEN way = 1 THEN 'not integer: turn' END, CASE WHEN way = 3 THEN 'unknown extra' END], lambda p: p IS NOT NULL)) END AS problems
+  FROM a),
+results AS (
+  SELECT conv_id, CASE way WHEN 6 THEN turn - 1 ELSE turn + 1 END AS turn, 'result' AS kind, CASE way WHEN 3 THEN 'nobody' || turn ELSE id END AS id, 'tool' AS role,
+         NULL AS name, 'chars ' || length(text) AS text, NULL AS arguments, NULL AS problems
+  FROM a WHERE way <> 2),
+messages AS (SELECT conv_id, turn, 'message' AS kind, NULL AS id, role, NULL AS name, text, NULL AS arguments, NULL AS problems FROM m),
+f AS (SELECT conv_id, id, min(turn) AS first, count(*) AS n FROM calls GROUP BY ALL),
+g AS (SELECT DISTINCT conv_id, id, true AS answered FROM results),
+e AS (
+  SELECT x.*, first, answered FROM (SELECT * FROM calls UNION ALL SELECT * FROM results UNION ALL SELECT * FROM messages) x
+  LEFT JOIN f ON x.conv_id IS NOT DISTINCT FROM f.conv_id AND x.id = f.id LEFT JOIN g ON x.conv_id IS NOT DISTINCT FROM g.conv_id AND x.id = g.id),
 j AS (
-  SELECT *, '{' || concat_ws(',',
-      CASE WHEN kind = 'call' THEN '"arguments":{' || concat_ws(',', '"chars":' || length(text), '"text":' || to_json(text)) || '}' END,
-      '"call_id":"' || id || '"',
-      '"kind":"' || kind || '"',
-      CASE WHEN kind = 'call' THEN '"name":"reply"' END,
-      '"role":' || to_json(role),
-      CASE WHEN kind <> 'call' THEN '"text":' || to_json(text) END,
-      '"turn":' || turn) || '}' AS json
-  FROM l)
-SELECT conv_id, turn, kind, id::VARCHAR AS call_id, json,
-       row_number() OVER (PARTITION BY conv_id ORDER BY position NULLS FIRST, list_position(['message', 'call', 'result'], kind), turn NULLS FIRST, json) - 1 AS seq,
-       CASE WHEN kind = 'call' AND answered THEN 'answered' WHEN kind = 'call' THEN 'unanswered'
-            WHEN kind = 'result' AND first IS NOT NULL THEN 'linked' WHEN kind = 'result' THEN 'orphan' END AS status,
-       CASE WHEN kind = 'call' THEN text IS NOT NULL END AS valid
+  SELECT *, CASE kind WHEN 'call' THEN CASE WHEN turn <> first THEN 'duplicate' WHEN answered THEN 'answered' ELSE 'unanswered' END
+                      WHEN 'result' THEN CASE WHEN first IS NULL THEN 'orphan' ELSE 'linked' END END AS status,
+         CASE kind WHEN 'result' THEN greatest(turn, first) ELSE turn END AS position,
+         '{' || concat_ws(',', '"arguments":' || arguments, '"call_id":"' || id || '"', '"kind":"' || kind || '"', '"name":"' || name || '"',
+                          '"role":' || to_json(role), '"text":' || to_json(text), '"turn":' || turn) || '}' AS json
+  FROM e)
+SELECT conv_id, turn, kind, id AS call_id, json, status, array_to_string(problems, ';') AS problems,
+       CASE WHEN kind = 'call' THEN len(problems) = 0 END AS valid,
+       row_number() OVER (PARTITION BY conv_id ORDER BY position NULLS FIRST, list_position(['message', 'call', 'result'], kind), turn NULLS FIRST, json) - 1 AS seq
 FROM j"""
 
 
 @query("conversations", CHAT_SQL)
 def op3_chat(conversations: DataFrame, folder: str) -> DataFrame:
-    return chat.formatted(chat.exchanges(conversations), REPLY).drop("problems")
+    rows = chat.formatted(chat.embedded(with_calls(conversations)), NOTE)
+    return rows.withColumn("problems", F.concat_ws(";", "problems")).withColumn("problems", F.when(F.col("kind") == "call", F.col("problems")))
 
 
 def _round(n: int) -> str:

@@ -80,3 +80,19 @@ def test_odd_rows_and_empty_table(spark):
         got = chat.formatted(made(log(spark, rows)), TOOLS).collect()
         assert len(got) >= len(rows) and all(json.loads(r.json)["kind"] == r.kind for r in got)
         assert chat.formatted(made(log(spark, [])), TOOLS).count() == 0
+
+
+def test_long_conversations_are_numbered_in_blocks(spark):
+    rows = [(1, t, "assistant", call((f"c{t}", "ping", {}))) for t in range(60)] + [(1, t + 1, "tool", answer(f"c{t}")) for t in range(60)] + [(None, 3, "user", "x"), (2, 0, None, None)]
+    random.Random(2).shuffle(rows)
+    events = chat.embedded(log(spark, rows))
+    whole, parts = (sorted(map(str, chat.formatted(events, TOOLS, block_rows=n).collect())) for n in (1_000_000, 7))
+    assert whole == parts and len(whole) == 182
+
+
+def test_the_query_meets_every_status_and_problem(spark):
+    got = QUERIES["op3_chat"](spark, SMALL).collect()
+    assert {(r.kind, r.status) for r in got} >= {("call", "answered"), ("call", "unanswered"), ("call", "duplicate"), ("result", "linked"), ("result", "orphan"), ("message", None)}
+    assert {r.problems for r in got if r.kind == "call"} >= {"", "missing text", "not integer: turn", "unknown extra", "unknown tool", "no object"}
+    first = {(r.conv_id, r.call_id): r.seq for r in got if r.kind == "call" and r.status != "duplicate"}
+    assert all(first[r.conv_id, r.call_id] < r.seq for r in got if r.status == "linked")
