@@ -232,11 +232,11 @@ def with_calls(conversations: DataFrame) -> DataFrame:
 
     By ``(3 * conv_id + turn) % 8``: 0 right, 1 a mistyped field, 2 a missing one and no
     answer, 3 an unknown one and an answer to nobody, 4 an unknown tool, 5 no
-    object, 6 answered a turn too early, 7 an identifier that the conversation uses again.
+    object, 6 answered a turn too early, 7 right; 5 and 7 share an identifier, so the later one is a duplicate.
     """
     rows = conversations.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
     way = F.pmod(F.col("conv_id") * 3 + F.col("turn"), F.lit(8))
-    name = F.when(F.col("way") == 7, F.lit("same")).otherwise(F.concat(F.lit("c"), F.col("turn").cast("string")))
+    name = F.when(F.col("way").isin(5, 7), F.lit("same")).otherwise(F.concat(F.lit("c"), F.col("turn").cast("string")))
     spoken = rows.filter("role = 'assistant'").withColumn("way", way).withColumn("id", name)
     turn, text = F.col("turn"), F.col("text")
     arguments = F.to_json(
@@ -263,7 +263,7 @@ def with_calls(conversations: DataFrame) -> DataFrame:
 
 CHAT_SQL = """
 WITH m AS (SELECT conv_id, turn, role, text, ((3 * conv_id + turn) % 8 + 8) % 8 AS way FROM conversations),
-a AS (SELECT *, CASE way WHEN 7 THEN 'same' ELSE 'c' || turn END AS id FROM m WHERE role = 'assistant'),
+a AS (SELECT *, CASE WHEN way IN (5, 7) THEN 'same' ELSE 'c' || turn END AS id FROM m WHERE role = 'assistant'),
 calls AS (
   SELECT conv_id, turn, 'call' AS kind, id, role, CASE way WHEN 4 THEN 'other' ELSE 'note' END AS name, CAST(NULL AS VARCHAR) AS text,
          CASE way WHEN 5 THEN '[' || turn || ']' ELSE '{' || concat_ws(',', CASE WHEN way = 3 THEN '"extra":true' END, CASE WHEN way = 6 THEN '"tags":[' || conv_id || ']' END,
