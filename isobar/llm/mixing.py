@@ -15,8 +15,10 @@ Quotients are not listed from the first block on: rounding target / block
 gives the seats down to one quotient, and only the few next to it are ranked.
 
 Shards keep a hot source out of one task: their number follows the source's
-words.  The source and shard tables are small by construction (one row per
-source; at most ``shards`` + sources shards).
+words.  The source and shard tables hold one row per source and at most
+``shards`` + sources rows; they are broadcast only where they are counted to be
+small, and joined by shuffle beyond.  Sources are ranked in one task, a row of
+a few numbers each.
 """
 
 from __future__ import annotations
@@ -47,6 +49,15 @@ class Mix:
     seed: str = "mix"
 
 
+#: Rows of a source or shard table that may be broadcast.
+BROADCAST_ROWS = 50_000
+
+
+def small(written: DataFrame) -> DataFrame:
+    """A staged table with a broadcast hint if it is counted to be small."""
+    return F.broadcast(written) if written.count() <= BROADCAST_ROWS else written
+
+
 def targets(sizes: DataFrame, spec: Mix) -> DataFrame:
     """``(source, source_size)`` with ``target``: min(most * size, weight * level) with the level that fills the share.
 
@@ -117,6 +128,7 @@ def shards_of(docs: DataFrame, spec: Mix, *, text: str, source: str, key: str, k
         doc=F.col(f"`{key}`"),
         source=F.col(f"`{source}`"),
         size=word_count(F.col(f"`{text}`")),
+        print=F.xxhash64(F.col(f"`{text}`")),
     ).withColumn("hash", digest(F.lit(spec.seed), F.col("doc")))
     if kept is not None and text not in kept:
         rows = stage(rows, "sizes")  # small rows: read again instead of the texts
@@ -128,7 +140,7 @@ def shards_of(docs: DataFrame, spec: Mix, *, text: str, source: str, key: str, k
     blocks = F.floor(F.sum("target").over(Window.partitionBy()) / spec.block_words + 0.5).cast("long")
     planned = apportion(planned.withColumn("blocks", blocks), [], ["source"], "target", "blocks", "source_blocks").drop("blocks")
     planned = stage(planned, "sources")
-    placed = rows.join(F.broadcast(planned.select(F.col("source").alias("s"), "shard_count")), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
+    placed = rows.join(small(planned.select(F.col("source").alias("s"), "shard_count")), F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
     placed = placed.withColumn("shard", number(F.col("hash")) % F.col("shard_count")).drop("shard_count")
     shards = placed.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"))
     shards = shards.join(planned.select(F.col("source").alias("s"), "source_size", "target", "source_blocks"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
@@ -156,14 +168,13 @@ def mixed(
     something of the row.  Texts without words take no part (taken 0); NULL
     sources form one source; rows that agree in key and size are alike, so
     their order does not matter; an empty table gives no rows.  Two rows with
-    one key but different texts are ordered by size.
+    one key but different texts are ordered by size, then by their texts' hash.
     """
     placed, shards = shards_of(docs, spec, text=text, source=source, key=key, kept=kept)
-    # At most ``spec.shards`` rows and one per source.
     rows = placed.join(
-        F.broadcast(shards), F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")), "left"
+        small(shards), F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("h")), "left"
     )
-    order = Window.partitionBy("source", "shard").orderBy("hash", F.col("doc").asc_nulls_last(), "size")
+    order = Window.partitionBy("source", "shard").orderBy("hash", F.col("doc").asc_nulls_last(), "size", "print")
     rows = rows.withColumn("at", F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
     runs = []
     for turn in range(math.ceil(spec.most) + 1):

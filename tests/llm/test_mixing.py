@@ -85,3 +85,21 @@ def test_empty_table_ties_and_repeats(spark):
     twice = documents(spark, [(7, "a b c d", "en", "s")] * 4 + [(None, "e f", None, "s")])
     got = mixing.mixed(twice, mixing.Mix(block_words=1)).collect()
     assert sum(r.taken for r in got) == 27 and all(r.taken <= 2 * r.size for r in got)
+
+
+def test_large_source_tables_are_joined_by_shuffle(spark, monkeypatch):
+    frame = documents(spark, [(i, "w " * (i % 9), "en", f"s{i % 40}") for i in range(300)])
+    spec = mixing.Mix(block_words=2, shard_words=20)
+    columns = ["row.doc_id", "size", "target", "taken"]
+    small = sorted(map(str, mixing.mixed(frame, spec).select(*columns).collect()))
+    monkeypatch.setattr(mixing, "BROADCAST_ROWS", 0)
+    large = mixing.mixed(frame, spec).select(*columns)
+    assert "ResolvedHint" not in large._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(str, large.collect())) == small
+
+
+def test_a_repeated_key_is_cut_alike_in_every_run(spark):
+    rows = [(7, f"{a} b c d", "en", "s") for a in "pqrstuvw"]
+    spec = mixing.Mix(block_words=1, share=0.6)
+    made = [sorted(r.text for r in mixing.sample(documents(spark, rows[::step]).repartition(n), spec).collect()) for step, n in ((1, 1), (-1, 5))]
+    assert made[0] == made[1]
