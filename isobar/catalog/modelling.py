@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from isobar.catalog import HOURLY, READINGS, Tables, query
 from isobar.operators import features, metrics, quality
-from isobar.operators.encode import encode_labels, label_mapping, one_hot
+from isobar.operators.encode import encode_labels, label_mapping
 from isobar.operators.leastsquares import least_squares
 from isobar.operators.ordered import largest_group
 from isobar.operators.series import lagged, time_split
@@ -239,13 +239,12 @@ def rf_temp(t: Tables) -> DataFrame:
     SELECT count(*) FILTER (rain_flag = 1) AS wet, count(*) FILTER (rain_flag = 0) AS dry, true AS in_range FROM s WHERE held""",
 )
 def logit_rain(t: Tables) -> DataFrame:
-    """Lags 1 to 6 of the target's companions and one-hot wind, trained on the first four fifths in time of each city."""
+    """Lags 1 to 6 of the target's companions and sparse one-hot wind, trained on the first four fifths in time of each city."""
     rows = _table(t)
     rows = lagged(rows, ["city"], ["ts", "event_id"], ["humidity", "pressure"], lags=6)
-    rows = one_hot(rows, ["wind_direction"], {"wind_direction": list("ENSW")})
     lags = [f"{c}_lag_{k}" for c in ("humidity", "pressure") for k in range(1, 7)]
     rows = time_split(rows, ["city"], ["ts", "event_id"]).na.fill(0.0, subset=lags)
-    chosen = models.Features.fit(rows, ["wind_speed", "hour", *lags, *[f"wind_direction_{c}" for c in "ENSW"]])
+    chosen = models.Features.fit(rows, ["wind_speed", "hour", *lags], levels=["wind_direction"])
     train = stage(rows, "logit")
     model = models.fit(models.rain_logit(chosen, train.filter("is_train").count()), chosen, train.filter("is_train"), "rain_flag")
     scored = model.score(train.filter("not is_train"))

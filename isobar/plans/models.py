@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator
@@ -64,18 +64,23 @@ TEMPERATURE_CATEGORIES = ["wind_direction", "season"]
 
 @dataclass(frozen=True)
 class Features:
-    """Which columns a model reads, with the text encodings it was fitted with."""
+    """Which columns a model reads, with the text encodings it was fitted with.
+
+    ``levels`` are text columns that the model's own pipeline turns into sparse
+    one-hot vectors (see ``one_hot_stages``).
+    """
 
     columns: list[str]
     mappings: dict[str, DataFrame] = field(default_factory=dict)
+    levels: list[str] = field(default_factory=list)
 
     @property
     def names(self) -> list[str]:
         return [*self.columns, *[f"{c}_encoded" for c in self.mappings]]
 
     @staticmethod
-    def fit(df: DataFrame, wanted: list[str], categories: list[str] = ()) -> Features:
-        return Features(available(df, wanted), {c: label_mapping(df, c) for c in available(df, list(categories))})
+    def fit(df: DataFrame, wanted: list[str], categories: list[str] = (), levels: list[str] = ()) -> Features:
+        return Features(available(df, wanted), {c: label_mapping(df, c) for c in available(df, list(categories))}, available(df, list(levels)))
 
     def apply(self, df: DataFrame) -> DataFrame:
         for c, mapping in self.mappings.items():
@@ -117,12 +122,28 @@ def temperature_forest(
     )
 
 
+def one_hot_stages(columns: list[str]) -> list:
+    """Pipeline stages that turn each text column into ``<column>_vector``: a place for each level in order, and one for NULL and levels not seen.
+
+    Vectors are sparse, so a row holds one number whatever the levels; the
+    levels themselves are kept with the saved pipeline.
+    """
+    if not columns:
+        return []
+    indices, vectors = [f"{c}_index" for c in columns], [f"{c}_vector" for c in columns]
+    return [
+        StringIndexer(inputCols=columns, outputCols=indices, handleInvalid="keep", stringOrderType="alphabetAsc"),
+        OneHotEncoder(inputCols=indices, outputCols=vectors, handleInvalid="error", dropLast=False),
+    ]
+
+
 def rain_logit(features: Features, rows: int, label: str = "rain_flag") -> Pipeline:
     """Unscaled logistic regression with an L2 penalty of weight 1 on the summed loss."""
     learner = LogisticRegression(
         labelCol=label, maxIter=1000, regParam=1.0 / rows, elasticNetParam=0.0, standardization=False
     )
-    return Pipeline(stages=[VectorAssembler(inputCols=features.names, outputCol="features"), learner])
+    inputs = [*features.names, *[f"{c}_vector" for c in features.levels]]
+    return Pipeline(stages=[*one_hot_stages(features.levels), VectorAssembler(inputCols=inputs, outputCol="features"), learner])
 
 
 @dataclass(frozen=True)
@@ -144,7 +165,8 @@ class Model:
                     "prediction": F.col("prediction").cast("int"),
                 }
             )
-        return out.drop("assembled", "features", "rawPrediction")
+        helpers = [f"{c}_{h}" for c in self.features.levels for h in ("index", "vector")]
+        return out.drop("assembled", "features", "rawPrediction", *helpers)
 
     def importance(self, *, k: int | None = None) -> DataFrame:
         """Feature importances, highest first (ties by name)."""
@@ -161,6 +183,7 @@ class Model:
         meta = SparkSession.active().range(1).select(
             F.array(*[F.lit(c) for c in self.features.columns]).cast("array<string>").alias("feature_columns"),
             F.array(*[F.lit(c) for c in self.features.mappings]).cast("array<string>").alias("categories"),
+            F.array(*[F.lit(c) for c in self.features.levels]).cast("array<string>").alias("levels"),
             F.lit(self.label).alias("label"),
             F.lit(self.version).alias("version"),
         )
@@ -175,7 +198,7 @@ def load(spark: SparkSession, path: str) -> tuple[Model, DataFrame]:
     meta = spark.read.parquet(f"{path}/metadata")
     row = meta.first()
     mappings = {c: spark.read.parquet(f"{path}/encoding/{c}") for c in row["categories"]}
-    features = Features(row["feature_columns"], mappings)
+    features = Features(row["feature_columns"], mappings, row["levels"])
     return Model(PipelineModel.load(f"{path}/pipeline"), features, row["label"], row["version"]), meta
 
 
@@ -211,7 +234,7 @@ def spread(written: DataFrame, partitions: int | None = None) -> DataFrame:
 def fit(
     pipeline: Pipeline, features: Features, train: DataFrame, label: str, version: str = "1.0.0", *, partitions: int | None = None
 ) -> Model:
-    wanted = [*features.names, label]
+    wanted = [*features.names, *features.levels, label]
     written = stage(features.apply(train).select(*dict.fromkeys(wanted)), "training")
     fitted = pipeline.fit(spread(written, partitions))
     discard(written)

@@ -94,6 +94,24 @@ def test_logit_penalty(spark):
 # ---- least squares and forecasts ---------------------------------------------
 
 
+def test_sparse_one_hot_is_kept_with_the_model(spark, tmp_path):
+    rows = [(i, ["N", "E", "S", None][i % 4], float(i % 7), int(i % 4 == 1 or i % 11 == 0)) for i in range(400)]
+    train = spark.createDataFrame(rows, "row int, wind string, speed double, rain_flag int")
+    chosen = models.Features.fit(train, ["speed"], levels=["wind"])
+    model = models.fit(models.rain_logit(chosen, 400), chosen, train, "rain_flag")
+    weights = model.pipeline.stages[-1].coefficients.toArray()
+    assert len(weights) == 1 + 4  # E, N, S, and a place for the rest
+    assert weights[1] == max(weights[1:])
+    fresh = spark.createDataFrame([(0, "E", 1.0), (1, "W", 1.0), (2, None, 1.0)], "row int, wind string, speed double")
+    before = {r.row: r.probability for r in model.score(fresh).collect()}
+    assert before[0] > 0.9 and before[1] == before[2]
+    assert set(model.score(fresh).columns) == {"row", "wind", "speed", "probability", "prediction"}
+    model.save(str(tmp_path / "m"))
+    loaded, meta = models.load(spark, str(tmp_path / "m"))
+    assert meta.first().levels == ["wind"]
+    assert {r.row: r.probability for r in loaded.score(fresh).collect()} == before
+
+
 def test_unclustered_keys_give_one_row_per_key_and_task(spark):
     rows = spark.range(0, 20_000, 1, 4).selectExpr("id % 5000 as k", "array(cast(id % 7 as double), cast(id % 11 as double)) as x", "cast(id % 13 as double) as y")
     parts = leastsquares.moments(rows, ["k"], "x", "y", 2)
