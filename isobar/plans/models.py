@@ -28,7 +28,7 @@ from isobar.operators.split import (
 )
 from isobar.schema import PREDICTION
 from isobar.sources.tables import typed
-from isobar.staging import discard, stage
+from isobar.staging import apart, discard, stage
 
 # The features each model looks for, in order.
 RAIN_FEATURES = [
@@ -236,7 +236,7 @@ def fit(
 ) -> Model:
     wanted = [*features.names, *features.levels, label]
     written = stage(features.apply(train).select(*dict.fromkeys(wanted)), "training")
-    fitted = pipeline.fit(spread(written, partitions))
+    fitted = pipeline.fit(spread(apart(written), partitions))
     discard(written)
     return Model(fitted, features, label, version)
 
@@ -278,7 +278,7 @@ def rain_cross_validation(
     """Stratified folds scored by AUC."""
     written = stage(with_stratified_folds(features.apply(df), label, key, folds=folds), "folds")
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
-    result = cross_validate(scaled(features, learner or rain_forest(label)), spread(written, partitions), evaluator, folds=folds)
+    result = cross_validate(scaled(features, learner or rain_forest(label)), spread(apart(written), partitions), evaluator, folds=folds)
     discard(written)
     return result
 
@@ -297,7 +297,7 @@ def temperature_cross_validation(
     """Plain folds scored by mean absolute error."""
     written = stage(with_folds(features.apply(df), key, folds=folds, share=share), "folds")
     evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
-    result = cross_validate(scaled(features, learner or temperature_forest(label)), spread(written, partitions), evaluator, folds=folds)
+    result = cross_validate(scaled(features, learner or temperature_forest(label)), spread(apart(written), partitions), evaluator, folds=folds)
     discard(written)
     return result
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from isobar import schema
 from isobar.operators import hourly, leastsquares
 from isobar.operators.leastsquares import least_squares
+from isobar.operators.quality import StageCounts
 from isobar.plans import models
 from isobar.plans.forecast import Forecaster, Orders, _psi, _recur, as_single_series, single_series
 from isobar.plans.runs import train_and_forecast
@@ -58,6 +59,17 @@ def test_rain_model(spark, weather, tmp_path):
     assert row.version == "1.0.0" and json.loads(row.metrics)["auc"] == pytest.approx(report.auc)
 
 
+def test_models_train_and_score_in_a_session_that_has_observed_rows(spark, weather, tmp_path):
+    counts = StageCounts()
+    counts.watch(spark.range(5), "five").write.parquet(str(tmp_path / "five"))
+    assert counts.records("five") == 5
+    features = models.rain_features(weather)
+    model = models.fit(small(features), features, weather, "rain_flag")
+    assert model.score(weather).filter("probability is not null").count() == weather.count()
+    learner = models.rain_forest(trees=3, depth=2)
+    assert 0 < models.rain_cross_validation(weather, features, "id", folds=2, learner=learner).first().cv_mean <= 1
+
+
 def test_cross_validation(weather):
     features = models.rain_features(weather)
     row = models.rain_cross_validation(weather, features, "id", folds=3, learner=models.rain_forest(trees=5, depth=3)).first()
