@@ -14,7 +14,7 @@ of the table.  ``arrange`` looks at the longest series first:
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -74,6 +74,7 @@ class Series:
     keys: list[str]
     order: list[str | Column]
     split: bool
+    wider: bool = False  # blocks than the table's own, for a look back beyond them
 
     @property
     def groups(self) -> list[str]:
@@ -93,7 +94,7 @@ class Series:
         return Window.partitionBy(*self.groups).orderBy(*[F.col(c).desc() for c in self.order])
 
     def with_frame(self, frame: DataFrame) -> Series:
-        return Series(frame, self.keys, self.order, self.split)
+        return replace(self, frame=frame)
 
     def rows(self) -> DataFrame:
         """The table without halo rows and helper columns."""
@@ -101,20 +102,115 @@ class Series:
             return self.frame
         return self.frame.filter(~F.col(HALO)).drop(BLOCK, HALO, SEQ)
 
-    def carried(self, facts: dict[str, Column], *, ahead: bool = False) -> DataFrame | None:
-        """Per block, the nearest non-null fact of the blocks before (or after) it.
+    def around(self, before: dict[str, Column], after: dict[str, Column]) -> DataFrame | None:
+        """Per block, the nearest non-null fact of the blocks before it and of those after it.
 
+        One aggregation gives both and is written, a row per block: the plan of
+        the rows is in it, and would else be in every later operator's twice.
         Returns None when every series is a single block.
         """
         if not self.split:
             return None
-        summary = self.frame.filter(~F.col(HALO)).groupBy(*self.groups).agg(
-            *[c.alias(n) for n, c in facts.items()]
-        )
-        near_first = F.col(BLOCK).desc() if ahead else F.col(BLOCK)
-        passed = Window.partitionBy(*self.keys).orderBy(near_first).rowsBetween(Window.unboundedPreceding, -1)
-        picked = [F.last(n, ignorenulls=True).over(passed).alias(n) for n in facts]
-        return summary.select(*self.groups, *picked)
+        facts = before | after
+        own = self.frame.filter(~F.col(HALO)).groupBy(*self.groups).agg(*[c.alias(f"__own_{n}") for n, c in facts.items()])
+        summary = stage(own, "blocks")
+
+        def picked(names: dict[str, Column], near_first: Column) -> list[Column]:
+            passed = Window.partitionBy(*self.keys).orderBy(near_first).rowsBetween(Window.unboundedPreceding, -1)
+            return [F.last(f"__own_{n}", ignorenulls=True).over(passed).alias(n) for n in names]
+
+        return summary.select(*self.groups, *picked(before, F.col(BLOCK)), *picked(after, F.col(BLOCK).desc()))
+
+
+@dataclass(frozen=True)
+class Numbered:
+    """A table whose series are numbered, to be cut into blocks by any number of operators in turn.
+
+    Where one series is too long for a task, ``frame`` reads the one sorted copy
+    and has ``__seq`` and its block; operators add columns to it and neither
+    sort nor write it again.  An operator that looks at no other block finds the
+    partitioning of the one before.  Rows may only go by ``keep``.
+    """
+
+    frame: DataFrame
+    keys: list[str]
+    order: list[str | Column]
+    size: int | None = None  # rows of a block where series are cut
+
+    @classmethod
+    def of(
+        cls, df: DataFrame, keys: list[str], order: list[str | Column], *, block_rows: int = BLOCK_ROWS, longest: int | None = None
+    ):
+        """``order`` should end in a unique column; ``longest`` bounds the rows of a series where that is known."""
+        if (largest_group(df, keys) if longest is None else longest) <= block_rows:
+            return cls(df, keys, order)
+        size = max(block_rows, 1)
+        numbered = number_rows(df, [*keys, *order])
+        return cls(numbered.withColumn(BLOCK, F.floor(F.col(SEQ) / size)), keys, [SEQ], size)
+
+    @property
+    def split(self) -> bool:
+        return self.size is not None
+
+    def with_frame(self, frame: DataFrame):
+        return replace(self, frame=frame)
+
+    def rows(self) -> DataFrame:
+        return self.frame.drop(BLOCK, SEQ) if self.split else self.frame
+
+    def cut(self, look_back: int = 0) -> Series:
+        """Blocks that also see the ``look_back`` rows before them, flagged as halo."""
+        if not self.split:
+            return Series(self.frame, self.keys, self.order, False)
+        frame = self.frame
+        if look_back:
+            size = max(self.size, look_back)
+            block = F.floor(F.col(SEQ) / size)
+            near_end = F.col(SEQ) % size >= size - look_back
+            seen = F.explode(F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block)))
+            frame = frame.withColumn(BLOCK, seen).withColumn(HALO, F.col(BLOCK) != block)
+        else:
+            frame = frame.withColumn(HALO, F.lit(False))
+        return Series(frame, self.keys, self.order, True, look_back > self.size)
+
+    def joined(self, series: Series):
+        """The blocks of ``cut``, with the columns added to them, as one table again."""
+        if not self.split:
+            return self.with_frame(series.frame)
+        frame = series.frame.filter(~F.col(HALO)).drop(HALO)
+        return self.with_frame(frame.withColumn(BLOCK, F.floor(F.col(SEQ) / self.size)) if series.wider else frame)
+
+    def keep(self, condition: Column | str):
+        """The rows that meet ``condition``, numbered anew by block counts instead of a sort."""
+        kept = self.frame.filter(condition)
+        if not self.split:
+            return self.with_frame(kept)
+        counts = stage(kept.groupBy(BLOCK).agg(F.count("*").alias("__n")), "blocks")
+        before = Window.orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)  # one row per block
+        starts = counts.select(BLOCK, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+        place = F.row_number().over(Window.partitionBy(BLOCK).orderBy(SEQ)) - 1
+        frame = kept.withColumn("__place", place).join(starts, BLOCK).withColumn(SEQ, F.col("__start") + F.col("__place"))
+        return self.with_frame(frame.drop("__place", "__start").withColumn(BLOCK, F.floor(F.col(SEQ) / self.size)))
+
+    def positions(self, name: str = "position", total: str | None = None):
+        """With the 1-based position in each series and, if asked, the series length."""
+        frame = self.frame
+        if not self.split:
+            out = frame.withColumn(name, F.row_number().over(self.cut().window).cast("long"))
+            if total:
+                out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*self.keys)))
+            return self.with_frame(out)
+        if not self.keys:
+            out = frame.withColumn(name, F.col(SEQ) + 1)
+            if total:
+                out = out.withColumn(total, frame.agg(F.max(SEQ) + 1).scalar())  # of the numbered copy
+            return self.with_frame(out)
+        facts = [F.min(SEQ).alias("__first")]
+        if total:
+            facts.append(F.count("*").alias(total))
+        starts = stage(frame.groupBy(*self.keys).agg(*facts), "starts")
+        out = attach(frame, starts, self.keys).withColumn(name, F.col(SEQ) - F.col("__first") + 1)
+        return self.with_frame(out.drop("__first"))
 
 
 def arrange(
@@ -134,19 +230,7 @@ def arrange(
     Pass ``longest``, a bound of the longest series' rows, where one is known:
     operators in a chain then count once, not once each.
     """
-    if (largest_group(df, keys) if longest is None else longest) <= block_rows:
-        return Series(df, keys, order, False)
-    size = max(block_rows, look_back, 1)
-    numbered = number_rows(df, [*keys, *order])
-    block = F.floor(F.col(SEQ) / size)
-    if look_back:
-        near_end = F.col(SEQ) % size >= size - look_back
-        numbered = numbered.withColumn(
-            BLOCK, F.explode(F.when(near_end, F.array(block, block + 1)).otherwise(F.array(block)))
-        ).withColumn(HALO, F.col(BLOCK) != block)
-    else:
-        numbered = numbered.withColumn(BLOCK, block).withColumn(HALO, F.lit(False))
-    return Series(numbered, keys, [SEQ], True)
+    return Numbered.of(df, keys, order, block_rows=block_rows, longest=longest).cut(look_back)
 
 
 def positions(
@@ -160,26 +244,7 @@ def positions(
     longest: int | None = None,
 ) -> DataFrame:
     """Add the 1-based position in each series and, if asked, the series length."""
-    series = arrange(df, keys, order, block_rows=block_rows, longest=longest)
-    if not series.split:
-        out = df.withColumn(name, F.row_number().over(series.window).cast("long"))
-        if total:
-            out = out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
-        return out
-    if not keys:
-        out = series.frame.withColumn(name, F.col(SEQ) + 1)
-        if total:
-            out = out.withColumn(total, series.frame.agg(F.max(SEQ) + 1).scalar())  # of the numbered copy
-        return out.drop(BLOCK, HALO, SEQ)
-    facts = [F.min(SEQ).alias("__first")]
-    if total:
-        facts.append(F.count("*").alias(total))
-    starts = series.frame.groupBy(*keys).agg(*facts)
-    return (
-        attach(series.frame, starts, keys)
-        .withColumn(name, F.col(SEQ) - F.col("__first") + 1)
-        .drop(BLOCK, HALO, SEQ, "__first")
-    )
+    return Numbered.of(df, keys, order, block_rows=block_rows, longest=longest).positions(name, total).rows()
 
 
 def running_sums(

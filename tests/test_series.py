@@ -5,7 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from isobar.operators import columns, ordered, series
+from isobar.operators import columns, ordered, ranks, series
 
 BLOCKS = [1_000_000, 7]
 
@@ -151,3 +151,99 @@ def test_resample_drops_empty_periods(spark):
     )
     rows = series.resample(df, "ts").orderBy("ts").collect()
     assert [(r.temperature, r.precipitation, r.rain_flag) for r in rows] == [(2.0, 2.0, 1), (5.0, 0.0, 0)]
+
+
+def _five(df, block_rows, keep=False):
+    out = series.Chain.of(df, ["city"], ["at"], block_rows=block_rows).fill_gaps(["gap"]).tendency("gap")
+    out = out.with_columns({"hole": F.when(F.col("id") % 3 != 0, F.col("v"))}).interpolate(["hole"])
+    out = out.lagged(["gap_tendency", "hole"], lags=2)
+    if keep:
+        out = out.complete_rows(["hole", "hole_lag_2"])
+    return out.tendency("hole", name="step").time_split().rows()
+
+
+def _one_by_one(df, block_rows, keep=False):
+    at = (["city"], ["at"])
+    out = series.tendency(series.fill_gaps(df, *at, ["gap"], block_rows=block_rows), "gap", *at, block_rows=block_rows)
+    out = series.interpolate(out.withColumn("hole", F.when(F.col("id") % 3 != 0, F.col("v"))), *at, ["hole"], block_rows=block_rows)
+    out = series.lagged(out, *at, ["gap_tendency", "hole"], lags=2, block_rows=block_rows)
+    if keep:
+        out = series.complete_rows(out, ["hole", "hole_lag_2"])
+    return series.time_split(series.tendency(out, "hole", *at, name="step", block_rows=block_rows), *at, block_rows=block_rows)
+
+
+@pytest.mark.parametrize("keep", [False, True])
+@pytest.mark.parametrize("block_rows", [1_000_000, 40, 2])
+def test_chain_gives_the_rows_of_its_operators(hot, block_rows, keep):
+    df, _ = hot
+    got, expected = _five(df, block_rows, keep), _one_by_one(df, 1_000_000, keep)
+    assert got.columns == expected.columns
+    names = [c for c in expected.columns if c != "id"]
+    pd.testing.assert_frame_equal(by_id(got, *names), by_id(expected, *names), rtol=1e-9)
+
+
+def test_chain_writes_the_table_once(hot, monkeypatch):
+    """One sorted copy; everything else that is written has at most a row per block and series."""
+    df, _ = hot
+    written = []
+    true_stage = ordered.stage
+
+    def counted(frame, label):
+        out = true_stage(frame, label)
+        written.append((label, out.count()))
+        return out
+
+    monkeypatch.setattr(ordered, "stage", counted)
+    assert _five(df, 20, keep=True).count() > 300
+    assert [n for label, n in written if label == "ranged"] == [400]
+    assert all(n <= 400 // 20 + 5 for label, n in written if label != "ranged") and len(written) > 1
+
+
+def test_chain_of_no_rows(hot):
+    df, _ = hot
+    assert _five(df.limit(0), 5, keep=True).count() == 0
+
+
+# ---- places without a sort ------------------------------------------------
+
+
+def _places(df, order, step, **limits):
+    return sorted(r.id for r in ranks.every(df, order, step, **limits).collect())
+
+
+@pytest.mark.parametrize("order, steps, limits", [
+    (["far", "id"], [7], {"exact_rows": 60}),
+    (["day", "flag", "id"], [1, 699, 5000], {"exact_rows": 60, "first": 16, "finer": 16}),
+    (["at", "id"], [7], {"exact_rows": 3}),
+    (["local", "id"], [7], {"exact_rows": 60, "first": 32, "finer": 8}),
+    (["flag", "far", "day", "local", "id"], [7], {"exact_rows": 30}),
+])
+def test_places_by_counting(spark, order, steps, limits):
+    """Heavy ties, gaps, NULL and the ends of the number range in several types of columns."""
+    rng = np.random.default_rng(8)
+    n = 700
+    day = rng.integers(0, 4, n)
+    far = rng.choice([-(2**63), 2**63 - 1, 0, 1, 2, 10**15], n)
+    frame = [
+        (i, None if i % 50 == 7 else int(far[i]), int(day[i]), int(rng.integers(0, 10**9)) * 10**6 + 123_456, None if i % 9 == 2 else bool(i % 2)) for i in range(n)
+    ]
+    df = spark.createDataFrame(frame, "id long, far long, day int, us long, flag boolean").repartition(5).select(
+        "id", "far", "flag",
+        F.date_add(F.lit("2024-01-30").cast("date"), F.col("day")).alias("day"),
+        F.timestamp_micros("us").alias("at"), F.timestamp_micros("us").cast("timestamp_ntz").alias("local"),
+    )
+    ids = [r.id for r in df.orderBy(*order).collect()]
+    for step in steps:
+        assert _places(df, order, step, **limits) == sorted(ids[::step])
+
+
+def test_places_of_other_tables(spark, monkeypatch):
+    def no_sort(*_, **__):
+        raise AssertionError("sorted")
+
+    df = spark.range(500).select("id", (F.col("id") % 2).alias("half"), F.col("id").cast("string").alias("text"))
+    assert _places(df, ["text"], 10, exact_rows=20) == sorted(int(t) for t in sorted(map(str, range(500)))[::10])
+    assert len(_places(df, ["half"], 10, exact_rows=20)) == 50  # 250 rows of one value: numbered
+    assert _places(df.limit(0), ["id"], 10, exact_rows=0) == []
+    monkeypatch.setattr(ranks, "positions", no_sort)
+    assert _places(df, ["half", "id"], 10, exact_rows=20) == sorted([*range(0, 500, 20), *range(1, 500, 20)])
