@@ -482,6 +482,41 @@ def systematic_sample(t: Tables) -> DataFrame:
     return series.systematic_sample(t.events.select("event_id", "ts"), ORDER).select("event_id")
 
 
+@query(
+    "sample_by_counts",
+    """WITH n AS (SELECT event_id, row_number() OVER (ORDER BY ts, event_id) - 1 AS i, count(*) OVER () AS n FROM events)
+    SELECT event_id FROM n WHERE i % greatest(n // 50, 1) = 0""",
+)
+def sample_by_counts(t: Tables) -> DataFrame:
+    """The sample as a table too large to sort gives it: places found by counting."""
+    return series.systematic_sample(t.events.select("event_id", "ts"), ORDER, size=50, block_rows=200).select("event_id")
+
+
+@query(
+    "series_chain",
+    f"""WITH {GAPPY},
+    f AS (SELECT event_id, ts, city, humidity,
+                 coalesce(last_value(pressure IGNORE NULLS) OVER w, first_value(pressure IGNORE NULLS) OVER v) AS pressure
+          FROM g WINDOW w AS (PARTITION BY city ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING),
+                        v AS (PARTITION BY city ORDER BY ts, event_id ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)),
+    l AS (SELECT *, coalesce(pressure - lag(pressure) OVER w, 0) AS pressure_tendency,
+                 lag(pressure, 1) OVER w AS pressure_lag_1, lag(pressure, 2) OVER w AS pressure_lag_2
+          FROM f WINDOW w AS (PARTITION BY city ORDER BY ts, event_id)),
+    k AS (SELECT * FROM l WHERE pressure_lag_2 IS NOT NULL AND humidity IS NOT NULL)
+    SELECT event_id, pressure, pressure_tendency, pressure_lag_1, pressure_lag_2,
+           coalesce(humidity - lag(humidity) OVER w, 0) AS humidity_step,
+           row_number() OVER w <= floor(0.8::DOUBLE * count(*) OVER (PARTITION BY city)) AS is_train
+    FROM k WINDOW w AS (PARTITION BY city ORDER BY ts, event_id)""",
+)
+def series_chain(t: Tables) -> DataFrame:
+    """Six operators on one numbered copy, every series cut into blocks."""
+    chain = series.Chain.of(t.gappy.select("event_id", "ts", "city", "pressure", "humidity"), SERIES, ORDER, block_rows=300)
+    chain = chain.fill_gaps(["pressure"]).tendency("pressure").lagged(["pressure"], lags=2, moving=False)
+    chain = chain.complete_rows(["pressure_lag_2", "humidity"]).tendency("humidity", name="humidity_step").time_split()
+    added = ["pressure", "pressure_tendency", "pressure_lag_1", "pressure_lag_2", "humidity_step", "is_train"]
+    return chain.rows().select("event_id", *added)
+
+
 @query(
     "strat_split",
     """WITH e AS (SELECT event_id, value > 100 AS rain, (event_id % 2147483648) * 2654435761 % 4294967296 AS draw

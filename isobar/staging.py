@@ -21,9 +21,8 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="isobar-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="isobar-"))  # the setting itself is fixed once a session runs
+    return spark.sparkContext.getCheckpointDir()
 
 
 def session_folder(spark: SparkSession) -> str:
