@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from statistics import fmean, pstdev
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
@@ -11,7 +14,6 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, Regr
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -205,15 +207,17 @@ def load(spark: SparkSession, path: str) -> tuple[Model, DataFrame]:
 #: Partitions of a training table at least, and rows of one at most.  Forests draw their samples by partition, so these numbers, not the cluster's size, decide them.
 PARTITIONS = 4
 PARTITION_ROWS = 100_000
+#: The same for deep forests: every partition sends the statistics of every node, and deep trees have more of those than rows.
+DEEP_PARTITION_ROWS = 400_000
 #: Equal rows that stay together.
 TOGETHER = 1000
 
 
-def partitions_of(rows: int) -> int:
-    return max(PARTITIONS, -(-rows // PARTITION_ROWS))
+def partitions_of(rows: int, partition_rows: int | None = None) -> int:
+    return max(PARTITIONS, -(-rows // (partition_rows or PARTITION_ROWS)))
 
 
-def spread(written: DataFrame, partitions: int | None = None) -> DataFrame:
+def spread(written: DataFrame, partitions: int | None = None, partition_rows: int | None = None) -> DataFrame:
     """Rows placed and sorted by their own hash, for repeated passes over a written table.
 
     The same rows give the same partitions on any cluster, and so the same
@@ -222,7 +226,7 @@ def spread(written: DataFrame, partitions: int | None = None) -> DataFrame:
     its own, so that no value fills a partition.
     """
     columns = [F.col(f"`{c}`") for c in written.columns]
-    partitions = partitions_of(written.count()) if partitions is None else partitions
+    partitions = partitions_of(written.count(), partition_rows) if partitions is None else partitions
     counted = written.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
     lots = counted.withColumn("__lot", F.explode(F.sequence(F.lit(0), F.col("__n") - 1, F.lit(TOGETHER).cast("long"))))
     placed = lots.withColumn("__place", F.xxhash64(*columns, "__lot")).repartition(partitions, "__place")
@@ -232,11 +236,20 @@ def spread(written: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def fit(
-    pipeline: Pipeline, features: Features, train: DataFrame, label: str, version: str = "1.0.0", *, partitions: int | None = None
+    pipeline: Pipeline,
+    features: Features,
+    train: DataFrame,
+    label: str,
+    version: str = "1.0.0",
+    *,
+    partitions: int | None = None,
+    partition_rows: int | None = None,
 ) -> Model:
     wanted = [*features.names, *features.levels, label]
     written = stage(features.apply(train).select(*dict.fromkeys(wanted)), "training")
-    fitted = pipeline.fit(spread(apart(written), partitions))
+    rows = spread(apart(written), partitions, partition_rows).persist(StorageLevel.DISK_ONLY)  # a scaler and a forest take six passes
+    fitted = pipeline.fit(rows)
+    rows.unpersist()
     discard(written)
     return Model(fitted, features, label, version)
 
@@ -250,19 +263,33 @@ def classifier_report(scored: DataFrame, label: str) -> DataFrame:
 def cross_validate(
     pipeline: Pipeline, df: DataFrame, evaluator: Evaluator, *, fold: str = "fold", folds: int = 5
 ) -> DataFrame:
-    """Mean and population std of a score over the folds marked in ``fold``."""
-    validator = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=[{}],
-        evaluator=evaluator,
-        numFolds=folds,
-        foldCol=fold,
-        parallelism=folds,
-    )
-    fitted = validator.fit(df)
-    return SparkSession.active().createDataFrame(
-        [(float(fitted.avgMetrics[0]), float(fitted.stdMetrics[0]))], "cv_mean double, cv_std double"
-    )
+    """Mean and population std of a score over the folds marked in ``fold``.
+
+    One model for each fold and none of all rows, which no score needs.  Folds
+    run together while the partitions of one leave cores idle; else one by one,
+    so that only one training table is held at a time.
+    """
+    rows = df.persist(StorageLevel.DISK_ONLY)  # every fold reads it several times
+    sizes = {r[0]: r[1] for r in rows.groupBy(fold).count().collect()}  # a row for each fold
+    if set(sizes) != set(range(folds)) or folds < 2:
+        rows.unpersist()
+        raise ValueError(f"rows must lie in {folds} folds from 0, each with a row; found {sorted(sizes, key=str)}")
+
+    def score(k: int) -> float:
+        model = pipeline.fit(rows.filter(F.col(fold) != k))
+        scored = model.transform(rows.filter(F.col(fold) == k))
+        wanted = [c for c in (evaluator.getLabelCol(), "rawPrediction", "prediction") if c in scored.columns]
+        scored = scored.select(*wanted).persist(StorageLevel.DISK_ONLY)  # an evaluator sorts, which reads twice
+        found = float(evaluator.evaluate(scored))
+        scored.unpersist()
+        return found
+
+    spark = df.sparkSession
+    together = max(1, min(folds, spark.sparkContext.defaultParallelism // rows.rdd.getNumPartitions()))
+    with ThreadPoolExecutor(together) as pool:
+        scores = [*pool.map(inheritable_thread_target(spark)(score), range(folds))]
+    rows.unpersist()
+    return SparkSession.active().createDataFrame([(fmean(scores), pstdev(scores))], "cv_mean double, cv_std double")
 
 
 def rain_cross_validation(
@@ -297,7 +324,7 @@ def temperature_cross_validation(
     """Plain folds scored by mean absolute error."""
     written = stage(with_folds(features.apply(df), key, folds=folds, share=share), "folds")
     evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
-    result = cross_validate(scaled(features, learner or temperature_forest(label)), spread(apart(written), partitions), evaluator, folds=folds)
+    result = cross_validate(scaled(features, learner or temperature_forest(label)), spread(apart(written), partitions, DEEP_PARTITION_ROWS), evaluator, folds=folds)
     discard(written)
     return result
 
@@ -316,7 +343,8 @@ def train_temperature(
     """Plain 80/20 split, scaled forest; returns the model and the scored test rows."""
     parts = plain_split(df, key, share=share)
     features = temperature_features(df)
-    model = fit(scaled(features, temperature_forest(label)), features, parts.filter("not is_test"), label, partitions=partitions)
+    train = parts.filter("not is_test")
+    model = fit(scaled(features, temperature_forest(label)), features, train, label, partitions=partitions, partition_rows=DEEP_PARTITION_ROWS)
     return model, model.score(parts.filter("is_test"))
 
 

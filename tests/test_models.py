@@ -76,6 +76,17 @@ def test_cross_validation(weather):
     assert 0.5 < row.cv_mean < 1 and row.cv_std >= 0
 
 
+def test_cross_validation_trains_once_for_each_fold(spark, weather, monkeypatch):
+    fitted, fit = [], models.Pipeline.fit
+    monkeypatch.setattr(models.Pipeline, "fit", lambda self, rows, *more: fitted.append(rows.count()) or fit(self, rows, *more))
+    learner = models.rain_forest(trees=2, depth=2)
+    models.rain_cross_validation(weather, models.rain_features(weather), "id", folds=3, learner=learner)
+    assert len(fitted) == 3 and sum(fitted) == 2 * weather.count()
+    marked = weather.withColumn("fold", F.lit(0))
+    with pytest.raises(ValueError, match="folds"):
+        models.cross_validate(models.scaled(models.rain_features(weather), learner), marked, None, folds=2)
+
+
 def test_batch_scoring(spark, weather):
     features = models.rain_features(weather)
     model = models.fit(small(features), features, weather, "rain_flag")
@@ -171,6 +182,17 @@ def test_training_tables_spread_with_their_rows(spark, weather, monkeypatch):
     assert models.spread(same).rdd.getNumPartitions() == 50
 
 
+def test_deep_forests_take_fewer_partitions(spark, weather, monkeypatch):
+    asked, spread = [], models.spread
+    monkeypatch.setattr(models, "PARTITION_ROWS", 10)
+    monkeypatch.setattr(models, "DEEP_PARTITION_ROWS", 100)
+    monkeypatch.setattr(models, "temperature_forest", lambda label: models.RandomForestRegressor(labelCol=label, numTrees=1, maxDepth=1))
+    monkeypatch.setattr(models, "spread", lambda *how: asked.append(spread(*how).rdd.getNumPartitions()) or spread(*how))
+    models.train_temperature(weather, "id")
+    models.temperature_cross_validation(weather, models.temperature_features(weather), "id", folds=2)
+    assert asked[0] <= 10 and asked[1] == 10
+
+
 def test_least_squares_equals_numpy(spark):
     rng = np.random.default_rng(5)
     x, key = rng.normal(size=(500, 3)), rng.choice(["a", "b"], 500)
