@@ -128,7 +128,8 @@ def run_new_documents(
     due = documents.filter(F.col("dt") <= clock)
     if hours_back is not None:
         due = due.filter(F.col("dt") >= clock - hours_back * 3600)
-    batch = stage(counts.watch(hourly.flatten(ledger.unseen(due, run), K1, K2, DAY), "new documents"), "readings")
+    fresh = ledger.unseen(due, run, lambda new: hourly.flatten(new, K1, K2, DAY))
+    batch = stage(counts.watch(fresh, "new documents"), "readings")
     counts.done("new documents")
     if counts.records("new documents"):
         write_run(cell_sums(batch, F.col(DAY)), store.sums_path, run)

@@ -8,6 +8,7 @@ Reading the keys of some days opens the folders of those days alone.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,17 +77,20 @@ class Ledger:
     def stored_keys(self, spark: SparkSession, days: list) -> DataFrame:
         return read_days(spark, self.keys_path, f"{K1} long, {K2} long, processed_at timestamp", days)
 
-    def unseen(self, documents: DataFrame, run: str) -> DataFrame:
+    def unseen(self, documents: DataFrame, run: str, read: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
         """Documents that no other finished run has processed, one of each key, with key hashes and day.
 
         Documents that share a key are taken to hold the same reading.  One
-        without a time belongs to no day and no hour and is left out.
+        without a time belongs to no day and no hour and is left out.  ``read``
+        is applied before one of each key is picked and keeps the hashes and the
+        day: flat numbers are picked by hashing, nested documents by a sort.
         """
         spark = documents.sparkSession
         rows = keyed(documents, self.keys).filter(F.col(DAY).isNotNull())
         days = [r[0] for r in rows.select(DAY).distinct().collect()]  # a value for each calendar day
         others = self.counting(self.stored_keys(spark, days).filter(F.col(RUN) != run))
-        return rows.join(others.select(DAY, K1, K2), [DAY, K1, K2], "left_anti").dropDuplicates([DAY, K1, K2])
+        left = rows.join(others.select(DAY, K1, K2), [DAY, K1, K2], "left_anti")
+        return (read(left) if read else left).dropDuplicates([DAY, K1, K2])
 
     def record(self, batch: DataFrame, run: str, now: Column) -> None:
         """Store the keys of a run's documents."""

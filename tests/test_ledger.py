@@ -104,6 +104,15 @@ def test_keys_are_read_by_day(spark, places, tmp_path):
     assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:200]
 
 
+def test_one_of_each_key_is_picked_from_flat_rows_without_a_sort(spark, places, tmp_path, monkeypatch):
+    plans, stage = {}, runs.stage
+    monkeypatch.setattr(runs, "stage", lambda df, label: plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString()) and stage(df, label))
+    rows = readings(30)
+    run_new_documents(frame(spark, rows + rows[:5]), *places, later(), HourlyStore(str(tmp_path / "s")), "a")
+    assert "HashAggregate" in plans["readings"] and "SortAggregate" not in plans["readings"]
+    assert spark.read.parquet(str(tmp_path / "s/ledger/keys")).count() == 30
+
+
 @pytest.mark.parametrize("broken", ["write_run", "record", "replace_rows", "finish"])
 def test_a_retry_or_a_later_run_mends_a_broken_one(spark, places, tmp_path, monkeypatch, broken):
     rows = readings(12, days=1)
