@@ -69,8 +69,11 @@ class Ledger:
         return spark.read.schema("finished_at timestamp, run string").parquet(self.runs_path).select(RUN).distinct()
 
     def counting(self, rows: DataFrame, run: str | None = None) -> DataFrame:
-        """Rows of finished runs, and of ``run`` itself if given."""
-        done = self.finished(rows.sparkSession).withColumn("__done", F.lit(True))
+        """Rows of finished runs, and of ``run`` itself if given.
+
+        The list of runs goes to the rows: placed by run, all rows of one would meet in one task.
+        """
+        done = F.broadcast(self.finished(rows.sparkSession).withColumn("__done", F.lit(True)))
         known = F.coalesce(F.col("__done"), F.lit(False))
         return rows.join(done, RUN, "left").filter(known | (F.col(RUN) == run) if run else known).drop("__done")
 

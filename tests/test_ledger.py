@@ -104,6 +104,16 @@ def test_keys_are_read_by_day(spark, places, tmp_path):
     assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1][:200]
 
 
+def test_rows_do_not_travel_by_run(spark, tmp_path):
+    ledger = Ledger(str(tmp_path / "l"))
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "n long, run string")
+    first = ledger.counting(rows, "b")
+    assert "Exchange hashpartitioning" not in first._jdf.queryExecution().executedPlan().toString()
+    assert [r.n for r in first.collect()] == [2]
+    ledger.finish(spark, "a", later())
+    assert sorted(r.n for r in ledger.counting(rows, "b").collect()) == [1, 2] and [r.n for r in ledger.counting(rows).collect()] == [1]
+
+
 def test_one_of_each_key_is_picked_from_flat_rows_without_a_sort(spark, places, tmp_path, monkeypatch):
     plans, stage = {}, runs.stage
     monkeypatch.setattr(runs, "stage", lambda df, label: plans.setdefault(label, df._jdf.queryExecution().executedPlan().toString()) and stage(df, label))
