@@ -109,16 +109,18 @@ def scaled(features: Features, learner: Estimator) -> Pipeline:
     )
 
 
+# Both forests keep each row's node with the row, so a pass over a level doesn't walk every tree from its root; the trees are the same.
+
+
 def rain_forest(label: str = "rain_flag", *, trees: int = 100, depth: int = 10, seed: int = SEED) -> Estimator:
     return RandomForestClassifier(
-        labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed
+        labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="sqrt", seed=seed, cacheNodeIds=True
     )
 
 
 def temperature_forest(
     label: str = "temperature", *, trees: int = 100, depth: int = 15, seed: int = SEED
 ) -> Estimator:
-    # Deep trees: keep each row's node with the row instead of shipping the trees every level.
     return RandomForestRegressor(
         labelCol=label, numTrees=trees, maxDepth=depth, featureSubsetStrategy="all", seed=seed, cacheNodeIds=True
     )

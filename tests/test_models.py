@@ -171,6 +171,16 @@ def test_forests_do_not_depend_on_the_partitions(weather):
     assert scores[0] == scores[1] == scores[2]
 
 
+def test_forests_keep_the_node_of_each_row(weather):
+    """Passes don't walk the trees from their roots, and the trees are those of a forest that does."""
+    assert models.rain_forest().getCacheNodeIds() and models.temperature_forest().getCacheNodeIds()
+    features, seen = models.rain_features(weather), []
+    for learner in (models.rain_forest(trees=10, depth=4), models.rain_forest(trees=10, depth=4).setCacheNodeIds(False)):
+        model = models.fit(models.scaled(features, learner), features, weather, "rain_flag")
+        seen.append([t.toDebugString.split("\n", 1)[1] for t in model.pipeline.stages[-1].trees])
+    assert seen[0] == seen[1] and len(seen[0]) == 10
+
+
 def test_training_tables_spread_with_their_rows(spark, weather, monkeypatch):
     assert [models.partitions_of(n) for n in (0, 400_000, 400_001, 10_000_000)] == [4, 4, 5, 100]
     same = spark.range(5000).select(F.lit(1.0).alias("x"), F.lit(None).cast("int").alias("y"))
