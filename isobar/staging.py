@@ -57,14 +57,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
-def apart(staged: DataFrame) -> DataFrame:
-    """A frame that ``stage`` returned, read in a session of its own.
+def apart(staged: DataFrame, session: SparkSession | None = None) -> DataFrame:
+    """A frame that ``stage`` returned, read in ``session``, or else in one of its own.
 
     Spark's training summaries hold on to their session and travel with the
     model; a session that has observed rows (``DataFrame.observe``) cannot be
     serialized, a fresh one can.
     """
-    return staged.sparkSession.newSession().read.schema(staged.schema).parquet(_PATHS[staged])
+    return (session or staged.sparkSession.newSession()).read.schema(staged.schema).parquet(_PATHS[staged])
 
 
 def discard(staged: DataFrame) -> None:

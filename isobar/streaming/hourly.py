@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from isobar.operators import hourly
 from isobar.schema import DOCUMENT
 from isobar.sources.tables import replace_rows
-from isobar.staging import discard, stage
+from isobar.staging import apart, discard, stage
 
 
 def document_stream(spark: SparkSession, path: str, *, files_per_trigger: int | None = None) -> DataFrame:
@@ -55,11 +55,14 @@ def hourly_stream(
 ) -> DataFrame:
     """Documents to stored hourly rows: once each, averaged per hour, joined to cities.
 
-    The city side is static and re-read per batch.
+    The city side is static and re-read per batch.  A batch without new documents
+    still emits the hours its watermark closes; Spark measures such a batch by its
+    documents, would take the means for empty and broadcast them all, so the join is
+    told to sort and merge.
     """
     flat = hourly.flatten(documents).withColumn("observed_at", F.timestamp_seconds("dt"))
     once = process_once(flat, ["lon", "lat", "dt"], "observed_at", delay=delay)
-    joined = hourly.with_city(hourly_means(once), city, country)
+    joined = hourly.with_city(hourly_means(once).hint("merge"), city, country)
     return hourly.hourly_fact(joined)
 
 
@@ -76,14 +79,18 @@ def write_periods(
     An hour is emitted once, when the watermark passes it.  Its rows replace
     the stored ones of the same ``partition_by`` and ``keys`` and no others,
     so a replayed batch or a stream started afresh is harmless to other cities' rows.
+    A stream's own session plans without adaptive execution, which would leave the
+    rows ungathered; the written batch is stored by the caller's session.
     """
-    stream.sparkSession.conf.set(REPORTS, str(MOST_BATCHES))
+    spark = stream.sparkSession
+    spark.conf.set(REPORTS, str(MOST_BATCHES))
 
     def replace(batch: DataFrame, _: int) -> None:
-        rows = stage(batch, "batch")  # read more than once
+        written = stage(batch, "batch")  # read more than once
+        rows = apart(written, spark)
         if not rows.isEmpty():
             replace_rows(rows, target, list(partition_by), list(keys))
-        discard(rows)
+        discard(written)
 
     return (
         stream.writeStream.outputMode("append")

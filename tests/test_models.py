@@ -469,3 +469,25 @@ def test_late_rows_are_counted_and_other_rows_stay(spark, tmp_path):
     drain("b")
     after = {(r.idCity, r.Hour): r.Temp for r in spark.read.parquet(target).collect()}
     assert before <= after.keys() and after[1, 0] == 9.0 and after[2, 0] == 1.0
+
+
+def test_stream_sorts_its_means_and_stores_them_adaptively(spark, tmp_path, monkeypatch, capsys):
+    """A batch without documents emits hours too: they are not broadcast as empty, and rows are gathered before they are stored."""
+    def doc(dt, lon):
+        return json.dumps({"dt": dt, "coord": {"lon": lon, "lat": 0.0}, "main": {"temp": 1.0}})
+
+    base, source, seen = 1_700_006_400, tmp_path / "in", []
+    source.mkdir()
+    (source / "0.json").write_text("\n".join([doc(base, 1.0), doc(base + 60, 2.0), doc(base + 5 * 3600, 1.0)]))
+    city = spark.createDataFrame([(1, "Alpha", 1, 1.0, 0.0), (2, "Beta", 1, 2.0, 0.0)], schema.CITY)
+    store = streaming.replace_rows
+    monkeypatch.setattr(streaming, "replace_rows", lambda rows, *how: seen.append(rows.sparkSession.conf.get("spark.sql.adaptive.enabled")) or store(rows, *how))
+    rows = streaming.hourly_stream(streaming.document_stream(spark, str(source)), city)
+    query = streaming.write_periods(rows, str(tmp_path / "out"), str(tmp_path / "offsets"))
+    query.awaitTermination()
+    assert query.lastProgress.numInputRows == 0 and spark.read.parquet(str(tmp_path / "out")).count() == 2
+    capsys.readouterr()
+    query.explain()
+    plan = capsys.readouterr().out
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    assert seen == ["true"]
