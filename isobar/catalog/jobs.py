@@ -229,7 +229,7 @@ def stream_late(t: Tables) -> DataFrame:
     folder, target, offsets, counters = (new_path(t.spark, n) for n in ("landed", "stream", "offsets", "counters"))
     second = (F.col("event_id") % 5 == 1) | (F.col("dt") >= 1705314600)
     for part in (~second, second):
-        docs.filter(part).drop("event_id", "processed").coalesce(1).write.mode("append").json(folder)
+        docs.filter(part).drop("event_id", "processed").write.mode("append").json(folder)
         rows = streaming.hourly_stream(streaming.document_stream(t.spark, folder), t.cities, t.countries)
         streaming.drain(rows, target, offsets, counters)
     return t.spark.read.parquet(counters).agg(F.sum("rows_read").alias("rows_read"), F.sum("rows_late").alias("rows_late"))

@@ -118,14 +118,16 @@ def replace_rows(df: DataFrame, path: str, partition_by: list[str], keys: list[s
     """Replace the stored rows that agree with one of ``df`` in ``partition_by`` and ``keys``; all others stay.
 
     Only the partitions that ``df`` touches are read and written again.  A task
-    that fails leaves the old files, and a retry gives the same rows.
+    that fails leaves the old files, and a retry gives the same rows.  The rows'
+    keys are as many as the rows, and far larger than their compressed files by which
+    Spark would choose to broadcast them, so they are met by sorting.
     """
     spark, merged = df.sparkSession, None
     if exists(spark, path):
         stored = spark.read.schema(df.schema).parquet(path)
         touched = df.select(*partition_by).distinct()
-        mine = df.select(*partition_by, *keys).distinct()
-        others = stored.join(touched, partition_by, "left_semi").join(mine, [*partition_by, *keys], "left_anti")
+        mine = df.select(*partition_by, *keys)
+        others = stored.join(touched, partition_by, "left_semi").join(mine.hint("merge"), [*partition_by, *keys], "left_anti")
         # Written first: the files that are read are about to be replaced.
         df = merged = stage(df.unionByName(others), "merged")
     replace_periods(df, path, partition_by)

@@ -1,6 +1,7 @@
 """Readers, writers, landing and dimension upkeep on small files."""
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -256,3 +257,15 @@ def test_not_in(spark, others, expected):
     other.createOrReplaceTempView("right_keys")
     sql = spark.sql("SELECT k FROM left_keys WHERE k NOT IN (SELECT o FROM right_keys)")
     assert sorted((r.k for r in sql.collect()), key=lambda k: (k is not None, k)) == expected
+
+
+def test_replaced_rows_are_met_by_sorting(spark, tmp_path, monkeypatch):
+    """The keys of the new rows are as many as the rows: only the partitions they touch may be broadcast.  Null keys replace nothing."""
+    columns, target, seen = "day int, hour int, id int, x int", str(tmp_path / "t"), []
+    tables.replace_rows(spark.createDataFrame([(1, 1, 1, 0), (1, 2, 1, 0), (1, 1, None, 0), (2, 1, 1, 0)], columns), target, ["day"], ["hour", "id"])
+    stage = tables.stage
+    monkeypatch.setattr(tables, "stage", lambda df, label: seen.append(df._jdf.queryExecution().executedPlan().toString()) or stage(df, label))
+    tables.replace_rows(spark.createDataFrame([(1, 1, 1, 5), (1, 1, 1, 6), (1, 1, None, 7)], columns), target, ["day"], ["hour", "id"])
+    rows = spark.read.parquet(target).select("day", "hour", "id", "x").collect()
+    assert sorted(map(str, map(tuple, rows))) == sorted(map(str, [(1, 1, 1, 5), (1, 1, 1, 6), (1, 1, None, 7), (1, 1, None, 0), (1, 2, 1, 0), (2, 1, 1, 0)]))
+    assert len(seen) == 1 and re.search(r"SortMergeJoin \[day#\d+, hour#\d+, id#\d+\].*LeftAnti", seen[0])
