@@ -30,8 +30,11 @@ from pyspark.sql import functions as F
 from isobar.llm.text import BLANKS, each, small_batches, text_udf
 from isobar.staging import discard, stage
 
-WORDS_AT_ONCE = 2_000_000
-BYTES_AT_ONCE = 1_000_000
+#: Words a task compares at once; it holds some hundred bytes for each.
+WORDS_AT_ONCE = 500_000
+BYTES_AT_ONCE = 250_000
+#: Rows handed to Spark at once, whatever a task has compared.
+ROWS_AT_ONCE = 50_000
 
 
 @dataclass(frozen=True)
@@ -192,28 +195,43 @@ def _taken(values: list, at: np.ndarray, kind: pa.DataType = pa.int64()) -> pa.A
     return pa.array(values, kind).take(pa.array(at))
 
 
+def _slices(batch: pa.RecordBatch):
+    """The rows of a batch in small ones, so that neither side of the pipe holds all of them once more."""
+    for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+        yield batch.slice(begin, ROWS_AT_ONCE)
+
+
+def _anchor_rows(docs: list[tuple], hasher: Hasher, cover: Cover) -> pa.RecordBatch:
+    hashes = [hasher.runs(words, cover.places(len(words)), cover.anchor, 1) for _, _, words, _ in docs]
+    counts = [len(h) for h in hashes]
+    key, doc = np.concatenate(hashes), np.repeat(np.arange(len(docs)), counts)
+    number = np.concatenate([np.arange(c) for c in counts])
+    first, twice = _firsts(key)
+    again = np.flatnonzero(~first)
+    low, high = _ranges(doc[again], number[again])
+    owner = np.concatenate((doc[first], doc[again][low]))
+    begin = np.concatenate((number[first], number[again][low]))
+    end = np.concatenate((number[first], number[again][high]))
+    sure = np.concatenate((twice, np.ones(len(low), bool)))
+    keys = np.concatenate((key[first], _spread(doc[again][low], number[again][low])))
+    return pa.RecordBatch.from_arrays(
+        [_signed(keys), _taken([d[0] for d in docs], owner, pa.binary()), pa.array(begin * 2 + sure, pa.int64()), pa.array(end - begin, pa.int32())],
+        ["key", "th", "begin", "more"],
+    )
+
+
+def anchor_batches(batches, cover: Cover):
+    """Rows (key, th, begin, more) of one task, in small batches: its anchors by hash and the runs that repeat within it."""
+    hasher = Hasher()
+    for docs in _documents(batches, hasher, _bytes_of):
+        yield from _slices(_anchor_rows(docs, hasher, cover))
+
+
 def repeated_anchors(rows: DataFrame, cover: Cover) -> DataFrame:
     """``(th, spans)``: per text the runs (first, last) of anchors, by number, that occur elsewhere too."""
 
     def run(batches):
-        hasher = Hasher()
-        for docs in _documents(batches, hasher, _bytes_of):
-            hashes = [hasher.runs(words, cover.places(len(words)), cover.anchor, 1) for _, _, words, _ in docs]
-            counts = [len(h) for h in hashes]
-            key, doc = np.concatenate(hashes), np.repeat(np.arange(len(docs)), counts)
-            number = np.concatenate([np.arange(c) for c in counts])
-            first, twice = _firsts(key)
-            again = np.flatnonzero(~first)
-            low, high = _ranges(doc[again], number[again])
-            owner = np.concatenate((doc[first], doc[again][low]))
-            begin = np.concatenate((number[first], number[again][low]))
-            end = np.concatenate((number[first], number[again][high]))
-            sure = np.concatenate((twice, np.ones(len(low), bool)))
-            keys = np.concatenate((key[first], _spread(doc[again][low], number[again][low])))
-            yield pa.RecordBatch.from_arrays(
-                [_signed(keys), _taken([d[0] for d in docs], owner, pa.binary()), pa.array(begin * 2 + sure, pa.int64()), pa.array(end - begin, pa.int32())],
-                ["key", "th", "begin", "more"],
-            )
+        return anchor_batches(batches, cover)
 
     found = rows.mapInArrow(run, "key long, th binary, begin long, more int")
     same = Window.partitionBy("key")
@@ -237,34 +255,43 @@ def _windows(count: int, begin: np.ndarray, end: np.ndarray, cover: Cover) -> np
     return np.flatnonzero(_covered(max(0, count - cover.window + 1), chosen, chosen, back=cover.period - 1))
 
 
+def _window_rows(docs: list[tuple], hasher: Hasher, cover: Cover) -> pa.RecordBatch:
+    begins = [_windows(len(words), *spans, cover) for _, _, words, spans in docs]
+    low, high = (
+        np.concatenate([hasher.runs(d[2], at, cover.window, seed) for d, at in zip(docs, begins)]) for seed in (2, 3)
+    )
+    doc, begin = np.repeat(np.arange(len(docs)), [len(b) for b in begins]), np.concatenate(begins)
+    first, _ = _firsts(low, high)
+    again = np.flatnonzero(~first)  # these start earlier in the chunk already
+    a, b = _ranges(doc[again], begin[again])
+    owner = np.concatenate((doc[first], doc[again][a]))
+    none = np.zeros(len(a), np.uint64)
+    return pa.RecordBatch.from_arrays(
+        [
+            _signed(np.concatenate((low[first], _spread(doc[again][a], begin[again][a])))),
+            _signed(np.concatenate((high[first], none)) >> np.uint64(1)),
+            pa.array(np.arange(len(owner)) >= first.sum()),
+            _taken([d[0] for d in docs], owner, pa.binary()),
+            _taken([d[1] for d in docs], owner),
+            pa.array(np.concatenate((begin[first], begin[again][a])), pa.int32()),
+            pa.array(np.concatenate((begin[first], begin[again][b])), pa.int32()),
+        ],
+        ["key", "more", "sure", "th", "id", "begin", "end"],
+    )
+
+
+def window_batches(batches, cover: Cover):
+    """Rows (key, more, sure, th, id, begin, end) of one task, in small batches: windows by hash and the ranges that are surely later."""
+    hasher = Hasher()
+    for docs in _documents(batches, hasher, _unpacked):
+        yield from _slices(_window_rows(docs, hasher, cover))
+
+
 def later_windows(rows: DataFrame, cover: Cover) -> DataFrame:
     """``(th, begin, end)``: ranges of starts of windows that also start earlier; from texts with their repeated anchors."""
 
     def run(batches):
-        hasher = Hasher()
-        for docs in _documents(batches, hasher, _unpacked):
-            begins = [_windows(len(words), *spans, cover) for _, _, words, spans in docs]
-            low, high = (
-                np.concatenate([hasher.runs(d[2], at, cover.window, seed) for d, at in zip(docs, begins)]) for seed in (2, 3)
-            )
-            doc, begin = np.repeat(np.arange(len(docs)), [len(b) for b in begins]), np.concatenate(begins)
-            first, _ = _firsts(low, high)
-            again = np.flatnonzero(~first)  # these start earlier in the chunk already
-            a, b = _ranges(doc[again], begin[again])
-            owner = np.concatenate((doc[first], doc[again][a]))
-            none = np.zeros(len(a), np.uint64)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    _signed(np.concatenate((low[first], _spread(doc[again][a], begin[again][a])))),
-                    _signed(np.concatenate((high[first], none)) >> np.uint64(1)),
-                    pa.array(np.arange(len(owner)) >= first.sum()),
-                    _taken([d[0] for d in docs], owner, pa.binary()),
-                    _taken([d[1] for d in docs], owner),
-                    pa.array(np.concatenate((begin[first], begin[again][a])), pa.int32()),
-                    pa.array(np.concatenate((begin[first], begin[again][b])), pa.int32()),
-                ],
-                ["key", "more", "sure", "th", "id", "begin", "end"],
-            )
+        return window_batches(batches, cover)
 
     found = rows.mapInArrow(run, "key long, more long, sure boolean, th binary, id long, begin int, end int")
     # A row that stands twice in the table ties with itself and does not count as later.
@@ -299,16 +326,17 @@ def later(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: s
     """
     small_batches()
     rows = _rows(docs, text, key)
-    texts = stage(rows.groupBy("th").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "texts")
-    texts = texts.withColumnRenamed("th", "t")
+    texts = rows.groupBy("th").agg(F.min("id").alias("first_id"), F.count(F.lit(1)).alias("copies")).withColumnRenamed("th", "t")
     anchors = stage(repeated_anchors(rows, cover), "anchors")
     wanted = anchors.join(texts, F.col("th") == F.col("t")).select("t", "first_id", "spans")
     chosen = _travelling(rows).join(wanted, (F.col("th") == F.col("t")) & F.col("id").eqNullSafe(F.col("first_id")))
     found = later_windows(chosen.select("th", "id", "body", "spans"), cover)
-    ranges = stage(found.groupBy("th").agg(F.collect_list(F.struct("begin", "end")).alias("ranges")), "ranges")
-    discard(anchors)
+    ranges = found.groupBy("th").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
     joined = texts.join(ranges, F.col("th") == F.col("t"), "left")
-    return joined.filter("ranges is not null or copies > 1").select("t", "first_id", "ranges")
+    # Only two tables are written: every file costs its executor a process where the shared folder is a local one.
+    marks = stage(joined.filter("ranges is not null or copies > 1").select("t", "first_id", "ranges"), "marks")
+    discard(anchors)
+    return marks
 
 
 def kept(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -326,8 +354,8 @@ def digests(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key:
 
 
 def _finished(docs: DataFrame, cover: Cover, text: str, key: str, name: str, show) -> DataFrame:
-    # Written, so that the join below has a shuffle of its own on both sides and a text with many copies can be split.
-    marks = stage(later(docs, cover, text=text, key=key), "marks")
+    # ``later`` writes its rows, so that the join below has a shuffle of its own on both sides and a text with many copies can be split.
+    marks = later(docs, cover, text=text, key=key)
     joined = _travelling(_rows(docs, text, key)).join(marks, F.col("th") == F.col("t"), "left")
     joined = joined.withColumn("first", F.col("t").isNull() | F.col("id").eqNullSafe(F.col("first_id")))
     window = cover.window

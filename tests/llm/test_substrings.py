@@ -1,8 +1,10 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -118,3 +120,29 @@ def test_a_text_in_many_chunks_names_its_anchors_once(spark, monkeypatch):
 def test_texts_are_told_apart_by_128_bits(spark):
     rows = substrings._rows(documents(spark, [(1, "a", "en", "s"), (2, None, "en", "s"), (3, "", "en", "s")]), "text", "doc_id").collect()
     assert [len(r.th) for r in rows] == [16, 16, 16] and rows[1].th == rows[2].th != rows[0].th
+
+
+@pytest.mark.parametrize("step", ["anchors", "windows"])
+def test_a_task_holds_and_hands_on_little(step):
+    """Many long texts: what a task allocates and each batch it gives to Spark stay small, whatever it reads."""
+    rng = random.Random(4)
+    words = [f"w{k}" for k in range(5000)]
+    read = []
+    for k in range(24):
+        texts = [" ".join(rng.choices(words, k=10_000)) for _ in range(10)]
+        keys = [hashlib.md5(t.encode()).digest() for t in texts]
+        body = pa.array(texts) if step == "anchors" else substrings._shut(pa.array(texts))
+        batch = {"th": pa.array(keys, pa.binary()), "id": pa.array(range(10 * k, 10 * k + 10), pa.int64()), "body": body}
+        if step == "windows":
+            batch["spans"] = pa.array([[{"begin": 0, "end": 4000}]] * 10)
+        read.append(pa.RecordBatch.from_pydict(batch))
+    run = substrings.anchor_batches if step == "anchors" else substrings.window_batches
+    count = 0
+    tracemalloc.start()
+    for made in run(iter(read), substrings.Cover()):
+        assert made.num_rows <= substrings.ROWS_AT_ONCE <= 100_000
+        count += made.num_rows
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count > (700_000 if step == "anchors" else 2_300_000)
+    assert peak < 150e6, peak
