@@ -333,7 +333,7 @@ def later(docs: DataFrame, cover: Cover = Cover(), *, text: str = "text", key: s
     found = later_windows(chosen.select("th", "id", "body", "spans"), cover)
     ranges = found.groupBy("th").agg(F.collect_list(F.struct("begin", "end")).alias("ranges"))
     joined = texts.join(ranges, F.col("th") == F.col("t"), "left")
-    # Only two tables are written: every file costs its executor a process where the shared folder is a local one.
+    # Texts and ranges are not written on their own: on a local shared folder every file costs its executor a process or more.
     marks = stage(joined.filter("ranges is not null or copies > 1").select("t", "first_id", "ranges"), "marks")
     discard(anchors)
     return marks
