@@ -13,7 +13,6 @@ from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +27,7 @@ from isobar.operators.split import (
     with_folds,
     with_stratified_folds,
 )
+from isobar.plans.forests import RandomForestRegressor
 from isobar.schema import PREDICTION
 from isobar.sources.tables import typed
 from isobar.staging import apart, discard, stage
@@ -109,7 +109,7 @@ def scaled(features: Features, learner: Estimator) -> Pipeline:
     )
 
 
-# Both forests keep each row's node with the row, so a pass over a level doesn't walk every tree from its root; the trees are the same.
+# Spark's training, where it is used, keeps each row's node with the row, so a pass over a level doesn't walk every tree from its root; the trees are the same.
 
 
 def rain_forest(label: str = "rain_flag", *, trees: int = 100, depth: int = 10, seed: int = SEED) -> Estimator:
@@ -209,7 +209,7 @@ def load(spark: SparkSession, path: str) -> tuple[Model, DataFrame]:
 #: Partitions of a training table at least, and rows of one at most.  Forests draw their samples by partition, so these numbers, not the cluster's size, decide them.
 PARTITIONS = 4
 PARTITION_ROWS = 100_000
-#: The same for deep forests: every partition sends the statistics of every node, and deep trees have more of those than rows.
+#: The same for temperature forests.
 DEEP_PARTITION_ROWS = 400_000
 #: Equal rows that stay together.
 TOGETHER = 1000

@@ -70,14 +70,15 @@ def apart(staged: DataFrame, session: SparkSession | None = None) -> DataFrame:
 def discard(staged: DataFrame) -> None:
     """Delete the files of a frame that ``stage`` returned, once all that reads it has been written."""
     if path := _PATHS.pop(staged, None):
-        _delete(staged.sparkSession, path)
+        remove(staged.sparkSession, path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder and all below it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def release(spark: SparkSession) -> None:
     """Delete everything this application staged."""
-    _delete(spark, session_folder(spark))
+    remove(spark, session_folder(spark))
