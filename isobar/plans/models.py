@@ -27,7 +27,7 @@ from isobar.operators.split import (
     with_folds,
     with_stratified_folds,
 )
-from isobar.plans.forests import RandomForestRegressor
+from isobar.plans.forests import RandomForestRegressor, forget
 from isobar.schema import PREDICTION
 from isobar.sources.tables import typed
 from isobar.staging import apart, discard, stage
@@ -284,6 +284,7 @@ def cross_validate(
         scored = scored.select(*wanted).persist(StorageLevel.DISK_ONLY)  # an evaluator sorts, which reads twice
         found = float(evaluator.evaluate(scored))
         scored.unpersist()
+        forget(model)
         return found
 
     spark = df.sparkSession

@@ -166,3 +166,12 @@ def test_other_settings_are_left_to_spark(rows):
     model = models.fit(models.scaled(features, learner), features, rows, "temperature", partitions=4)
     assert type(model.pipeline.stages[-1]) is regression.RandomForestRegressionModel
     assert isinstance(model.pipeline, PipelineModel)
+
+def test_cross_validation_deletes_the_node_tables_of_its_folds(spark, rows, monkeypatch):
+    gone, forget = [], models.forget
+    monkeypatch.setattr(models, "forget", lambda model: gone.append(model.stages[-1]) or forget(model))
+    learner = models.temperature_forest(trees=3, depth=4)
+    row = models.temperature_cross_validation(rows, models.temperature_features(rows), "id", folds=3, learner=learner).first()
+    assert 0 < row.cv_mean < 5 and row.cv_std >= 0 and len(gone) == 3
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        gone[0]._saved.arrays(spark)
