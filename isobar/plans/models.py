@@ -9,7 +9,7 @@ from statistics import fmean, pstdev
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.base import Estimator
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, Evaluator, RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -27,7 +27,7 @@ from isobar.operators.split import (
     with_folds,
     with_stratified_folds,
 )
-from isobar.plans.forests import RandomForestRegressor, forget
+from isobar.plans.forests import RandomForestClassifier, RandomForestRegressor, forget
 from isobar.schema import PREDICTION
 from isobar.sources.tables import typed
 from isobar.staging import apart, discard, stage
@@ -306,7 +306,8 @@ def rain_cross_validation(
     partitions: int | None = None,
 ) -> DataFrame:
     """Stratified folds scored by AUC."""
-    written = stage(with_stratified_folds(features.apply(df), label, key, folds=folds), "folds")
+    marked = with_stratified_folds(features.apply(df), label, key, folds=folds)
+    written = stage(marked.select(*dict.fromkeys([*features.names, label, "fold"])), "folds")
     evaluator = BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC", numBins=0)
     result = cross_validate(scaled(features, learner or rain_forest(label)), spread(apart(written), partitions), evaluator, folds=folds)
     discard(written)
@@ -325,7 +326,8 @@ def temperature_cross_validation(
     partitions: int | None = None,
 ) -> DataFrame:
     """Plain folds scored by mean absolute error."""
-    written = stage(with_folds(features.apply(df), key, folds=folds, share=share), "folds")
+    marked = with_folds(features.apply(df), key, folds=folds, share=share)
+    written = stage(marked.select(*dict.fromkeys([*features.names, label, "fold"])), "folds")
     evaluator = RegressionEvaluator(labelCol=label, metricName="mae")
     result = cross_validate(scaled(features, learner or temperature_forest(label)), spread(apart(written), partitions, DEEP_PARTITION_ROWS), evaluator, folds=folds)
     discard(written)

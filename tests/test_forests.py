@@ -2,7 +2,7 @@
 
 import numpy as np
 import pytest
-from pyspark.ml import PipelineModel, regression
+from pyspark.ml import PipelineModel, classification, regression
 from pyspark.sql import functions as F
 
 from isobar.plans import forests, models, trees
@@ -20,7 +20,7 @@ def blocks(bins, y, rows=100):
 
 
 def drawn(y, seed, number, rows=100):
-    return np.concatenate([np.random.default_rng([seed, number, 0, k]).poisson(1.0, len(y[i : i + rows])) for k, i in enumerate(range(0, len(y), rows))])
+    return np.concatenate([trees.draws(np.random.default_rng([seed, number, 0, k]), len(y[i : i + rows])) for k, i in enumerate(range(0, len(y), rows))])
 
 
 def predict(nodes, bins):
@@ -50,6 +50,11 @@ def exhaustive(bins, y, w, depth, rows, out):
         exhaustive(bins, y, w, depth - 1, part, out)
 
 
+def test_draws_are_poisson_numbers():
+    found = np.bincount(trees.draws(np.random.default_rng(1), 1_000_000)) / 1e6
+    assert found[:5] == pytest.approx(np.exp(-1) / np.array([1, 1, 2, 6, 24]), rel=0.02) and 7 <= len(found) <= 12
+
+
 @pytest.mark.parametrize("depth", [1, 3, 6])
 def test_trees_are_those_of_an_exhaustive_search(depth):
     bins, y = table()
@@ -167,6 +172,7 @@ def test_other_settings_are_left_to_spark(rows):
     assert type(model.pipeline.stages[-1]) is regression.RandomForestRegressionModel
     assert isinstance(model.pipeline, PipelineModel)
 
+
 def test_cross_validation_deletes_the_node_tables_of_its_folds(spark, rows, monkeypatch):
     gone, forget = [], models.forget
     monkeypatch.setattr(models, "forget", lambda model: gone.append(model.stages[-1]) or forget(model))
@@ -175,3 +181,29 @@ def test_cross_validation_deletes_the_node_tables_of_its_folds(spark, rows, monk
     assert 0 < row.cv_mean < 5 and row.cv_std >= 0 and len(gone) == 3
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         gone[0]._saved.arrays(spark)
+
+
+def test_rain_forests_take_no_pass_for_each_level(spark, rows):
+    features = models.rain_features(rows)
+
+    def train(depth):
+        return lambda: models.fit(models.scaled(features, models.rain_forest(trees=5, depth=depth)), features, rows, "rain_flag", partitions=4)
+
+    assert jobs(spark, "low", train(2)) == jobs(spark, "high", train(6))
+
+
+def test_rain_forest_is_sparks_model_of_the_grown_trees(rows):
+    features = models.rain_features(rows)
+    model = models.fit(models.scaled(features, models.rain_forest(trees=20, depth=6)), features, rows, "rain_flag", partitions=4)
+    forest = model.pipeline.stages[-1]
+    assert type(forest) is classification.RandomForestClassificationModel and forest.getNumTrees == 20 and forest.numClasses == 2
+    report = models.classifier_report(model.score(rows), "rain_flag").first()
+    assert report.auc > 0.99 and report.accuracy > 0.95 and sum(forest.featureImportances) == pytest.approx(1)
+
+
+def test_labels_of_one_class_are_left_to_spark(rows):
+    features = models.rain_features(rows)
+    dry = rows.filter("rain_flag = 0")
+    model = models.fit(models.scaled(features, models.rain_forest(trees=2, depth=2)), features, dry, "rain_flag", partitions=4)
+    plain = classification.RandomForestClassifier(labelCol="rain_flag", numTrees=2, maxDepth=2, seed=42)
+    assert model.pipeline.stages[-1].numClasses == models.fit(models.scaled(features, plain), features, dry, "rain_flag", partitions=4).pipeline.stages[-1].numClasses
