@@ -180,7 +180,7 @@ class _Grown:
             and self.getBootstrap()
             and self.getNumTrees() > 1
             and self.getSubsamplingRate() == 1
-            and self.getMaxBins() <= 256
+            and self.getMaxBins() <= 128  # twice that fits a byte
             and self.getMinInstancesPerNode() == 1
             and self.getMinInfoGain() == 0
             and self.getMinWeightFractionPerNode() == 0
